@@ -539,6 +539,6 @@ from (select count(*) as n, avg(y * y * y) / pow(avg(y * y), 1.5) as s, avg(y *
         "range_partials": on_feat("select count(*) as n_rows, round(sum(monto_aplicado), 2) as sum_monto from feat"),
         "shop_totals_by_chunks": on_feat("select local, count(*) as n_rows, round(sum(monto_aplicado), 2) as sum_monto from feat group by local"),
         "client_totals_by_key": on_feat(
-            "select codigo_cliente, count(*) as n_rows, round(sum(monto_aplicado), 2) as sum_monto from feat group by codigo_cliente"
+            "select codigo_cliente, count(*) as n_rows, round(sum(monto_aplicado), 4) as sum_monto from feat group by codigo_cliente"
         ),
     }

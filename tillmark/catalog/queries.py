@@ -360,7 +360,7 @@ def client_totals_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = prepared(spark, sf_dir).select("codigo_cliente", AMOUNT)
     merge = {"n_rows": "sum", "sum_monto": "sum"}
     schema = "codigo_cliente string, n_rows bigint, sum_monto double"
-    return rounded(partitions.map_by_key(rows, _client_totals, schema, "codigo_cliente", 8, merge), 2, "sum_monto")
+    return rounded(partitions.map_by_key(rows, _client_totals, schema, "codigo_cliente", 8, merge), 4, "sum_monto")
 
 
 def results_table(spark: SparkSession, sf_dir: str) -> DataFrame:
