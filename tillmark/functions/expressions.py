@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,7 +16,9 @@ def ratio(num: Column, den: Column) -> Column:
 
 
 def half_even(col: Column, digits: int) -> Column:
-    return F.bround(col, digits)
+    """Rounding with ties to the even digit, by scaling, as array libraries do it."""
+    scale = float(10**digits)
+    return F.rint(col * scale) / scale
 
 
 def polynomial(coefficients: Sequence[float], x: Column) -> Column:
@@ -27,18 +29,17 @@ def polynomial(coefficients: Sequence[float], x: Column) -> Column:
     return value
 
 
-def rows_of(structs: Iterable[Column]) -> Column:
-    """Turn several structs computed in one aggregate into rows: ``select(rows_of([...]))``."""
-    return F.inline(F.array(*structs))
-
-
 def seconds_of_day(ts: Column) -> Column:
     return F.hour(ts) * 3600 + F.minute(ts) * 60 + F.extract(F.lit("SECOND"), ts).cast("double")
 
 
+def time_of_day(ts: Column) -> Column:
+    return ts - F.to_date(ts).cast("timestamp_ntz")
+
+
 def whole_days_between(later: Column, earlier: Column) -> Column:
     """Floor of the elapsed days, also for negative spans, whatever the session zone."""
-    short = seconds_of_day(later) < seconds_of_day(earlier)
+    short = time_of_day(later) < time_of_day(earlier)
     return F.datediff(F.to_date(later), F.to_date(earlier)) - short.cast("int")
 
 

@@ -13,20 +13,21 @@ from pyspark.sql import functions as F
 
 from tillmark.functions.expressions import ratio
 from tillmark.operators.quantiles import cumulative_counts, quantiles_of_counts, value_counts
+from tillmark.session import materialize
 
 GRID_POINTS = 200
 WHISKER = 1.5
 
 
-def bin_plan(counts: DataFrame) -> DataFrame:
-    """One row per variable: n, extremes, number of bins and their width.
+def bin_plan(cumulative: DataFrame) -> DataFrame:
+    """One row per variable of a cumulative count table: n, extremes, number of bins and width.
 
     The width is Sturges' or, if smaller, Freedman-Diaconis' (held to at most 2 sqrt(n) bins).
     """
-    extremes = counts.groupBy("variable").agg(
+    extremes = cumulative.groupBy("variable").agg(
         F.min("value").alias("low"), F.max("value").alias("high"), F.sum("n").alias("n")
     )
-    quarters = quantiles_of_counts(cumulative_counts(counts), {"q1": 0.25, "q3": 0.75}).drop("n")
+    quarters = quantiles_of_counts(cumulative, {"q1": 0.25, "q3": 0.75}).drop("n")
     spread, n = F.col("high") - F.col("low"), F.col("n").cast("double")
     diaconis = F.greatest(2.0 * (F.col("q3") - F.col("q1")) / F.pow(n, F.lit(1 / 3)), spread / F.sqrt(n) / 2.0)
     width = F.least(diaconis, spread / (F.log2(n) + 1.0))
@@ -44,7 +45,7 @@ def bin_plan(counts: DataFrame) -> DataFrame:
 
 def histogram(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(variable, bin, left, right, n_rows, density)`` for bins that hold values."""
-    counts = value_counts(df, columns)
+    counts = cumulative_counts(value_counts(df, columns))
     plan = F.broadcast(bin_plan(counts).withColumnRenamed("n", "rows"))  # one row per column
     place = F.floor((F.col("value") - F.col("low")) / F.col("width"))
     binned = counts.join(plan, "variable").withColumn("bin", F.least(place, F.col("bins") - 1))
@@ -65,7 +66,7 @@ def density_curve(df: DataFrame, columns: Sequence[str], points: int = GRID_POIN
     Every value counts, once per distinct value. Sums per grid point are combined map-side; a
     constant column has no curve.
     """
-    counts = value_counts(df, columns)
+    counts = materialize(value_counts(df, columns), "value-counts")
     n = F.sum("n").cast("double")
     centre = counts.groupBy("variable").agg((F.sum(F.col("n") * F.col("value")) / n).alias("mean"))
     x = F.col("value") - F.col("mean")

@@ -22,6 +22,7 @@ FEATURES = ("total_monto", "total_unidades", "n_transacciones", "descuento_prom"
 RESTARTS = 10
 MAX_ITERATIONS = 300
 SILHOUETTE_SAMPLE = 10_000
+CLIENTS_PER_PARTITION = 50_000
 ELBOW_RANGE = tuple(range(2, 9))
 
 
@@ -62,14 +63,18 @@ def _fit_once(train: DataFrame, k: int, seed: int) -> Segments:
 
 
 def fit_segments(
-    train: DataFrame, ks: Iterable[int], restarts: int = RESTARTS, seed: int = DEFAULT_SEED, parallelism: int = 4
+    train: DataFrame, ks: Iterable[int], restarts: int = RESTARTS, seed: int = DEFAULT_SEED, parallelism: int = 8
 ) -> list[Segments]:
     """For each k the restart with the lowest inertia.
 
     Every fit is a chain of small distributed passes over the same cached rows, so several run
-    at a time.
+    at a time, over no more partitions than the number of clients needs.
     """
-    train = train.select("features").persist()
+    train = train.select("features")
+    needed = max(1, train.count() // CLIENTS_PER_PARTITION)
+    if needed < train.rdd.getNumPartitions():
+        train = train.coalesce(needed)
+    train = train.persist()
     try:
         tasks = [(k, seed + r) for k in ks for r in range(restarts)]
         with ThreadPool(min(parallelism, len(tasks))) as pool:

@@ -4,49 +4,59 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.functions.expressions import half_even, ratio
-from tillmark.operators.quantiles import quantiles
+from tillmark.operators.quantiles import cumulative_counts, quantiles_of_counts, value_counts
 from tillmark.schema import numeric_columns
 
 
-def sample_skewness(column: str) -> Column:
-    """Bias-corrected skewness: 0 for a constant column, null under three values."""
-    n = F.count(column).cast("double")
-    corrected = F.coalesce(F.skewness(column), F.lit(0.0)) * F.sqrt(n * (n - 1)) / F.nullif(n - 2, F.lit(0.0))
-    return F.when(n >= 3, corrected)
+def moments(counts: DataFrame) -> DataFrame:
+    """Count, mean, deviation, extremes, corrected skewness and kurtosis from value counts.
 
-
-def sample_kurtosis(column: str) -> Column:
-    """Bias-corrected excess kurtosis: 0 for a constant column, null under four values."""
-    n = F.count(column).cast("double")
-    corrected = ratio(n - 1, (n - 2) * (n - 3)) * ((n + 1) * F.kurtosis(column) + 6)
-    return F.when(n >= 4, F.coalesce(corrected, F.lit(0.0)))
+    Powers are taken around the mean, so long identifiers keep their digits. A constant column
+    has skewness and kurtosis 0; both are null for too few values.
+    """
+    weight, n = F.col("n").cast("double"), F.col("count").cast("double")
+    means = counts.groupBy("variable").agg((F.sum(weight * F.col("value")) / F.sum("n")).alias("mean"))
+    x = F.col("value") - F.col("mean")
+    sums = (
+        counts.join(F.broadcast(means), "variable")  # one row per column
+        .groupBy("variable", "mean")
+        .agg(
+            F.sum("n").alias("count"),
+            F.min("value").alias("min"),
+            F.max("value").alias("max"),
+            *[F.sum(weight * x**k).alias(f"s{k}") for k in (2, 3, 4)],
+        )
+    )
+    varies = F.col("min") < F.col("max")
+    m2, m3, m4 = (F.col(f"s{k}") / n for k in (2, 3, 4))
+    skewness = ratio(m3, m2 * F.sqrt(m2)) * F.sqrt(n * (n - 1)) / F.nullif(n - 2, F.lit(0.0))
+    kurtosis = ratio(n - 1, (n - 2) * (n - 3)) * ((n + 1) * (ratio(m4, m2 * m2) - 3) + 6)
+    return sums.select(
+        "variable",
+        "count",
+        "mean",
+        F.when(varies, F.sqrt(ratio(F.col("s2"), n - 1))).when(n > 1, 0.0).alias("std"),
+        "min",
+        "max",
+        F.when(n >= 3, F.when(varies, skewness).otherwise(0.0)).alias("skewness"),
+        F.when(n >= 4, F.when(varies, kurtosis).otherwise(0.0)).alias("kurtosis"),
+    )
 
 
 def describe(df: DataFrame, columns: Sequence[str] | None = None, digits: int = 4) -> DataFrame:
-    """Count, mean, deviation, extremes, quartiles, skewness and kurtosis, one row per column."""
+    """Count, mean, deviation, extremes, quartiles, skewness and kurtosis, one row per column.
+
+    Everything follows from one table of value counts. A column without values has no row.
+    """
     columns = list(columns or numeric_columns(df))
-    df = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    parts = [
-        F.struct(
-            F.lit(c).alias("variable"),
-            F.count(c).alias("count"),
-            F.avg(c).alias("mean"),
-            F.stddev_samp(c).alias("std"),
-            F.min(c).alias("min"),
-            F.max(c).alias("max"),
-            sample_skewness(c).alias("skewness"),
-            sample_kurtosis(c).alias("kurtosis"),
-        )
-        for c in columns
-    ]
-    moments = df.agg(F.array(*parts).alias("rows")).select(F.inline("rows"))
-    quarters = quantiles(df, columns, {"p25": 0.25, "p50": 0.5, "p75": 0.75}).drop("n")
+    cumulative = cumulative_counts(value_counts(df, columns))
+    quarters = quantiles_of_counts(cumulative, {"p25": 0.25, "p50": 0.5, "p75": 0.75}).drop("n")
     names = ["mean", "std", "min", "p25", "p50", "p75", "max", "skewness", "kurtosis"]
-    return moments.join(quarters, "variable", "left").select(
+    return moments(cumulative.select("variable", "value", "n")).join(quarters, "variable").select(
         "variable", "count", *[half_even(F.col(c), digits).alias(c) for c in names]
     )
 

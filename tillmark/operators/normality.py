@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tillmark.functions.distributions import ks_p, normal_p, normal_quantile
 from tillmark.functions.expressions import polynomial, ratio
-from tillmark.operators.sampling import DEFAULT_SEED, sample_rows
+from tillmark.operators.sampling import DEFAULT_SEED, row_hash, sample_rows
 
 MAX_SAMPLE = 5000
 
@@ -28,12 +28,9 @@ def sample_values(
     df: DataFrame, columns: Sequence[str], keys: Sequence[Column | str], n: int = MAX_SAMPLE, seed: int = DEFAULT_SEED
 ) -> DataFrame:
     """At most ``n`` non-null values of each column, as ``(variable, value)``."""
-    wide = df.select(
-        F.concat_ws(":", *[F.coalesce((F.col(k) if isinstance(k, str) else k).cast("string"), F.lit("")) for k in keys]).alias("_key"),
-        *[F.col(c).cast("double").alias(c) for c in columns],
-    )
-    long = wide.unpivot(["_key"], list(columns), "variable", "value").where(F.col("value").isNotNull())
-    return sample_rows(long, n, ["_key"], seed, label="variable", labels=columns, ties=["value"]).select("variable", "value")
+    wide = df.select(row_hash(keys, seed).alias("_hash"), *[F.col(c).cast("double").alias(c) for c in columns])
+    long = wide.unpivot(["_hash"], list(columns), "variable", "value").where(F.col("value").isNotNull())
+    return sample_rows(long, n, (), seed, label="variable", labels=columns, ties=["value"]).select("variable", "value")
 
 
 def _shapiro_p(w: Column, n: Column) -> Column:

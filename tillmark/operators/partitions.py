@@ -1,7 +1,7 @@
 """Table functions applied to pieces of a DataFrame.
 
-A function takes a pandas DataFrame and returns one, or None for nothing. It is given Arrow
-batches, so no task holds more than a batch, except where whole keys are asked for.
+A function takes a pandas DataFrame and returns one, or None for nothing. It is given at most
+ROWS_PER_CALL rows or a batch, so no task holds more, except where whole keys are asked for.
 """
 
 from __future__ import annotations
@@ -15,13 +15,27 @@ from pyspark.sql import functions as F
 TableFunction = Callable[..., "pd.DataFrame | None"]
 MERGES = {"sum": F.sum, "min": F.min, "max": F.max}
 MAX_ROWS_PER_KEY = 1_000_000
+ROWS_PER_CALL = 200_000
+
+
+def _gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Join Arrow batches into frames of about ROWS_PER_CALL rows."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += len(batch)
+        if size >= ROWS_PER_CALL:
+            yield pd.concat(held, ignore_index=True)
+            held, size = [], 0
+    if size:
+        yield pd.concat(held, ignore_index=True)
 
 
 def map_partitions(df: DataFrame, func: TableFunction, schema: str, n_partitions: int | None = None, **kwargs) -> DataFrame:
     """Apply ``func`` to arbitrary row ranges."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in _gather(batches):
             result = func(batch, **kwargs)
             if result is not None:
                 yield result
@@ -33,7 +47,7 @@ def map_partitions(df: DataFrame, func: TableFunction, schema: str, n_partitions
 def map_groups(
     df: DataFrame, func: TableFunction, schema: str, by: Sequence[str], merge: Mapping[str, str], **kwargs
 ) -> DataFrame:
-    """Two-phase aggregate by group: ``func`` on the part of a group within a batch, then ``merge``.
+    """Two-phase aggregate by group: ``func`` on the part of a group within a call, then ``merge``.
 
     ``merge`` says how each result column is combined ("sum", "min" or "max"). Sales lines are not
     shuffled, only the partial rows are, so a group of any size is spread over all tasks. Rows
@@ -42,7 +56,7 @@ def map_groups(
     by = list(by)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in _gather(batches):
             parts = []
             for key, piece in batch.groupby(by, sort=False):
                 result = func(piece, **kwargs)
@@ -60,9 +74,7 @@ def _whole_keys(func: TableFunction, key: str, kwargs: dict):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pending: list[pd.DataFrame] = []
-        for batch in batches:
-            if batch.empty:
-                continue
+        for batch in _gather(batches):
             last = batch[key].iloc[-1]
             is_last = batch[key] == last
             closed, still_open = batch[~is_last], batch[is_last]

@@ -3,7 +3,8 @@
 A value that fills a third of the table is one row once its copies are counted, so every
 operator here counts first (map-side combined) and sorts distinct values afterwards. The
 running count over distinct values is cut into value ranges: each range is summed by its own
-task, and a tiny table of range totals carries the counts across ranges.
+task, and a tiny table of range totals carries the counts across ranges. Columns with few
+distinct values, which a check of the count table shows, need no ranges.
 """
 
 from __future__ import annotations
@@ -14,6 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tillmark.session import materialize
+
+VALUES_PER_TASK = 200_000
 VALUES_PER_RANGE = 50_000
 MAX_RANGES = 1024
 
@@ -47,21 +51,33 @@ def value_counts(
 def cumulative_counts(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Add ``cum`` (rows with this value or a smaller one) and ``total`` to a value-count table.
 
+    The counts are written first: the sales lines are then read once however many passes follow,
+    and the number of distinct values per column is known. Up to VALUES_PER_TASK of them are
+    sorted by one task per group, more are cut into ranges.
+    """
+    counts = materialize(counts, "value-counts")
+    found = counts.groupBy("variable").agg(F.count(F.lit(1)).alias("distinct")).collect()  # one row per column
+    distinct = {row["variable"]: row["distinct"] for row in found}
+    per_key = W.partitionBy(*by, "variable")
+    if max(distinct.values(), default=0) <= VALUES_PER_TASK:
+        upto = per_key.orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
+        return counts.withColumns({"cum": F.sum("n").over(upto), "total": F.sum("n").over(per_key)})
+    return _cumulative_by_range(counts, distinct, by)
+
+
+def _cumulative_by_range(counts: DataFrame, distinct: Mapping[str, int], by: Sequence[str]) -> DataFrame:
+    """The same in value ranges.
+
     Range limits are the distinct values whose hash falls under a threshold, a rule that gives
-    the same limits on every evaluation. Both broadcast sides hold one row per counted column,
-    with at most about MAX_RANGES limits.
+    the same limits on every evaluation. The broadcast side holds one row per counted column, of
+    about MAX_RANGES limits at most.
     """
     keys = [*by, "variable"]
-    sizes = counts.groupBy("variable").agg(F.count(F.lit(1)).alias("_distinct"), F.sum("n").alias("_rows"))
-    wanted = F.least(F.lit(MAX_RANGES), F.floor(F.col("_distinct") / VALUES_PER_RANGE))
+    share = F.lit(0.0)
+    for name, n in distinct.items():
+        share = F.when(F.col("variable") == name, min(MAX_RANGES, n // VALUES_PER_RANGE) / n).otherwise(share)
     uniform = F.pmod(F.xxhash64("value"), F.lit(1 << 30)) / float(1 << 30)
-    limits = (
-        counts.join(F.broadcast(sizes), "variable")
-        .where(uniform < wanted / F.col("_distinct"))
-        .groupBy("variable")
-        .agg(F.array_sort(F.collect_set("value")).alias("_limits"), F.sum("n").alias("_seen"))
-        .drop("_seen")
-    )
+    limits = counts.where(uniform < share).groupBy("variable").agg(F.array_sort(F.collect_set("value")).alias("_limits"))
     in_range = F.size(F.filter("_limits", lambda limit: limit < F.col("value")))
     ranged = counts.join(F.broadcast(limits), "variable", "left").withColumn(
         "_range", F.when(F.col("_limits").isNull(), F.lit(0)).otherwise(in_range)

@@ -1,13 +1,16 @@
-"""Linear regression of the amount with its coefficient table, fit measures and diagnostics."""
+"""Linear regression of the amount with its coefficient table, fit measures and diagnostics.
+
+The design is a categorical channel and three numeric columns, so a grouped aggregate with one
+row per channel holds every cross product the fit needs. Only those few rows reach the driver.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import RFormula, RFormulaModel
-from pyspark.ml.regression import LinearRegression, LinearRegressionModel
-from pyspark.sql import Column, DataFrame
+import numpy as np
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -28,52 +31,118 @@ def model_rows(df: DataFrame, keys: Sequence[Column | str], seed: int = DEFAULT_
     return split.select(*dict.fromkeys([*needed, *[k for k in keys if isinstance(k, str)]]), "boleta", "sku", "is_train")
 
 
+@dataclass
+class Design:
+    """Columns of the model: an intercept, a 0/1 column per channel but the first, numeric columns.
+
+    Numeric columns and the label enter sums less their train means, which keeps digits.
+    """
+
+    levels: list[str]
+    numeric: list[str]
+    means: list[float]
+    label_mean: float
+
+    @property
+    def terms(self) -> list[str]:
+        return ["intercept", *[f"canal_{level}" for level in self.levels[1:]], *self.numeric]
+
+    def cross_products(self, train: DataFrame, target: Column) -> tuple[np.ndarray, np.ndarray]:
+        """Products of the design with itself and with ``target``, summed over the train rows."""
+        x = [F.col(name) - mean for name, mean in zip(self.numeric, self.means)]
+        parts = {"n": F.count(F.lit(1)).cast("double"), "y": F.sum(target)}
+        for i, a in enumerate(x):
+            parts[f"x{i}"], parts[f"xy{i}"] = F.sum(a), F.sum(a * target)
+            for j in range(i, len(x)):
+                parts[f"xx{i}_{j}"] = F.sum(a * x[j])
+        rows = train.groupBy("canal").agg(*[c.alias(name) for name, c in parts.items()]).collect()  # one row per level
+        k, p = len(self.levels), len(x)
+        xtx, xty = np.zeros((k + p, k + p)), np.zeros(k + p)
+        for row in rows:
+            dummies = np.zeros(k)
+            dummies[[0, self.levels.index(row["canal"])]] = 1.0
+            xtx[:k, :k] += row["n"] * np.outer(dummies, dummies)
+            xtx[:k, k:] += np.outer(dummies, [row[f"x{i}"] for i in range(p)])
+            xtx[k:, k:] += [[row[f"xx{min(i, j)}_{max(i, j)}"] for j in range(p)] for i in range(p)]
+            xty += np.concatenate([dummies * row["y"], [row[f"xy{i}"] for i in range(p)]])
+        xtx[k:, :k] = xtx[:k, k:].T
+        return xtx, xty
+
+
 @dataclass
 class AmountModel:
-    """Fitted design and coefficients; ``terms`` names the design columns in coefficient order."""
+    """Least-squares fit: coefficients and their covariance in the order of ``design.terms``."""
 
-    design: RFormulaModel
-    linear: LinearRegressionModel
-    terms: list[str]
+    design: Design
+    coefficients: np.ndarray
+    covariance: np.ndarray
+    inverse: np.ndarray
     n_train: int
+    rss: float
+
+    @property
+    def terms(self) -> list[str]:
+        return self.design.terms
+
+    @property
+    def dof(self) -> int:
+        return self.n_train - len(self.terms)
 
     def predict(self, rows: DataFrame) -> DataFrame:
-        """Rows with ``features``, ``fitted`` and ``residual``."""
-        scored = self.linear.transform(self.design.transform(rows))
-        return scored.withColumnRenamed("prediction", "fitted").withColumn("residual", F.col(LABEL) - F.col("fitted"))
+        """Rows with ``fitted`` and ``residual``; a channel unseen in training is an error."""
+        return with_fitted(rows, self.design, self.coefficients)
+
+
+def with_fitted(rows: DataFrame, design: Design, coefficients: np.ndarray) -> DataFrame:
+    values = dict(zip(design.terms, coefficients.tolist()))
+    effect = F.raise_error(F.lit("channel without train rows")).cast("double")
+    for level in design.levels:
+        effect = F.when(F.col("canal") == level, values.get(f"canal_{level}", 0.0)).otherwise(effect)
+    fitted = values["intercept"] + effect
+    for name in design.numeric:
+        fitted = fitted + values[name] * F.col(name)
+    return rows.withColumn("fitted", fitted).withColumn("residual", F.col(LABEL) - F.col("fitted"))
 
 
 def fit_amount_model(rows: DataFrame) -> AmountModel:
-    """Least squares of amount on channel levels, shop, volume and discount, on the train rows.
+    """Least squares of amount on channel, shop, volume and discount, on the train rows.
 
-    The alphabetically first channel is the base level. The normal solver needs one pass.
+    The alphabetically first channel is the base level. Three passes: means, cross products,
+    residual sum of squares. A singular design takes the smallest coefficients.
     """
     train = rows.where("is_train")
-    formula = f"{LABEL} ~ canal + local + {volume_column(rows)} + porcentaje_descuento"
-    design = RFormula(formula=formula, stringIndexerOrderType="alphabetDesc").fit(train)
-    designed = design.transform(train)
-    linear = LinearRegression(featuresCol="features", labelCol="label", solver="normal").fit(designed)
-    attributes = designed.schema["features"].metadata["ml_attr"]["attrs"]
-    named = sorted((a["idx"], a["name"]) for kind in attributes.values() for a in kind)
-    return AmountModel(design, linear, [name for _, name in named], linear.summary.numInstances)
+    numeric = ["local", volume_column(rows), "porcentaje_descuento"]
+    found = train.agg(
+        F.array_sort(F.collect_set("canal")).alias("levels"), *[F.avg(c).alias(c) for c in (*numeric, LABEL)]
+    ).first()
+    design = Design(found["levels"], numeric, [found[c] for c in numeric], found[LABEL])
+    xtx, xty = design.cross_products(train, F.col(LABEL) - design.label_mean)
+    scale = np.sqrt(np.diag(xtx))
+    scale[scale == 0] = 1.0
+    inverse = np.linalg.pinv(xtx / np.outer(scale, scale), hermitian=True) / np.outer(scale, scale)
+    # back from deviations to the columns themselves: only the intercept changes
+    back = np.eye(len(scale))
+    back[0, len(design.levels) :] = -np.array(design.means)
+    coefficients = back @ (inverse @ xty)
+    coefficients[0] += design.label_mean
+    e = F.col("residual")
+    n, rss = with_fitted(train, design, coefficients).agg(F.count(e), F.sum(e * e)).first()
+    covariance = back @ inverse @ back.T * (rss / max(n - len(scale), 1))
+    return AmountModel(design, coefficients, covariance, inverse, n, rss)
 
 
-def coefficient_table(model: AmountModel, spark) -> DataFrame:
+def coefficient_table(model: AmountModel, spark: SparkSession) -> DataFrame:
     """One row per term: coefficient, standard error, t, p and the 95 % interval."""
-    summary = model.linear.summary
-    dof = float(summary.degreesOfFreedom)
-    values = [*model.linear.coefficients.toArray().tolist(), float(model.linear.intercept)]
+    errors = np.sqrt(np.diag(model.covariance))
     rows = [
-        (i, term, float(c), float(se), dof)
-        for i, (term, c, se) in enumerate(zip([*model.terms, "intercept"], values, summary.coefficientStandardErrors))
+        (i, term, float(c), float(error), float(model.dof))
+        for i, (term, c, error) in enumerate(zip(model.terms, model.coefficients, errors))
     ]
     table = spark.createDataFrame(rows, "position int, term string, coefficient double, std_error double, dof double")
-    width = t_critical(F.lit(0.975), F.col("dof")) * F.col("std_error")
-    t = ratio(F.col("coefficient"), F.col("std_error"))
     return (
-        table.withColumn("t", t)
+        table.withColumn("t", ratio(F.col("coefficient"), F.col("std_error")))
         .withColumn("p_value", t_p("t", "dof"))
-        .withColumn("width", width)
+        .withColumn("width", t_critical(F.lit(0.975), F.col("dof")) * F.col("std_error"))
         .select(
             "position",
             "term",
@@ -101,17 +170,21 @@ def fit_measures(model: AmountModel, rows: DataFrame) -> DataFrame:
     )
     n = F.col("n_train").cast("double")
     unexplained = ratio(F.col("rss"), n * F.col("variance"))
-    adjusted = 1 - unexplained * ratio(n - 1, n - 1 - len(model.terms))
+    adjusted = 1 - unexplained * ratio(n - 1, n - len(model.terms))
     return sums.select("n_train", "n_test", adjusted.alias("r_squared_adj"), "rmse_test", "mae_test")
 
 
 def breusch_pagan(model: AmountModel, rows: DataFrame) -> DataFrame:
     """One row: n R2 of the squared residuals on the same design, and its chi-square p."""
-    squared = model.predict(rows.where("is_train")).select("features", (F.col("residual") ** 2).alias("squared"))
-    second = LinearRegression(featuresCol="features", labelCol="squared", solver="normal").fit(squared)
-    statistic = float(model.n_train) * second.summary.r2
-    dof = float(len(model.terms))
-    one = rows.sparkSession.range(1).select(F.lit(statistic).alias("statistic"), F.lit(dof).alias("dof"))
+    train = model.predict(rows.where("is_train"))
+    squared = F.col("residual") ** 2 - model.rss / model.n_train
+    total = train.agg(F.sum(squared * squared)).first()[0]
+    _, xty = model.design.cross_products(train, squared)
+    explained = float(xty @ model.inverse @ xty)
+    statistic = model.n_train * explained / total if total else None
+    one = rows.sparkSession.range(1).select(
+        F.lit(statistic).cast("double").alias("statistic"), F.lit(float(len(model.terms) - 1)).alias("dof")
+    )
     return one.withColumn("p_value", chi2_p("statistic", "dof")).withColumn("homocedastico", F.col("p_value") > 0.05)
 
 

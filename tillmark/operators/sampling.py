@@ -52,26 +52,27 @@ def sample_rows(
 ) -> DataFrame:
     """The ``n`` rows with the lowest hash, or the lowest ``n`` of each of the given ``labels``.
 
-    A count per bit length of the hash (at most 61 numbers per label) shows below which length
-    at least ``n`` rows lie. Only those rows, some ``n`` to ``2n``, are sorted. ``ties`` orders
-    rows with equal keys.
+    A count per length of the hash in digits (at most 15 numbers per label) shows below which
+    length at least ``n`` rows lie. Only those rows, some ``n`` to ``16n``, are sorted. ``ties``
+    orders rows with equal keys. A column ``_hash`` that is there already is used as it is.
     """
-    hashed = df.withColumn("_hash", row_hash(keys, seed)).withColumn("_bits", F.length(F.bin("_hash")))
+    hashed = df if "_hash" in df.columns else df.withColumn("_hash", row_hash(keys, seed))
+    hashed = hashed.withColumn("_digits", F.length(F.hex("_hash")))
     by = [label] if label else []
     if label:
         hashed = hashed.where(F.col(label).isin(list(labels)))
-    running = W.partitionBy(*by).orderBy("_bits").rowsBetween(W.unboundedPreceding, W.currentRow)
-    levels = hashed.groupBy(*by, "_bits").agg(F.count(F.lit(1)).alias("_n"))
+    running = W.partitionBy(*by).orderBy("_digits").rowsBetween(W.unboundedPreceding, W.currentRow)
+    levels = hashed.groupBy(*by, "_digits").agg(F.count(F.lit(1)).alias("_n"))
     reached = levels.withColumn("_enough", F.sum("_n").over(running) >= n)
-    cut = F.coalesce(F.min(F.when(F.col("_enough"), F.col("_bits"))), F.max("_bits")).alias("_cut")
+    cut = F.coalesce(F.min(F.when(F.col("_enough"), F.col("_digits"))), F.max("_digits")).alias("_cut")
     order = ["_hash", *ties]
     if label:
         # one row per entry of labels
-        near = hashed.join(F.broadcast(reached.groupBy(label).agg(cut)), label).where(F.col("_bits") <= F.col("_cut"))
+        near = hashed.join(F.broadcast(reached.groupBy(label).agg(cut)), label).where(F.col("_digits") <= F.col("_cut"))
         ranked = near.withColumn("_place", F.row_number().over(W.partitionBy(label).orderBy(*order)))
-        return ranked.where(F.col("_place") <= n).drop("_hash", "_bits", "_cut", "_place")
-    near = hashed.where(F.col("_bits") <= reached.agg(cut).scalar())
-    return near.orderBy(*order).limit(n).drop("_hash", "_bits")
+        return ranked.where(F.col("_place") <= n).drop("_hash", "_digits", "_cut", "_place")
+    near = hashed.where(F.col("_digits") <= reached.agg(cut).scalar())
+    return near.orderBy(*order).limit(n).drop("_hash", "_digits")
 
 
 def first_rows(df: DataFrame, n: int | None, order_by: Sequence[str] = ()) -> DataFrame:
