@@ -231,11 +231,12 @@ def discount_regression_statistic(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def _model_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return regression.model_rows(prepared(spark, sf_dir), sales_key())
+    build = lambda: materialize(regression.model_rows(prepared(spark, sf_dir), sales_key()), "model-rows")
+    return _once(spark, sf_dir, "model_rows", build)
 
 
 def _model(spark: SparkSession, sf_dir: str) -> regression.AmountModel:
-    return regression.fit_amount_model(_model_rows(spark, sf_dir))
+    return _once(spark, sf_dir, "model", lambda: regression.fit_amount_model(_model_rows(spark, sf_dir)))
 
 
 def ols_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -283,9 +284,13 @@ def standardized_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(scaled.select("codigo_cliente", "is_train", *columns), 5, *columns)
 
 
-def _segments(spark: SparkSession, sf_dir: str) -> clustering.Segments:
+def _fits(spark: SparkSession, sf_dir: str) -> list[clustering.Segments]:
     train = clustering.scaled_clients(_clients(spark, sf_dir)).where("is_train")
-    return _once(spark, sf_dir, "segments", lambda: clustering.fit_segments(train, [4])[0])
+    return _once(spark, sf_dir, "segments", lambda: clustering.fit_segments(train, clustering.ELBOW_RANGE))
+
+
+def _segments(spark: SparkSession, sf_dir: str) -> clustering.Segments:
+    return next(s for s in _fits(spark, sf_dir) if s.k == 4)
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -309,7 +314,7 @@ def silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def elbow_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clustering.elbow_table(clustering.scaled_clients(_clients(spark, sf_dir)).where("is_train"))
+    return clustering.elbow_table(spark, _fits(spark, sf_dir))
 
 
 # charts and partitions -----------------------------------------------------------

@@ -4,25 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.functions.expressions import half_even
 from tillmark.operators.features import standardize
 from tillmark.operators.sampling import DEFAULT_SEED, hash_split, sample_rows
+from tillmark.session import spread
 
 FEATURES = ("total_monto", "total_unidades", "n_transacciones", "descuento_prom")
 RESTARTS = 10
 MAX_ITERATIONS = 300
 SILHOUETTE_SAMPLE = 10_000
-CLIENTS_PER_PARTITION = 50_000
+START_SAMPLE = 10_000
 ELBOW_RANGE = tuple(range(2, 9))
 
 
@@ -42,46 +41,98 @@ def client_features(df: DataFrame) -> DataFrame:
 
 
 def scaled_clients(clients: DataFrame, seed: int = DEFAULT_SEED, ratio_train: float = 0.7) -> DataFrame:
-    """Clients with standardised ``z_`` columns, their vector, and ``is_train``."""
+    """Clients with standardised ``z_`` columns and ``is_train``."""
     renamed = clients.withColumns({f"z_{c}": F.col(c).cast("double") for c in FEATURES})
     scaled = standardize(renamed, [f"z_{c}" for c in FEATURES])
-    assembled = VectorAssembler(inputCols=[f"z_{c}" for c in FEATURES], outputCol="features").transform(scaled)
-    return hash_split(assembled, ["codigo_cliente"], seed, ratio_train)
+    return hash_split(scaled, ["codigo_cliente"], seed, ratio_train)
 
 
 @dataclass
 class Segments:
-    model: KMeansModel
+    """Centres in standardised feature space, and their within-cluster sum of squares on train."""
+
     k: int
+    centres: np.ndarray
     inertia: float
 
 
-def _fit_once(train: DataFrame, k: int, seed: int) -> Segments:
-    estimator = KMeans(k=k, seed=seed, maxIter=MAX_ITERATIONS, featuresCol="features", predictionCol="cluster")
-    model = estimator.fit(train)
-    return Segments(model, k, float(model.summary.trainingCost))
+def _starting_centres(sample: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """Spread-out starts: each next centre is drawn in proportion to its squared distance."""
+    centres = [sample[rng.integers(len(sample))]]
+    nearest = ((sample - centres[0]) ** 2).sum(axis=1)
+    for _ in range(1, k):
+        total = nearest.sum()
+        pick = rng.choice(len(sample), p=nearest / total) if total > 0 else rng.integers(len(sample))
+        centres.append(sample[pick])
+        nearest = np.minimum(nearest, ((sample - centres[-1]) ** 2).sum(axis=1))
+    return np.array(centres)
+
+
+def _cluster_sums(models: dict[int, np.ndarray], columns: Sequence[str]):
+    """Table function: per model and cluster, the row count, feature sums and squared distance."""
+    names = list(columns)
+    stacked = np.concatenate(list(models.values()))
+    lengths = (stacked**2).sum(axis=1)
+    edges = np.cumsum([0, *[len(c) for c in models.values()]])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        totals = np.zeros((len(stacked), len(names) + 2))
+        for batch in batches:
+            x = batch[names].to_numpy(float)
+            squares = (x**2).sum(axis=1)
+            distance = lengths - 2.0 * x @ stacked.T  # less the row's own square, the same for all
+            for start, end in zip(edges[:-1], edges[1:]):
+                nearest = distance[:, start:end].argmin(axis=1)
+                closest = np.maximum(distance[np.arange(len(x)), start + nearest] + squares, 0.0)
+                for column, weights in enumerate([None, *x.T, closest]):
+                    totals[start:end, column] += np.bincount(nearest, weights, minlength=end - start)
+        frame = pd.DataFrame(totals, columns=["n", *names, "cost"])
+        numbers = np.repeat(list(models), np.diff(edges))
+        yield frame.assign(model=numbers, cluster=np.concatenate([np.arange(len(c)) for c in models.values()]))
+
+    return run
 
 
 def fit_segments(
-    train: DataFrame, ks: Iterable[int], restarts: int = RESTARTS, seed: int = DEFAULT_SEED, parallelism: int = 8
+    train: DataFrame, ks: Iterable[int], restarts: int = RESTARTS, seed: int = DEFAULT_SEED, tolerance: float = 1e-4
 ) -> list[Segments]:
-    """For each k the restart with the lowest inertia.
+    """K-means: for each k the restart with the lowest inertia.
 
-    Every fit is a chain of small distributed passes over the same cached rows, so several run
-    at a time, over no more partitions than the number of clients needs.
+    All restarts of all k advance together. One pass over the clients per iteration sums every
+    model's clusters inside the tasks, and only models x clusters rows reach the driver. Starts
+    are drawn from a seeded sample; the passes themselves use every client.
     """
-    train = train.select("features")
-    needed = max(1, train.count() // CLIENTS_PER_PARTITION)
-    if needed < train.rdd.getNumPartitions():
-        train = train.coalesce(needed)
-    train = train.persist()
+    columns = [f"z_{c}" for c in FEATURES]
+    rows = train.select("codigo_cliente", *columns)
+    sample = sample_rows(rows, START_SAMPLE, ["codigo_cliente"], seed).select(*columns).toPandas().to_numpy(float)
+    ks = list(dict.fromkeys(ks))
+    owner = [k for k in ks for _ in range(restarts)]
+    models = {
+        i: _starting_centres(sample, k, np.random.default_rng([seed, k, i % restarts])) for i, k in enumerate(owner)
+    }
+    finished: dict[int, Segments] = {}
+    settled: set[int] = set()
+    rows = spread(rows.select(*columns)).persist()
+    schema = ", ".join(["n double", *[f"{c} double" for c in columns], "cost double", "model int", "cluster int"])
     try:
-        tasks = [(k, seed + r) for k in ks for r in range(restarts)]
-        with ThreadPool(min(parallelism, len(tasks))) as pool:
-            fitted = pool.map(lambda task: _fit_once(train, *task), tasks)
+        for iteration in range(MAX_ITERATIONS + 1):
+            partial = rows.mapInPandas(_cluster_sums(models, columns), schema)
+            sums = partial.groupBy("model", "cluster").agg(*[F.sum(c).alias(c) for c in ("n", *columns, "cost")]).toPandas()
+            for i, table in sums.groupby("model"):
+                if i in settled or iteration == MAX_ITERATIONS:
+                    finished[i] = Segments(owner[i], models.pop(i), float(table["cost"].sum()))
+                    continue
+                table = table.set_index("cluster").sort_index()
+                size = table["n"].to_numpy()[:, None]
+                moved = np.where(size > 0, table[columns].to_numpy() / np.maximum(size, 1), models[i])
+                if ((moved - models[i]) ** 2).sum() <= tolerance:
+                    settled.add(i)
+                models[i] = moved
+            if not models:
+                break
     finally:
-        train.unpersist()
-    return [min((s for s in fitted if s.k == k), key=lambda s: s.inertia) for k in dict.fromkeys(k for k, _ in tasks)]
+        rows.unpersist()
+    return [min((s for s in finished.values() if s.k == k), key=lambda s: s.inertia) for k in ks]
 
 
 def has_enough_clients(clients: DataFrame, k: int) -> bool:
@@ -89,7 +140,13 @@ def has_enough_clients(clients: DataFrame, k: int) -> bool:
 
 
 def assign(segments: Segments, clients: DataFrame) -> DataFrame:
-    return segments.model.transform(clients)
+    """Add ``cluster``, the number of the nearest centre."""
+    squares = []
+    for i, centre in enumerate(segments.centres.tolist()):
+        parts = [(F.col(f"z_{c}") - value) ** 2 for c, value in zip(FEATURES, centre)]
+        squares.append(F.struct(sum(parts[1:], parts[0]).alias("distance"), F.lit(i).alias("cluster")))
+    nearest = F.least(*squares) if len(squares) > 1 else squares[0]
+    return clients.withColumn("cluster", nearest["cluster"])
 
 
 def cluster_sizes(labelled: DataFrame) -> DataFrame:
@@ -101,9 +158,9 @@ def cluster_profile(labelled: DataFrame, columns: Sequence[str] = FEATURES) -> D
     return labelled.groupBy("cluster").agg(*[half_even(F.avg(c), 1).alias(c) for c in columns])
 
 
-def elbow_table(train: DataFrame, ks: Iterable[int] = ELBOW_RANGE, restarts: int = RESTARTS, seed: int = DEFAULT_SEED) -> DataFrame:
-    fits = fit_segments(train, ks, restarts, seed)
-    return train.sparkSession.createDataFrame([(s.k, s.inertia) for s in fits], "k int, inertia double")
+def elbow_table(spark: SparkSession, fits: Sequence[Segments]) -> DataFrame:
+    """Inertia per k."""
+    return spark.createDataFrame([(s.k, s.inertia) for s in fits], "k int, inertia double")
 
 
 def silhouette_points(labelled: DataFrame, columns: Sequence[str], keys: Sequence[str], n: int = SILHOUETTE_SAMPLE, seed: int = DEFAULT_SEED) -> DataFrame:
@@ -151,6 +208,7 @@ def silhouette(labelled: DataFrame, columns: Sequence[str], keys: Sequence[str],
     return points.agg(F.count(F.lit(1)).alias("n_sample"), F.avg("silhouette").alias("silhouette"))
 
 
-def full_silhouette(labelled: DataFrame) -> float:
+def full_silhouette(labelled: DataFrame, columns: Sequence[str]) -> float:
     """Squared-Euclidean silhouette of all clients, in time linear in their number."""
-    return ClusteringEvaluator(featuresCol="features", predictionCol="cluster").evaluate(labelled)
+    vectors = VectorAssembler(inputCols=list(columns), outputCol="features").transform(labelled)
+    return ClusteringEvaluator(featuresCol="features", predictionCol="cluster").evaluate(vectors)

@@ -69,7 +69,7 @@ def explore(prepared: DataFrame, seed: int = DEFAULT_SEED) -> Results:
 
 def infer(prepared: DataFrame, seed: int = DEFAULT_SEED, n_clusters: int = 4, restarts: int = clustering.RESTARTS) -> Results:
     spark = prepared.sparkSession
-    rows = regression.model_rows(prepared, sales_key(), seed)
+    rows = materialize(regression.model_rows(prepared, sales_key(), seed), "model-rows")
     model = regression.fit_amount_model(rows)
     vif_columns = ["local", hypothesis.volume_column(prepared), "porcentaje_descuento"]
     results: Results = {
@@ -86,8 +86,9 @@ def infer(prepared: DataFrame, seed: int = DEFAULT_SEED, n_clusters: int = 4, re
         return {**results, "clustering": (message, ())}
     scaled = clustering.scaled_clients(clients, seed)
     train = scaled.where("is_train")
-    segments = clustering.fit_segments(train, [n_clusters], restarts, seed)[0]
-    labelled = materialize(clustering.assign(segments, scaled).drop("features"), "segments")
+    fits = clustering.fit_segments(train, [*clustering.ELBOW_RANGE, n_clusters], restarts, seed)
+    segments = next(s for s in fits if s.k == n_clusters)
+    labelled = materialize(clustering.assign(segments, scaled), "segments")
     scaled_columns = [f"z_{c}" for c in clustering.FEATURES]
     inertia = spark.range(1).select(F.lit(segments.k).alias("k"), F.lit(segments.inertia).alias("inertia"))
     return {
@@ -96,7 +97,7 @@ def infer(prepared: DataFrame, seed: int = DEFAULT_SEED, n_clusters: int = 4, re
         "cluster_sizes": (clustering.cluster_sizes(labelled), ("cluster",)),
         "cluster_profile": (clustering.cluster_profile(labelled), ("cluster",)),
         "silhouette": (clustering.silhouette(labelled, scaled_columns, ["codigo_cliente"], seed=seed), ()),
-        "elbow": (clustering.elbow_table(train, restarts=restarts, seed=seed), ("k",)),
+        "elbow": (clustering.elbow_table(spark, [s for s in fits if s.k in clustering.ELBOW_RANGE]), ("k",)),
     }
 
 
