@@ -12,22 +12,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.functions.expressions import ratio
-from tillmark.operators.quantiles import cumulative_counts, quantiles_of_counts, value_counts
-from tillmark.session import materialize
+from tillmark.operators.quantiles import count_table, quantiles_of_counts
 
 GRID_POINTS = 200
 WHISKER = 1.5
 
 
-def bin_plan(cumulative: DataFrame) -> DataFrame:
-    """One row per variable of a cumulative count table: n, extremes, number of bins and width.
+def bin_plan(counts: DataFrame) -> DataFrame:
+    """One row per variable of a written count table: n, extremes, number of bins and width.
 
     The width is Sturges' or, if smaller, Freedman-Diaconis' (held to at most 2 sqrt(n) bins).
     """
-    extremes = cumulative.groupBy("variable").agg(
+    extremes = counts.groupBy("variable").agg(
         F.min("value").alias("low"), F.max("value").alias("high"), F.sum("n").alias("n")
     )
-    quarters = quantiles_of_counts(cumulative, {"q1": 0.25, "q3": 0.75}).drop("n")
+    quarters = quantiles_of_counts(counts, {"q1": 0.25, "q3": 0.75}).drop("n")
     spread, n = F.col("high") - F.col("low"), F.col("n").cast("double")
     diaconis = F.greatest(2.0 * (F.col("q3") - F.col("q1")) / F.pow(n, F.lit(1 / 3)), spread / F.sqrt(n) / 2.0)
     width = F.least(diaconis, spread / (F.log2(n) + 1.0))
@@ -36,8 +35,7 @@ def bin_plan(cumulative: DataFrame) -> DataFrame:
     return (
         extremes.join(quarters, "variable")
         .withColumn("bins", bins)
-        .withColumn("low", F.col("low") - margin)
-        .withColumn("high", F.col("high") + margin)
+        .withColumns({"low": F.col("low") - margin, "high": F.col("high") + margin})
         .withColumn("width", (F.col("high") - F.col("low")) / F.col("bins"))
         .select("variable", "n", "low", "high", "bins", "width")
     )
@@ -45,7 +43,7 @@ def bin_plan(cumulative: DataFrame) -> DataFrame:
 
 def histogram(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(variable, bin, left, right, n_rows, density)`` for bins that hold values."""
-    counts = cumulative_counts(value_counts(df, columns))
+    counts = count_table(df, columns)
     plan = F.broadcast(bin_plan(counts).withColumnRenamed("n", "rows"))  # one row per column
     place = F.floor((F.col("value") - F.col("low")) / F.col("width"))
     binned = counts.join(plan, "variable").withColumn("bin", F.least(place, F.col("bins") - 1))
@@ -66,7 +64,7 @@ def density_curve(df: DataFrame, columns: Sequence[str], points: int = GRID_POIN
     Every value counts, once per distinct value. Sums per grid point are combined map-side; a
     constant column has no curve.
     """
-    counts = materialize(value_counts(df, columns), "value-counts")
+    counts = count_table(df, columns)
     n = F.sum("n").cast("double")
     centre = counts.groupBy("variable").agg((F.sum(F.col("n") * F.col("value")) / n).alias("mean"))
     x = F.col("value") - F.col("mean")
@@ -96,8 +94,8 @@ def density_curve(df: DataFrame, columns: Sequence[str], points: int = GRID_POIN
 
 def box_statistics(df: DataFrame, value: str, group: str) -> DataFrame:
     """Quartiles, whiskers and outlier count of ``value`` per ``group``."""
-    ranked = cumulative_counts(value_counts(df, [value], by=[group]), by=[group])
-    quarters = quantiles_of_counts(ranked, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by=[group])
+    counts = count_table(df, [value], by=[group])
+    quarters = quantiles_of_counts(counts, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by=[group])
     reach = WHISKER * (F.col("q3") - F.col("q1"))
     fenced = quarters.select(
         group, F.col("n").alias("rows"), "q1", "median", "q3", (F.col("q1") - reach).alias("low"), (F.col("q3") + reach).alias("high")
@@ -105,7 +103,7 @@ def box_statistics(df: DataFrame, value: str, group: str) -> DataFrame:
     x = F.col("value")
     inside = (x >= F.col("low")) & (x <= F.col("high"))
     return (
-        ranked.select(group, "value", "n")
+        counts.select(group, "value", "n")
         .join(fenced, group)
         .groupBy(group, "rows", "q1", "median", "q3")
         .agg(

@@ -15,13 +15,13 @@ from pyspark.sql import functions as F
 from tillmark.functions.expressions import half_even
 from tillmark.operators.features import standardize
 from tillmark.operators.sampling import DEFAULT_SEED, hash_split, sample_rows
-from tillmark.session import spread
 
 FEATURES = ("total_monto", "total_unidades", "n_transacciones", "descuento_prom")
 RESTARTS = 10
 MAX_ITERATIONS = 300
 SILHOUETTE_SAMPLE = 10_000
 START_SAMPLE = 10_000
+CLIENTS_PER_TASK = 20_000
 ELBOW_RANGE = tuple(range(2, 9))
 
 
@@ -102,6 +102,7 @@ def fit_segments(
     model's clusters inside the tasks, and only models x clusters rows reach the driver. Starts
     are drawn from a seeded sample; the passes themselves use every client.
     """
+    spark = train.sparkSession
     columns = [f"z_{c}" for c in FEATURES]
     rows = train.select("codigo_cliente", *columns)
     sample = sample_rows(rows, START_SAMPLE, ["codigo_cliente"], seed).select(*columns).toPandas().to_numpy(float)
@@ -112,7 +113,11 @@ def fit_segments(
     }
     finished: dict[int, Segments] = {}
     settled: set[int] = set()
-    rows = spread(rows.select(*columns)).persist()
+    wanted = max(1, rows.count() // CLIENTS_PER_TASK)
+    rows = rows.select(*columns)
+    if wanted < spark.sparkContext.defaultParallelism:
+        rows = rows.repartition(wanted)
+    rows = rows.persist()
     schema = ", ".join(["n double", *[f"{c} double" for c in columns], "cost double", "model int", "cluster int"])
     try:
         for iteration in range(MAX_ITERATIONS + 1):

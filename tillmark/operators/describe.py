@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.functions.expressions import half_even, ratio
-from tillmark.operators.quantiles import cumulative_counts, quantiles_of_counts, value_counts
+from tillmark.operators.quantiles import count_table, quantiles_of_counts
 from tillmark.schema import numeric_columns
 
 
@@ -53,10 +53,10 @@ def describe(df: DataFrame, columns: Sequence[str] | None = None, digits: int =
     Everything follows from one table of value counts. A column without values has no row.
     """
     columns = list(columns or numeric_columns(df))
-    cumulative = cumulative_counts(value_counts(df, columns))
-    quarters = quantiles_of_counts(cumulative, {"p25": 0.25, "p50": 0.5, "p75": 0.75}).drop("n")
+    counts = count_table(df, columns)
+    quarters = quantiles_of_counts(counts, {"p25": 0.25, "p50": 0.5, "p75": 0.75}).drop("n")
     names = ["mean", "std", "min", "p25", "p50", "p75", "max", "skewness", "kurtosis"]
-    return moments(cumulative.select("variable", "value", "n")).join(quarters, "variable").select(
+    return moments(counts).join(quarters, "variable").select(
         "variable", "count", *[half_even(F.col(c), digits).alias(c) for c in names]
     )
 

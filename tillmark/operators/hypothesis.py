@@ -12,7 +12,7 @@ from tillmark.functions.expressions import ratio
 from tillmark.operators.correlation import pearson, r_to_t
 from tillmark.operators.describe import contingency
 from tillmark.operators.normality import MAX_SAMPLE, assess_normality
-from tillmark.operators.quantiles import cumulative_counts, value_counts
+from tillmark.operators.quantiles import count_table, cumulative_counts
 from tillmark.operators.sampling import DEFAULT_SEED, sample_rows
 
 LEVEL = 0.05
@@ -151,8 +151,7 @@ def welch_t(groups: DataFrame, value: str) -> DataFrame:
 def mann_whitney_statistic(groups: DataFrame, value: str) -> DataFrame:
     """One row: sizes, U of group a, and the tie sum, from counts per distinct value."""
     in_a = (F.col("grp") == "a").cast("bigint")
-    counts = value_counts(groups, [value], extra={"in_a": in_a})
-    ranked = cumulative_counts(counts)
+    ranked = cumulative_counts(count_table(groups, [value], extra={"in_a": in_a}))
     n, a = F.col("n").cast("double"), F.col("in_a").cast("double")
     sums = ranked.agg(
         F.coalesce(F.sum("in_a"), F.lit(0)).alias("n_a"),

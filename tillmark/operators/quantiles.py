@@ -48,25 +48,37 @@ def value_counts(
     return long.groupBy(*by, "variable", "value").agg(*sums)
 
 
+def count_table(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), **kwargs) -> DataFrame:
+    """:func:`value_counts`, written once: the rows are then read once however many passes follow."""
+    return materialize(value_counts(df, columns, by, **kwargs), "value-counts")
+
+
+def _distinct_values(counts: DataFrame) -> dict[str, int]:
+    found = counts.groupBy("variable").agg(F.count(F.lit(1)).alias("distinct")).collect()  # one row per column
+    return {row["variable"]: row["distinct"] for row in found}
+
+
+def _running(keys: Sequence[str]) -> Column:
+    upto = W.partitionBy(*keys).orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
+    return F.sum("n").over(upto)
+
+
 def cumulative_counts(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Add ``cum`` (rows with this value or a smaller one) and ``total`` to a value-count table.
+    """Add ``cum`` (rows with this value or a smaller one) and ``total`` to a written count table.
 
-    The counts are written first: the sales lines are then read once however many passes follow,
-    and the number of distinct values per column is known. Up to VALUES_PER_TASK of them are
-    sorted by one task per group, more are cut into ranges.
+    Up to VALUES_PER_TASK distinct values of a column are sorted by one task per group, more are
+    cut into ranges.
     """
-    counts = materialize(counts, "value-counts")
-    found = counts.groupBy("variable").agg(F.count(F.lit(1)).alias("distinct")).collect()  # one row per column
-    distinct = {row["variable"]: row["distinct"] for row in found}
-    per_key = W.partitionBy(*by, "variable")
+    keys = [*by, "variable"]
+    distinct = _distinct_values(counts)
     if max(distinct.values(), default=0) <= VALUES_PER_TASK:
-        upto = per_key.orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
-        return counts.withColumns({"cum": F.sum("n").over(upto), "total": F.sum("n").over(per_key)})
-    return _cumulative_by_range(counts, distinct, by)
+        return counts.withColumns({"cum": _running(keys), "total": F.sum("n").over(W.partitionBy(*keys))})
+    ranged, offsets = _value_ranges(counts, distinct, by)
+    return _within_ranges(ranged, offsets, by)
 
 
-def _cumulative_by_range(counts: DataFrame, distinct: Mapping[str, int], by: Sequence[str]) -> DataFrame:
-    """The same in value ranges.
+def _value_ranges(counts: DataFrame, distinct: Mapping[str, int], by: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The counts with their value range, and per group and range the rows before and inside it.
 
     Range limits are the distinct values whose hash falls under a threshold, a rule that gives
     the same limits on every evaluation. The broadcast side holds one row per counted column, of
@@ -79,27 +91,36 @@ def _cumulative_by_range(counts: DataFrame, distinct: Mapping[str, int], by: Seq
     uniform = F.pmod(F.xxhash64("value"), F.lit(1 << 30)) / float(1 << 30)
     limits = counts.where(uniform < share).groupBy("variable").agg(F.array_sort(F.collect_set("value")).alias("_limits"))
     in_range = F.size(F.filter("_limits", lambda limit: limit < F.col("value")))
-    ranged = counts.join(F.broadcast(limits), "variable", "left").withColumn(
-        "_range", F.when(F.col("_limits").isNull(), F.lit(0)).otherwise(in_range)
-    ).drop("_limits")
-
+    ranged = (
+        counts.join(F.broadcast(limits), "variable", "left")
+        .withColumn("_range", F.coalesce(in_range, F.lit(0)))
+        .drop("_limits")
+    )
     per_key = W.partitionBy(*keys)
     earlier = per_key.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
     offsets = (
         ranged.groupBy(*keys, "_range")
-        .agg(F.sum("n").alias("_in_range"))
+        .agg(F.sum("n").alias("_inside"))
         .select(
             *keys,
             "_range",
-            F.coalesce(F.sum("_in_range").over(earlier), F.lit(0)).alias("_before"),
-            F.sum("_in_range").over(per_key).alias("total"),
+            "_inside",
+            F.coalesce(F.sum("_inside").over(earlier), F.lit(0)).alias("_before"),
+            F.sum("_inside").over(per_key).alias("total"),
         )
     )
-    within = W.partitionBy(*keys, "_range").orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
+    return ranged, offsets
+
+
+def _within_ranges(ranged: DataFrame, offsets: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Running counts inside the ranges listed in ``offsets``, shifted by the rows before them."""
+    keys = [*by, "variable", "_range"]
+    if not by:
+        offsets = F.broadcast(offsets)  # columns x ranges
     return (
-        ranged.join(offsets, [*keys, "_range"])
-        .withColumn("cum", F.col("_before") + F.sum("n").over(within))
-        .drop("_range", "_before")
+        ranged.join(offsets, keys)
+        .withColumn("cum", F.col("_before") + _running(keys))
+        .drop("_range", "_before", "_inside")
     )
 
 
@@ -110,32 +131,50 @@ def mid_rank() -> Column:
 
 def average_ranks(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), weight: str | None = None) -> DataFrame:
     """Average rank of each distinct value: ``(by..., variable, value, n, rank)``."""
-    ranked = cumulative_counts(value_counts(df, columns, by, weight), by)
+    ranked = cumulative_counts(count_table(df, columns, by, weight=weight), by)
     return ranked.select(*by, "variable", "value", "n", mid_rank().alias("rank"))
 
 
-def quantiles_of_counts(cumulative: DataFrame, probabilities: Mapping[str, float], by: Sequence[str] = ()) -> DataFrame:
-    """Linearly interpolated quantiles, one column per entry of ``probabilities``."""
+def _quantile_place(p: float) -> tuple[Column, Column, Column]:
+    """Positions of the two values around a quantile, counted from 1, and the part between them."""
+    position = F.lit(float(p)) * (F.col("total") - 1)
+    return F.floor(position) + 1, F.ceil(position) + 1, position - F.floor(position)
+
+
+def quantiles_of_counts(counts: DataFrame, probabilities: Mapping[str, float], by: Sequence[str] = ()) -> DataFrame:
+    """Linearly interpolated quantiles of a written count table, one column per probability.
+
+    With value ranges, only those that hold a wanted position are sorted.
+    """
+    distinct = _distinct_values(counts)
+    if max(distinct.values(), default=0) <= VALUES_PER_TASK:
+        cumulative = cumulative_counts(counts, by)
+    else:
+        ranged, offsets = _value_ranges(counts, distinct, by)
+        wanted = F.lit(False)
+        for p in probabilities.values():
+            for place in _quantile_place(p)[:2]:
+                wanted = wanted | ((place > F.col("_before")) & (place <= F.col("_before") + F.col("_inside")))
+        cumulative = _within_ranges(ranged, offsets.where(wanted), by)
     picks, finals = [], []
     for name, p in probabilities.items():
-        position = F.lit(float(p)) * (F.col("total") - 1)
-        low, high = F.floor(position) + 1, F.ceil(position) + 1
+        low, high, part = _quantile_place(p)
         picks += [
             F.min(F.when(F.col("cum") >= low, F.col("value"))).alias(f"_{name}_low"),
             F.min(F.when(F.col("cum") >= high, F.col("value"))).alias(f"_{name}_high"),
-            F.max(position - F.floor(position)).alias(f"_{name}_part"),
+            F.max(part).alias(f"_{name}_part"),
         ]
-        finals.append(
-            (F.col(f"_{name}_low") + (F.col(f"_{name}_high") - F.col(f"_{name}_low")) * F.col(f"_{name}_part")).alias(name)
-        )
-    return cumulative.groupBy(*by, "variable").agg(F.max("total").alias("n"), *picks).select(*by, "variable", "n", *finals)
+        between = F.col(f"_{name}_high") - F.col(f"_{name}_low")
+        finals.append((F.col(f"_{name}_low") + between * F.col(f"_{name}_part")).alias(name))
+    picked = cumulative.groupBy(*by, "variable").agg(F.max("total").alias("n"), *picks)
+    return picked.select(*by, "variable", "n", *finals)
 
 
 def quantiles(
     df: DataFrame, columns: Sequence[str], probabilities: Mapping[str, float], by: Sequence[str] = ()
 ) -> DataFrame:
     """Exact quantiles per column (and per ``by`` group): ``(by..., variable, n, <names>)``."""
-    return quantiles_of_counts(cumulative_counts(value_counts(df, columns, by), by), probabilities, by)
+    return quantiles_of_counts(count_table(df, columns, by), probabilities, by)
 
 
 def approximate_quantiles(
