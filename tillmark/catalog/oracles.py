@@ -52,7 +52,8 @@ feat as (
     case when age0 < 0 or age0 > 100 then (select median_age from age_fill) else age0 end as edad,
     count(distinct boleta) over (partition by codigo_cliente) as frecuencia_compra,
     count(*) over (partition by boleta) as items_por_boleta,
-    hour(fecha) as hora, isodow(fecha) - 1 as dia_semana, month(fecha) as mes, year(fecha) as anio,
+    cast(hour(fecha) as integer) as hora, cast(isodow(fecha) - 1 as integer) as dia_semana,
+    cast(month(fecha) as integer) as mes, cast(year(fecha) as integer) as anio,
     isodow(fecha) >= 6 as es_fin_de_semana
   from aged
 )"""
@@ -135,8 +136,8 @@ def _describe() -> str:
 
 def _outliers(column: str) -> str:
     return f"""
-select '{column}' as "column", count_if(i) as n_iqr_outliers, round_even(count_if(i) * 100.0::double / count(*), 2) as pct_iqr_outliers,
-  count_if(z) as n_zscore_outliers, round_even(count_if(z) * 100.0::double / count(*), 2) as pct_zscore_outliers
+select '{column}' as "column", count(*) filter (where i) as n_iqr_outliers, round_even(count(*) filter (where i) * 100.0::double / count(*), 2) as pct_iqr_outliers,
+  count(*) filter (where z) as n_zscore_outliers, round_even(count(*) filter (where z) * 100.0::double / count(*), 2) as pct_zscore_outliers
 from (select {column} < q1 - 1.5 * (q3 - q1) or {column} > q3 + 1.5 * (q3 - q1) as i,
         coalesce(abs(({column} - m) / nullif(s, 0)) > 3, false) as z
       from feat, (select quantile_cont({column}, 0.25) as q1, quantile_cont({column}, 0.75) as q3,
@@ -192,14 +193,14 @@ TWO_DAYKINDS = "two as (select monto_aplicado as v, es_fin_de_semana as is_a fro
 WELCH = """
 select n_a, n_b, round(m_a, 6) as mean_a, round(m_b, 6) as mean_b, round((m_a - m_b) / sqrt(ea + eb), 6) as statistic,
   round((ea + eb) * (ea + eb) / (ea * ea / (n_a - 1) + eb * eb / (n_b - 1)), 6) as dof
-from (select count_if(is_a) as n_a, count_if(not is_a) as n_b, avg(v) filter (where is_a) as m_a, avg(v) filter (where not is_a) as m_b,
-  var_samp(v) filter (where is_a) / count_if(is_a) as ea, var_samp(v) filter (where not is_a) / count_if(not is_a) as eb from two)"""
+from (select count(*) filter (where is_a) as n_a, count(*) filter (where not is_a) as n_b, avg(v) filter (where is_a) as m_a, avg(v) filter (where not is_a) as m_b,
+  var_samp(v) filter (where is_a) / count(*) filter (where is_a) as ea, var_samp(v) filter (where not is_a) / count(*) filter (where not is_a) as eb from two)"""
 
 RANK_SUM = """
 select cast(sum(a) as bigint) as n_a, cast(sum(t - a) as bigint) as n_b,
   sum(a * (c - (t - 1) / 2.0::double)) - sum(a) * (sum(a) + 1.0::double) / 2.0::double as statistic,
   sum(t::double * t * t - t) as ties
-from (select v, count_if(is_a)::double as a, count(*)::double as t, sum(count(*)) over (order by v)::double as c from two group by v)"""
+from (select v, count(*) filter (where is_a)::double as a, count(*)::double as t, sum(count(*)) over (order by v)::double as c from two group by v)"""
 
 
 def _anova(group: str) -> str:
@@ -329,7 +330,7 @@ def _box(group: str, value: str) -> str:
 select {group}, count(*) as n_rows, round(q1, 4) as q1, round(m, 4) as median, round(q3, 4) as q3,
   round(least(min({value}) filter (where {value} >= q1 - 1.5 * (q3 - q1)), q1), 4) as whisker_low,
   round(greatest(max({value}) filter (where {value} <= q3 + 1.5 * (q3 - q1)), q3), 4) as whisker_high,
-  count_if({value} < q1 - 1.5 * (q3 - q1) or {value} > q3 + 1.5 * (q3 - q1)) as n_outliers
+  count(*) filter (where {value} < q1 - 1.5 * (q3 - q1) or {value} > q3 + 1.5 * (q3 - q1)) as n_outliers
 from feat join (select {group} as grp, quantile_cont({value}, 0.25) as q1, quantile_cont({value}, 0.5) as m, quantile_cont({value}, 0.75) as q3
   from feat group by {group}) b on {group} = b.grp group by {group}, q1, m, q3"""
 
@@ -424,7 +425,7 @@ from feat, (select quantile_cont(monto_aplicado, 0.25) as q1, quantile_cont(mont
         ),
         "channel_by_shop": on_feat("select canal, local, count(*) as n_rows from feat where canal is not null and local is not null group by 1, 2"),
         "channel_by_shop_wide": on_feat(
-            "select local, " + ", ".join(f"count_if(canal = '{c}') as \"{c}\"" for c in ("APP", "CCT", "POS", "WEB"))
+            "select local, " + ", ".join(f"count(*) filter (where canal = '{c}') as \"{c}\"" for c in ("APP", "CCT", "POS", "WEB"))
             + " from feat where local is not null and canal is not null group by local"
         ),
         "client_features": on_feat(
@@ -508,9 +509,9 @@ from (select count(*) as n, regr_slope(items_por_boleta, porcentaje_descuento) a
         "ols_coefficients": on_model(_coefficients()),
         "ols_fit": on_model(
             f"""
-select (select n from means) as n_train, count_if(not is_train) as n_test,
-  round(1 - (sum(e * e) filter (where is_train) / (count_if(is_train) * var_pop(y) filter (where is_train)))
-    * ((count_if(is_train) - 1) / (count_if(is_train) - 7)::double), 8) as r_squared_adj,
+select (select n from means) as n_train, count(*) filter (where not is_train) as n_test,
+  round(1 - (sum(e * e) filter (where is_train) / (count(*) filter (where is_train) * var_pop(y) filter (where is_train)))
+    * ((count(*) filter (where is_train) - 1) / (count(*) filter (where is_train) - 7)::double), 8) as r_squared_adj,
   round(sqrt(avg(e * e) filter (where not is_train)), 4) as rmse_test, round(avg(abs(e)) filter (where not is_train), 4) as mae_test
 from (select s.y, is_train, s.y - ({FITTED}) as e from split s, beta)"""
         ),
