@@ -336,7 +336,7 @@ from feat join (select {group} as grp, quantile_cont({value}, 0.25) as q1, quant
 
 
 SHOPS = """
-select local, cast(grouping(local) as integer) as is_total, count(*) as n_rows, round(sum(monto_aplicado), 2) as sum_monto
+select local, cast(grouping(local) as integer) as is_total, count(*) as n_rows, round(fsum(monto_aplicado), 4) as sum_monto
 from feat where local is not null group by rollup(local)"""
 
 MARKS = {"p01": 0.01, "p10": 0.10, "p50": 0.50, "p90": 0.90, "p99": 0.99}
@@ -355,7 +355,7 @@ def registry() -> dict[str, str]:
             "select boleta, sku, local, round(monto_aplicado, 4) as monto_aplicado, unidades from "
             "(select * from raw order by boleta, sku, local, monto_aplicado, unidades limit 1000)"
         ),
-        "union_of_pieces": on_raw("select canal, count(*) as n_rows, round(sum(monto_aplicado), 2) as monto from raw group by canal"),
+        "union_of_pieces": on_raw("select canal, count(*) as n_rows, round(fsum(monto_aplicado), 4) as monto from raw group by canal"),
         "run_header": on_raw(f"select count(*) as n_rows, {SEED} as seed from raw"),
         "missing_before": on_raw(_missing("raw", TYPES_BEFORE)),
         "missing_after": on_feat(_missing("feat", TYPES_BEFORE)),
@@ -397,7 +397,7 @@ from feat, (select quantile_cont(monto_aplicado, 0.25) as q1, quantile_cont(mont
         "outlier_summary_monto": on_feat(_outliers("monto_aplicado")),
         "outlier_summary_unidades": on_feat(_outliers("unidades")),
         "shop_totals": on_feat(SHOPS),
-        "channel_maps_merged": on_feat("select canal as key, round(sum(monto_aplicado), 2) as total from feat where local is not null group by canal"),
+        "channel_maps_merged": on_feat("select canal as key, round(fsum(monto_aplicado), 4) as total from feat where local is not null group by canal"),
         "standardized_sales": on_feat(
             "select boleta, sku, local, " + ", ".join(f"{z(c)} as {c}_z" for c in ("monto_aplicado", "edad", "unidades")) + " from feat"
         ),
@@ -415,7 +415,7 @@ from feat, (select quantile_cont(monto_aplicado, 0.25) as q1, quantile_cont(mont
             "from feat where canal is not null group by canal"
         ),
         "hourly_sales": on_feat(
-            "select cast(h as integer) as hora, round(coalesce(sum(monto_aplicado), 0.0), 2) as monto "
+            "select cast(h as integer) as hora, round(coalesce(fsum(monto_aplicado), 0.0), 4) as monto "
             "from (select unnest(range(0, 24)) as h) left join feat on hora = h group by h"
         ),
         "peak_hours": on_feat(
@@ -481,7 +481,7 @@ levels as (select phase, a - (select avg(a) from phases) as seasonal from phases
             f"(select * from feat order by {sample_order} limit 5000)"
         ),
         "split_lines": on_feat(
-            f"select {HASH} % 10000 < 7000 as is_train, local, count(*) as n_rows, round(sum(monto_aplicado), 2) as monto from feat group by 1, 2"
+            f"select {HASH} % 10000 < 7000 as is_train, local, count(*) as n_rows, round(fsum(monto_aplicado), 4) as monto from feat group by 1, 2"
         ),
         "chi_square_statistic": on_feat(
             "select cast(max(n) as bigint) as n, round(max(n) * (sum(cast(o as double) * o / (cast(r as double) * k)) - 1), 6) as chi2, "
@@ -537,9 +537,9 @@ from (select count(*) as n, avg(y * y * y) / pow(avg(y * y), 1.5) as s, avg(y *
         "density_curve": on_feat(KDE, LONG_CHART, KDE_GRID),
         "box_by_channel": on_feat(_box("canal", "monto_aplicado")),
         "box_by_gender": on_feat(_box("genero", "edad")),
-        "range_partials": on_feat("select count(*) as n_rows, round(sum(monto_aplicado), 2) as sum_monto from feat"),
-        "shop_totals_by_chunks": on_feat("select local, count(*) as n_rows, round(sum(monto_aplicado), 2) as sum_monto from feat group by local"),
+        "range_partials": on_feat("select count(*) as n_rows, round(fsum(monto_aplicado), 4) as sum_monto from feat"),
+        "shop_totals_by_chunks": on_feat("select local, count(*) as n_rows, round(fsum(monto_aplicado), 4) as sum_monto from feat group by local"),
         "client_totals_by_key": on_feat(
-            "select codigo_cliente, count(*) as n_rows, round(sum(monto_aplicado), 4) as sum_monto from feat group by codigo_cliente"
+            "select codigo_cliente, count(*) as n_rows, round(fsum(monto_aplicado), 4) as sum_monto from feat group by codigo_cliente"
         ),
     }

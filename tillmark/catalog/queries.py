@@ -72,7 +72,7 @@ def sales_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def union_of_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = sales_lines(spark, sf_dir)
     whole = csv.union_all([lines.where(F.col("canal") == c) for c in CHANNELS])
-    return rounded(whole.groupBy("canal").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(AMOUNT).alias("monto")), 2, "monto")
+    return rounded(whole.groupBy("canal").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(AMOUNT).alias("monto")), 4, "monto")
 
 
 def run_header(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,12 +103,12 @@ def outlier_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shop_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(describe.shop_totals(prepared(spark, sf_dir)), 2, "sum_monto")
+    return rounded(describe.shop_totals(prepared(spark, sf_dir)), 4, "sum_monto")
 
 
 def channel_maps_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = describe.partial_maps(prepared(spark, sf_dir), "local", "canal", AMOUNT)
-    return rounded(describe.merge_partial_maps(parts, "parts"), 2, "total")
+    return rounded(describe.merge_partial_maps(parts, "parts"), 4, "total")
 
 
 def standardized_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,7 +126,7 @@ def describe_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hourly_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(describe.hourly_sales(prepared(spark, sf_dir)), 2, "monto")
+    return rounded(describe.hourly_sales(prepared(spark, sf_dir)), 4, "monto")
 
 
 def client_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,7 +192,7 @@ def sampled_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def split_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     split = sampling.hash_split(prepared(spark, sf_dir).select(*SALES_ORDER), sales_key())
     totals = split.groupBy("is_train", "local").agg(F.count(F.lit(1)).alias("n_rows"), F.sum(AMOUNT).alias("monto"))
-    return rounded(totals, 2, "monto")
+    return rounded(totals, 4, "monto")
 
 
 # tests -------------------------------------------------------------------------
@@ -343,7 +343,7 @@ def box_by_gender(spark: SparkSession, sf_dir: str) -> DataFrame:
 def range_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = prepared(spark, sf_dir).select(AMOUNT)
     parts = partitions.map_partitions(rows, partitions.sales_partials, "n_rows bigint, sum_monto double", 8)
-    return rounded(partitions.combine_totals(parts, ["n_rows", "sum_monto"]), 2, "sum_monto")
+    return rounded(partitions.combine_totals(parts, ["n_rows", "sum_monto"]), 4, "sum_monto")
 
 
 def shop_totals_by_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -352,7 +352,7 @@ def shop_totals_by_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = partitions.map_groups(
         rows, partitions.sales_partials, "n_rows bigint, sum_monto double, local double", ["local"], merge
     )
-    return rounded(found, 2, "sum_monto")
+    return rounded(found, 4, "sum_monto")
 
 
 def _client_totals(piece):
