@@ -87,6 +87,32 @@ def test_session_zone_does_not_matter(spark, sales_file):
     assert found == expected
 
 
+def test_receipt_numbers(spark):
+    df = spark.createDataFrame([("123",), ("123.0",), ("x",), (None,)], "BOLETA string")
+    assert [r[0] for r in cleaning.coerce_types(df).collect()] == [123, 123, None, None]
+
+
+def test_hot_client_and_partitioning(spark):
+    """One client and one receipt hold a third of the rows; counts do not depend on partitions."""
+    n = 600
+    df = spark.range(n).select(
+        F.expr("timestamp_ntz'2024-01-01 00:00:00'").alias("fecha"),
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("boleta"),
+        F.when(F.col("id") % 3 != 1, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("codigo_cliente"),
+        F.lit(1.0).alias("monto_aplicado"),
+        F.lit(1.0).alias("unidades"),
+    )
+    results = []
+    for parts in (1, 4, 40):
+        got = features.derive_features(df.repartition(parts)).select("boleta", "codigo_cliente", "frecuencia_compra", "items_por_boleta")
+        results.append(sorted(rows(got)))
+    assert results[0] == results[1] == results[2]
+    found = {(b, c): (f, i) for b, c, f, i in results[0]}
+    assert found[1, "hot"] == (201, 201)  # 200 receipts of its own and receipt 1, which client "1" shares
+    assert found[1, "1"] == (1, 201)
+    assert found[2, "hot"] == (201, 1)
+
+
 def test_gender_alias(spark):
     df = spark.createDataFrame([("1",)], ["GÉNERO"])
     assert cleaning.coerce_types(df).columns == ["genero"]

@@ -43,7 +43,8 @@ def coerce_types(df: DataFrame) -> DataFrame:
         if name in df.columns:
             casts[name] = F.col(name).try_cast("double")
     if "boleta" in df.columns:
-        casts["boleta"] = F.col("boleta").try_cast("bigint")
+        # "123.0" is a receipt number too
+        casts["boleta"] = F.coalesce(F.col("boleta").try_cast("bigint"), F.col("boleta").try_cast("double").try_cast("bigint"))
     for name in schema.STRING_COLUMNS:
         if name in df.columns:
             casts[name] = F.col(name).cast("string")
