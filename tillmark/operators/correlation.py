@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tillmark.functions.distributions import t_p
 from tillmark.functions.expressions import half_even, ratio
 from tillmark.operators.quantiles import average_ranks
+from tillmark.session import materialize
 
 
 def _both_triangles(upper: DataFrame) -> DataFrame:
@@ -46,15 +47,16 @@ def spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rank correlation in the same form.
 
     Equal rows are counted once, with a weight, before ranks are joined to them, so a value held
-    by much of the table neither repeats in the rank join nor in the sums.
+    by much of the table neither repeats in the rank join nor in the sums. The counted rows are
+    written, so the sales lines are read once. Spark broadcasts the ranks of a column if its few
+    distinct values are small by file size, and joins by value otherwise.
     """
     complete = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna()
-    distinct = complete.groupBy(*columns).agg(F.count(F.lit(1)).alias("_w"))
-    ranks = average_ranks(distinct, columns, weight="_w")
+    distinct = materialize(complete.groupBy(*columns).agg(F.count(F.lit(1)).alias("_w")), "distinct-rows")
     ranked = distinct
     for c in columns:
-        of_column = ranks.where(F.col("variable") == c).select(F.col("value").alias(c), F.col("rank").alias(f"_rank_{c}"))
-        ranked = ranked.join(of_column, c)
+        ranks = average_ranks(distinct, [c], weight="_w")
+        ranked = ranked.join(ranks.select(F.col("value").alias(c), F.col("rank").alias(f"_rank_{c}")), c)
     total = distinct.agg(F.sum("_w").alias("n")).scalar()
     centred = ranked.select("_w", *[(F.col(f"_rank_{c}") - (total + 1) / 2.0).alias(c) for c in columns])
 

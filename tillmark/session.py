@@ -28,19 +28,22 @@ def build_session(cpus: int | str = "*", app_name: str = "tillmark", **settings:
     return spark
 
 
+_local_folders: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder for written intermediate tables: the one the session names in spark.checkpoint.dir.
 
     Only a local master may fall back to a folder of its own, because on a cluster
     a machine-local path is lost with its executor.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+    application = spark.sparkContext.applicationId
+    folder = spark.conf.get("spark.checkpoint.dir", None) or _local_folders.get(application)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        configured = tempfile.mkdtemp(prefix="tillmark-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    return f"{configured.rstrip('/')}/tillmark/{spark.sparkContext.applicationId}"
+        folder = _local_folders[application] = tempfile.mkdtemp(prefix="tillmark-")
+    return f"{folder.rstrip('/')}/tillmark/{application}"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
