@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from tillmark.session import materialize
 
-VALUES_PER_TASK = 200_000
-VALUES_PER_RANGE = 50_000
+VALUES_PER_TASK = 1_000_000
+VALUES_PER_RANGE = 200_000
 MAX_RANGES = 1024
 
 
@@ -53,9 +53,14 @@ def count_table(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), *
     return materialize(value_counts(df, columns, by, **kwargs), "value-counts")
 
 
-def _distinct_values(counts: DataFrame) -> dict[str, int]:
-    found = counts.groupBy("variable").agg(F.count(F.lit(1)).alias("distinct")).collect()  # one row per column
-    return {row["variable"]: row["distinct"] for row in found}
+def _sizes(counts: DataFrame) -> dict[str, tuple[int, int]]:
+    """Distinct values and rows of each counted column."""
+    found = counts.groupBy("variable").agg(F.count(F.lit(1)).alias("distinct"), F.sum("n").alias("rows")).collect()
+    return {row["variable"]: (row["distinct"], row["rows"]) for row in found}  # one row per column
+
+
+def _fit_one_task(sizes: Mapping[str, tuple[int, int]]) -> bool:
+    return max((distinct for distinct, _ in sizes.values()), default=0) <= VALUES_PER_TASK
 
 
 def _running(keys: Sequence[str]) -> Column:
@@ -69,15 +74,27 @@ def cumulative_counts(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     Up to VALUES_PER_TASK distinct values of a column are sorted by one task per group, more are
     cut into ranges.
     """
-    keys = [*by, "variable"]
-    distinct = _distinct_values(counts)
-    if max(distinct.values(), default=0) <= VALUES_PER_TASK:
-        return counts.withColumns({"cum": _running(keys), "total": F.sum("n").over(W.partitionBy(*keys))})
-    ranged, offsets = _value_ranges(counts, distinct, by)
+    sizes = _sizes(counts)
+    if _fit_one_task(sizes):
+        return _in_one_task(counts, sizes, by)
+    ranged, offsets = _value_ranges(counts, sizes, by)
     return _within_ranges(ranged, offsets, by)
 
 
-def _value_ranges(counts: DataFrame, distinct: Mapping[str, int], by: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def _in_one_task(counts: DataFrame, sizes: Mapping[str, tuple[int, int]], by: Sequence[str]) -> DataFrame:
+    keys = [*by, "variable"]
+    if by:
+        total = F.sum("n").over(W.partitionBy(*keys))
+    else:
+        total = F.lit(0).cast("bigint")
+        for name, (_, n) in sizes.items():
+            total = F.when(F.col("variable") == name, F.lit(n).cast("bigint")).otherwise(total)
+    return counts.withColumn("cum", _running(keys)).withColumn("total", total)
+
+
+def _value_ranges(
+    counts: DataFrame, sizes: Mapping[str, tuple[int, int]], by: Sequence[str]
+) -> tuple[DataFrame, DataFrame]:
     """The counts with their value range, and per group and range the rows before and inside it.
 
     Range limits are the distinct values whose hash falls under a threshold, a rule that gives
@@ -86,8 +103,9 @@ def _value_ranges(counts: DataFrame, distinct: Mapping[str, int], by: Sequence[s
     """
     keys = [*by, "variable"]
     share = F.lit(0.0)
-    for name, n in distinct.items():
-        share = F.when(F.col("variable") == name, min(MAX_RANGES, n // VALUES_PER_RANGE) / n).otherwise(share)
+    for name, (distinct, _) in sizes.items():
+        wanted = min(MAX_RANGES, distinct // VALUES_PER_RANGE)
+        share = F.when(F.col("variable") == name, wanted / distinct).otherwise(share)
     uniform = F.pmod(F.xxhash64("value"), F.lit(1 << 30)) / float(1 << 30)
     limits = counts.where(uniform < share).groupBy("variable").agg(F.array_sort(F.collect_set("value")).alias("_limits"))
     in_range = F.size(F.filter("_limits", lambda limit: limit < F.col("value")))
@@ -146,11 +164,11 @@ def quantiles_of_counts(counts: DataFrame, probabilities: Mapping[str, float], b
 
     With value ranges, only those that hold a wanted position are sorted.
     """
-    distinct = _distinct_values(counts)
-    if max(distinct.values(), default=0) <= VALUES_PER_TASK:
-        cumulative = cumulative_counts(counts, by)
+    sizes = _sizes(counts)
+    if _fit_one_task(sizes):
+        cumulative = _in_one_task(counts, sizes, by)
     else:
-        ranged, offsets = _value_ranges(counts, distinct, by)
+        ranged, offsets = _value_ranges(counts, sizes, by)
         wanted = F.lit(False)
         for p in probabilities.values():
             for place in _quantile_place(p)[:2]:
