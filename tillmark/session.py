@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +31,18 @@ def build_session(cpus: int | str = "*", app_name: str = "tillmark", **settings:
 
 
 _local_folders: dict[str, str] = {}
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Give this package to the Python workers, once per application."""
+    application = spark.sparkContext.applicationId
+    if application not in _shipped:
+        package = Path(__file__).resolve().parent
+        base = str(Path(tempfile.mkdtemp(prefix="tillmark-pkg-")).resolve() / package.name)
+        spark.sparkContext.addPyFile(shutil.make_archive(base, "zip", package.parent, package.name))
+        _shipped.add(application)
+    return spark
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -50,6 +64,19 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` computed once into the session's checkpoint folder, without its lineage.
+
+    The folder is the one of spark.checkpoint.dir; Spark deletes the files once the frame is
+    garbage, if spark.cleaner.referenceTracking.cleanCheckpoints says so.
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(scratch_root(spark))
+    return df.checkpoint()
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once as Parquet in the scratch folder and read it back.
 
