@@ -12,10 +12,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillmark.llm.native import BROADCAST_ROWS, ascii_lower, whole
+from tillmark.llm.native import BROADCAST_ROWS, ascii_lower, pieces, whole
 from tillmark.session import checkpointed
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What separates words once A-Z is in lower case: all ASCII but digits and letters.
+SEPARATOR = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 13
 #: A text is contaminated if at least one word of so many is hit.
 HIT_FRACTION = 20
@@ -23,7 +24,7 @@ END = ""  # stands after the last word of every text; no word is empty
 
 
 def text_words():
-    return F.regexp_extract_all(ascii_lower(whole()), F.lit(WORD), F.lit(0))
+    return pieces(ascii_lower(whole()), SEPARATOR)
 
 
 def windows(items: DataFrame, window: int = WINDOW) -> tuple[DataFrame, DataFrame]:

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillmark.llm.native import WORD, let, whole
+from tillmark.llm.native import SPACE, WORD, let, pieces, whole
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -76,7 +76,7 @@ def judge_lines(docs: DataFrame, max_lost_percent: int = MAX_LOST_PERCENT) -> Da
     alone; other columns are not read. No rows give no rows.
     """
     text = whole()
-    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+", -1), lambda w: w != "")
+    words = pieces(text, SPACE)
     has_word = lambda line: line.rlike(WORD)
 
     def of_lines(lines: Column) -> Column:

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillmark.llm.native import WORD, broadcast_if_small, whole
+from tillmark.llm.native import SPACE, broadcast_if_small, pieces, whole
 from tillmark.session import checkpointed
 
 WEIGHTS = (1, 2, 3)
@@ -73,7 +73,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, copies: int = MAX_C
     a null ``doc_id`` sorts as an empty text. Sources without words have the target 0. Other columns are
     not read. No rows give no rows.
     """
-    measured = docs.select("doc_id", "source", F.size(F.regexp_extract_all(whole(), F.lit(WORD), F.lit(0))).cast("long").alias("size"))
+    measured = docs.select("doc_id", "source", F.size(pieces(whole(), SPACE)).cast("long").alias("size"))
     rows = checkpointed(measured)
     sources = checkpointed(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, copies))
     buckets = max(1, rows.count() // ROWS_PER_BUCKET)
