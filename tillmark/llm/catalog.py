@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.llm.native import LOWER, UPPER
-from tillmark.llm import decontaminate, linerules, mixing, quality, simhash, toxicity, urlrules
+from tillmark.llm import decontaminate, extract, linerules, mixing, quality, repeats, secrets, simhash, toxicity, urlrules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,13 +30,17 @@ def op3_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents"))
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("digest")
 
 
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlrules.judge_urls(table(spark, sf_dir, "pages"), urlrules.rules_table(spark))
 
 
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("digest", "n_near_items")
@@ -46,8 +50,23 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.main_text(table(spark, sf_dir, "pages"))
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    counts = [F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in secrets.KINDS]
+    return found.select("doc_id", *counts, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
 def registry() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_quality, op2_simhash, op3_line_rules, op4_mixing, op5_url_filter, op7_decontaminate, op8_toxicity)}
+    listed = (
+        op1_quality, op2_simhash, op3_line_rules, op4_mixing, op5_url_filter,
+        op6_repeats, op7_decontaminate, op8_toxicity, op9_extract, op10_secrets,
+    )
+    return {f.__name__: f for f in listed}
 
 
 def _text(pattern: str) -> str:

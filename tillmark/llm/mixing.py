@@ -64,32 +64,48 @@ def _running(rows: DataFrame, group: list[str], bucket: str, order: list, size:
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, copies: int = MAX_COPIES) -> DataFrame:
-    """``(doc_id, size, source, source_size, target, taken)`` of every row of ``docs``.
+    """``(doc_id, size, source, source_size, target, taken, digest)`` of every row of ``docs``.
 
     ``size`` is the number of words of the text, 0 for a null one. ``taken`` is how many of a row's words
     the mix takes, repeats counted: whole copies in the order of their finish time, and as much of the
-    copy at the end as the budget, the sum of all sizes, leaves. Ties in finish time go by source, digest,
-    id and size; equal rows may swap places, which no result shows. A null source is a source of its own,
+    copy at the end as the budget, the sum of all sizes, leaves. Ties in finish time go by source, place,
+    id, size and text; equal rows may swap places, which no result shows. A null source is a source of its own,
     a null ``doc_id`` sorts as an empty text. Sources without words have the target 0. Other columns are
     not read. No rows give no rows.
     """
-    measured = docs.select("doc_id", "source", F.size(pieces(whole(), SPACE)).cast("long").alias("size"))
-    rows = checkpointed(measured)
+    measured = docs.select("doc_id", "source", F.xxhash64(whole()).alias("digest"), F.size(pieces(whole(), SPACE)).cast("long").alias("size"))
+    rows = checkpointed(measured)  # the digest of the text only tells rows with equal ids apart
     sources = checkpointed(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, copies))
     buckets = max(1, rows.count() // ROWS_PER_BUCKET)
     aims = broadcast_if_small(sources.select(F.col("source").alias("__source"), "source_size", "target"))
     placed = rows.withColumn("place", _shuffled()).withColumn("bucket", F.shiftright(F.conv(F.substring("place", 1, 8), 16, 10).cast("long") * buckets, 32))
-    placed = _running(placed, ["source"], "bucket", ["place", "doc_id", "size"], "size", "sent")
+    placed = _running(placed, ["source"], "bucket", ["place", "doc_id", "size", "digest"], "size", "sent")
     queued = placed.join(aims, F.expr("source <=> __source")).drop("__source", "bucket")
     queued = checkpointed(queued.withColumn("row", F.monotonically_increasing_id()))
     sent_again = F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))
     waiting = queued.select("*", sent_again.alias("copy")).where("copy * source_size < target and size > 0")
     waiting = waiting.withColumn("finish", (F.col("copy") * F.col("source_size") + F.col("sent")) / F.col("target"))
-    waiting = waiting.withColumn("range", F.floor(F.col("finish") * buckets)).select("row", "source", "place", "doc_id", "size", "copy", "finish", "range")
-    order = ["finish", F.col("source").isNull(), "source", "place", "doc_id", "size", "copy"]
+    waiting = waiting.withColumn("range", F.floor(F.col("finish") * buckets)).select("row", "source", "place", "doc_id", "size", "digest", "copy", "finish", "range")
+    order = ["finish", F.col("source").isNull(), "source", "place", "doc_id", "size", "digest", "copy"]
     ranked = _running(waiting, [], "range", order, "size", "total")
     budget = sources.agg(F.coalesce(F.sum("source_size"), F.lit(0)).alias("n")).first()["n"]
     used = F.greatest(F.lit(0).cast("long"), F.least(F.col("size"), budget - F.col("total") + F.col("size")))
     taken = ranked.groupBy(F.col("row").alias("__row")).agg(F.sum(used).alias("taken"))
     mixed = queued.join(taken, F.col("row") == F.col("__row"), "left")
-    return mixed.select("doc_id", "size", "source", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
+    return mixed.select("doc_id", "size", "source", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"), "digest")
+
+
+def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, copies: int = MAX_COPIES) -> DataFrame:
+    """The documents that the mix takes words of, with ``size``, ``source_size``, ``target`` and ``taken``.
+
+    Rows that are equal in id, source and text are one row here, whose ``taken`` is their sum. Columns of
+    ``docs`` with one of the four names are replaced.
+    """
+    key = ["doc_id", "source", "digest"]
+    plan = mix(docs, weights, copies).where("taken > 0")
+    plan = plan.groupBy(*key).agg(*[F.max(c).alias(c) for c in ("size", "source_size", "target")], F.sum("taken").alias("taken"))
+    plan = plan.select(*[F.col(k).alias(f"__{k}") for k in key], "size", "source_size", "target", "taken")
+    rows = docs.drop("size", "source_size", "target", "taken").withColumn("__text", F.xxhash64(whole()))
+    same = "doc_id <=> __doc_id and source <=> __source and __text = __digest"
+    found = rows.join(plan, F.expr(same)).dropDuplicates(["__doc_id", "__source", "__digest"])
+    return found.drop("__text", *[f"__{k}" for k in key])
