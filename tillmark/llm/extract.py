@@ -15,13 +15,14 @@ import random
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.llm.boosting import Boosted
 from tillmark.llm.boosting import fit as fit_trees
 from tillmark.llm.dom import FEATURES, Page
+from tillmark.llm.texts import with_texts
 
 #: About as many pages give their runs for training, and so many pages are put together from them.
 SAMPLED_PAGES = 150
@@ -160,17 +161,17 @@ def extract(pages: list[str | None], trees: Boosted) -> list[str]:
     return texts
 
 
-def _run_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        runs = [text for source in batch["html"] for text in [t for t in Page(source or "").text if t][:RUNS_PER_PAGE]]
-        yield pd.DataFrame({"run": runs})
+        runs = [text for source in batch.column("html").to_pylist() for text in [t for t in Page(source or "").text if t][:RUNS_PER_PAGE]]
+        yield pa.RecordBatch.from_arrays([pa.array(runs, type=pa.string())], ["run"])
 
 
 def fit(pages: DataFrame) -> Boosted:
     """Trees from the runs of about ``SAMPLED_PAGES`` pages, drawn by a hash of ``page_id``."""
     n = pages.select("page_id").count()
     drawn = F.pmod(F.xxhash64("page_id", F.lit(SEED)), F.lit(1 << 30)) / F.lit(float(1 << 30)) < SAMPLED_PAGES / max(1, n)
-    runs = pages.where(drawn).select("html").mapInPandas(_run_rows, "run string").collect()
+    runs = pages.where(drawn).select("html").mapInArrow(_run_rows, "run string").collect()
     return train([r["run"] for r in runs])
 
 
@@ -187,12 +188,8 @@ def main_text(pages: DataFrame) -> DataFrame:
     """
     trees = fit(pages)
 
-    def texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for at in range(0, len(batch), BATCH):
-                part = batch.iloc[at : at + BATCH]
-                yield pd.DataFrame({"page_id": part["page_id"], "url": part["url"], "text": extract(part["html"].tolist(), trees)})
+    def texts(sources: list) -> list[list]:
+        return [[text for at in range(0, len(sources), BATCH) for text in extract(sources[at : at + BATCH], trees)]]
 
-    kind = pages.schema["page_id"].dataType.simpleString()
-    found = pages.select("page_id", "url", "html").mapInPandas(texts, f"page_id {kind}, url string, text string")
+    found = with_texts(pages, ["page_id", "url"], "html", {"text": "string"}, texts)
     return found.withColumn("n_chars", F.length("text").cast("long"))

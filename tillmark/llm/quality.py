@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillmark.llm.texts import with_texts
 from tillmark.session import checkpointed
 
 TO_POOLED = 0.1
@@ -83,15 +84,9 @@ def statistics(text: str | None) -> list[float]:
     ]
 
 
-def _statistic_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        yield pd.DataFrame({"doc_id": batch["doc_id"], "x": [statistics(t) for t in batch["text"]]})
-
-
 def document_statistics(docs: DataFrame) -> DataFrame:
     """``(doc_id, x)`` of every row: the vector of ``STATISTICS``."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(_statistic_rows, f"doc_id {kind}, x array<double>")
+    return with_texts(docs, ["doc_id"], "text", {"x": "array<double>"}, lambda texts: [[statistics(t) for t in texts]])
 
 
 def held_out() -> F.Column:
@@ -159,12 +154,8 @@ def fit(labelled: DataFrame, to_pooled: float = TO_POOLED, to_identity: float =
 def score(found: DataFrame, model: Discriminant) -> DataFrame:
     """``(doc_id, score)`` of every row of ``found``."""
 
-    def scores(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            x = np.array(batch["x"].tolist()).reshape(len(batch), len(STATISTICS))
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "score": model.score(x)})
-
-    return found.mapInPandas(scores, f"doc_id {found.schema['doc_id'].dataType.simpleString()}, score double")
+    size = len(STATISTICS)
+    return with_texts(found, ["doc_id"], "x", {"score": "double"}, lambda rows: [model.score(np.array(rows, dtype=float).reshape(len(rows), size))])
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

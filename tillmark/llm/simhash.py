@@ -10,15 +10,13 @@ within its budgets before its Hamming distance is looked at.
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from tillmark.llm.components import components
+from tillmark.llm.texts import with_texts
 from tillmark.session import checkpointed
 
 SHINGLE = 4
@@ -47,16 +45,10 @@ def fingerprint(text: str | None) -> int:
     return int.from_bytes(np.packbits(2 * counts > n).tobytes(), "big")
 
 
-def _fingerprints(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        prints = np.array([fingerprint(t) for t in batch["text"]], dtype=np.uint64).view(np.int64)
-        yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": prints})
-
-
 def fingerprints(docs: DataFrame) -> DataFrame:
     """``(doc_id, fp)`` of every row, the fingerprint as a signed long."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(_fingerprints, f"doc_id {kind}, fp bigint")
+    signed = lambda texts: np.array([fingerprint(t) for t in texts], dtype=np.uint64).view(np.int64)
+    return with_texts(docs, ["doc_id"], "text", {"fp": "bigint"}, lambda texts: [signed(texts)])
 
 
 def exact_sets(segments: int = SEGMENTS, tau: int = TAU, chain: int = CHAIN) -> list[tuple[int, ...]]:
