@@ -16,11 +16,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.llm.quality import held_out
+from tillmark.llm.texts import with_texts
 from tillmark.session import checkpointed
 
 #: Expected numbers of texts that the model is fitted on; a bound on the driver's share, whatever the corpus.
-POSITIVES = 10_000
-UNLABELLED = 20_000
+POSITIVES = 5_000
+UNLABELLED = 10_000
 FEATURES = 2_048
 #: Least estimated share of toxic texts among those with a feature: prior times its lift.
 MIN_PRECISION = 0.3
@@ -45,9 +46,9 @@ def word_features(word: str) -> list[str]:
     return [word] + [f"{word[:k]}*" for k in PREFIXES if k <= len(word)]
 
 
-def features(text: str | None) -> set[str]:
-    """Distinct features of one whole text; none for a null text."""
-    return {f for word in set(_WORD.findall((text or "").lower())) for f in word_features(word)}
+def words(text: str | None) -> set[str]:
+    """Distinct words of one whole text in lower case; none for a null text."""
+    return set(_WORD.findall((text or "").lower()))
 
 
 class Weights:
@@ -59,7 +60,7 @@ class Weights:
 
     def present(self, text: str | None) -> set[str]:
         found: set[str] = set()
-        for word in set(_WORD.findall((text or "").lower())):
+        for word in words(text):
             own = self.known.get(word)
             if own is None:
                 if len(self.known) >= CACHED_WORDS:
@@ -105,11 +106,6 @@ def _share(column: F.Column, seed: int) -> F.Column:
     return F.pmod(F.xxhash64(column, F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
 
-def _feature_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        yield pd.DataFrame({"kind": batch["kind"], "f": [sorted(features(t)) for t in batch["text"]]})
-
-
 def fit(docs: DataFrame, labels: DataFrame) -> Weights:
     """Model of ``docs`` and of the toxic marks in ``labels``, held-out documents' labels unseen.
 
@@ -122,23 +118,27 @@ def fit(docs: DataFrame, labels: DataFrame) -> Weights:
     prior = min(0.9, (n_p + 1) / (n + 2)) if n else 0.5
     n_docs = docs.select("doc_id").count()
     toxic = marks.where("toxic = 1").where(_share(F.col("doc_id"), SEED) < POSITIVES / max(1, n_p)).select("doc_id").distinct()
-    kept = docs.select("doc_id", "text").join(toxic.withColumn("kind", F.lit(1)), "doc_id", "left")
     drawn = _share(F.col("doc_id"), SEED + 1) < UNLABELLED / max(1, n_docs)
-    kept = kept.where(F.col("kind").isNotNull() | drawn)
-    # A drawn toxic text stands in both samples.
-    kinds = F.array_compact(F.array(F.col("kind"), F.when(drawn, F.lit(0))))
-    rows = kept.select(kinds.alias("kind"), "text").mapInPandas(_feature_rows, "kind array<int>, f array<string>")
+    # About POSITIVES ids are broadcast, so the texts are only filtered. A drawn toxic text stands in both samples.
+    kept = docs.select("doc_id", "text").join(F.broadcast(toxic.withColumn("kind", F.lit(1))), "doc_id", "left")
+    kept = kept.where(F.col("kind").isNotNull() | drawn).select(F.array_compact(F.array(F.col("kind"), F.when(drawn, F.lit(0)))).alias("kinds"), "text")
+    rows = with_texts(kept, ["kinds"], "text", {"w": "array<string>"}, lambda texts: [[sorted(words(t)) for t in texts]])
     # Near copies share the least hashes of their long words; one text of each hash counts, under two hashes in turn.
-    rows = rows.select(F.explode("kind").alias("kind"), "f")
-    long_words = F.filter("f", lambda f: (F.length(f) >= LONG_WORD) & ~F.endswith(f, F.lit("*")))
+    rows = rows.select(F.explode("kinds").alias("kind"), "w")
+    long_words = F.filter("w", lambda w: F.length(w) >= LONG_WORD)
     for seed in (SEED, SEED + 1):
-        least = F.array_min(F.transform(long_words, lambda f: F.xxhash64(f, F.lit(seed))))
-        rows = rows.groupBy("kind", F.coalesce(least, F.xxhash64("f")).alias("least")).agg(F.min("f").alias("f")).select("kind", "f")
+        least = F.array_min(F.transform(long_words, lambda w: F.xxhash64(w, F.lit(seed))))
+        rows = rows.groupBy("kind", F.coalesce(least, F.xxhash64("w")).alias("least")).agg(F.min("w").alias("w")).select("kind", "w")
     rows = checkpointed(rows)
     sizes = {r["kind"]: r["n"] for r in rows.groupBy("kind").agg(F.count("*").alias("n")).collect()}
     if not sizes.get(1) or not sizes.get(0):
         return Weights([], [], float(np.log(prior / (1 - prior))))
-    by_feature = rows.select("kind", F.explode("f").alias("f")).groupBy("f").agg(F.sum("kind").alias("p"), F.sum(1 - F.col("kind")).alias("u"))
+
+    def with_beginnings(word: F.Column) -> F.Column:
+        return F.array_compact(F.array(word, *[F.when(F.length(word) >= k, F.concat(F.substring(word, 1, k), F.lit("*"))) for k in PREFIXES]))
+
+    by_text = rows.select("kind", F.explode(F.array_distinct(F.flatten(F.transform("w", with_beginnings)))).alias("f"))
+    by_feature = by_text.groupBy("f").agg(F.sum("kind").alias("p"), F.sum(1 - F.col("kind")).alias("u"))
     n_all = sizes[0] + sizes[1]
     share = (F.col("p") + F.col("u")) / n_all
     spread = F.sqrt(share * (1 - share) * n_all / (sizes[0] * sizes[1]))
@@ -149,10 +149,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> Weights:
     excess = excess.where((F.col("excess") >= MIN_EXCESS) & (F.col("precision") >= MIN_PRECISION))
     names = [r["f"] for r in excess.orderBy(F.desc("excess"), "f").limit(FEATURES).collect()]
     number = {f: i for i, f in enumerate(names)}
-    chosen = rows.select("kind", F.array_intersect("f", F.array(*[F.lit(f) for f in names]) if names else F.array().cast("array<string>")).alias("f"))
+
+    def numbered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            lists = [sorted({number[f] for word in own for f in word_features(word) if f in number}) for own in batch["w"]]
+            yield pd.DataFrame({"kind": batch["kind"], "f": lists})
+
     lists: dict[int, list[list[int]]] = {0: [], 1: []}
-    for r in chosen.select("kind", "f").orderBy("kind", F.xxhash64("f")).collect():
-        lists[r["kind"]].append([number[f] for f in r["f"]])
+    for r in rows.mapInPandas(numbered, "kind int, f array<int>").collect():
+        lists[r["kind"]].append(r["f"])
+    lists = {kind: sorted(own) for kind, own in lists.items()}  # sums in one order, so that reruns agree
     w, bias = train(lists[1], lists[0], len(names), prior)
     return Weights(names, w.tolist(), bias)
 
@@ -167,10 +173,5 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRES
     """
     model = fit(docs, labels)
 
-    def scores(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "score": [model.score(t) for t in batch["text"]]})
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    found = docs.select("doc_id", "text").mapInPandas(scores, f"doc_id {kind}, score double")
+    found = with_texts(docs, ["doc_id"], "text", {"score": "double"}, lambda texts: [[model.score(t) for t in texts]])
     return found.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
