@@ -92,11 +92,12 @@ with d as (
 ), l as (
   select r, unnest(ls) as line from p
 ), j as (
-  select r, line, not regexp_matches(line, {_text(linerules.ENDS)}) or regexp_matches(line, {_text(linerules.NAVIGATION)})
-    or regexp_matches(line, {_text(linerules.BOILERPLATE)})
+  select r, line, right(folded, 1) not in ({', '.join(map(_text, linerules.ENDS))}) or folded in ({', '.join(map(_text, linerules.ENTRIES))})
+    or length(line) - {strip('line', linerules.SEPARATORS)} >= {linerules.MIN_SEPARATORS}
     or 100 * (length(line) - {strip('line', symbols)}) > {linerules.MAX_SYMBOL_PERCENT} * length(line)
-    or 100 * (length(line) - {strip('line', '!?')}) > {linerules.MAX_MARK_PERCENT} * length(line) as bad
-  from l
+    or 100 * (length(line) - {strip('line', '!?')}) > {linerules.MAX_MARK_PERCENT} * length(line)
+    or {' or '.join(f"contains(folded, {_text(p)})" for p in linerules.PHRASES)} as bad
+  from (select *, lower(trim(line, {_text(linerules.BLANKS)})) as folded from l)
 ), m as (
   select r, count(*) as n_lines, count(*) - count(distinct line) as n_dup_lines, count(*) filter (where bad) as n_failing_lines,
     coalesce(sum(length(line)) filter (where bad), 0) as lost_chars, sum(length(line)) as line_chars

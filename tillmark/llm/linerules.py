@@ -16,10 +16,18 @@ MIN_WORDS = 10
 MAX_REPEATED_PERCENT = 20
 #: A document goes if its failing lines hold more than this percentage of the characters of all lines.
 MAX_LOST_PERCENT = 50
-#: Line rules. Navigation: several separators, or a list of links; boilerplate: the stock phrases of sites and licences.
-ENDS = r"""[.!?:;…。！？"'”’»)\]][\x20\x09-\x0D]*$"""
-NAVIGATION = r"(?:(?:\||»|›|•|·|::)[^|»›•·]*){3,}|^[\x20\x09-\x0D]*(?:[-*•>]|\d+[.)])?[\x20\x09-\x0D]*(?:home|menu|next|previous|login|log in|sign in|sign up|search|share|read more)[\x20\x09-\x0D.!>»]*$"
-BOILERPLATE = r"(?i)all rights reserved|licensed under|released under|general public license|terms of (?:use|service)|privacy policy|cookie|enable javascript|lorem ipsum|click here|subscribe to"
+#: Line rules. A sentence ends in one of these; a line of navigation has so many separators or is one of these
+#: entries; boilerplate holds one of the stock phrases of sites and licences.
+ENDS = ".!?:;…。！？\"'”’»)]"
+SEPARATORS = "|»›•·"
+MIN_SEPARATORS = 3
+ENTRIES = ("home", "menu", "next", "previous", "login", "log in", "sign in", "sign up", "search", "share", "read more")
+PHRASES = (
+    "all rights reserved", "licensed under", "released under", "general public license", "terms of use", "terms of service",
+    "privacy policy", "cookie", "enable javascript", "lorem ipsum", "click here", "subscribe to",
+)
+#: Characters around a line that the rules for ends and entries pass over.
+BLANKS = " \t\r\x0b\f"
 #: Percentages of a line's characters.
 MAX_SYMBOL_PERCENT = 10
 MAX_MARK_PERCENT = 8
@@ -50,20 +58,29 @@ def repeated_words(words: Column, window: int = WINDOW) -> Column:
         hashes = F.transform(starts, lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(window)]))
         return F.when(F.size(w) > window, let(hashes, count)).otherwise(F.lit(0).cast("long"))
 
-    return let(words, windows)
+    return let(F.transform(words, lambda w: F.xxhash64(w)), windows)  # each word is hashed once
 
 
 def failing(line: Column) -> Column:
     """Whether a line fails a rule: no end of a sentence, navigation, boilerplate, or too many symbols or marks."""
     size = F.length(line)
-    return (
-        ~line.rlike(ENDS)
-        | line.rlike(NAVIGATION)
-        | line.rlike(BOILERPLATE)
-        | (100 * _count(line, SYMBOLS + "=_~^\\{}[]") > MAX_SYMBOL_PERCENT * size)
+    symbols = SYMBOLS + "=_~^\\{}[]"
+    crowded = (
+        (_count(line, SEPARATORS) >= MIN_SEPARATORS)
+        | (100 * _count(line, symbols) > MAX_SYMBOL_PERCENT * size)
         | (100 * _count(line, "!?") > MAX_MARK_PERCENT * size)
     )
 
+    def wording(folded: Column) -> Column:
+        fails = ~F.substring(folded, -1, 1).isin(*ENDS) | folded.isin(*ENTRIES)
+        for phrase in PHRASES:
+            fails |= F.contains(folded, F.lit(phrase))
+        return fails
+
+    # Most lines have none of the counted characters, and are counted once.
+    counted = "".join(dict.fromkeys(SEPARATORS + symbols + "!?"))
+    return let(F.lower(F.trim(line, F.lit(BLANKS))), wording) | ((_count(line, counted) > 0) & crowded)
+
 
 def judge_lines(docs: DataFrame, max_lost_percent: int = MAX_LOST_PERCENT) -> DataFrame:
     """Measures, verdict and cleaned text of every row of ``docs``.
