@@ -58,3 +58,11 @@ def test_rank_sum_exact_tail_by_enumeration():
         for u in range(n1 * n2 + 1):
             expected = sum(s >= u for s in stats) / len(stats)
             assert d.rank_sum_exact_tail(u, n1, n2) == pytest.approx(expected)
+
+
+def test_rank_sum_exact_tail_has_no_size_limit():
+    assert d.rank_sum_exact_tail(0, 8, 10**9) == 1.0
+    below, above = (d.rank_sum_exact_tail(0.9 * 8 * n, 8, n) for n in (624_999, 625_001))
+    assert below == pytest.approx(above, rel=1e-4) and 0 < below < 1e-3
+    # the mean of eight uniforms, as the larger group grows
+    assert d.rank_sum_exact_tail(4 * 10**12, 8, 10**12) == pytest.approx(0.5, abs=1e-6)

@@ -198,39 +198,44 @@ def test_map_partitions_and_totals(spark, sales):
     assert partitions.combine_totals(none, ["n_rows"]).count() == 0
 
 
-@pytest.mark.parametrize("rows_per_call", [200_000, 100])
-def test_map_groups(spark, sales, monkeypatch, rows_per_call):
+@pytest.fixture
+def small_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    yield
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_map_group_parts(spark, sales, small_batches):
     df, frame = sales
-    monkeypatch.setattr(partitions, "ROWS_PER_CALL", rows_per_call)
     merge = {"n_rows": "sum", "sum_monto": "sum"}
     schema = "n_rows bigint, sum_monto double, canal string"
-    got = partitions.map_groups(df.select("canal", "monto_aplicado"), partitions.sales_partials, schema, ["canal"], merge)
+    got = partitions.map_group_parts(df.select("canal", "monto_aplicado"), partitions.sales_partials, schema, ["canal"], merge)
     found = {r["canal"]: r for r in got.collect()}
     for canal, group in frame.groupby("canal"):
         assert found[canal]["n_rows"] == len(group)
         assert found[canal]["sum_monto"] == pytest.approx(group["monto_aplicado"].sum())
 
 
-def test_map_by_key_keeps_keys_whole(spark, sales):
+def test_groups_stay_whole(spark, sales, small_batches):
     df, frame = sales
+    median = partitions.whole(lambda piece: pd.DataFrame({"canal": [piece["canal"].iloc[0]], "m": [piece["monto_aplicado"].median()]}))
+    got = partitions.map_groups(df.select("canal", "monto_aplicado"), median, "canal string, m double", ["canal"])
+    assert dict(rows(got)) == pytest.approx(frame.groupby("canal")["monto_aplicado"].median().to_dict())
 
-    def receipts(piece):
-        return piece.groupby("codigo_cliente", as_index=False).agg(n=("boleta", "nunique"))
 
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
-    try:
-        narrow = df.select("codigo_cliente", "boleta")
-        whole = partitions.map_by_key(narrow, receipts, "codigo_cliente string, n bigint", "codigo_cliente", 3)
-        expected = frame.groupby("codigo_cliente")["boleta"].nunique().to_dict()
-        assert dict(rows(whole)) == expected
-        with pytest.raises(ValueError, match="give merge"):
-            partitions.map_by_key(narrow, receipts, "codigo_cliente string, n bigint", "codigo_cliente", 3, max_rows_per_key=15)
-        mixed = partitions.map_by_key(
-            narrow, receipts, "codigo_cliente string, n bigint", "codigo_cliente", 3, {"n": "sum"}, max_rows_per_key=15
-        )
-        assert dict(rows(mixed)) == expected  # receipts are unique here, so partial counts add up
-    finally:
-        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+def test_a_hot_key_is_counted_whole(spark, small_batches):
+    lines = spark.range(200_000).selectExpr("if(id % 3 = 0, 'hot', cast(id % 50 as string)) as codigo_cliente", "id % 5 as boleta")
+    lines = lines.unionByName(spark.createDataFrame([(None, 1)], "codigo_cliente string, boleta bigint"))
+
+    def receipts(batches):
+        key, seen = None, set()
+        for batch in batches:
+            key = batch["codigo_cliente"].iloc[0]
+            seen.update(batch["boleta"])
+        return pd.DataFrame({"codigo_cliente": [key], "n": [len(seen)]})
+
+    got = dict(rows(partitions.map_by_key(lines, receipts, "codigo_cliente string, n bigint", "codigo_cliente")))
+    assert got["hot"] == 5 and None not in got and len(got) == 51
 
 
 def test_results_sink(spark, tmp_path):

@@ -317,7 +317,10 @@ curve as (
     stddev_samp(value) * pow(count(*)::double, -0.2::double) as h
   from long group by variable having stddev_samp(value) > 0
 ),
-counted as (select variable, value, count(*) as c from long group by variable, value),
+counted as (
+  select variable, avg(value) as value, count(*) as c
+  from long join curve using (variable) group by variable, least(floor((value - low) / ((high - low) / 16384.0::double)), 16383)
+),
 grid as (select variable, n, h, point, low + point * (high - low) / 199.0::double as x from curve, (select unnest(range(0, 200)) as point))"""
 KDE = """
 select g.variable, cast(point as integer) as point, round(x, 6) as x,
@@ -342,6 +345,22 @@ from feat where local is not null group by rollup(local)"""
 MARKS = {"p01": 0.01, "p10": 0.10, "p50": 0.50, "p90": 0.90, "p99": 0.99}
 
 
+# What is left of the sales lines once bad text is set by the rules of the query and read back.
+DIRTY = """dirty as (
+  select case when boleta % 7 = 3 then fecha - interval 3 hour when boleta % 7 = 5 then date_trunc('day', fecha)
+      when boleta % 7 in (0, 6) and boleta % 101 = 6 then null else fecha end as fecha,
+    canal, sku, case when boleta % 97 = 1 or boleta % 89 = 2 or boleta % 83 = 3 then null else unidades end as unidades,
+    case when boleta % 71 = 6 or boleta % 67 = 7 then null else porcentaje_descuento end as porcentaje_descuento,
+    case when boleta % 79 = 4 or boleta % 73 = 5 then null else monto_aplicado end as monto_aplicado, boleta, local, codigo_cliente
+  from raw
+)"""
+JUDGED = """judged as (
+  select *, case when monto_aplicado is null or unidades is null or fecha is null then 1 when not (unidades > 0 and monto_aplicado >= 0) then 2
+    when not boleta > 0 then 3 when not coalesce(porcentaje_descuento, 0) between 0 and 1 then 4 else 5 end as rule_number
+  from dirty
+)"""
+
+
 def registry() -> dict[str, str]:
     z = lambda c, table="feat": (
         f"round(({c} - (select avg({c}) from {table})) / (select case when stddev_pop({c}) = 0 then 1 else stddev_pop({c}) end from {table}), 5)"
@@ -351,6 +370,16 @@ def registry() -> dict[str, str]:
     return {
         "sales_view": on_raw(f"select {RAW_COLUMNS.replace('fecha_nacimiento,', 'cast(fecha_nacimiento as date) as fecha_nacimiento,')} from raw"),
         "sales_csv_scan": on_raw(f"select {RAW_COLUMNS} from raw"),
+        "dirty_csv_clean": on_raw(
+            "select fecha, canal, sku, unidades, coalesce(porcentaje_descuento, 0) as porcentaje_descuento, "
+            "round(monto_aplicado, 4) as monto_aplicado, boleta, local, codigo_cliente from judged where rule_number = 5",
+            DIRTY, JUDGED,
+        ),
+        "dirty_csv_audit": on_raw(
+            "select step, rule, (select count(*) from judged where rule_number = step)::bigint as n_rows from (values (1, 'required_values'), "
+            "(2, 'units_and_amount'), (3, 'receipt_number'), (4, 'discount_range'), (5, 'kept')) as r(step, rule)",
+            DIRTY, JUDGED,
+        ),
         "first_lines": on_raw(
             "select boleta, sku, local, round(monto_aplicado, 4) as monto_aplicado, unidades from "
             "(select * from raw order by boleta, sku, local, monto_aplicado, unidades limit 1000)"
@@ -539,6 +568,10 @@ from (select count(*) as n, avg(y * y * y) / pow(avg(y * y), 1.5) as s, avg(y *
         "box_by_gender": on_feat(_box("genero", "edad")),
         "range_partials": on_feat("select count(*) as n_rows, round(fsum(monto_aplicado), 4) as sum_monto from feat"),
         "shop_totals_by_chunks": on_feat("select local, count(*) as n_rows, round(fsum(monto_aplicado), 4) as sum_monto from feat group by local"),
+        "shop_medians_by_group": on_feat(
+            "select local, count(*) as n_rows, round(median(monto_aplicado), 6) as median from feat group by local"
+        ),
+        "receipts_per_client_by_key": on_feat("select codigo_cliente, count(distinct boleta) as n_receipts from feat group by codigo_cliente"),
         "client_totals_by_key": on_feat(
             "select codigo_cliente, count(*) as n_rows, round(fsum(monto_aplicado), 4) as sum_monto from feat group by codigo_cliente"
         ),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,6 +70,45 @@ def sales_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaning.coerce_types(csv.read_sales_csv(spark, path))
 
 
+def _dirty_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales lines as text, with bad values set by integer rules on the receipt number."""
+    lines = sales_lines(spark, sf_dir)
+    receipt, moment = F.col("boleta"), F.col("fecha")
+    iso = F.date_format(moment, "yyyy-MM-dd HH:mm:ss")
+    stamp = (
+        F.when(receipt % 7 == 1, F.date_format(moment, "MM/dd/yyyy HH:mm:ss"))
+        .when(receipt % 7 == 2, F.concat(iso, F.lit("Z")))
+        .when(receipt % 7 == 3, F.concat(iso, F.lit("+03:00")))
+        .when(receipt % 7 == 4, F.date_format(moment, "yyyy/MM/dd HH:mm:ss"))
+        .when(receipt % 7 == 5, F.date_format(moment, "yyyyMMdd"))
+        .when(receipt % 101 == 6, F.lit("soon"))
+        .otherwise(iso)
+    )
+    units = F.col("unidades").cast("string")
+    bad_units = F.when(receipt % 97 == 1, F.lit("12d")).when(receipt % 89 == 2, F.lit("abc")).when(receipt % 83 == 3, F.lit("0x1p3"))
+    amount = F.when(receipt % 79 == 4, F.lit("NaN")).when(receipt % 73 == 5, F.lit("")).otherwise(F.col(AMOUNT).cast("string"))
+    share = F.when(receipt % 71 == 6, F.lit("-nan")).when(receipt % 67 == 7, F.lit("3f")).otherwise(F.col("porcentaje_descuento").cast("string"))
+    return lines.select(
+        stamp.alias("fecha"), "canal", F.col("sku").cast("string").alias("sku"), F.coalesce(bad_units, units).alias("unidades"),
+        share.alias("porcentaje_descuento"), amount.alias(AMOUNT), F.concat("boleta", F.lit(".0")).alias("boleta"),
+        F.col("local").cast("string").alias("local"), "codigo_cliente", F.lit("Ana").alias("NOMBRES"), F.lit("Pérez").alias("APELLIDOS"),
+    )
+
+
+def _dirty_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "dirty-csv")
+    csv.write_sales_csv(_dirty_lines(spark, sf_dir), path, compression="gzip")
+    return cleaning.coerce_types(csv.read_sales_csv(spark, path))
+
+
+def dirty_csv_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(cleaning.keep_valid_rows(_dirty_typed(spark, sf_dir)), 4, AMOUNT)
+
+
+def dirty_csv_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cleaning.cleaning_audit(_dirty_typed(spark, sf_dir))
+
+
 def union_of_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = sales_lines(spark, sf_dir)
     whole = csv.union_all([lines.where(F.col("canal") == c) for c in CHANNELS])
@@ -284,13 +324,13 @@ def standardized_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(scaled.select("codigo_cliente", "is_train", *columns), 5, *columns)
 
 
-def _fits(spark: SparkSession, sf_dir: str) -> list[clustering.Segments]:
+def _fits(spark: SparkSession, sf_dir: str, ks: tuple[int, ...]) -> list[clustering.Segments]:
     train = clustering.scaled_clients(_clients(spark, sf_dir)).where("is_train")
-    return _once(spark, sf_dir, "segments", lambda: clustering.fit_segments(train, clustering.ELBOW_RANGE))
+    return _once(spark, sf_dir, f"segments {ks}", lambda: clustering.fit_segments(train, ks))
 
 
 def _segments(spark: SparkSession, sf_dir: str) -> clustering.Segments:
-    return next(s for s in _fits(spark, sf_dir) if s.k == 4)
+    return _fits(spark, sf_dir, (4,))[0]
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -314,7 +354,7 @@ def silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def elbow_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clustering.elbow_table(spark, _fits(spark, sf_dir))
+    return clustering.elbow_table(spark, _fits(spark, sf_dir, clustering.ELBOW_RANGE))
 
 
 # charts and partitions -----------------------------------------------------------
@@ -342,30 +382,53 @@ def box_by_gender(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def range_partials(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = prepared(spark, sf_dir).select(AMOUNT)
-    parts = partitions.map_partitions(rows, partitions.sales_partials, "n_rows bigint, sum_monto double", 8)
+    parts = partitions.map_partitions(rows, partitions.sales_partials, "n_rows bigint, sum_monto double")
     return rounded(partitions.combine_totals(parts, ["n_rows", "sum_monto"]), 4, "sum_monto")
 
 
 def shop_totals_by_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = prepared(spark, sf_dir).select("local", AMOUNT)
     merge = {"n_rows": "sum", "sum_monto": "sum"}
-    found = partitions.map_groups(
+    found = partitions.map_group_parts(
         rows, partitions.sales_partials, "n_rows bigint, sum_monto double, local double", ["local"], merge
     )
     return rounded(found, 4, "sum_monto")
 
 
-def _client_totals(piece):
-    grouped = piece.groupby("codigo_cliente", sort=False)
-    sums = grouped.agg(n_rows=("monto_aplicado", "size"), sum_monto=("monto_aplicado", "sum"))
-    return sums.reset_index()[["codigo_cliente", "n_rows", "sum_monto"]]
+def _shop_median(piece):
+    return piece.groupby("local", as_index=False).agg(n_rows=("monto_aplicado", "size"), median=("monto_aplicado", "median"))
+
+
+def shop_medians_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = prepared(spark, sf_dir).select("local", AMOUNT)
+    found = partitions.map_groups(rows, partitions.whole(_shop_median), "local double, n_rows bigint, median double", ["local"])
+    return rounded(found, 6, "median")
+
+
+def _client_totals(batches):
+    key, n, total = None, 0, 0.0
+    for piece in batches:
+        key, n, total = piece["codigo_cliente"].iloc[0], n + len(piece), total + float(piece["monto_aplicado"].sum())
+    return pd.DataFrame({"codigo_cliente": [key], "n_rows": [n], "sum_monto": [total]})
 
 
 def client_totals_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = prepared(spark, sf_dir).select("codigo_cliente", AMOUNT)
-    merge = {"n_rows": "sum", "sum_monto": "sum"}
     schema = "codigo_cliente string, n_rows bigint, sum_monto double"
-    return rounded(partitions.map_by_key(rows, _client_totals, schema, "codigo_cliente", 8, merge), 4, "sum_monto")
+    return rounded(partitions.map_by_key(rows, _client_totals, schema, "codigo_cliente"), 4, "sum_monto")
+
+
+def _client_receipts(batches):
+    key, seen = None, set()
+    for piece in batches:
+        key = piece["codigo_cliente"].iloc[0]
+        seen.update(piece["boleta"].tolist())
+    return pd.DataFrame({"codigo_cliente": [key], "n_receipts": [len(seen)]})
+
+
+def receipts_per_client_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = prepared(spark, sf_dir).select("codigo_cliente", "boleta")
+    return partitions.map_by_key(rows, _client_receipts, "codigo_cliente string, n_receipts bigint", "codigo_cliente")
 
 
 def results_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -394,6 +457,8 @@ def registry() -> dict[str, Query]:
         # sources and preprocessing
         "sales_view": lambda s, d: rounded(sales_lines(s, d, names=True), 4, AMOUNT),
         "sales_csv_scan": lambda s, d: rounded(sales_csv_scan(s, d), 4, AMOUNT),
+        "dirty_csv_clean": dirty_csv_clean,
+        "dirty_csv_audit": dirty_csv_audit,
         "first_lines": lambda s, d: rounded(
             sampling.first_rows(sales_lines(s, d).select(*SALES_ORDER), 1000, SALES_ORDER), 4, AMOUNT
         ),
@@ -476,6 +541,8 @@ def registry() -> dict[str, Query]:
         "box_by_gender": box_by_gender,
         "range_partials": range_partials,
         "shop_totals_by_chunks": shop_totals_by_chunks,
+        "shop_medians_by_group": shop_medians_by_group,
         "client_totals_by_key": client_totals_by_key,
+        "receipts_per_client_by_key": receipts_per_client_by_key,
         "results_table": results_table,
     }

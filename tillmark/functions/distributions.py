@@ -5,7 +5,9 @@ Tails are worked out from logarithms, so very small p-values keep their digits.
 
 from __future__ import annotations
 
+import functools
 import math
+from fractions import Fraction
 from statistics import NormalDist
 
 import numpy as np
@@ -148,19 +150,43 @@ def ks_tail(d: float, n: int) -> float:
     return float(min(1.0, max(0.0, 1.0 - math.exp(math.log(middle) + log_scale))))
 
 
+@functools.cache
+def _parts_polynomial(m: int) -> tuple[int, list[int]]:
+    """Period L and numerator N with N(q) / (1 - q^L)^(m + 1) = 1 / ((1 - q) (1 - q) (1 - q^2) ... (1 - q^m))."""
+    period = math.lcm(*range(1, m + 1))
+    numerator = [1]
+    for i in (1, *range(1, m + 1)):
+        raised = [0] * (len(numerator) + period - i)
+        for start in range(0, period, i):
+            for k, c in enumerate(numerator):
+                raised[k + start] += c
+        numerator = raised
+    return period, numerator
+
+
+def _sums_up_to(total: int, m: int) -> int:
+    """Number of sums up to ``total`` of parts of sizes 1 to m."""
+    if total < 0:
+        return 0
+    period, numerator = _parts_polynomial(m)
+    return sum(numerator[j] * math.comb((total - j) // period + m, m) for j in range(total % period, min(total + 1, len(numerator)), period))
+
+
 def rank_sum_exact_tail(u: float, n1: int, n2: int) -> float:
-    """P(U >= u) without ties, from the generating function of the rank-sum counts."""
+    """P(U >= u) without ties, for a smaller group of at most 8 and a larger one of any size.
+
+    Counts, in whole numbers, the ways to reach n1 * n2 - u or less, from the generating function
+    prod (1 - q^(large + i)) / (1 - q^i): its numerator has 2^small terms, and each needs one
+    closed-form count.
+    """
     small, large = sorted((int(n1), int(n2)))
-    counts = np.zeros(small * large + 1)
-    counts[0] = 1.0
+    rest = small * large - math.ceil(u)
+    terms = {0: 1}
     for i in range(1, small + 1):
-        # multiply by (1 - q^(large + i)) / (1 - q^i)
-        shift = large + i
-        if shift < len(counts):
-            counts[shift:] = counts[shift:] - counts[: len(counts) - shift].copy()
-        for start in range(i):
-            counts[start::i] = np.cumsum(counts[start::i])
-    return float(counts[int(math.ceil(u)) :].sum() / counts.sum())
+        for power, sign in list(terms.items()):
+            terms[power + large + i] = terms.get(power + large + i, 0) - sign
+    reached = sum(sign * _sums_up_to(rest - power, small) for power, sign in terms.items() if power <= rest)
+    return float(Fraction(reached, math.comb(small + large, small)))
 
 
 def _column_function(function):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,13 +12,22 @@ from tillmark import schema
 from tillmark.functions.expressions import epoch_days, from_epoch_days
 from tillmark.operators.quantiles import median_value
 
-HAS_ZONE = r"([Zz]|[+-]\d{2}(:?\d{2})?)$"
+HAS_ZONE = r"(?:[Zz]|[+-]\d{2}(?::?\d{2})?|\s(?:UTC|GMT|[A-Za-z]+(?:/[A-Za-z_+-]+)+))$"
+DECIMAL = r"^\s*[+-]?(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?\s*$"
+#: Other ways to write a day, tried in this order, as a pattern and the ISO text of it: month first, year first, bare digits.
+DAY_FORMS = (
+    (r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4})(?!\d)", "$3-$1-$2"),
+    (r"^(\d{4})/(\d{1,2})/(\d{1,2})(?!\d)", "$1-$2-$3"),
+    (r"^(\d{4})(\d{2})(\d{2})(?!\d)", "$1-$2-$3"),
+)
+DAY_FIRST = ((r"^(\d{1,2})[/-](\d{1,2})[/-](\d{4})(?!\d)", "$3-$2-$1"), *DAY_FORMS[1:])
 
 
-def parse_timestamp(df: DataFrame, name: str) -> Column:
+def parse_timestamp(df: DataFrame, name: str, day_forms: Sequence[tuple[str, str]] = DAY_FORMS) -> Column:
     """Timestamp without zone, in UTC; text that is no timestamp becomes null.
 
-    Zoned text is an instant and moves to UTC; text without a zone is UTC already.
+    Text is read as ISO, a day in one of ``day_forms`` first made ISO. Text with an offset or a zone name
+    is an instant and moves to UTC; text without a zone is UTC already.
     """
     kind = df.schema[name].dataType
     col = F.col(name)
@@ -24,27 +35,40 @@ def parse_timestamp(df: DataFrame, name: str) -> Column:
         return col
     if isinstance(kind, T.DateType):
         return col.cast("timestamp_ntz")
-    to_utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.try_to_timestamp(col.cast("string")).cast("timestamp_ntz"))
     if isinstance(kind, T.TimestampType):
         return F.convert_timezone(F.current_timezone(), F.lit("UTC"), col.cast("timestamp_ntz"))
-    text = F.trim(col)
-    has_time = text.contains(":")
-    return F.when(has_time & text.rlike(HAS_ZONE), to_utc).otherwise(text.try_cast("timestamp_ntz"))
+    bare = F.trim(col.cast("string"))
+    text = bare
+    for pattern, iso in reversed(day_forms):
+        text = F.when(bare.rlike(pattern), F.regexp_replace(bare, pattern, iso)).otherwise(text)
+    to_utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.try_to_timestamp(text).cast("timestamp_ntz"))
+    return F.when(text.contains(":") & text.rlike(HAS_ZONE), to_utc).otherwise(text.try_cast("timestamp_ntz"))
+
+
+def parse_number(df: DataFrame, name: str) -> Column:
+    """Double; text that is no decimal number, and NaN, become null."""
+    col = F.col(name)
+    if isinstance(df.schema[name].dataType, T.StringType):
+        col = F.when(col.rlike(DECIMAL), col)
+    number = col.try_cast("double")
+    return F.when(~F.isnan(number), number)
 
 
-def coerce_types(df: DataFrame) -> DataFrame:
+def coerce_types(df: DataFrame, day_forms: Sequence[tuple[str, str]] = DAY_FORMS) -> DataFrame:
     """Internal column names and types; what cannot be read as its type becomes null."""
     df = schema.to_internal_names(df)
     casts: dict[str, Column] = {}
     for name in ("fecha", "fecha_nacimiento"):
         if name in df.columns:
-            casts[name] = parse_timestamp(df, name)
+            casts[name] = parse_timestamp(df, name, day_forms)
     for name in schema.NUMERIC_COLUMNS:
         if name in df.columns:
-            casts[name] = F.col(name).try_cast("double")
+            casts[name] = parse_number(df, name)
     if "boleta" in df.columns:
         # "123.0" is a receipt number too
-        casts["boleta"] = F.coalesce(F.col("boleta").try_cast("bigint"), F.col("boleta").try_cast("double").try_cast("bigint"))
+        receipt = F.col("boleta")
+        receipt = F.when(receipt.rlike(DECIMAL), receipt) if isinstance(df.schema["boleta"].dataType, T.StringType) else receipt
+        casts["boleta"] = F.coalesce(receipt.try_cast("bigint"), parse_number(df, "boleta").try_cast("bigint"))
     for name in schema.STRING_COLUMNS:
         if name in df.columns:
             casts[name] = F.col(name).cast("string")

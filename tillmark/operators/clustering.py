@@ -14,14 +14,12 @@ from pyspark.sql import functions as F
 
 from tillmark.functions.expressions import half_even
 from tillmark.operators.features import standardize
-from tillmark.operators.sampling import DEFAULT_SEED, hash_split, sample_rows
+from tillmark.operators.sampling import DEFAULT_SEED, hash_split, row_hash, sample_rows
 
 FEATURES = ("total_monto", "total_unidades", "n_transacciones", "descuento_prom")
 RESTARTS = 10
 MAX_ITERATIONS = 300
 SILHOUETTE_SAMPLE = 10_000
-START_SAMPLE = 10_000
-CLIENTS_PER_TASK = 20_000
 ELBOW_RANGE = tuple(range(2, 9))
 
 
@@ -56,16 +54,58 @@ class Segments:
     inertia: float
 
 
-def _starting_centres(sample: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
-    """Spread-out starts: each next centre is drawn in proportion to its squared distance."""
-    centres = [sample[rng.integers(len(sample))]]
-    nearest = ((sample - centres[0]) ** 2).sum(axis=1)
-    for _ in range(1, k):
-        total = nearest.sum()
-        pick = rng.choice(len(sample), p=nearest / total) if total > 0 else rng.integers(len(sample))
-        centres.append(sample[pick])
-        nearest = np.minimum(nearest, ((sample - centres[-1]) ** 2).sum(axis=1))
-    return np.array(centres)
+def _uniform(keys: np.ndarray, *salt: int) -> np.ndarray:
+    """Numbers of (0, 1) from 60-bit keys and a salt, the same on any cluster."""
+    x = keys.astype(np.uint64)
+    for value in salt:
+        x = x + np.uint64((0x9E3779B97F4A7C15 * (value + 1)) % 2**64)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(31)
+    return (x >> np.uint64(11)).astype(float) / 2.0**53 + 2.0**-54
+
+
+def _draws(models: dict[int, tuple[int, int, np.ndarray]], columns: Sequence[str]):
+    """Table function: per model the client of a task with the smallest -ln(u) / d2, d2 its squared distance to the model's centres.
+
+    The smallest of all tasks is a draw in proportion to d2. ``models`` has k, restart and centres so far.
+    """
+    names = list(columns)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            x, keys = batch[names].to_numpy(float), batch["_key"].to_numpy()
+            best = []
+            for model, (k, restart, centres) in models.items():
+                squared = np.ones(len(x))
+                if len(centres):
+                    squared = np.min([((x - c) ** 2).sum(axis=1) for c in centres], axis=0)
+                with np.errstate(divide="ignore"):
+                    score = -np.log(_uniform(keys, k, restart, len(centres))) / squared
+                row = np.lexsort((keys, score))[0]
+                best.append((model, score[row], keys[row], *x[row]))
+            if len(batch):
+                yield pd.DataFrame(best, columns=["model", "score", "_key", *names])
+
+    return run
+
+
+def _starting_centres(rows: DataFrame, models: dict[int, tuple[int, int]], columns: Sequence[str], seed: int) -> dict[int, np.ndarray]:
+    """Spread-out starts from all rows: each next centre is drawn in proportion to its squared distance.
+
+    One pass a step draws the next centre of all models (k and restart) that still need one. Clients that
+    share a place with a centre are drawn last.
+    """
+    keyed = rows.select(row_hash(["codigo_cliente"], seed).alias("_key"), *columns)
+    schema = ", ".join(["model int", "score double", "_key bigint", *[f"{c} double" for c in columns]])
+    centres = {i: np.empty((0, len(columns))) for i in models}
+    for step in range(max(k for k, _ in models.values())):
+        waiting = {i: (k, restart, centres[i]) for i, (k, restart) in models.items() if k > step}
+        drawn = keyed.mapInPandas(_draws(waiting, columns), schema).groupBy("model")
+        found = drawn.agg(F.min_by(F.struct(*columns), F.struct("score", "_key")).alias("centre")).collect()
+        for r in found:
+            centres[r["model"]] = np.vstack([centres[r["model"]], [r["centre"][c] for c in columns]])
+    return centres
 
 
 def _cluster_sums(models: dict[int, np.ndarray], columns: Sequence[str]):
@@ -100,28 +140,19 @@ def fit_segments(
 
     All restarts of all k advance together. One pass over the clients per iteration sums every
     model's clusters inside the tasks, and only models x clusters rows reach the driver. Starts
-    are drawn from a seeded sample; the passes themselves use every client.
+    and passes use every client.
     """
-    spark = train.sparkSession
     columns = [f"z_{c}" for c in FEATURES]
-    rows = train.select("codigo_cliente", *columns)
-    sample = sample_rows(rows, START_SAMPLE, ["codigo_cliente"], seed).select(*columns).toPandas().to_numpy(float)
     ks = list(dict.fromkeys(ks))
     owner = [k for k in ks for _ in range(restarts)]
-    models = {
-        i: _starting_centres(sample, k, np.random.default_rng([seed, k, i % restarts])) for i, k in enumerate(owner)
-    }
+    rows = train.select("codigo_cliente", *columns).persist()
+    models = _starting_centres(rows, {i: (k, i % restarts) for i, k in enumerate(owner)}, columns, seed)
     finished: dict[int, Segments] = {}
     settled: set[int] = set()
-    wanted = max(1, rows.count() // CLIENTS_PER_TASK)
-    rows = rows.select(*columns)
-    if wanted < spark.sparkContext.defaultParallelism:
-        rows = rows.repartition(wanted)
-    rows = rows.persist()
     schema = ", ".join(["n double", *[f"{c} double" for c in columns], "cost double", "model int", "cluster int"])
     try:
         for iteration in range(MAX_ITERATIONS + 1):
-            partial = rows.mapInPandas(_cluster_sums(models, columns), schema)
+            partial = rows.select(*columns).mapInPandas(_cluster_sums(models, columns), schema)
             sums = partial.groupBy("model", "cluster").agg(*[F.sum(c).alias(c) for c in ("n", *columns, "cost")]).toPandas()
             for i, table in sums.groupby("model"):
                 if i in settled or iteration == MAX_ITERATIONS:

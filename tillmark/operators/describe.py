@@ -8,38 +8,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.functions.expressions import half_even, ratio
-from tillmark.operators.quantiles import count_table, quantiles_of_counts
+from tillmark.operators.quantiles import long_values, quantiles
 from tillmark.schema import numeric_columns
 
 
-def moments(counts: DataFrame) -> DataFrame:
-    """Count, mean, deviation, extremes, corrected skewness and kurtosis from value counts.
+def moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Count, mean, deviation, extremes, corrected skewness and kurtosis, one row per column.
 
-    Powers are taken around the mean, so long identifiers keep their digits. A constant column
-    has skewness and kurtosis 0; both are null for too few values.
+    One pass; central moments are merged between tasks. A constant column has skewness and kurtosis 0;
+    both are null for too few values, and all but the count are for none.
     """
-    weight, n = F.col("n").cast("double"), F.col("count").cast("double")
-    means = counts.groupBy("variable").agg((F.sum(weight * F.col("value")) / F.sum("n")).alias("mean"))
-    x = F.col("value") - F.col("mean")
-    sums = (
-        counts.join(F.broadcast(means), "variable")  # one row per column
-        .groupBy("variable", "mean")
-        .agg(
-            F.sum("n").alias("count"),
-            F.min("value").alias("min"),
-            F.max("value").alias("max"),
-            *[F.sum(weight * x**k).alias(f"s{k}") for k in (2, 3, 4)],
-        )
+    value = F.col("value")
+    sums = long_values(df, columns).groupBy("variable").agg(
+        F.count(value).alias("count"),
+        F.avg(value).alias("mean"),
+        F.stddev_samp(value).alias("spread"),
+        F.min(value).alias("min"),
+        F.max(value).alias("max"),
+        F.skewness(value).alias("g1"),
+        F.kurtosis(value).alias("g2"),
     )
-    varies = F.col("min") < F.col("max")
-    m2, m3, m4 = (F.col(f"s{k}") / n for k in (2, 3, 4))
-    skewness = ratio(m3, m2 * F.sqrt(m2)) * F.sqrt(n * (n - 1)) / F.nullif(n - 2, F.lit(0.0))
-    kurtosis = ratio(n - 1, (n - 2) * (n - 3)) * ((n + 1) * (ratio(m4, m2 * m2) - 3) + 6)
+    n, varies = F.col("count").cast("double"), F.col("min") < F.col("max")
+    skewness = F.col("g1") * F.sqrt(n * (n - 1)) / F.nullif(n - 2, F.lit(0.0))
+    kurtosis = ratio(n - 1, (n - 2) * (n - 3)) * ((n + 1) * F.col("g2") + 6)
     return sums.select(
         "variable",
         "count",
         "mean",
-        F.when(varies, F.sqrt(ratio(F.col("s2"), n - 1))).when(n > 1, 0.0).alias("std"),
+        F.when(varies, F.col("spread")).when(n > 1, 0.0).alias("std"),
         "min",
         "max",
         F.when(n >= 3, F.when(varies, skewness).otherwise(0.0)).alias("skewness"),
@@ -48,15 +44,11 @@ def moments(counts: DataFrame) -> DataFrame:
 
 
 def describe(df: DataFrame, columns: Sequence[str] | None = None, digits: int = 4) -> DataFrame:
-    """Count, mean, deviation, extremes, quartiles, skewness and kurtosis, one row per column.
-
-    Everything follows from one table of value counts. A column without values has no row.
-    """
+    """Count, mean, deviation, extremes, quartiles, skewness and kurtosis, one row per column, empty ones included."""
     columns = list(columns or numeric_columns(df))
-    counts = count_table(df, columns)
-    quarters = quantiles_of_counts(counts, {"p25": 0.25, "p50": 0.5, "p75": 0.75}).drop("n")
+    quarters = quantiles(df, columns, {"p25": 0.25, "p50": 0.5, "p75": 0.75}).drop("n")
     names = ["mean", "std", "min", "p25", "p50", "p75", "max", "skewness", "kurtosis"]
-    return moments(counts).join(quarters, "variable").select(
+    return moments(df, columns).join(quarters, "variable", "left").select(
         "variable", "count", *[half_even(F.col(c), digits).alias(c) for c in names]
     )
 

@@ -1,7 +1,8 @@
 """Table functions applied to pieces of a DataFrame.
 
-A function takes a pandas DataFrame and returns one, or None for nothing. It is given at most
-ROWS_PER_CALL rows or a batch, so no task holds more, except where whole keys are asked for.
+A function on a piece takes a pandas DataFrame, one Arrow batch of rows, and returns one, or None for
+nothing. A function on a whole group takes an iterator of the group's batches, so it need not hold them
+together; ``whole`` adapts one that must.
 """
 
 from __future__ import annotations
@@ -12,51 +13,59 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TableFunction = Callable[..., "pd.DataFrame | None"]
+PieceFunction = Callable[..., "pd.DataFrame | None"]
+GroupFunction = Callable[..., "pd.DataFrame | None"]
 MERGES = {"sum": F.sum, "min": F.min, "max": F.max}
-MAX_ROWS_PER_KEY = 1_000_000
-ROWS_PER_CALL = 200_000
 
 
-def _gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Join Arrow batches into frames of about ROWS_PER_CALL rows."""
-    held, size = [], 0
-    for batch in batches:
-        held.append(batch)
-        size += len(batch)
-        if size >= ROWS_PER_CALL:
-            yield pd.concat(held, ignore_index=True)
-            held, size = [], 0
-    if size:
-        yield pd.concat(held, ignore_index=True)
-
-
-def map_partitions(df: DataFrame, func: TableFunction, schema: str, n_partitions: int | None = None, **kwargs) -> DataFrame:
-    """Apply ``func`` to arbitrary row ranges."""
+def map_partitions(df: DataFrame, func: PieceFunction, schema: str, n_partitions: int | None = None, **kwargs) -> DataFrame:
+    """Apply ``func`` to arbitrary row ranges, one Arrow batch a call."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in _gather(batches):
-            result = func(batch, **kwargs)
+        for batch in batches:
+            result = func(batch, **kwargs) if len(batch) else None
             if result is not None:
                 yield result
 
-    spread = df.repartition(n_partitions) if n_partitions else df
-    return spread.mapInPandas(run, schema)
+    pieces = df.repartition(n_partitions) if n_partitions else df
+    return pieces.mapInPandas(run, schema)
+
+
+def whole(func: PieceFunction) -> GroupFunction:
+    """A function on batches from one that needs all rows of a group in one frame."""
+    return lambda batches, **kwargs: func(pd.concat(list(batches), ignore_index=True), **kwargs)
+
+
+def map_groups(df: DataFrame, func: GroupFunction, schema: str, by: Sequence[str], **kwargs) -> DataFrame:
+    """Apply ``func`` to each whole group, given as an iterator of its batches.
+
+    Groups stay whole at any size and are streamed to the function. Rows with a null key are left out.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        result = func(batches, **kwargs)
+        if result is not None:
+            yield result
+
+    return df.dropna(subset=list(by)).groupBy(*by).applyInPandas(run, schema)
+
+
+def map_by_key(df: DataFrame, func: GroupFunction, schema: str, key: str, **kwargs) -> DataFrame:
+    """Apply ``func`` to all rows of each value of ``key``; see :func:`map_groups`."""
+    return map_groups(df, func, schema, [key], **kwargs)
 
 
-def map_groups(
-    df: DataFrame, func: TableFunction, schema: str, by: Sequence[str], merge: Mapping[str, str], **kwargs
-) -> DataFrame:
-    """Two-phase aggregate by group: ``func`` on the part of a group within a call, then ``merge``.
+def map_group_parts(df: DataFrame, func: PieceFunction, schema: str, by: Sequence[str], merge: Mapping[str, str], **kwargs) -> DataFrame:
+    """Two-phase aggregate by group: ``func`` on the part of a group within a batch, then ``merge``.
 
-    ``merge`` says how each result column is combined ("sum", "min" or "max"). Sales lines are not
-    shuffled, only the partial rows are, so a group of any size is spread over all tasks. Rows
-    with a null key are left out.
+    For functions that merge: ``merge`` says how each result column is combined ("sum", "min" or
+    "max"). Rows are not shuffled, only the partial results are, so a group of any size is spread
+    over all tasks. Rows with a null key are left out.
     """
     by = list(by)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in _gather(batches):
+        for batch in batches:
             parts = []
             for key, piece in batch.groupby(by, sort=False):
                 result = func(piece, **kwargs)
@@ -69,63 +78,6 @@ def map_groups(
     return partial.groupBy(*by).agg(*[MERGES[how](c).alias(c) for c, how in merge.items()])
 
 
-def _whole_keys(func: TableFunction, key: str, kwargs: dict):
-    """Batches of a partition sorted by key, cut so that every call holds whole keys."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        pending: list[pd.DataFrame] = []
-        for batch in _gather(batches):
-            last = batch[key].iloc[-1]
-            is_last = batch[key] == last
-            closed, still_open = batch[~is_last], batch[is_last]
-            if pending and (len(closed) or pending[-1][key].iloc[-1] != last):
-                result = func(pd.concat([*pending, closed], ignore_index=True), **kwargs)
-                pending = []
-                if result is not None:
-                    yield result
-            elif len(closed):
-                result = func(closed.reset_index(drop=True), **kwargs)
-                if result is not None:
-                    yield result
-            pending.append(still_open)
-        if pending:
-            result = func(pd.concat(pending, ignore_index=True), **kwargs)
-            if result is not None:
-                yield result
-
-    return run
-
-
-def map_by_key(
-    df: DataFrame,
-    func: TableFunction,
-    schema: str,
-    key: str,
-    n_partitions: int | None = None,
-    merge: Mapping[str, str] | None = None,
-    max_rows_per_key: int = MAX_ROWS_PER_KEY,
-    **kwargs,
-) -> DataFrame:
-    """Apply ``func`` on hash buckets of ``key``, never splitting the rows of a key.
-
-    Keys are counted first. Keys with more than ``max_rows_per_key`` rows do not fit one call:
-    their rows go through :func:`map_groups` with ``merge``, or the call is refused if there is
-    none. Rows with a null key are left out.
-    """
-    keyed = df.where(F.col(key).isNotNull())
-    hot = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > max_rows_per_key).select(key)
-    n_hot = hot.count()
-    if n_hot and merge is None:
-        raise ValueError(f"{n_hot} values of {key} have over {max_rows_per_key} rows; give merge to combine partial results")
-    usual = keyed.join(hot, key, "left_anti") if n_hot else keyed
-    buckets = usual.repartition(n_partitions, key) if n_partitions else usual.repartition(key)
-    result = buckets.sortWithinPartitions(key).mapInPandas(_whole_keys(func, key, kwargs), schema)
-    if n_hot:
-        large = map_groups(keyed.join(hot, key, "left_semi"), func, schema, [key], merge, **kwargs)
-        result = result.unionByName(large.select(*result.columns))
-    return result
-
-
 def sales_partials(piece: pd.DataFrame) -> pd.DataFrame:
     """Row count and amount of a piece of the sales table."""
     return pd.DataFrame({"n_rows": [len(piece)], "sum_monto": [float(piece["monto_aplicado"].sum())]})

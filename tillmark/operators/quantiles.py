@@ -1,10 +1,13 @@
-"""Exact order statistics from value counts.
+"""Exact order statistics.
 
-A value that fills a third of the table is one row once its copies are counted, so every
-operator here counts first (map-side combined) and sorts distinct values afterwards. The
-running count over distinct values is cut into value ranges: each range is summed by its own
-task, and a tiny table of range totals carries the counts across ranges. Columns with few
-distinct values, which a check of the count table shows, need no ranges.
+Quantiles are bracketed first: one pass of rank sketches gives, for each wanted position, two values
+that are certain to lie on either side of it. A second pass counts what lies below a bracket and the
+distinct values inside it, some hundred-thousandths of the rows, and only those are sorted. No column is
+shuffled.
+
+Ranks need every distinct value. Values are counted, map-side combined, so that one that fills a third of
+the table is one row; the counts are dealt out by value ranges, each range is summed by its own task, and
+a small table of range totals carries the counts across ranges.
 """
 
 from __future__ import annotations
@@ -17,9 +20,21 @@ from pyspark.sql import functions as F
 
 from tillmark.session import materialize
 
-VALUES_PER_TASK = 1_000_000
-VALUES_PER_RANGE = 200_000
-MAX_RANGES = 1024
+#: A sketch misses a rank by at most n / ACCURACY, and by a rank or two of few rows. A bracket reaches the first of
+#: these shares of the rows to both sides that is worth LEAST_RANKS rows.
+ACCURACY = 100_000
+REACHES = (5e-5, 5e-4, 5e-3, 5e-2, 1.0)
+LEAST_RANKS = 6
+
+
+def long_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), carried: Sequence[Column] = ()) -> DataFrame:
+    """Long table ``(by..., carried..., variable, value)``, nulls included; rows with a null ``by`` key are left out."""
+    if len(columns) == 1:
+        long = df.select(*by, *carried, F.lit(columns[0]).alias("variable"), F.col(columns[0]).cast("double").alias("value"))
+    else:
+        wide = df.select(*by, *carried, *[F.col(c).cast("double").alias(c) for c in columns])
+        long = wide.unpivot([c for c in wide.columns if c not in columns], list(columns), "variable", "value")
+    return long.dropna(subset=list(by)) if by else long
 
 
 def value_counts(
@@ -37,109 +52,26 @@ def value_counts(
     extra = dict(extra or {})
     carried = [c.alias(name) for name, c in extra.items()]
     carried.append((F.col(weight) if weight else F.lit(1)).cast("bigint").alias("_weight"))
-    if len(columns) == 1:
-        long = df.select(*by, *carried, F.lit(columns[0]).alias("variable"), F.col(columns[0]).cast("double").alias("value"))
-    else:
-        wide = df.select(*by, *carried, *[F.col(c).cast("double").alias(c) for c in columns])
-        long = wide.unpivot([*by, *extra, "_weight"], list(columns), "variable", "value")
-    for key in (*by, "value"):
-        long = long.where(F.col(key).isNotNull())
+    long = long_values(df, columns, by, carried).where(F.col("value").isNotNull())
     sums = [F.sum("_weight").alias("n"), *[F.sum(name).alias(name) for name in extra]]
     return long.groupBy(*by, "variable", "value").agg(*sums)
 
 
-def count_table(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), **kwargs) -> DataFrame:
-    """:func:`value_counts`, written once: the rows are then read once however many passes follow."""
-    return materialize(value_counts(df, columns, by, **kwargs), "value-counts")
-
-
-def _sizes(counts: DataFrame) -> dict[str, tuple[int, int]]:
-    """Distinct values and rows of each counted column."""
-    found = counts.groupBy("variable").agg(F.count(F.lit(1)).alias("distinct"), F.sum("n").alias("rows")).collect()
-    return {row["variable"]: (row["distinct"], row["rows"]) for row in found}  # one row per column
-
-
-def _fit_one_task(sizes: Mapping[str, tuple[int, int]]) -> bool:
-    return max((distinct for distinct, _ in sizes.values()), default=0) <= VALUES_PER_TASK
-
-
-def _running(keys: Sequence[str]) -> Column:
-    upto = W.partitionBy(*keys).orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
-    return F.sum("n").over(upto)
-
-
 def cumulative_counts(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Add ``cum`` (rows with this value or a smaller one) and ``total`` to a written count table.
+    """Add ``cum`` (rows with this value or a smaller one) to a table of value counts.
 
-    Up to VALUES_PER_TASK distinct values of a column are sorted by one task per group, more are
-    cut into ranges.
+    The counts are written once, in value ranges. Ranges are summed apart, so no task sorts more than
+    its own; the joined side has one row per group, column and range.
     """
-    sizes = _sizes(counts)
-    if _fit_one_task(sizes):
-        return _in_one_task(counts, sizes, by)
-    ranged, offsets = _value_ranges(counts, sizes, by)
-    return _within_ranges(ranged, offsets, by)
-
-
-def _in_one_task(counts: DataFrame, sizes: Mapping[str, tuple[int, int]], by: Sequence[str]) -> DataFrame:
     keys = [*by, "variable"]
-    if by:
-        total = F.sum("n").over(W.partitionBy(*keys))
-    else:
-        total = F.lit(0).cast("bigint")
-        for name, (_, n) in sizes.items():
-            total = F.when(F.col("variable") == name, F.lit(n).cast("bigint")).otherwise(total)
-    return counts.withColumn("cum", _running(keys)).withColumn("total", total)
-
-
-def _value_ranges(
-    counts: DataFrame, sizes: Mapping[str, tuple[int, int]], by: Sequence[str]
-) -> tuple[DataFrame, DataFrame]:
-    """The counts with their value range, and per group and range the rows before and inside it.
-
-    Range limits are the distinct values whose hash falls under a threshold, a rule that gives
-    the same limits on every evaluation. The broadcast side holds one row per counted column, of
-    about MAX_RANGES limits at most.
-    """
-    keys = [*by, "variable"]
-    share = F.lit(0.0)
-    for name, (distinct, _) in sizes.items():
-        wanted = min(MAX_RANGES, distinct // VALUES_PER_RANGE)
-        share = F.when(F.col("variable") == name, wanted / distinct).otherwise(share)
-    uniform = F.pmod(F.xxhash64("value"), F.lit(1 << 30)) / float(1 << 30)
-    limits = counts.where(uniform < share).groupBy("variable").agg(F.array_sort(F.collect_set("value")).alias("_limits"))
-    in_range = F.size(F.filter("_limits", lambda limit: limit < F.col("value")))
-    ranged = (
-        counts.join(F.broadcast(limits), "variable", "left")
-        .withColumn("_range", F.coalesce(in_range, F.lit(0)))
-        .drop("_limits")
-    )
-    per_key = W.partitionBy(*keys)
-    earlier = per_key.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        ranged.groupBy(*keys, "_range")
-        .agg(F.sum("n").alias("_inside"))
-        .select(
-            *keys,
-            "_range",
-            "_inside",
-            F.coalesce(F.sum("_inside").over(earlier), F.lit(0)).alias("_before"),
-            F.sum("_inside").over(per_key).alias("total"),
-        )
-    )
-    return ranged, offsets
-
-
-def _within_ranges(ranged: DataFrame, offsets: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Running counts inside the ranges listed in ``offsets``, shifted by the rows before them."""
-    keys = [*by, "variable", "_range"]
-    if not by:
-        offsets = F.broadcast(offsets)  # columns x ranges
-    return (
-        ranged.join(offsets, keys)
-        .withColumn("cum", F.col("_before") + _running(keys))
-        .drop("_range", "_before", "_inside")
-    )
+    dealt = counts.repartitionByRange(*keys, "value").withColumn("_range", F.spark_partition_id())
+    dealt = materialize(dealt, "value-counts")
+    earlier = W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    offsets = dealt.groupBy(*keys, "_range").agg(F.sum("n").alias("_inside"))
+    offsets = offsets.select(*keys, "_range", F.coalesce(F.sum("_inside").over(earlier), F.lit(0)).alias("_before"))
+    upto = W.partitionBy(*keys, "_range").orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
+    running = dealt.withColumn("_upto", F.sum("n").over(upto)).join(offsets, [*keys, "_range"])
+    return running.withColumn("cum", F.col("_before") + F.col("_upto")).drop("_range", "_before", "_upto")
 
 
 def mid_rank() -> Column:
@@ -149,50 +81,56 @@ def mid_rank() -> Column:
 
 def average_ranks(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), weight: str | None = None) -> DataFrame:
     """Average rank of each distinct value: ``(by..., variable, value, n, rank)``."""
-    ranked = cumulative_counts(count_table(df, columns, by, weight=weight), by)
+    ranked = cumulative_counts(value_counts(df, columns, by, weight=weight), by)
     return ranked.select(*by, "variable", "value", "n", mid_rank().alias("rank"))
 
 
-def _quantile_place(p: float) -> tuple[Column, Column, Column]:
-    """Positions of the two values around a quantile, counted from 1, and the part between them."""
-    position = F.lit(float(p)) * (F.col("total") - 1)
-    return F.floor(position) + 1, F.ceil(position) + 1, position - F.floor(position)
-
-
-def quantiles_of_counts(counts: DataFrame, probabilities: Mapping[str, float], by: Sequence[str] = ()) -> DataFrame:
-    """Linearly interpolated quantiles of a written count table, one column per probability.
-
-    With value ranges, only those that hold a wanted position are sorted.
-    """
-    sizes = _sizes(counts)
-    if _fit_one_task(sizes):
-        cumulative = _in_one_task(counts, sizes, by)
-    else:
-        ranged, offsets = _value_ranges(counts, sizes, by)
-        wanted = F.lit(False)
-        for p in probabilities.values():
-            for place in _quantile_place(p)[:2]:
-                wanted = wanted | ((place > F.col("_before")) & (place <= F.col("_before") + F.col("_inside")))
-        cumulative = _within_ranges(ranged, offsets.where(wanted), by)
-    picks, finals = [], []
-    for name, p in probabilities.items():
-        low, high, part = _quantile_place(p)
-        picks += [
-            F.min(F.when(F.col("cum") >= low, F.col("value"))).alias(f"_{name}_low"),
-            F.min(F.when(F.col("cum") >= high, F.col("value"))).alias(f"_{name}_high"),
-            F.max(part).alias(f"_{name}_part"),
-        ]
-        between = F.col(f"_{name}_high") - F.col(f"_{name}_low")
-        finals.append((F.col(f"_{name}_low") + between * F.col(f"_{name}_part")).alias(name))
-    picked = cumulative.groupBy(*by, "variable").agg(F.max("total").alias("n"), *picks)
-    return picked.select(*by, "variable", "n", *finals)
-
-
 def quantiles(
     df: DataFrame, columns: Sequence[str], probabilities: Mapping[str, float], by: Sequence[str] = ()
 ) -> DataFrame:
-    """Exact quantiles per column (and per ``by`` group): ``(by..., variable, n, <names>)``."""
-    return quantiles_of_counts(count_table(df, columns, by), probabilities, by)
+    """Exact, linearly interpolated quantiles per column (and ``by`` group): ``(by..., variable, n, <names>)``.
+
+    A column without values has no row.
+    """
+    keys = [*by, "variable"]
+    long = long_values(df, columns, by).where(F.col("value").isNotNull())
+    names, wanted = list(probabilities), [float(p) for p in probabilities.values()]
+    edges = [min(1.0, max(0.0, p + side * reach)) for p in wanted for reach in REACHES for side in (-1, 1)]
+    rung = F.lit(len(REACHES) - 1)
+    for k, reach in reversed(list(enumerate(REACHES))):
+        rung = F.when(F.col("n") * reach >= LEAST_RANKS, k).otherwise(rung)
+    edge = lambda i, side: F.get("_edges", 2 * len(REACHES) * i + 2 * rung + side)
+    sketched = long.groupBy(*keys).agg(F.count("value").alias("n"), F.percentile_approx("value", edges, ACCURACY).alias("_edges"))
+    position = [F.lit(p) * (F.col("n") - 1) for p in wanted]
+    brackets = [
+        F.struct(
+            F.lit(i).alias("at"),
+            edge(i, 0).alias("low"),
+            edge(i, 1).alias("high"),
+            (F.floor(place) + 1).alias("first"),
+            (F.ceil(place) + 1).alias("second"),
+            (place - F.floor(place)).alias("part"),
+        )
+        for i, place in enumerate(position)
+    ]
+    sketched = sketched.select(*[F.col(k).alias(f"_{k}") for k in keys], "n", F.explode(F.array(*brackets)).alias("b"))
+    sketched = sketched.select(*[f"_{k}" for k in keys], "n", "b.*")
+    bracketed = sketched.groupBy(*[f"_{k}" for k in keys]).agg(F.collect_list(F.struct("at", "low", "high")).alias("_brackets"))
+    same = " and ".join(f"`{k}` = `_{k}`" for k in keys)
+    met = F.filter("_brackets", lambda b: F.col("value") <= b["high"])
+    joined = long.join(bracketed, F.expr(same)).select(*keys, "value", F.explode(met).alias("b"))
+    inside = F.when(F.col("value") >= F.col("b.low"), F.col("value"))  # null: below the bracket
+    counted = joined.groupBy(*keys, F.col("b.at").alias("of"), inside.alias("value")).agg(F.count(F.lit(1)).alias("c"))
+    upto = W.partitionBy(*keys, "of").orderBy(F.col("value").asc_nulls_first()).rowsBetween(W.unboundedPreceding, W.currentRow)
+    ranked = counted.withColumn("cum", F.sum("c").over(upto))
+    places = sketched.select(*[f"_{k}" for k in keys], "n", "at", "first", "second", "part")
+    found = ranked.join(places, F.expr(f"{same} and of = at"))
+    at_place = lambda place: F.min(F.when(F.col("cum") >= F.col(place), F.struct("cum", "value")))["value"]
+    low, high = (F.coalesce(at_place(place), F.raise_error(F.lit("a bracket misses its position"))) for place in ("first", "second"))
+    picked = found.groupBy(*keys, "at", "n", "part").agg(low.alias("low"), high.alias("high"))
+    value = F.col("low") + (F.col("high") - F.col("low")) * F.col("part")
+    finals = [F.max(F.when(F.col("at") == i, value)).alias(name) for i, name in enumerate(names)]
+    return picked.groupBy(*keys, "n").agg(*finals).select(*keys, "n", *names)
 
 
 def approximate_quantiles(
