@@ -71,16 +71,31 @@ def add_calendar(df: DataFrame) -> DataFrame:
     )
 
 
+def add_purchase_counts(df: DataFrame) -> DataFrame:
+    """Both counts above, with the lines joined once.
+
+    Lines are first counted per receipt and client. That small table gives the receipts of a client (its
+    rows) and the lines of a receipt (their sum), and is joined to the lines on receipt and client.
+    """
+    receipt, client = F.col("boleta"), F.col("codigo_cliente")
+    pairs = df.groupBy(receipt, client).agg(F.count(F.lit(1)).alias("_lines"))
+    known = pairs.where(client.isNotNull()).groupBy(client.alias("_client")).agg(F.count("boleta").alias("frecuencia_compra"))
+    items = pairs.where(receipt.isNotNull()).groupBy(receipt.alias("_receipt")).agg(F.sum("_lines").alias("items_por_boleta"))
+    counted = pairs.join(items, receipt == F.col("_receipt"), "left").join(known, client == F.col("_client"), "left")
+    counted = counted.select(receipt.alias("_boleta"), client.alias("_codigo"), "frecuencia_compra", "items_por_boleta")
+    return df.join(counted, F.expr("boleta <=> _boleta and codigo_cliente <=> _codigo")).drop("_boleta", "_codigo")
+
+
 def derive_features(df: DataFrame) -> DataFrame:
     """All derived columns the input columns allow."""
     df = df.withColumn("monto_por_unidad", ratio(F.col("monto_aplicado"), F.col("unidades")))
     if "fecha_nacimiento" in df.columns:
         df = add_age(df)
     order = df.columns
-    if "boleta" in df.columns:
-        if "codigo_cliente" in df.columns:
-            df = add_purchase_frequency(df)
-            order = [*order, "frecuencia_compra"]
+    if "boleta" in df.columns and "codigo_cliente" in df.columns:
+        df = add_purchase_counts(df)
+        order = [*order, "frecuencia_compra", "items_por_boleta"]
+    elif "boleta" in df.columns:
         df = add_items_per_receipt(df)
         order = [*order, "items_por_boleta"]
     return add_calendar(df.select(*order))

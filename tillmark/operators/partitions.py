@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 PieceFunction = Callable[..., "pd.DataFrame | None"]
 GroupFunction = Callable[..., "pd.DataFrame | None"]
+#: Rows that one call of a function on parts of groups may see; what it returns is merged, so the number changes no result.
+ROWS_PER_CALL = 200_000
 MERGES = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
@@ -55,8 +57,21 @@ def map_by_key(df: DataFrame, func: GroupFunction, schema: str, key: str, **kwar
     return map_groups(df, func, schema, [key], **kwargs)
 
 
+def _gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Arrow batches joined into frames of about ROWS_PER_CALL rows."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += len(batch)
+        if size >= ROWS_PER_CALL:
+            yield pd.concat(held, ignore_index=True)
+            held, size = [], 0
+    if size:
+        yield pd.concat(held, ignore_index=True)
+
+
 def map_group_parts(df: DataFrame, func: PieceFunction, schema: str, by: Sequence[str], merge: Mapping[str, str], **kwargs) -> DataFrame:
-    """Two-phase aggregate by group: ``func`` on the part of a group within a batch, then ``merge``.
+    """Two-phase aggregate by group: ``func`` on the part of a group within some batches, then ``merge``.
 
     For functions that merge: ``merge`` says how each result column is combined ("sum", "min" or
     "max"). Rows are not shuffled, only the partial results are, so a group of any size is spread
@@ -65,7 +80,7 @@ def map_group_parts(df: DataFrame, func: PieceFunction, schema: str, by: Sequenc
     by = list(by)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in _gather(batches):
             parts = []
             for key, piece in batch.groupby(by, sort=False):
                 result = func(piece, **kwargs)

@@ -25,6 +25,8 @@ from tillmark.session import materialize
 ACCURACY = 100_000
 REACHES = (5e-5, 5e-4, 5e-3, 5e-2, 1.0)
 LEAST_RANKS = 6
+#: Brackets of so many groups, columns and probabilities may be broadcast; more are joined by a shuffle.
+BROADCAST_ROWS = 100_000
 
 
 def long_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), carried: Sequence[Column] = ()) -> DataFrame:
@@ -114,11 +116,13 @@ def quantiles(
         for i, place in enumerate(position)
     ]
     sketched = sketched.select(*[F.col(k).alias(f"_{k}") for k in keys], "n", F.explode(F.array(*brackets)).alias("b"))
-    sketched = sketched.select(*[f"_{k}" for k in keys], "n", "b.*")
+    # Written, a row per group, column and probability: whether it may be broadcast is then known before the second pass.
+    sketched = materialize(sketched.select(*[f"_{k}" for k in keys], "n", "b.*"), "brackets")
+    small = not by or sketched.count() <= BROADCAST_ROWS
     bracketed = sketched.groupBy(*[f"_{k}" for k in keys]).agg(F.collect_list(F.struct("at", "low", "high")).alias("_brackets"))
     same = " and ".join(f"`{k}` = `_{k}`" for k in keys)
     met = F.filter("_brackets", lambda b: F.col("value") <= b["high"])
-    joined = long.join(bracketed, F.expr(same)).select(*keys, "value", F.explode(met).alias("b"))
+    joined = long.join(F.broadcast(bracketed) if small else bracketed, F.expr(same)).select(*keys, "value", F.explode(met).alias("b"))
     inside = F.when(F.col("value") >= F.col("b.low"), F.col("value"))  # null: below the bracket
     counted = joined.groupBy(*keys, F.col("b.at").alias("of"), inside.alias("value")).agg(F.count(F.lit(1)).alias("c"))
     upto = W.partitionBy(*keys, "of").orderBy(F.col("value").asc_nulls_first()).rowsBetween(W.unboundedPreceding, W.currentRow)
