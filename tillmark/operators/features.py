@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillmark.functions.expressions import half_even, ratio, whole_days_between
 from tillmark.operators.quantiles import quantiles
+from tillmark.session import materialize
 
 MIN_AGE, MAX_AGE = 0, 100
 DAYS_PER_YEAR = 365.25
@@ -78,7 +79,7 @@ def add_purchase_counts(df: DataFrame) -> DataFrame:
     rows) and the lines of a receipt (their sum), and is joined to the lines on receipt and client.
     """
     receipt, client = F.col("boleta"), F.col("codigo_cliente")
-    pairs = df.groupBy(receipt, client).agg(F.count(F.lit(1)).alias("_lines"))
+    pairs = materialize(df.select(receipt, client).groupBy(receipt, client).agg(F.count(F.lit(1)).alias("_lines")), "purchases")
     known = pairs.where(client.isNotNull()).groupBy(client.alias("_client")).agg(F.count("boleta").alias("frecuencia_compra"))
     items = pairs.where(receipt.isNotNull()).groupBy(receipt.alias("_receipt")).agg(F.sum("_lines").alias("items_por_boleta"))
     counted = pairs.join(items, receipt == F.col("_receipt"), "left").join(known, client == F.col("_client"), "left")
