@@ -236,7 +236,7 @@ def _least_squares() -> list[str]:
     ctes = [
         f"""split as (
   select monto_aplicado as y, (canal = 'CCT')::int::double as cct, (canal = 'POS')::int::double as pos, (canal = 'WEB')::int::double as web,
-    local, items_por_boleta::double as items, porcentaje_descuento as disc, {HASH} % 10000 < 7000 as is_train from feat
+    local, items_por_boleta::double as items, porcentaje_descuento as disc, {HASH} % 10000 < 7000 as is_train, {HASH} as h from feat
 )""",
         "means as (select count(*) as n, avg(y) as my, " + ", ".join(f"avg({c}) as m_{c}" for c in DESIGN) + " from split where is_train)",
         "q0 as (select y - my as y, " + ", ".join(f"{c} - m_{c} as {c}" for c in DESIGN) + " from split, means where is_train)",
@@ -361,7 +361,38 @@ JUDGED = """judged as (
 )"""
 
 
+GUARDS = """
+select 'welch' as test, 0::bigint as n_a, count(*) filter (where upper(canal) = 'WEB') as n_b, 'not enough rows' as error from few union all
+select 'mann_whitney', 0, count(*) filter (where upper(canal) = 'WEB'), 'not enough rows' from few union all
+select 'regression', count(*), null, 'not enough rows or no variance' from few union all
+select h, null, null, 'missing column: ' || c from (values ('H1_ticket_app_vs_web', 'canal'), ('H3_monto_finde_vs_semana', 'es_fin_de_semana'),
+  ('H4_edad_vs_monto', 'edad'), ('H5_genero_vs_monto', 'genero')) as m(h, c)"""
+
+
+def _cells(found: dict[str, str]) -> str:
+    """Result cells of other queries' SQL: section, its name's SQL, key column or nothing, value columns."""
+    parts = []
+    for section, name, key, columns in (
+        ("run", "run_header", "", ("n_rows", "seed")),
+        ("canal", "channel_shares", "canal", ("n_rows", "pct")),
+        ("hours", "peak_hours", "", ("hora_mayor_venta", "hora_menor_venta")),
+        ("daily_summary", "daily_summary", "", ("mean", "std", "max_date")),
+        ("outliers", "outlier_summary_monto", '"column"', ("n_iqr_outliers", "pct_iqr_outliers", "n_zscore_outliers", "pct_zscore_outliers")),
+    ):
+        for c in columns:
+            parts.append(
+                f"select '{section}' as section, {key or repr('')} as key1, '{c}' as key2, "
+                f"try_cast({c}::varchar as double) as value, case when try_cast({c}::varchar as double) is null then {c}::varchar end as text from ({found[name]})"
+            )
+    return _union(parts)
+
+
 def registry() -> dict[str, str]:
+    found = _registry()
+    return found | {"results_table": _cells(found)}
+
+
+def _registry() -> dict[str, str]:
     z = lambda c, table="feat": (
         f"round(({c} - (select avg({c}) from {table})) / (select case when stddev_pop({c}) = 0 then 1 else stddev_pop({c}) end from {table}), 5)"
     )
@@ -544,6 +575,11 @@ select (select n from means) as n_train, count(*) filter (where not is_train) as
   round(sqrt(avg(e * e) filter (where not is_train)), 4) as rmse_test, round(avg(abs(e)) filter (where not is_train), 4) as mae_test
 from (select s.y, is_train, s.y - ({FITTED}) as e from split s, beta)"""
         ),
+        "residual_points": on_model(
+            f"select round(f, 2) as fitted, round(y - f, 2) as residual from (select {FITTED} as f, s.y, h from split s, beta where is_train) "
+            "order by h limit 5000"
+        ),
+        "guard_rows": on_feat(GUARDS, "few as (select * from feat where canal != 'APP' and genero = 1)"),
         "vif": on_model(VIF, VIF_DETS),
         "breusch_pagan_statistic": on_model(
             "select round(count(*) * ("

@@ -305,12 +305,16 @@ def jarque_bera(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(rounded(found, 6, "skew", "kurtosis", "p_value"), 4, "statistic")
 
 
-def residual_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return regression.residual_sample(_model(spark, sf_dir), _model_rows(spark, sf_dir), sales_key())
 
 
+def residual_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(_residuals(spark, sf_dir), 2, "fitted", "residual")
+
+
 def residual_qq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return regression.qq_points(residual_points(spark, sf_dir))
+    return regression.qq_points(_residuals(spark, sf_dir))
 
 
 def _clients(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -432,16 +436,38 @@ def receipts_per_client_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def results_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells of some results; numbers are compared as such, not as text."""
     table = prepared(spark, sf_dir)
-    return results.results_table(
+    cells = results.results_table(
         {
             "run": (run_header(spark, sf_dir), ()),
             "canal": (describe.value_shares(table, "canal"), ("canal",)),
             "hours": (describe.peak_hours(table), ()),
-            "daily_summary": (timeseries.daily_summary(timeseries.daily_sales(table)), ()),
+            "daily_summary": (daily_summary(spark, sf_dir), ()),
             "outliers": (outliers.outlier_summary(table, AMOUNT), ("column",)),
         }
     )
+    number = F.col("value").try_cast("double")
+    return cells.select("section", "key1", "key2", number.alias("value"), F.when(number.isNull(), F.col("value")).alias("text"))
+
+
+def guard_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Errors of tests that lack rows, variance, groups or columns."""
+    table = prepared(spark, sf_dir)
+    few = table.where((F.col("canal") != "APP") & (F.col("genero") == 1))
+    groups = hypothesis.two_groups(few, AMOUNT, hypothesis.channel_label("canal", "app", "web"))
+    constant = few.withColumn("items_por_boleta", F.lit(1))
+    found = {
+        "welch": hypothesis.welch_statistic(groups, AMOUNT).select("n_a", "n_b", "error"),
+        "mann_whitney": hypothesis.mann_whitney_statistic(groups, AMOUNT).select("n_a", "n_b", "error"),
+        "regression": hypothesis.simple_regression_statistic(constant, "items_por_boleta", "porcentaje_descuento").select(
+            F.col("n").alias("n_a"), F.lit(None).cast("bigint").alias("n_b"), "error"
+        ),
+    }
+    battery = hypothesis.hypothesis_battery(few.drop("canal", "es_fin_de_semana", "edad", "genero"), sales_key())
+    rows = [df.select(F.lit(name).alias("test"), F.col("n_a").cast("bigint"), F.col("n_b").cast("bigint"), "error") for name, df in found.items()]
+    absent = battery.where("error is not null").select("hypothesis", F.lit(None).cast("bigint"), F.lit(None).cast("bigint"), "error")
+    return csv.union_all([*rows, absent.toDF("test", "n_a", "n_b", "error")])
 
 
 def on_prepared(operator: Callable[..., DataFrame], *args, **kwargs) -> Query:
@@ -545,4 +571,5 @@ def registry() -> dict[str, Query]:
         "client_totals_by_key": client_totals_by_key,
         "receipts_per_client_by_key": receipts_per_client_by_key,
         "results_table": results_table,
+        "guard_rows": guard_rows,
     }

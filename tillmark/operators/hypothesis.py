@@ -18,6 +18,10 @@ from tillmark.operators.sampling import DEFAULT_SEED, sample_rows
 LEVEL = 0.05
 EXACT_GROUP = 8
 MIN_REGRESSION_ROWS = 10
+# The result keys of the five hypotheses.
+HYPOTHESES = (
+    "H1_ticket_app_vs_web", "H2_descuento_vs_volumen", "H3_monto_finde_vs_semana", "H4_edad_vs_monto", "H5_genero_vs_monto",
+)
 
 
 def significant(p: str = "p_value") -> Column:
@@ -279,30 +283,43 @@ def _result(df: DataFrame, hypothesis: str, test: Column, statistic: str, **deta
     )
 
 
+def _absent(df: DataFrame, hypothesis: str, *columns: str) -> DataFrame:
+    """The row of a hypothesis whose columns are not in the table."""
+    missing = ", ".join(c for c in columns if c not in df.columns)
+    null = lambda kind, name: F.lit(None).cast(kind).alias(name)
+    return df.sparkSession.range(1).select(
+        F.lit(hypothesis).alias("hypothesis"), null("string", "test"), null("double", "statistic"), null("double", "p_value"),
+        null("boolean", "significant"), null("map<string,double>", "details"), F.lit(f"missing column: {missing}").alias("error"),
+    )
+
+
 def hypothesis_battery(df: DataFrame, keys: Sequence[Column | str], seed: int = DEFAULT_SEED) -> DataFrame:
-    """The five hypotheses on a prepared sales table, one row each."""
+    """The five hypotheses on a prepared sales table, one row each; an error row where a column is absent."""
     volume = volume_column(df)
+
+    def needs(*columns: str) -> bool:
+        return all(c in df.columns for c in columns)
+
     pieces = [
         _result(
             compare_groups(df, "monto_aplicado", channel_label("canal", "APP", "WEB"), keys, seed),
-            "H1_ticket_app_vs_web", F.col("test"), "statistic", mean_a="mean_a", mean_b="mean_b",
-        ),
+            HYPOTHESES[0], F.col("test"), "statistic", mean_a="mean_a", mean_b="mean_b",
+        )
+        if needs("canal") else _absent(df, HYPOTHESES[0], "canal"),
+        _result(
+            simple_regression(df, volume, "porcentaje_descuento"), HYPOTHESES[1], F.lit("linear regression"), "slope", r_squared="r_squared",
+        )
+        if needs("porcentaje_descuento", volume) else _absent(df, HYPOTHESES[1], "porcentaje_descuento", volume),
         _result(
-            simple_regression(df, volume, "porcentaje_descuento"),
-            "H2_descuento_vs_volumen", F.lit("linear regression"), "slope", r_squared="r_squared",
-        ),
-    ]
-    if "es_fin_de_semana" in df.columns:
-        pieces.append(
-            _result(
-                compare_groups(df, "monto_aplicado", flag_label("es_fin_de_semana"), keys, seed),
-                "H3_monto_finde_vs_semana", F.col("test"), "statistic", mean_finde="mean_a", mean_semana="mean_b",
-            )
+            compare_groups(df, "monto_aplicado", flag_label("es_fin_de_semana"), keys, seed),
+            HYPOTHESES[2], F.col("test"), "statistic", mean_finde="mean_a", mean_semana="mean_b",
         )
-    if "edad" in df.columns:
-        pieces.append(_result(correlation_test(df, "edad", "monto_aplicado"), "H4_edad_vs_monto", F.lit("Pearson"), "r"))
-    if "genero" in df.columns:
-        pieces.append(_result(anova(df, "monto_aplicado", "genero"), "H5_genero_vs_monto", F.lit("ANOVA"), "f_statistic"))
+        if needs("es_fin_de_semana") else _absent(df, HYPOTHESES[2], "es_fin_de_semana"),
+        _result(correlation_test(df, "edad", "monto_aplicado"), HYPOTHESES[3], F.lit("Pearson"), "r")
+        if needs("edad") else _absent(df, HYPOTHESES[3], "edad"),
+        _result(anova(df, "monto_aplicado", "genero"), HYPOTHESES[4], F.lit("ANOVA"), "f_statistic")
+        if needs("genero") else _absent(df, HYPOTHESES[4], "genero"),
+    ]
     out = pieces[0]
     for piece in pieces[1:]:
         out = out.unionByName(piece)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -46,7 +47,7 @@ def read_sales_csv(
     multi_line: bool = False,
     partitions: int | None = None,
 ) -> DataFrame:
-    """All columns as text under their file names, without the personal names.
+    """All columns as text under their file names, without the personal names; a warning names absent expected ones.
 
     Plain files are split by Spark (``spark.sql.files.maxPartitionBytes``). A gzip file is one
     split, so its rows are spread after the read. ``multi_line`` allows line breaks in quotes at
@@ -62,6 +63,9 @@ def read_sales_csv(
         .option("multiLine", multi_line)
     )
     df = _open(reader.csv, path).drop(*schema.PERSONAL_COLUMNS)
+    absent = missing_columns(df.columns)
+    if absent:
+        warnings.warn(f"columns not in {path}: {', '.join(absent)}", stacklevel=2)
     df = first_rows(df, n_rows)
     paths = [path] if isinstance(path, str) else list(path)
     if partitions or all(p.endswith(".gz") for p in paths):
