@@ -232,38 +232,38 @@ DESIGN = ["cct", "pos", "web", "local", "items", "disc"]
 TERMS = ["canal_CCT", "canal_POS", "canal_WEB", "local", "items_por_boleta", "porcentaje_descuento"]
 
 
-def _least_squares() -> list[str]:
+def _least_squares(design: list[str]) -> list[str]:
     ctes = [
         f"""split as (
   select monto_aplicado as y, (canal = 'CCT')::int::double as cct, (canal = 'POS')::int::double as pos, (canal = 'WEB')::int::double as web,
     local, items_por_boleta::double as items, porcentaje_descuento as disc, {HASH} % 10000 < 7000 as is_train, {HASH} as h from feat
 )""",
-        "means as (select count(*) as n, avg(y) as my, " + ", ".join(f"avg({c}) as m_{c}" for c in DESIGN) + " from split where is_train)",
-        "q0 as (select y - my as y, " + ", ".join(f"{c} - m_{c} as {c}" for c in DESIGN) + " from split, means where is_train)",
+        "means as (select count(*) as n, avg(y) as my, " + ", ".join(f"avg({c}) as m_{c}" for c in design) + " from split where is_train)",
+        "q0 as (select y - my as y, " + ", ".join(f"{c} - m_{c} as {c}" for c in design) + " from split, means where is_train)",
     ]
-    for k, q in enumerate(DESIGN):
-        later = DESIGN[k + 1 :]
+    for k, q in enumerate(design):
+        later = design[k + 1 :]
         slopes = [f"sum({q} * {c}) / sum({q} * {q}) as r_{q}_{c}" for c in later] + [f"sum({q} * y) / sum({q} * {q}) as g_{q}"]
         ctes.append(f"s{k + 1} as (select {', '.join(slopes)} from q{k})")
-        kept = ", ".join(DESIGN[: k + 1])
+        kept = ", ".join(design[: k + 1])
         moved = ", ".join([f"{c} - r_{q}_{c} * {q} as {c}" for c in later] + [f"y - g_{q} * {q} as y"])
         ctes.append(f"q{k + 1} as (select {kept}, {moved} from q{k}, s{k + 1})")
-    source = ", ".join(["means", *[f"s{k + 1}" for k in range(len(DESIGN))]])
+    source = ", ".join(["means", *[f"s{k + 1}" for k in range(len(design))]])
     levels = []
-    for k in reversed(range(len(DESIGN))):
-        q = DESIGN[k]
-        expression = " - ".join([f"g_{q}", *[f"b_{c} * r_{q}_{c}" for c in DESIGN[k + 1 :]]])
+    for k in reversed(range(len(design))):
+        q = design[k]
+        expression = " - ".join([f"g_{q}", *[f"b_{c} * r_{q}_{c}" for c in design[k + 1 :]]])
         levels.append((q, expression))
     inner = f"select * from {source}"
     for q, expression in levels:
         inner = f"select *, {expression} as b_{q} from ({inner})"
-    intercept = " - ".join(["my", *[f"b_{c} * m_{c}" for c in DESIGN]])
+    intercept = " - ".join(["my", *[f"b_{c} * m_{c}" for c in design]])
     ctes.append(f"beta as (select *, {intercept} as b0 from ({inner}))")
     return ctes
 
 
-def on_model(body: str, *more: str) -> str:
-    return on_feat(body, *_least_squares(), *more)
+def on_model(body: str, *more: str, design: list[str] | None = None) -> str:
+    return on_feat(body, *_least_squares(design or DESIGN), *more)
 
 
 def _coefficients() -> str:
@@ -271,6 +271,19 @@ def _coefficients() -> str:
     return _union([*parts, "select 'intercept' as term, round(b0, 3) as coefficient from beta"])
 
 
+def _constant_volume() -> str:
+    """The design without its constant column, which shares the intercept; six of seven terms count."""
+    kept = [c for c in DESIGN if c != "items"]
+    fitted = "b0 + " + " + ".join(f"b_{c} * s.{c}" for c in kept)
+    parts = [f"select '{t}' as term, round(b_{c}, 3) as coefficient from beta" for c, t in zip(DESIGN, TERMS) if c in kept]
+    parts += [f"select '{t}' as term, round(b0 / 2, 3) as coefficient from beta" for t in ("intercept", "items_por_boleta")]
+    parts.append(
+        f"select 'r_squared_adj' as term, round(1 - sum(e * e) / (count(*) * var_pop(y)) * ((count(*) - 1) / (count(*) - 6)::double), 3) as coefficient "
+        f"from (select s.y, s.y - ({fitted}) as e from split s, beta where is_train)"
+    )
+    return on_model(_union([*parts, "select 'breusch_pagan_dof' as term, 5.0::double as coefficient"]), design=kept)
+
+
 FITTED = "b0 + " + " + ".join(f"b_{c} * s.{c}" for c in DESIGN)
 
 VIF = """
@@ -575,6 +588,7 @@ select (select n from means) as n_train, count(*) filter (where not is_train) as
   round(sqrt(avg(e * e) filter (where not is_train)), 4) as rmse_test, round(avg(abs(e)) filter (where not is_train), 4) as mae_test
 from (select s.y, is_train, s.y - ({FITTED}) as e from split s, beta)"""
         ),
+        "ols_constant_volume": _constant_volume(),
         "residual_points": on_model(
             f"select round(f, 2) as fitted, round(y - f, 2) as residual from (select {FITTED} as f, s.y, h from split s, beta where is_train) "
             "order by h limit 5000"

@@ -289,6 +289,20 @@ def ols_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(rounded(measures, 8, "r_squared_adj"), 4, "rmse_test", "mae_test")
 
 
+def _constant_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _model_rows(spark, sf_dir).withColumn("items_por_boleta", F.lit(1.0))
+
+
+def ols_constant_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coefficients and fit if the volume is the constant 1: half of the intercept each, one rank less."""
+    rows = _constant_rows(spark, sf_dir)
+    model = regression.fit_amount_model(rows)
+    table = regression.coefficient_table(model, spark).select("term", "coefficient")
+    fit = regression.fit_measures(model, rows).select(F.lit("r_squared_adj").alias("term"), F.col("r_squared_adj").alias("coefficient"))
+    dof = regression.breusch_pagan(model, rows).select(F.lit("breusch_pagan_dof").alias("term"), F.col("dof").alias("coefficient"))
+    return rounded(table.unionByName(fit).unionByName(dof), 3, "coefficient")
+
+
 def vif(spark: SparkSession, sf_dir: str) -> DataFrame:
     train = _model_rows(spark, sf_dir).where("is_train")
     return rounded(regression.variance_inflation(train, ["local", "items_por_boleta", "porcentaje_descuento"]), 6, "vif")
@@ -549,6 +563,7 @@ def registry() -> dict[str, Query]:
         "ols_coefficients": ols_coefficients,
         "ols_table": lambda s, d: regression.coefficient_table(_model(s, d), s),
         "ols_fit": ols_fit,
+        "ols_constant_volume": ols_constant_volume,
         "vif": vif,
         "breusch_pagan_statistic": breusch_pagan_statistic,
         "jarque_bera": jarque_bera,

@@ -21,6 +21,8 @@ from tillmark.operators.sampling import DEFAULT_SEED, hash_split, sample_rows
 
 LABEL = "monto_aplicado"
 PLOT_SAMPLE = 5000
+#: Shares of a design's largest eigenvalue that count as nothing.
+RANK_TOLERANCE = 1e-12
 MIN_VIF_ROWS = 10
 
 
@@ -79,6 +81,7 @@ class AmountModel:
     inverse: np.ndarray
     n_train: int
     rss: float
+    rank: int
 
     @property
     def terms(self) -> list[str]:
@@ -86,7 +89,7 @@ class AmountModel:
 
     @property
     def dof(self) -> int:
-        return self.n_train - len(self.terms)
+        return self.n_train - self.rank
 
     def predict(self, rows: DataFrame) -> DataFrame:
         """Rows with ``fitted`` and ``residual``; a channel unseen in training is an error."""
@@ -108,7 +111,8 @@ def fit_amount_model(rows: DataFrame) -> AmountModel:
     """Least squares of amount on channel, shop, volume and discount, on the train rows.
 
     The alphabetically first channel is the base level. Three passes: means, cross products,
-    residual sum of squares. A singular design takes the smallest coefficients.
+    residual sum of squares. A singular design, such as a constant volume, takes the smallest coefficients,
+    and its rank counts for the degrees of freedom.
     """
     train = rows.where("is_train")
     numeric = ["local", volume_column(rows), "porcentaje_descuento"]
@@ -119,16 +123,24 @@ def fit_amount_model(rows: DataFrame) -> AmountModel:
     xtx, xty = design.cross_products(train, F.col(LABEL) - design.label_mean)
     scale = np.sqrt(np.diag(xtx))
     scale[scale == 0] = 1.0
-    inverse = np.linalg.pinv(xtx / np.outer(scale, scale), hermitian=True) / np.outer(scale, scale)
+    scaled = xtx / np.outer(scale, scale)
+    inverse = np.linalg.pinv(scaled, hermitian=True, rtol=RANK_TOLERANCE) / np.outer(scale, scale)
+    values, vectors = np.linalg.eigh(scaled)
+    free = vectors[:, values <= RANK_TOLERANCE * values.max()] / scale[:, None]
     # back from deviations to the columns themselves: only the intercept changes
     back = np.eye(len(scale))
     back[0, len(design.levels) :] = -np.array(design.means)
     coefficients = back @ (inverse @ xty)
     coefficients[0] += design.label_mean
+    # what the design leaves free is taken out of the coefficients, which makes them the smallest
+    directions, _ = np.linalg.qr(back @ free)
+    smallest = np.eye(len(scale)) - directions @ directions.T
+    coefficients = smallest @ coefficients
     e = F.col("residual")
     n, rss = with_fitted(train, design, coefficients).agg(F.count(e), F.sum(e * e)).first()
-    covariance = back @ inverse @ back.T * (rss / max(n - len(scale), 1))
-    return AmountModel(design, coefficients, covariance, inverse, n, rss)
+    rank = len(scale) - free.shape[1]
+    covariance = smallest @ back @ inverse @ back.T @ smallest * (rss / max(n - rank, 1))
+    return AmountModel(design, coefficients, covariance, inverse, n, rss, rank)
 
 
 def coefficient_table(model: AmountModel, spark: SparkSession) -> DataFrame:
@@ -170,7 +182,7 @@ def fit_measures(model: AmountModel, rows: DataFrame) -> DataFrame:
     )
     n = F.col("n_train").cast("double")
     unexplained = ratio(F.col("rss"), n * F.col("variance"))
-    adjusted = 1 - unexplained * ratio(n - 1, n - len(model.terms))
+    adjusted = 1 - unexplained * ratio(n - 1, n - model.rank)
     return sums.select("n_train", "n_test", adjusted.alias("r_squared_adj"), "rmse_test", "mae_test")
 
 
@@ -183,7 +195,7 @@ def breusch_pagan(model: AmountModel, rows: DataFrame) -> DataFrame:
     explained = float(xty @ model.inverse @ xty)
     statistic = model.n_train * explained / total if total else None
     one = rows.sparkSession.range(1).select(
-        F.lit(statistic).cast("double").alias("statistic"), F.lit(float(len(model.terms) - 1)).alias("dof")
+        F.lit(statistic).cast("double").alias("statistic"), F.lit(float(model.rank - 1)).alias("dof")
     )
     return one.withColumn("p_value", chi2_p("statistic", "dof")).withColumn("homocedastico", F.col("p_value") > 0.05)
 
@@ -202,37 +214,34 @@ def jarque_bera(residuals: DataFrame, column: str = "residual") -> DataFrame:
 
 
 def variance_inflation(df: DataFrame, columns: Sequence[str], intercept: bool = False) -> DataFrame:
-    """VIF of three columns: ``(variable, vif)``, no rows under ten complete rows.
+    """Variance inflation of each column: ``(variable, vif)``, no rows under ten complete rows.
 
-    The default regresses each column on the others without a constant (uncentred), from six
-    cross products and the closed inverse of a 3x3 matrix.
+    The default regresses each column on the others without a constant (uncentred), from their cross
+    products, one row of sums. A column that the others give exactly has an infinite factor, one
+    without any value but zero has none.
     """
-    if len(columns) != 3:
-        raise ValueError("three columns are expected")
+    columns = list(columns)
     complete = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna()
-    n = F.count(F.lit(1)).cast("double")
 
     def product(a: str, b: str) -> Column:
         centred = F.covar_pop(a, b)
         return centred if intercept else centred + F.avg(a) * F.avg(b)
 
-    names = {(i, j): f"g{i}{j}" for i in range(3) for j in range(i, 3)}
-    sums = complete.agg(n.alias("n"), *[product(columns[i], columns[j]).alias(name) for (i, j), name in names.items()])
-
-    def g(i: int, j: int) -> Column:
-        return F.col(names[min(i, j), max(i, j)])
-
-    def minor(i: int) -> Column:
-        j, k = [v for v in range(3) if v != i]
-        return g(j, j) * g(k, k) - g(j, k) * g(j, k)
-
-    determinant = (
-        g(0, 0) * minor(0)
-        - g(0, 1) * (g(0, 1) * g(2, 2) - g(1, 2) * g(0, 2))
-        + g(0, 2) * (g(0, 1) * g(1, 2) - g(1, 1) * g(0, 2))
-    )
-    rows = [F.struct(F.lit(c).alias("variable"), ratio(g(i, i) * minor(i), determinant).alias("vif")) for i, c in enumerate(columns)]
-    return sums.where(F.col("n") >= MIN_VIF_ROWS).select(F.inline(F.array(*rows)))
+    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
+    sums = complete.agg(F.count(F.lit(1)).alias("n"), *[product(columns[i], columns[j]).alias(f"g{i}_{j}") for i, j in pairs]).first()
+    rows = []
+    if sums["n"] >= MIN_VIF_ROWS:
+        gram = np.zeros((len(columns), len(columns)))
+        for i, j in pairs:
+            gram[i, j] = gram[j, i] = sums[f"g{i}_{j}"]
+        scale = np.sqrt(np.diag(gram))
+        unit = gram / np.outer(np.where(scale > 0, scale, 1.0), np.where(scale > 0, scale, 1.0))
+        for i, name in enumerate(columns):
+            others = [j for j in range(len(columns)) if j != i]
+            known = unit[i, others] @ np.linalg.pinv(unit[np.ix_(others, others)], hermitian=True, rtol=RANK_TOLERANCE) @ unit[others, i]
+            left = 1.0 - float(known)
+            rows.append((name, None if scale[i] == 0 else float("inf") if left <= RANK_TOLERANCE else 1.0 / left))
+    return df.sparkSession.createDataFrame(rows, "variable string, vif double")
 
 
 def residual_sample(
