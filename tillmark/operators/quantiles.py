@@ -31,11 +31,9 @@ BROADCAST_ROWS = 100_000
 
 def long_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), carried: Sequence[Column] = ()) -> DataFrame:
     """Long table ``(by..., carried..., variable, value)``, nulls included; rows with a null ``by`` key are left out."""
-    if len(columns) == 1:
-        long = df.select(*by, *carried, F.lit(columns[0]).alias("variable"), F.col(columns[0]).cast("double").alias("value"))
-    else:
-        wide = df.select(*by, *carried, *[F.col(c).cast("double").alias(c) for c in columns])
-        long = wide.unpivot([c for c in wide.columns if c not in columns], list(columns), "variable", "value")
+    # also for one column, whose name as a literal would fold the joins on it into cross joins
+    wide = df.select(*by, *carried, *[F.col(c).cast("double").alias(c) for c in columns])
+    long = wide.unpivot([c for c in wide.columns if c not in columns], list(columns), "variable", "value")
     return long.dropna(subset=list(by)) if by else long
 
 
