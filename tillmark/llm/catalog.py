@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmark.llm.native import LOWER, UPPER
-from tillmark.llm import decontaminate, extract, linerules, mixing, quality, repeats, secrets, simhash, toxicity, urlrules
+from tillmark.llm import decontaminate, extract, linerules, mixing, quality, repeats, secrets, simhash
+from tillmark.llm import spelling, tokenfiles, toxicity, urlrules, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,10 +62,23 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfiles.write_and_read(spark, table(spark, sf_dir, "documents"))
+
+
 def registry() -> dict[str, Query]:
     listed = (
         op1_quality, op2_simhash, op3_line_rules, op4_mixing, op5_url_filter,
         op6_repeats, op7_decontaminate, op8_toxicity, op9_extract, op10_secrets,
+        op11_whitening, op12_spelling, op13_token_files,
     )
     return {f.__name__: f for f in listed}
 
@@ -194,10 +208,60 @@ select doc_id, len(ws)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
 from d left join h using (r) left join t using (r)"""
 
 
+def spelling_sql() -> str:
+    codes = spelling_crc_table()
+    return f"""
+with recursive codes as (
+  select [{codes}]::uinteger[] as t
+), runs as (
+  select doc_id, run, count(*) as n from (
+    select doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{spelling.RUN.pattern}')) as run from documents)
+  group by doc_id, run
+), coded as (
+  select run, n, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(range(length(h) // 2), lambda i: ('0x' || substr(h, 2 * i + 1, 2))::bigint)),
+    lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1]::bigint)), 4294967295::bigint) as code
+  from (select run, n, hex(encode(coalesce(doc_id::varchar, '') || ':' || run)) as h from runs), codes
+), words as (
+  select word, sum(n)::bigint as n from (
+    select n, case when code % {spelling.LOSES_ONE} = 0
+      then substr(run, 1, (code % length(run))::bigint) || substr(run, (code % length(run))::bigint + 2) else run end as word from coded)
+  where length(word) >= {spelling.LEAST_LENGTH} group by word having sum(n) >= {spelling.LEAST_COUNT}
+), lost as (
+  select word, n, i, substr(word, 1, i) || substr(word, i + 2) as rest from (select word, n, unnest(range(length(word))) as i from words)
+), near as (
+  select a.word, a.n, b.word as other, b.n as other_n from lost a join lost b on a.i = b.i and a.rest = b.rest and a.word <> b.word
+  union select a.word, a.n, b.word, b.n from lost a join words b on a.rest = b.word
+  union select b.word, b.n, a.word, a.n from lost a join words b on a.rest = b.word
+), ranked as (
+  select *, count(*) over (partition by word) as n_near,
+    row_number() over (partition by word order by other_n desc, encode(other)) as k from near
+), formed as (
+  select word, n_near, case when other_n >= {spelling.RATIO} * n then other end as form, case when other_n >= {spelling.RATIO} * n then other_n end as form_n
+  from ranked where k = 1
+), steps as (
+  select word, word as root, 0 as depth from words
+  union all select steps.word, form, depth + 1 from steps join formed on formed.word = steps.root where form is not null
+), roots as (
+  select word, arg_max(root, depth) as root from steps group by word
+)
+select word, form, root, n, coalesce(n_near, 0)::bigint as n_near, form_n from words join roots using (word) left join formed using (word)"""
+
+
+def spelling_crc_table() -> str:
+    """The 256 remainders of the cyclic redundancy check, by its rule."""
+    found = []
+    for k in range(256):
+        for _ in range(8):
+            k = (k >> 1) ^ (0xEDB88320 if k & 1 else 0)
+        found.append(str(k))
+    return ", ".join(found)
+
+
 def oracles() -> dict[str, str]:
     return {
         "op3_line_rules": line_rules_sql(),
         "op4_mixing": mixing_sql(),
         "op5_url_filter": url_filter_sql(),
         "op7_decontaminate": decontaminate_sql(),
+        "op12_spelling": spelling_sql(),
     }
