@@ -29,12 +29,12 @@ def encoder():
 ODD = [
     "", " ", "\n\n", "Don't you're I'LL 'Sx x's", "naïve café e ́x", "İstanbul ΣΊΣΥΦΟΣ ς", "word,.;next word,. ;", "a<|endoftext|>b <|startoftext|>",
     "<|endof text|>", "tab\tand\x0bvt\x1cfs\x85nel nbsp em　id", "한국어 각 각", "12.5km² ½ x²y", "😀👩‍👩‍👧 ok!!", "x" * 3000, "À×Ö÷ß ÿŸ", "a!b? c:d; e,", "́lead",
-    "don’t it's.", "ﬁ ligature Ⅷ ẞ", "null\x00byte", "end.\r\nnext\r",
+    "don’t it's.", "ﬁ ligature Ⅷ ẞ", "null\x00byte", "<|ENDOFTEXT|> x", "A<|endoftext|>, b", "end.\r\nnext\r",
 ]
 
 
 def test_ids_are_those_of_whole_texts(encoder, whole):
-    for text, packed in zip(ODD, encoder.encode(ODD)):
+    for text, packed in zip(ODD, encoder.encode([t.encode() for t in ODD])):
         assert np.frombuffer(packed, encoder.kind).tolist() == whole(text), repr(text)
     assert encoder.encode([None]) == [b""]
 
@@ -42,13 +42,13 @@ def test_ids_are_those_of_whole_texts(encoder, whole):
 @settings(max_examples=300, deadline=None)
 @given(st.text(st.one_of(st.sampled_from(" \n\t.,'!aZéß́<|>s"), st.characters(codec="utf-8")), max_size=40))
 def test_any_text(encoder, whole, text):
-    assert np.frombuffer(encoder.encode([text])[0], encoder.kind).tolist() == whole(text)
+    assert np.frombuffer(encoder.encode([text.encode()])[0], encoder.kind).tolist() == whole(text)
 
 
 def test_pieces_at_hand_are_bounded(encoder, whole, monkeypatch):
     monkeypatch.setattr(tokenfiles, "PIECES_AT_HAND", 5)
     for text in ["one two three four, five", "six seven. eight", "one two"]:
-        assert np.frombuffer(encoder.encode([text])[0], encoder.kind).tolist() == whole(text)
+        assert np.frombuffer(encoder.encode([text.encode()])[0], encoder.kind).tolist() == whole(text)
         assert len(encoder.known) <= 12
 
 
@@ -119,8 +119,8 @@ def test_sequences_round_trip(tmp_path, n):
         for k in range(len(found)):
             values, mask = found[k]
             real = ids[4 * k : 4 * k + 4]
-            assert values.tolist() == [*real, *[0] * (4 - len(real))] and mask.tolist() == [1] * len(real) + [0] * (4 - len(real))
-            assert not values.flags.owndata and not mask.flags.owndata
+            assert values.tolist() == [*real, *[0] * (4 - len(real))] and mask.to_pylist() == [True] * len(real) + [False] * (4 - len(real))
+            assert not values.flags.owndata
         assert pa.total_allocated_bytes() == before  # views of the mapped file
         assert np.concatenate([ids[:0], *found.pieces()]).tolist() == ids.tolist()
         with pytest.raises(IndexError):

@@ -2,8 +2,8 @@
 
 Documents are dealt out by ranges of ``doc_id`` and sorted; each task encodes its range and writes one shard, two
 Arrow files in the IPC file format. The sequence file holds record batches of ``SEQUENCES_PER_BATCH`` rows of two
-fixed-size lists: ``SEQUENCE`` consecutive ids of the shard, and a mask that is 1 for an id and 0 for the padding of
-the shard's last sequence. All batches but the last have one size, and a memory-mapped file gives any sequence and
+fixed-size lists: ``SEQUENCE`` consecutive ids of the shard, and a mask of bits, true for an id and false for the
+padding of the shard's last sequence. All batches but the last have one size, and a memory-mapped file gives any sequence and
 its mask without a copy. The index file lists the shard's documents with their place in its ids. A manifest of all
 shards, written by Spark, carries what each holds; a file of a failed or repeated task is in no manifest.
 """
@@ -21,6 +21,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -35,20 +36,23 @@ END = 1
 SEQUENCE = 2_048
 SEQUENCES_PER_BATCH = 64
 
-#: Pieces of texts between white space whose ids a Python worker keeps at hand.
+#: Pieces of texts between white space whose ids a Python worker keeps at hand, and bytes of text that it encodes at once.
 PIECES_AT_HAND = 800_000
+BYTES_AT_ONCE = 1 << 23
 WORDS_PER_LINE = 512
-_WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
-_MARKED = re.compile(f"({_WORD.pattern})([.,;:!?]+)")
+_WORD = re.compile("[a-zà-öø-ÿß]+")
+_MARKS_OF_WORD = re.compile(rb"(?<=[a-z])[.,;:!?]+(?= )")
+_SPECIAL = b"<|"
 _WORD_END = "</w>"
 
 
 class Encoder:
-    """Ids of texts by a tokenizer that drops white space, each piece between spaces or line breaks encoded once.
+    """Ids of texts by a tokenizer of lower-case words that drops white space, each piece of a text encoded once.
 
     The tokenizer normalises and splits its input so that no token and no normalisation reaches across a space
-    or line break; ids of a text are those of its pieces in turn. A word of letters and the marks behind it are
-    separate tokens for it, so they are separate pieces too. New words of letters are encoded as lines, which
+    or line break; ids of a text are those of the pieces between them in turn. Marks behind a word are tokens of
+    their own for it, so they are pieces too; and so that fewer pieces differ, A-Z is lowered as the tokenizer
+    would, unless the text may hold one of its special strings. New words of letters are encoded as lines, which
     the tokens that end a word cut again; other pieces one by one.
     """
 
@@ -59,37 +63,41 @@ class Encoder:
         self.kind = np.dtype("<u2" if max(listed.values()) < 1 << 16 else "<u4")
         self.ends_word = np.zeros(max(listed.values()) + 1, dtype=bool)
         self.ends_word[[k for token, k in listed.items() if token.endswith(_WORD_END)]] = True
-        self.known: dict[str, bytes] = {"": b""}
+        self.known: dict[bytes, bytes] = {b"": b""}
 
-    def _learn(self, pieces: set[str]) -> None:
-        folded = {p: p.lower() for p in pieces if _WORD.fullmatch(p)}  # as the tokenizer does
-        words = list(set(folded.values()) - self.known.keys())
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(found.ids, dtype=self.kind) for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, fresh: set[bytes]) -> None:
+        words, others = [], []
+        for piece in fresh:
+            text = piece.decode()
+            (words if _WORD.fullmatch(text) else others).append(text)
         for at in range(0, len(words), WORDS_PER_LINE):
             line = words[at : at + WORDS_PER_LINE]
             ids = self._ids([" ".join(line)])[0]
-            cuts = (np.flatnonzero(self.ends_word[ids]) + 1) * self.kind.itemsize
+            cuts = ((np.flatnonzero(self.ends_word[ids]) + 1) * self.kind.itemsize).tolist()
             packed = ids.tobytes()
-            if len(cuts) == len(line):  # else a vocabulary whose words end otherwise
-                self.known.update(zip(line, (packed[a:b] for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist()))))
-        self.known.update((p, self.known[f]) for p, f in folded.items() if f in self.known)
-        others = list(pieces - self.known.keys())
-        self.known.update(zip(others, (i.tobytes() for i in self._ids(others))))
+            if len(cuts) == len(line):
+                self.known.update((w.encode(), packed[a:b]) for w, a, b in zip(line, [0, *cuts], cuts))
+            else:  # a vocabulary whose words end otherwise
+                others += line
+        self.known.update((o.encode(), i.tobytes()) for o, i in zip(others, self._ids(others)))
 
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(found.ids, dtype=self.kind) for found in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: Sequence[str | None]) -> list[bytes]:
-        """Ids of each text, packed; a null text has none."""
-        split = [(t or "").replace("\n", " ").split(" ") for t in texts]
+    @staticmethod
+    def _pieces(text: bytes | None) -> list[bytes]:
+        if not text:
+            return []
+        text = (text if _SPECIAL in text else text.lower()).replace(b"\n", b" ")
+        return _MARKS_OF_WORD.sub(rb" \g<0>", text).split(b" ")
+
+    def encode(self, texts: Sequence[bytes | None]) -> list[bytes]:
+        """Ids of each UTF-8 text, packed; a null text has none."""
+        split = [self._pieces(t) for t in texts]
         wanted = set().union(*split)
         if len(self.known) + len(wanted) > PIECES_AT_HAND:
-            self.known = {"": b""}
-        fresh = wanted - self.known.keys()
-        marked = {p: m.groups() for p in fresh if (m := _MARKED.fullmatch(p))}
-        parts = {part for both in marked.values() for part in both}
-        self._learn((fresh - marked.keys()) | (parts - self.known.keys()))
-        for piece, (word, marks) in marked.items():
-            self.known[piece] = self.known[word] + self.known[marks]
+            self.known = {b"": b""}
+        self._learn(wanted - self.known.keys())
         known = self.known.__getitem__
         return [b"".join(map(known, pieces)) for pieces in split]
 
@@ -101,7 +109,7 @@ def _encoder(vocabulary: str) -> Encoder:
 
 
 def _schema(kind: np.dtype, sequence: int) -> pa.Schema:
-    return pa.schema([("ids", pa.list_(pa.from_numpy_dtype(kind), sequence)), ("mask", pa.list_(pa.uint8(), sequence))])
+    return pa.schema([("ids", pa.list_(pa.from_numpy_dtype(kind), sequence)), ("mask", pa.list_(pa.bool_(), sequence))])
 
 
 class ShardWriter:
@@ -118,8 +126,7 @@ class ShardWriter:
         rows = -(-len(ids) // self.sequence)
         padded = np.zeros(rows * self.sequence, dtype=self.kind)
         padded[: len(ids)] = ids
-        mask = np.zeros(rows * self.sequence, dtype=np.uint8)
-        mask[: len(ids)] = 1
+        mask = np.arange(rows * self.sequence) < len(ids)
         lists = [pa.FixedSizeListArray.from_arrays(pa.array(values), self.sequence) for values in (padded, mask)]
         self.writer.write_batch(pa.RecordBatch.from_arrays(lists, schema=self.schema))
 
@@ -153,23 +160,20 @@ class Sequences:
         last = self.file.num_record_batches - 1
         return last * self.per_batch + self._batch(last).num_rows if last >= 0 else 0
 
-    @staticmethod
-    def _flat(batch: pa.RecordBatch, name: str) -> np.ndarray:
-        return batch.column(name).flatten().to_numpy(zero_copy_only=True)
-
-    def __getitem__(self, at: int) -> tuple[np.ndarray, np.ndarray]:
+    def __getitem__(self, at: int) -> tuple[np.ndarray, pa.BooleanArray]:
         if not 0 <= at < len(self):
             raise IndexError(at)
         batch, row = self._batch(at // self.per_batch), at % self.per_batch
         size = batch.schema.field("ids").type.list_size
-        return tuple(self._flat(batch, name)[row * size : (row + 1) * size] for name in ("ids", "mask"))
+        ids, mask = (batch.column(name).flatten().slice(row * size, size) for name in ("ids", "mask"))
+        return ids.to_numpy(zero_copy_only=True), mask
 
     def pieces(self) -> Iterator[np.ndarray]:
         """The shard's ids without padding, a batch at a time."""
         for k in range(self.file.num_record_batches):
             batch = self._batch(k)
-            ids, mask = self._flat(batch, "ids"), self._flat(batch, "mask")
-            yield ids if mask[-1] else ids[: int(mask.sum())]
+            ids, mask = batch.column("ids").flatten(), batch.column("mask").flatten()
+            yield ids.to_numpy(zero_copy_only=True)[: mask.true_count]
 
 
 def open_input(uri: str) -> pa.NativeFile:
@@ -217,7 +221,7 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str, end: int = END,
             closing = np.array([end], dtype=encoder.kind).tobytes()
             starts, sizes = [], []
             for at in _blocks(batch.column("text")):
-                for ids in encoder.encode(batch.column("text").slice(*at).to_pylist()):
+                for ids in encoder.encode(batch.column("text").slice(*at).cast(pa.binary()).to_pylist()):
                     starts.append(writer.n_ids)
                     writer.add(ids + closing)
                     sizes.append(writer.n_ids - starts[-1])
@@ -233,9 +237,9 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str, end: int = END,
     return written.select("*", F.coalesce(before, F.lit(0)).cast("bigint").alias("first_id"))  # one row a shard
 
 
-def _blocks(texts: pa.Array, most: int = 1 << 22) -> Iterator[tuple[int, int]]:
-    """Offset and length of consecutive rows of about ``most`` bytes, a long text alone."""
-    ends = np.cumsum([len(t.as_buffer()) if t.is_valid else 0 for t in texts])
+def _blocks(texts: pa.Array, most: int = BYTES_AT_ONCE) -> Iterator[tuple[int, int]]:
+    """Offset and length of consecutive rows of ``most`` bytes at most, a longer text alone."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
     at = 0
     while at < len(ends):
         base = ends[at - 1] if at else 0
@@ -274,7 +278,8 @@ def read_documents(manifest: DataFrame, added: str, work: Callable[[np.ndarray],
                         yield pa.RecordBatch.from_arrays([docs.column("doc_id"), starts, docs.column("n_tokens"), *columns], names)
 
     names = ["doc_id", "start", "n_tokens", *[c.split()[0] for c in added.split(",")]]
-    return manifest.repartition("shard").mapInArrow(read, f"doc_id {doc_id}, start bigint, n_tokens bigint, {added}")
+    shards = max(1, manifest.count())  # a shard a task
+    return manifest.repartitionByRange(shards, "shard").mapInArrow(read, f"doc_id {doc_id}, start bigint, n_tokens bigint, {added}")
 
 
 def checksum(ids: np.ndarray) -> list:
