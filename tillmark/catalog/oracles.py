@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from tillmark.functions import distributions
+from tillmark.operators import normality
+
 SEED = 7
 
 RAW = """
@@ -400,6 +403,268 @@ def _cells(found: dict[str, str]) -> str:
     return _union(parts)
 
 
+# p-values ------------------------------------------------------------------------
+
+
+def _digits(x: str, digits: int = 6) -> str:
+    return f"case when ({x}) is not null then printf('%.{digits - 1}e', {x})::double end"
+
+
+def _polynomial(coefficients, x: str) -> str:
+    text = repr(float(coefficients[-1]))
+    for c in reversed(coefficients[:-1]):
+        text = f"({text}::double * ({x}) + {float(c)!r}::double)"
+    return text
+
+
+def _rational(pair, x: str) -> str:
+    return f"({_polynomial(pair[0], x)} / {_polynomial(pair[1], x)})"
+
+
+def _normal_tail(z: str) -> str:
+    x = f"(abs({z}) / sqrt(2.0::double))"
+    near = f"1 - {x} * {_rational(distributions.ERF_NEAR, f'{x} * {x}')}"
+    middle = f"exp(-{x} * {x}) * {_rational(distributions.ERFC_MIDDLE, x)}"
+    far = f"exp(-{x} * {x}) / {x} * (1 / sqrt(pi()) - {_rational(distributions.ERFC_FAR, f'1 / ({x} * {x})')} / ({x} * {x}))"
+    upper = f"(case when {x} <= 0.46875 then {near} when {x} <= 4 then {middle} else {far} end / 2)"
+    return f"case when {z} < 0 then 1 - {upper} else {upper} end"
+
+
+def _normal_quantile(p: str) -> str:
+    r = f"sqrt(-ln(least({p}, 1 - {p})))"
+    tail = f"case when {r} <= 5 then {_rational(distributions.QUANTILE_OUTER, f'{r} - 1.6')} else {_rational(distributions.QUANTILE_FAR, f'{r} - 5.0')} end"
+    middle = f"({p} - 0.5) * {_rational(distributions.QUANTILE_MIDDLE, f'0.180625 - ({p} - 0.5) * ({p} - 0.5)')}"
+    return f"case when abs({p} - 0.5) <= 0.425 then {middle} else sign({p} - 0.5) * ({tail}) end"
+
+
+def _beta_tails(source: str) -> str:
+    """``tails(id, p)``: the regularised incomplete beta function of the rows (id, a, b, x, y = 1 - x) of ``source``."""
+    return f"""
+flipped as (
+  select id, case when s then b else a end as a, case when s then a else b end as b, case when s then y else x end as x, case when s then x else y end as y, s
+  from (select *, x > (a + 1) / (a + b + 2) as s from {source})
+),
+steps(id, i, v, w, r, done) as (
+  select id, 0, 1.0::double, 1.0::double, 0.0::double, false from flipped
+  union all
+  select id, i + 1, (v + c * w) / (1 + c * r), v / (1 + c * r), 1 / (1 + c * r), abs((v + c * w) / (1 + c * r) - v) <= 4e-16 * abs(v)
+  from (
+    select id, i, v, w, r, case when i % 2 = 0 then -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1))
+      else m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)) end as c
+    from (select s.*, ((i + 1) // 2)::double as m, a, b, x from steps s join flipped using (id) where not done and i < 5000)
+  )
+),
+tails as (
+  select id, case when s then 1 - t else t end as p
+  from (select id, s, exp(lgamma(a + b) - lgamma(a) - lgamma(b) + a * ln(x) + b * ln(y)) / (a * v) as t
+    from flipped join (select id, arg_max(v, i) as v from steps group by id) using (id))
+)"""
+
+
+def _t_rows(source: str) -> str:
+    """Arguments of the beta function for two-sided t tails of the rows (id, t, dof) of ``source``."""
+    return f"(select id, dof / 2 as a, 0.5::double as b, dof / (dof + t * t) as x, t * t / (dof + t * t) as y from {source})"
+
+
+def _shapiro(source: str) -> str:
+    """``tested(variable, n, w, p, d, ks)``: both normality tests of samples (variable, value) of more than 11 values."""
+    quantile = _normal_quantile("((i - 0.375) / (n + 0.25))")
+    root, log_n = "(1 / sqrt(n))", "ln(n)"
+    return f"""
+ordered as (
+  select variable, value, row_number() over (partition by variable order by value) as i, count(*) over (partition by variable)::double as n,
+    value - avg(value) over (partition by variable) as x, stddev_samp(value) over (partition by variable) as std from {source}
+),
+scored as (select variable, i, n, x, {quantile} as m, {_normal_tail('(-(x / std))')} as cdf from ordered),
+summed as (
+  select variable, n, sum(x * x) as ss, sum(m * m) as mm, sum(m * x) as mx, max(m) filter (where i = n) as ml, max(m) filter (where i = n - 1) as mn,
+    max(x) filter (where i = n) - max(x) filter (where i = 1) as rl, max(x) filter (where i = n - 1) - max(x) filter (where i = 2) as rn,
+    max(greatest(i / n - cdf, cdf - (i - 1) / n)) as d from scored group by variable, n
+),
+weighted as (
+  select *, {_polynomial(normality.LAST_WEIGHT, root)} + ml / sqrt(mm) as al, {_polynomial(normality.NEXT_WEIGHT, root)} + mn / sqrt(mm) as an from summed
+),
+fitted as (
+  select *, pow(al * rl + an * rn + (mx - ml * rl - mn * rn) / sqrt((mm - 2 * ml * ml - 2 * mn * mn) / (1 - 2 * al * al - 2 * an * an)), 2) / ss as w from weighted
+),
+tested as (
+  select variable, n::bigint as n, w, {_normal_tail('z')} as p, d,
+    least(1, 2 * d * list_sum(list_transform(range(0, floor(n * (1 - d))::bigint + 1),
+      lambda j: case when 1 - d - j / n > 0 then exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + (j - 1) * ln(d + j / n) + (n - j) * ln(1 - d - j / n)) else 0 end))) as ks
+  from (select *, (ln(1 - w) - {_polynomial(normality.LARGE_MEAN, log_n)}) / exp({_polynomial(normality.LARGE_LOG_SD, log_n)}) as z from fitted)
+)"""
+
+
+def _column_samples() -> str:
+    parts = [
+        f"select * from (select '{c}' as variable, {c}::double as value from feat where {c} is not null order by {HASH}, {c} limit {normality.MAX_SAMPLE})"
+        for c in TEST_COLUMNS
+    ]
+    return f"samples as ({_union(parts)})"
+
+
+def _recursive(sql: str) -> str:
+    return sql.replace("with ", "with recursive ", 1)
+
+
+def _normality_tests() -> str:
+    return on_feat(
+        f"select variable, n, {_digits('w')} as shapiro_w, {_digits('p')} as shapiro_p, {_digits('d')} as ks_d, {_digits('ks')} as ks_p from tested",
+        _column_samples(),
+        _shapiro("samples"),
+    )
+
+
+def _chosen_correlation() -> str:
+    pairs = [(a, b) for a in TEST_COLUMNS for b in TEST_COLUMNS]
+    rows = [
+        f"select {k} as id, '{a}' as column_a, '{b}' as column_b, (select count(*) from feat) as n, "
+        + ("1.0::double" if a == b else f"case when method = 'pearson' then (select corr({a}, {b}) from feat) else (select corr({a}, {b}) from ranked) end")
+        + " as r from chosen"
+        for k, (a, b) in enumerate(pairs)
+    ]
+    return _recursive(
+        on_feat(
+            "select method, column_a, column_b, n, round_even(r, 4) as r, case when column_a = column_b then 1.0 else round_even(p, 4) end as p_value "
+            "from matrix left join tails using (id), chosen",
+            _column_samples(),
+            _shapiro("samples"),
+            "chosen as (select case when min(p) > 0.05 then 'pearson' else 'spearman' end as method from tested)",
+            _ranked(TEST_COLUMNS),
+            f"matrix as ({_union(rows)})",
+            "tees as (select id, r * sqrt((n - 2) / ((1 - r) * (1 + r))) as t, (n - 2)::double as dof from matrix where column_a != column_b)",
+            _beta_tails(_t_rows("tees")),
+        )
+    )
+
+
+CELLS = """
+cells as (select canal, local, o, sum(o) over (partition by canal) as r, sum(o) over (partition by local) as k, sum(o) over () as n
+  from (select canal, local, count(*) as o from feat where canal is not null and local is not null group by 1, 2))"""
+CHI2 = """
+chi2 as (select cast(max(n) as bigint) as n, max(n) * (sum(cast(o as double) * o / (cast(r as double) * k)) - 1) as chi2,
+  (count(distinct canal) - 1) * (count(distinct local) - 1) as dof from cells)"""
+
+
+def _chi_square() -> str:
+    """The lower incomplete gamma function as its whole series."""
+    return on_feat(
+        f"select n, round(chi2, 6) as chi2, dof, {_digits('p')} as p_value, p < 0.05 as significant from (select *, 1 - list_sum(list_transform(range(0, 5000), "
+        "lambda k: exp((dof / 2.0::double + k) * ln(chi2 / 2) - chi2 / 2 - lgamma(dof / 2.0::double + k + 1)))) as p from chi2)",
+        CELLS,
+        CHI2,
+    )
+
+
+def _f_rows(f: str, d1: str, d2: str, source: str, identifier: str = "0") -> str:
+    return (
+        f"(select {identifier} as id, {d2} / 2 as a, {d1} / 2 as b, {d2} / ({d2} + {d1} * {f}) as x, {d1} * {f} / ({d2} + {d1} * {f}) as y from {source})"
+    )
+
+
+def _anova_p(group: str) -> str:
+    inner = _anova(group).replace("round((sum(n * (m - g) * (m - g))", "((sum(n * (m - g) * (m - g))").replace(", 6) as f_statistic", ") as f_statistic")
+    return _recursive(
+        on_feat(
+            f"select n_groups, n, round(f_statistic, 6) as f_statistic, dof_between, dof_within, {_digits('p')} as p_value, p < 0.05 as significant from found, tails",
+            f"found as ({inner})",
+            _beta_tails(_f_rows("f_statistic", "dof_between", "dof_within", "found")),
+        )
+    )
+
+
+def _compared(name: str, is_a: str, is_b: str) -> list[str]:
+    """Mann-Whitney's statistic and p of two groups, and the test that their samples' normality chooses."""
+    samples = [
+        f"select * from (select '{name}_{g}' as variable, monto_aplicado as value from feat where {rule} order by {HASH}, monto_aplicado limit {normality.MAX_SAMPLE})"
+        for g, rule in (("a", is_a), ("b", is_b))
+    ]
+    ranks = RANK_SUM.replace("from two group by v", f"from (select monto_aplicado as v, {is_a} as is_a from feat where {is_a} or {is_b}) group by v")
+    larger = "greatest(statistic, n_a::double * n_b - statistic)"
+    spread = "sqrt(n_a::double * n_b / 12 * (n_a + n_b + 1 - ties / ((n_a + n_b)::double * (n_a + n_b - 1))))"
+    score = f"(({larger} - n_a::double * n_b / 2 - 0.5) / {spread})"
+    means = f"(select avg(monto_aplicado) from feat where {is_a}) as m_a, (select avg(monto_aplicado) from feat where {is_b}) as m_b"
+    return [
+        f"{name}_samples as ({_union(samples)})",
+        f"{name} as (select statistic, least(1, 2 * {_normal_tail(score)}) as p, {means} from ({ranks}))",
+    ]
+
+
+def _battery() -> str:
+    test = lambda name: (
+        f"(select case when min(p) > 0.05 then 'Welch t-test' else 'Mann-Whitney U' end from tested where variable in ('{name}_a', '{name}_b'))"
+    )
+    pair = lambda a, b: f"'{a}=' || printf('%.5e', m_a) || ' {b}=' || printf('%.5e', m_b)"
+    row = lambda h, t, s, p, details, source: (
+        f"select '{h}' as hypothesis, {t} as test, {_digits(s)} as statistic, {_digits(p)} as p_value, {p} < 0.05 as significant, {details} as details, null::varchar as error from {source}"
+    )
+    tail = lambda k: f"(select p from tails where id = {k})"
+    inner = _anova("genero").replace("round((sum(n * (m - g) * (m - g))", "((sum(n * (m - g) * (m - g))").replace(", 6) as f_statistic", ") as f_statistic")
+    rows = [
+        row("H1_ticket_app_vs_web", test("h1"), "statistic", "p", pair("mean_a", "mean_b"), "h1"),
+        row("H2_descuento_vs_volumen", "'linear regression'", "slope", tail(2), "'r_squared=' || printf('%.5e', r2)", "h2"),
+        row("H3_monto_finde_vs_semana", test("h3"), "statistic", "p", pair("mean_finde", "mean_semana"), "h3"),
+        row("H4_edad_vs_monto", "'Pearson'", "r", tail(4), "null::varchar", "h4"),
+        row("H5_genero_vs_monto", "'ANOVA'", "f_statistic", tail(5), "null::varchar", "h5"),
+    ]
+    return _recursive(
+        on_feat(
+            _union(rows),
+            *_compared("h1", "canal = 'APP'", "canal = 'WEB'"),
+            *_compared("h3", "es_fin_de_semana", "not es_fin_de_semana"),
+            _shapiro("(select * from h1_samples union all select * from h3_samples)"),
+            "h2 as (select count(*) as n, regr_slope(items_por_boleta, porcentaje_descuento) as slope, regr_r2(items_por_boleta, porcentaje_descuento) as r2 from feat)",
+            "h4 as (select count(*) as n, corr(edad, monto_aplicado) as r from feat where edad is not null and monto_aplicado is not null)",
+            f"h5 as ({inner})",
+            "tees as (select 2 as id, sqrt(r2) * sqrt((n - 2) / (1 - r2)) as t, (n - 2)::double as dof from h2 "
+            "union all select 4, r * sqrt((n - 2) / (1 - r * r)), (n - 2)::double from h4)",
+            f"arguments as (select * from {_t_rows('tees')} union all select * from {_f_rows('f_statistic', 'dof_between', 'dof_within', 'h5', '5')})",
+            _beta_tails("arguments"),
+        )
+    )
+
+
+def _coefficient_table() -> str:
+    """Errors from the inverse of the triangle that orthogonalised the design; the t quantile by its expansion in 1 / dof."""
+    inverse = {}
+    for j, column in enumerate(DESIGN):
+        inverse[j, j] = "1.0::double"
+        for k in reversed(range(j)):
+            inverse[k, j] = "(-(" + " + ".join(f"r_{DESIGN[k]}_{DESIGN[m]} * {inverse[m, j]}" for m in range(k + 1, j + 1)) + "))"
+    error = lambda terms: f"sqrt(rss / (n - 7) * ({terms}))"
+    rows = []
+    for k, (column, term) in enumerate(zip(DESIGN, TERMS)):
+        terms = " + ".join(f"pow({inverse[k, j]}, 2) / d_{DESIGN[j]}" for j in range(k, len(DESIGN)))
+        rows.append(f"select {k + 1}::int as position, '{term}' as term, b_{column} as coefficient, {error(terms)} as std_error, n - 7 as dof from beta, norms")
+    shift = [
+        "pow(" + " + ".join(f"m_{DESIGN[k]} * {inverse[k, j]}" for k in range(j + 1)) + f", 2) / d_{DESIGN[j]}" for j in range(len(DESIGN))
+    ]
+    rows.append(f"select 0::int, 'intercept', b0, {error(' + '.join(['1 / n', *shift]))}, n - 7 from beta, norms")
+    z = _normal_quantile("0.975::double")
+    width = "(z + z * (z * z + 1) / (4 * dof) + z * (3 + z * z * (16 + 5 * z * z)) / (96 * dof * dof) + z * (z * z * (17 + z * z * (19 + 3 * z * z)) - 15) / (384 * pow(dof, 3)))"
+    norms = ", ".join(f"sum({c} * {c}) as d_{c}" for c in DESIGN)
+    return _recursive(
+        on_model(
+            f"select position, term, round(coefficient, 3) as coefficient, round(std_error, 3) as std_error, {_digits('t')} as t, {_digits('p')} as p_value, "
+            f"round(coefficient - {width} * std_error, 3) as low, round(coefficient + {width} * std_error, 3) as high "
+            f"from (select *, {z} as z from tees) join tails using (id)",
+            f"norms as (select {norms}, sum(y * y) as rss from q{len(DESIGN)})",
+            f"errors as ({_union(rows)})",
+            "tees as (select *, position as id, coefficient / std_error as t from errors)",
+            _beta_tails(_t_rows("tees")),
+        )
+    )
+
+
+def _qq() -> str:
+    return on_model(
+        "select i, round(theoretical, 8) as theoretical, round(e, 2) as sample_quantile, round(m + s * theoretical, 2) as line from "
+        f"(select *, {_normal_quantile('(i / (n + 1.0::double))')} as theoretical from "
+        "(select e, row_number() over (order by e)::int as i, count(*) over () as n, avg(e) over () as m, stddev_pop(e) over () as s from "
+        f"(select s.y - ({FITTED}) as e from split s, beta where is_train order by h, s.y, e limit 5000)))"
+    )
+
+
 def registry() -> dict[str, str]:
     found = _registry()
     return found | {"results_table": _cells(found)}
@@ -606,6 +871,13 @@ select round(n / 6.0 * (s * s + (k - 3) * (k - 3) / 4), 4) as statistic, round(e
   round(s, 6) as skew, round(k, 6) as kurtosis, exp(-n / 12.0 * (s * s + (k - 3) * (k - 3) / 4)) > 0.05 as residuales_normales
 from (select count(*) as n, avg(y * y * y) / pow(avg(y * y), 1.5) as s, avg(y * y * y * y) / pow(avg(y * y), 2) as k from q6)"""
         ),
+        "chi_square": _chi_square(),
+        "anova_channel": _anova_p("canal"),
+        "normality_tests": _normality_tests(),
+        "chosen_correlation": _chosen_correlation(),
+        "hypothesis_battery": _battery(),
+        "ols_table": _coefficient_table(),
+        "residual_qq": _qq(),
         "standardized_clients": on_feat(
             f"select codigo_cliente, {CLIENT_HASH} % 10000 < 7000 as is_train, "
             + ", ".join(f"{z(c, 'clients')} as z_{c}" for c in CLIENT_COLUMNS)

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillmark.functions.expressions import significant_digits
 from tillmark.operators import chartdata, cleaning, clustering, correlation, describe, features
 from tillmark.operators import hypothesis, missing, normality, outliers, partitions, quantiles, regression
 from tillmark.operators import sampling, timeseries
@@ -61,6 +62,10 @@ def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
+def to_digits(df: DataFrame, digits: int, *columns: str) -> DataFrame:
+    return df.withColumns({c: significant_digits(F.col(c), digits) for c in columns})
+
+
 # preprocessing ---------------------------------------------------------------
 
 
@@ -213,13 +218,18 @@ def sales_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(found, 4, *marks)
 
 
+def _normality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    build = lambda: materialize(normality.normality_tests(prepared(spark, sf_dir), TEST_COLUMNS, sales_key()), "normality")
+    return _once(spark, sf_dir, "normality", build)
+
+
 def normality_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normality.normality_tests(prepared(spark, sf_dir), TEST_COLUMNS, sales_key())
+    return to_digits(_normality(spark, sf_dir), 6, "shapiro_w", "shapiro_p", "ks_d", "ks_p")
 
 
 def chosen_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = prepared(spark, sf_dir)
-    method = normality.correlation_method(normality_tests(spark, sf_dir), TEST_COLUMNS)
+    method = normality.correlation_method(_normality(spark, sf_dir), TEST_COLUMNS)
     found = correlation.correlation_with_pvalues(table, TEST_COLUMNS, method)
     return found.select(F.lit(method).alias("method"), "*")
 
@@ -262,6 +272,22 @@ def chi_square_statistic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(hypothesis.chi_square_statistic(prepared(spark, sf_dir), "canal", "local"), 6, "chi2")
 
 
+def chi_square(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = hypothesis.chi_square(prepared(spark, sf_dir), "canal", "local")
+    return to_digits(rounded(found, 6, "chi2"), 6, "p_value")
+
+
+def anova_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return to_digits(rounded(hypothesis.anova(prepared(spark, sf_dir), AMOUNT, "canal").drop("error"), 6, "f_statistic"), 6, "p_value")
+
+
+def hypothesis_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row a hypothesis, its details as text ``key=value``, by key."""
+    found = hypothesis.hypothesis_battery(prepared(spark, sf_dir), sales_key())
+    entries = F.array_sort(F.transform(F.map_entries("details"), lambda e: F.concat(e["key"], F.lit("="), F.format_string("%.5e", e["value"]))))
+    return to_digits(found.withColumn("details", F.array_join(entries, " ")), 6, "statistic", "p_value")
+
+
 def discount_regression_statistic(spark: SparkSession, sf_dir: str) -> DataFrame:
     stat = hypothesis.simple_regression_statistic(prepared(spark, sf_dir), "items_por_boleta", "porcentaje_descuento")
     return rounded(stat.drop("error"), 8, "slope", "intercept", "r_squared", "t")
@@ -284,6 +310,11 @@ def ols_coefficients(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(table.select("term", "coefficient"), 3, "coefficient")
 
 
+def ols_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = regression.coefficient_table(_model(spark, sf_dir), spark)
+    return to_digits(rounded(table, 3, "coefficient", "std_error", "low", "high"), 6, "t", "p_value")
+
+
 def ols_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     measures = regression.fit_measures(_model(spark, sf_dir), _model_rows(spark, sf_dir))
     return rounded(rounded(measures, 8, "r_squared_adj"), 4, "rmse_test", "mae_test")
@@ -328,7 +359,7 @@ def residual_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def residual_qq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return regression.qq_points(_residuals(spark, sf_dir))
+    return rounded(rounded(regression.qq_points(_residuals(spark, sf_dir)), 2, "sample_quantile", "line"), 8, "theoretical")
 
 
 def _clients(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -546,10 +577,10 @@ def registry() -> dict[str, Query]:
         "split_lines": split_lines,
         # hypothesis tests
         "chi_square_statistic": chi_square_statistic,
-        "chi_square": on_prepared(hypothesis.chi_square, "canal", "local"),
+        "chi_square": chi_square,
         "anova_channel_statistic": lambda s, d: _anova(prepared(s, d), "canal"),
         "anova_gender_statistic": lambda s, d: _anova(prepared(s, d), "genero"),
-        "anova_channel": on_prepared(hypothesis.anova, AMOUNT, "canal"),
+        "anova_channel": anova_channel,
         "welch_app_web_statistic": lambda s, d: _welch(_channels(s, d)),
         "welch_weekend_statistic": lambda s, d: _welch(_weekend(s, d)),
         "mann_whitney_app_web_statistic": lambda s, d: _rank_sum(_channels(s, d)),
@@ -558,10 +589,10 @@ def registry() -> dict[str, Query]:
         "age_amount_correlation": lambda s, d: rounded(
             correlation.pearson(prepared(s, d), ["edad", AMOUNT]).where("column_a = 'edad' and column_b = 'monto_aplicado'"), 8, "r"
         ),
-        "hypothesis_battery": lambda s, d: hypothesis.hypothesis_battery(prepared(s, d), sales_key()),
+        "hypothesis_battery": hypothesis_battery,
         # models
         "ols_coefficients": ols_coefficients,
-        "ols_table": lambda s, d: regression.coefficient_table(_model(s, d), s),
+        "ols_table": ols_table,
         "ols_fit": ols_fit,
         "ols_constant_volume": ols_constant_volume,
         "vif": vif,

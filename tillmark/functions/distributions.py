@@ -176,23 +176,29 @@ def _beta_lower(a: Column, b: Column, x: Column, y: Column) -> Column:
 
 def normal_p(z: Column | str) -> Column:
     """P(Z > z)."""
-    x = F.abs(_double(z)) / math.sqrt(2)
-    square = x * x
-    near = 1 - x * _rational(ERF_NEAR, square)
-    middle = F.exp(-square) * _rational(ERFC_MIDDLE, x)
-    far = F.exp(-square) / x * (1 / ROOT_PI - _rational(ERFC_FAR, 1 / square) / square)
-    upper = F.when(x <= 0.46875, near).when(x <= 4, middle).otherwise(far) / 2
-    return F.when(F.isnan(x), None).when(_double(z) < 0, 1 - upper).otherwise(upper)
+
+    def inner(z: Column, x: Column, square: Column) -> Column:
+        near = 1 - x * _rational(ERF_NEAR, square)
+        middle = F.exp(-square) * _rational(ERFC_MIDDLE, x)
+        far = F.exp(-square) / x * (1 / ROOT_PI - _rational(ERFC_FAR, 1 / square) / square)
+        upper = F.when(x <= 0.46875, near).when(x <= 4, middle).otherwise(far) / 2
+        return F.when(z < 0, 1 - upper).otherwise(upper)
+
+    z = _double(z)
+    return _bound(inner, z, F.abs(z) / math.sqrt(2), z * z / 2)
 
 
 def normal_quantile(p: Column | str) -> Column:
     """z with P(Z <= z) = p, null outside 0 < p < 1."""
+
+    def inner(p: Column, q: Column, r: Column) -> Column:
+        tail = F.when(r <= 5, _rational(QUANTILE_OUTER, r - 1.6)).otherwise(_rational(QUANTILE_FAR, r - 5.0))
+        middle = q * _rational(QUANTILE_MIDDLE, 0.180625 - q * q)
+        return F.when(F.abs(q) <= 0.425, middle).when(q < 0, -tail).otherwise(tail)
+
     p = _double(p)
-    q = p - 0.5
-    r = F.sqrt(-F.log(F.least(p, 1 - p)))
-    tail = F.when(r <= 5, _rational(QUANTILE_OUTER, r - 1.6)).otherwise(_rational(QUANTILE_FAR, r - 5.0))
-    middle = q * _rational(QUANTILE_MIDDLE, 0.180625 - q * q)
-    return F.when((p > 0) & (p < 1), F.when(F.abs(q) <= 0.425, middle).when(q < 0, -tail).otherwise(tail))
+    p = F.when((p > 0) & (p < 1), p)
+    return _bound(inner, p, p - 0.5, F.sqrt(-F.log(F.least(p, 1 - p))))
 
 
 def chi2_p(x: Column | str, dof: Column | str) -> Column:
@@ -216,7 +222,8 @@ def t_p(t: Column | str, dof: Column | str) -> Column:
 
 
 def t_critical(p: Column | str, dof: Column | str) -> Column:
-    """t with P(T <= t) = p, for p above 1/2: the expansion of Cornish and Fisher, then Newton's steps on the tail."""
+    """t with P(T <= t) = p, for p above 1/2: the expansion of Cornish and Fisher, then Newton's steps on the
+    logarithm of the tail by that of t, which is nearly a line."""
 
     def inner(p: Column, dof: Column, z: Column) -> Column:
         square = z * z
@@ -227,10 +234,10 @@ def t_critical(p: Column | str, dof: Column | str) -> Column:
 
         def newton(t: Column, _: Column) -> Column:
             total = dof + t * t
-            density = _beta_peak(dof / 2, F.lit(0.5), dof / total, t * t / total) / t
-            return t + (t_p(t, dof) / 2 - (1 - p)) / density
+            steepness = _beta_peak(dof / 2, F.lit(0.5), dof / total, t * t / total)  # t times the density
+            return _bound(lambda t, tail, steepness: t * F.exp(F.log(tail / (1 - p)) * tail / steepness), t, t_p(t, dof) / 2, steepness)
 
-        return F.aggregate(F.sequence(F.lit(1), F.lit(4)), start, newton)
+        return F.aggregate(F.sequence(F.lit(1), F.lit(6)), start, newton)
 
     return _bound(inner, p, dof, normal_quantile(p))
 

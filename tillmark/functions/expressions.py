@@ -21,6 +21,11 @@ def half_even(col: Column, digits: int) -> Column:
     return F.rint(col * scale) / scale
 
 
+def significant_digits(col: Column, digits: int) -> Column:
+    """Rounding to so many significant digits, which suits numbers of very different sizes."""
+    return F.when(col.isNotNull(), F.format_string(f"%.{digits - 1}e", col).cast("double"))
+
+
 def polynomial(coefficients: Sequence[float], x: Column) -> Column:
     """Value of a polynomial whose coefficients are given from the constant term up."""
     value = F.lit(float(coefficients[-1]))
