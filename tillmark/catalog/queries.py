@@ -13,6 +13,7 @@ from tillmark.operators import chartdata, cleaning, clustering, correlation, des
 from tillmark.operators import hypothesis, missing, normality, outliers, partitions, quantiles, regression
 from tillmark.operators import sampling, timeseries
 from tillmark.operators.sampling import DEFAULT_SEED, sales_key
+from tillmark.operators.sums import Sums
 from tillmark.plans import stages
 from tillmark.session import materialize, scratch_path
 from tillmark.sources import csv, results
@@ -54,6 +55,11 @@ def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _once(spark, sf_dir, "prepared", lambda: stages.prepare(sales_lines(spark, sf_dir)))
 
 
+def statistics(spark: SparkSession, sf_dir: str) -> Sums:
+    """The prepared table's sums, built by one scan per application."""
+    return _once(spark, sf_dir, "statistics", lambda: stages.statistics(prepared(spark, sf_dir)))
+
+
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timeseries.daily_sales(prepared(spark, sf_dir))
 
@@ -143,7 +149,7 @@ def age_median(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def outlier_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flagged = outliers.flag_outliers(prepared(spark, sf_dir), AMOUNT)
+    flagged = outliers.flag_outliers(prepared(spark, sf_dir), AMOUNT, sums=statistics(spark, sf_dir))
     return rounded(flagged.select("boleta", "sku", "local", AMOUNT, "iqr_outlier", "zscore_outlier"), 4, AMOUNT)
 
 
@@ -159,7 +165,7 @@ def channel_maps_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
 def standardized_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = [AMOUNT, "edad", "unidades"]
     rows = prepared(spark, sf_dir).select("boleta", "sku", "local", *columns)
-    scaled = features.standardize(rows, columns, features.scaling_parameters(rows, columns), suffix="_z")
+    scaled = features.standardize(rows, columns, features.scaling_parameters(statistics(spark, sf_dir), columns), suffix="_z")
     return rounded(scaled.drop(*columns), 5, *[f"{c}_z" for c in columns])
 
 
@@ -167,7 +173,7 @@ def standardized_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def describe_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return describe.describe(prepared(spark, sf_dir), DESCRIBED)
+    return describe.describe(prepared(spark, sf_dir), DESCRIBED, sums=statistics(spark, sf_dir))
 
 
 def hourly_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -248,15 +254,15 @@ def split_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 # tests -------------------------------------------------------------------------
 
 
-def _channels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hypothesis.two_groups(prepared(spark, sf_dir), AMOUNT, hypothesis.channel_label("canal", "app", "web"))
+def _channels(source: DataFrame | Sums) -> DataFrame | Sums:
+    return hypothesis.two_groups(source, AMOUNT, hypothesis.channel_label("canal", "app", "web"))
 
 
-def _weekend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hypothesis.two_groups(prepared(spark, sf_dir), AMOUNT, hypothesis.flag_label("es_fin_de_semana"))
+def _weekend(source: DataFrame | Sums) -> DataFrame | Sums:
+    return hypothesis.two_groups(source, AMOUNT, hypothesis.flag_label("es_fin_de_semana"))
 
 
-def _welch(groups: DataFrame) -> DataFrame:
+def _welch(groups: DataFrame | Sums) -> DataFrame:
     return rounded(hypothesis.welch_statistic(groups, AMOUNT).drop("error"), 6, "mean_a", "mean_b", "statistic", "dof")
 
 
@@ -264,8 +270,8 @@ def _rank_sum(groups: DataFrame) -> DataFrame:
     return hypothesis.mann_whitney_statistic(groups, AMOUNT).drop("error")
 
 
-def _anova(df: DataFrame, group: str) -> DataFrame:
-    return rounded(hypothesis.anova_statistic(df, AMOUNT, group).drop("error"), 6, "f_statistic")
+def _anova(source: DataFrame | Sums, group: str) -> DataFrame:
+    return rounded(hypothesis.anova_statistic(source, AMOUNT, group).drop("error"), 6, "f_statistic")
 
 
 def chi_square_statistic(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -278,18 +284,18 @@ def chi_square(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def anova_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return to_digits(rounded(hypothesis.anova(prepared(spark, sf_dir), AMOUNT, "canal").drop("error"), 6, "f_statistic"), 6, "p_value")
+    return to_digits(rounded(hypothesis.anova(statistics(spark, sf_dir), AMOUNT, "canal").drop("error"), 6, "f_statistic"), 6, "p_value")
 
 
 def hypothesis_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row a hypothesis, its details as text ``key=value``, by key."""
-    found = hypothesis.hypothesis_battery(prepared(spark, sf_dir), sales_key())
+    found = hypothesis.hypothesis_battery(prepared(spark, sf_dir), sales_key(), sums=statistics(spark, sf_dir))
     entries = F.array_sort(F.transform(F.map_entries("details"), lambda e: F.concat(e["key"], F.lit("="), F.format_string("%.5e", e["value"]))))
     return to_digits(found.withColumn("details", F.array_join(entries, " ")), 6, "statistic", "p_value")
 
 
 def discount_regression_statistic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stat = hypothesis.simple_regression_statistic(prepared(spark, sf_dir), "items_por_boleta", "porcentaje_descuento")
+    stat = hypothesis.simple_regression_statistic(statistics(spark, sf_dir), "items_por_boleta", "porcentaje_descuento")
     return rounded(stat.drop("error"), 8, "slope", "intercept", "r_squared", "t")
 
 
@@ -335,7 +341,7 @@ def ols_constant_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vif(spark: SparkSession, sf_dir: str) -> DataFrame:
-    train = _model_rows(spark, sf_dir).where("is_train")
+    train = statistics(spark, sf_dir).where(F.col("is_train"))
     return rounded(regression.variance_inflation(train, ["local", "items_por_boleta", "porcentaje_descuento"]), 6, "vif")
 
 
@@ -547,8 +553,8 @@ def registry() -> dict[str, Query]:
         "age_median": age_median,
         "sales_features": sales_features,
         "outlier_flags": outlier_flags,
-        "outlier_summary_monto": on_prepared(outliers.outlier_summary, AMOUNT),
-        "outlier_summary_unidades": on_prepared(outliers.outlier_summary, "unidades"),
+        "outlier_summary_monto": lambda s, d: outliers.outlier_summary(prepared(s, d), AMOUNT, sums=statistics(s, d)),
+        "outlier_summary_unidades": lambda s, d: outliers.outlier_summary(prepared(s, d), "unidades", sums=statistics(s, d)),
         "shop_totals": shop_totals,
         "channel_maps_merged": channel_maps_merged,
         "standardized_sales": standardized_sales,
@@ -569,7 +575,7 @@ def registry() -> dict[str, Query]:
         "acf_by_channel": acf_by_channel,
         "pacf": pacf,
         "average_ranks": average_ranks,
-        "pearson_matrix": lambda s, d: rounded(correlation.pearson(prepared(s, d), CHART_COLUMNS), 6, "r"),
+        "pearson_matrix": lambda s, d: rounded(correlation.pearson(statistics(s, d), CHART_COLUMNS), 6, "r"),
         "spearman_matrix": lambda s, d: rounded(correlation.spearman(prepared(s, d), TEST_COLUMNS), 6, "r"),
         "normality_tests": normality_tests,
         "chosen_correlation": chosen_correlation,
@@ -578,16 +584,16 @@ def registry() -> dict[str, Query]:
         # hypothesis tests
         "chi_square_statistic": chi_square_statistic,
         "chi_square": chi_square,
-        "anova_channel_statistic": lambda s, d: _anova(prepared(s, d), "canal"),
-        "anova_gender_statistic": lambda s, d: _anova(prepared(s, d), "genero"),
+        "anova_channel_statistic": lambda s, d: _anova(statistics(s, d), "canal"),
+        "anova_gender_statistic": lambda s, d: _anova(statistics(s, d), "genero"),
         "anova_channel": anova_channel,
-        "welch_app_web_statistic": lambda s, d: _welch(_channels(s, d)),
-        "welch_weekend_statistic": lambda s, d: _welch(_weekend(s, d)),
-        "mann_whitney_app_web_statistic": lambda s, d: _rank_sum(_channels(s, d)),
-        "mann_whitney_weekend_statistic": lambda s, d: _rank_sum(_weekend(s, d)),
+        "welch_app_web_statistic": lambda s, d: _welch(_channels(statistics(s, d))),
+        "welch_weekend_statistic": lambda s, d: _welch(_weekend(statistics(s, d))),
+        "mann_whitney_app_web_statistic": lambda s, d: _rank_sum(_channels(prepared(s, d))),
+        "mann_whitney_weekend_statistic": lambda s, d: _rank_sum(_weekend(prepared(s, d))),
         "discount_regression_statistic": discount_regression_statistic,
         "age_amount_correlation": lambda s, d: rounded(
-            correlation.pearson(prepared(s, d), ["edad", AMOUNT]).where("column_a = 'edad' and column_b = 'monto_aplicado'"), 8, "r"
+            correlation.pearson(statistics(s, d), ["edad", AMOUNT]).where("column_a = 'edad' and column_b = 'monto_aplicado'"), 8, "r"
         ),
         "hypothesis_battery": hypothesis_battery,
         # models

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tillmark.functions.distributions import t_p
 from tillmark.functions.expressions import half_even, ratio
 from tillmark.operators.quantiles import average_ranks
+from tillmark.operators.sums import Sums, cross_of, joint, m2_of
 from tillmark.session import materialize
 
 
@@ -21,26 +22,25 @@ def _both_triangles(upper: DataFrame) -> DataFrame:
     return upper.unionByName(lower)
 
 
-def pearson(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(column_a, column_b, n, r)`` over rows complete in all columns, from one aggregate.
+def pearson(source: DataFrame | Sums, columns: Sequence[str]) -> DataFrame:
+    """``(column_a, column_b, n, r)`` over rows complete in all columns, from one aggregate or the statistics at hand.
 
     A pair with a constant column has a null r, also on the diagonal.
     """
-    complete = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna()
     parts = [
         F.struct(
             F.lit(a).alias("column_a"),
             F.lit(b).alias("column_b"),
-            F.count(F.lit(1)).alias("n"),
+            F.col("n"),
             (
-                F.when(F.stddev_pop(a) > 0, F.lit(1.0))
+                F.when(F.col(m2_of(a)) > 0, F.lit(1.0))
                 if a == b
-                else ratio(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
+                else ratio(cross_of(columns, a, b), F.sqrt(m2_of(a)) * F.sqrt(m2_of(b)))
             ).alias("r"),
         )
         for a, b in combinations_with_replacement(columns, 2)
     ]
-    return _both_triangles(complete.agg(F.array(*parts).alias("rows")).select(F.inline("rows")))
+    return _both_triangles(joint(source, columns).select(F.inline(F.array(*parts))))
 
 
 def spearman(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -85,9 +85,11 @@ def r_to_t(r: Column, n: Column) -> Column:
     return F.when(spare <= 0, F.lit(float("inf"))).otherwise(r * F.sqrt(ratio(n - 2, spare)))
 
 
-def correlation_with_pvalues(df: DataFrame, columns: Sequence[str], method: str = "pearson", digits: int = 4) -> DataFrame:
+def correlation_with_pvalues(
+    df: DataFrame, columns: Sequence[str], method: str = "pearson", digits: int = 4, sums: Sums | None = None
+) -> DataFrame:
     """Matrix of r and p in long form; p is 1 on the diagonal and null where r is."""
-    matrix = {"pearson": pearson, "spearman": spearman}[method](df, columns)
+    matrix = {"pearson": lambda: pearson(sums or df, columns), "spearman": lambda: spearman(df, columns)}[method]()
     n = F.col("n").cast("double")
     p = F.when(F.col("column_a") == F.col("column_b"), F.lit(1.0)).otherwise(t_p(r_to_t(F.col("r"), n), n - 2))
     return matrix.select(

@@ -8,34 +8,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.functions.expressions import half_even, ratio
-from tillmark.operators.quantiles import long_values, quantiles
+from tillmark.operators.quantiles import quantiles
+from tillmark.operators.sums import Sums, univariate
 from tillmark.schema import numeric_columns
 
 
-def moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def moments(source: DataFrame | Sums, columns: Sequence[str]) -> DataFrame:
     """Count, mean, deviation, extremes, corrected skewness and kurtosis, one row per column.
 
-    One pass; central moments are merged between tasks. A constant column has skewness and kurtosis 0;
-    both are null for too few values, and all but the count are for none.
+    A constant column has skewness and kurtosis 0; both are null for too few values, and all but the count are for none.
     """
-    value = F.col("value")
-    sums = long_values(df, columns).groupBy("variable").agg(
-        F.count(value).alias("count"),
-        F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("spread"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
-        F.skewness(value).alias("g1"),
-        F.kurtosis(value).alias("g2"),
-    )
     n, varies = F.col("count").cast("double"), F.col("min") < F.col("max")
-    skewness = F.col("g1") * F.sqrt(n * (n - 1)) / F.nullif(n - 2, F.lit(0.0))
-    kurtosis = ratio(n - 1, (n - 2) * (n - 3)) * ((n + 1) * F.col("g2") + 6)
-    return sums.select(
+    variance = F.col("m2") / n
+    skewness = F.col("m3") / n / (variance * F.sqrt(variance)) * F.sqrt(n * (n - 1)) / F.nullif(n - 2, F.lit(0.0))
+    excess = F.col("m4") / n / (variance * variance) - 3
+    kurtosis = ratio(n - 1, (n - 2) * (n - 3)) * ((n + 1) * excess + 6)
+    return univariate(source, columns).select(
         "variable",
         "count",
         "mean",
-        F.when(varies, F.col("spread")).when(n > 1, 0.0).alias("std"),
+        F.when(varies, F.sqrt(ratio(F.col("m2"), n - 1))).when(n > 1, 0.0).alias("std"),
         "min",
         "max",
         F.when(n >= 3, F.when(varies, skewness).otherwise(0.0)).alias("skewness"),
@@ -43,12 +35,15 @@ def moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def describe(df: DataFrame, columns: Sequence[str] | None = None, digits: int = 4) -> DataFrame:
-    """Count, mean, deviation, extremes, quartiles, skewness and kurtosis, one row per column, empty ones included."""
+def describe(df: DataFrame, columns: Sequence[str] | None = None, digits: int = 4, sums: Sums | None = None) -> DataFrame:
+    """Count, mean, deviation, extremes, quartiles, skewness and kurtosis, one row per column, empty ones included.
+
+    ``sums`` may hold the statistics of ``df`` already; then only the quartiles read it.
+    """
     columns = list(columns or numeric_columns(df))
     quarters = quantiles(df, columns, {"p25": 0.25, "p50": 0.5, "p75": 0.75}).drop("n")
     names = ["mean", "std", "min", "p25", "p50", "p75", "max", "skewness", "kurtosis"]
-    return moments(df, columns).join(quarters, "variable", "left").select(
+    return moments(sums or df, columns).join(quarters, "variable", "left").select(
         "variable", "count", *[half_even(F.col(c), digits).alias(c) for c in names]
     )
 

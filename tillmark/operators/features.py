@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillmark.functions.expressions import half_even, ratio, whole_days_between
 from tillmark.operators.quantiles import quantiles
+from tillmark.operators.sums import Sums, univariate
 from tillmark.session import materialize
 
 MIN_AGE, MAX_AGE = 0, 100
@@ -102,13 +103,12 @@ def derive_features(df: DataFrame) -> DataFrame:
     return add_calendar(df.select(*order))
 
 
-def scaling_parameters(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def scaling_parameters(source: DataFrame | Sums, columns: Sequence[str]) -> DataFrame:
     """One row with the mean and population deviation of each column (1 for a constant column)."""
-    parts = []
-    for c in columns:
-        deviation = F.stddev_pop(c)
-        parts += [F.avg(c).alias(f"{c}_mean"), F.when(deviation == 0, 1.0).otherwise(deviation).alias(f"{c}_scale")]
-    return df.agg(*parts)
+    deviation = F.sqrt(ratio(F.col("m2"), F.col("count")))
+    scaled = univariate(source, columns).withColumn("scale", F.when(deviation == 0, 1.0).otherwise(deviation))
+    pick = lambda c, name: F.max(F.when(F.col("variable") == c, F.col(name)))
+    return scaled.agg(*[pick(c, name).alias(f"{c}_{kind}") for c in columns for kind, name in (("mean", "mean"), ("scale", "scale"))])
 
 
 def standardize(df: DataFrame, columns: Sequence[str], parameters: DataFrame | None = None, suffix: str = "") -> DataFrame:

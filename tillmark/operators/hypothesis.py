@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import functools
+from collections import Counter
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,11 +15,14 @@ from tillmark.operators.correlation import pearson, r_to_t
 from tillmark.operators.describe import contingency
 from tillmark.operators.normality import MAX_SAMPLE, assess_normality
 from tillmark.operators.quantiles import cumulative_counts, value_counts
-from tillmark.operators.sampling import DEFAULT_SEED, sample_rows
+from tillmark.operators.sampling import DEFAULT_SEED, row_hash, sample_rows
+from tillmark.operators.sums import Sums, collect_sums, cross_of, joint, m2_of, mean_of
 
 LEVEL = 0.05
 EXACT_GROUP = 8
 MIN_REGRESSION_ROWS = 10
+#: Keys of the statistics behind the battery; each has few values.
+BATTERY_KEYS = ("canal", "es_fin_de_semana", "genero")
 # The result keys of the five hypotheses.
 HYPOTHESES = (
     "H1_ticket_app_vs_web", "H2_descuento_vs_volumen", "H3_monto_finde_vs_semana", "H4_edad_vs_monto", "H5_genero_vs_monto",
@@ -70,25 +75,17 @@ def chi_square(df: DataFrame, rows: str, columns: str) -> DataFrame:
 # analysis of variance ---------------------------------------------------------
 
 
-def anova_statistic(df: DataFrame, value: str, group: str) -> DataFrame:
+def anova_statistic(source: DataFrame | Sums, value: str, group: str) -> DataFrame:
     """One row: number of groups, rows, F and its degrees of freedom; ``error`` under two groups."""
-    groups = (
-        df.where(F.col(group).isNotNull() & F.col(value).isNotNull())
-        .groupBy(group)
-        .agg(
-            F.count(F.lit(1)).cast("double").alias("n"),
-            F.avg(value).alias("mean"),
-            F.var_pop(value).alias("variance"),
-        )
-    )
+    groups = joint(source, [value], by=[group]).where(F.col(group).isNotNull())
+    groups = groups.select(F.col("n").cast("double").alias("n"), F.col(mean_of(value)).alias("mean"), F.col(m2_of(value)).alias("m2"))
     grand = groups.agg((F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("grand")).scalar()
     between = F.sum(F.col("n") * (F.col("mean") - F.col("grand")) ** 2)
-    within = F.sum(F.col("n") * F.col("variance"))
     sums = groups.withColumn("grand", grand).agg(
         F.count(F.lit(1)).alias("n_groups"),
         F.sum("n").alias("n"),
         between.alias("between"),
-        within.alias("within"),
+        F.sum("m2").alias("within"),
     )
     d1, d2 = F.col("n_groups") - 1, F.col("n") - F.col("n_groups")
     enough = F.col("n_groups") >= 2
@@ -102,8 +99,8 @@ def anova_statistic(df: DataFrame, value: str, group: str) -> DataFrame:
     )
 
 
-def anova(df: DataFrame, value: str, group: str) -> DataFrame:
-    stat = anova_statistic(df, value, group)
+def anova(source: DataFrame | Sums, value: str, group: str) -> DataFrame:
+    stat = anova_statistic(source, value, group)
     p = f_p(F.col("f_statistic"), F.col("dof_between"), F.col("dof_within"))
     return stat.withColumn("p_value", p).select("*", significant())
 
@@ -121,18 +118,21 @@ def flag_label(column: str) -> Column:
     return F.when(F.col(column), "a").when(~F.col(column), "b")
 
 
-def two_groups(df: DataFrame, value: str, label: Column) -> DataFrame:
-    """``(grp, value)`` with grp "a" or "b" and the non-null amounts."""
-    return df.select("*", label.alias("grp")).where(F.col("grp").isNotNull() & F.col(value).isNotNull())
+def two_groups(source: DataFrame | Sums, value: str, label: Column) -> DataFrame | Sums:
+    """Rows, or statistics, of the groups "a" and "b" that ``label`` gives, as ``grp``, without null amounts."""
+    if isinstance(source, Sums):
+        return source.labelled("grp", label).where(F.col("grp").isNotNull())
+    return source.select("*", label.alias("grp")).where(F.col("grp").isNotNull() & F.col(value).isNotNull())
 
 
-def welch_statistic(groups: DataFrame, value: str) -> DataFrame:
+def welch_statistic(groups: DataFrame | Sums, value: str) -> DataFrame:
     """One row: sizes, means, t and the Welch-Satterthwaite dof; ``error`` under two rows a group."""
     parts = []
     for g in ("a", "b"):
-        x = F.when(F.col("grp") == g, F.col(value))
-        parts += [F.count(x).alias(f"n_{g}"), F.avg(x).alias(f"mean_{g}"), F.var_samp(x).alias(f"var_{g}")]
-    sums = groups.agg(*parts)
+        of = lambda name: F.max(F.when(F.col("grp") == g, F.col(name)))  # noqa: B023, E731
+        n = F.coalesce(of("n"), F.lit(0))
+        parts += [n.alias(f"n_{g}"), of(mean_of(value)).alias(f"mean_{g}"), ratio(of(m2_of(value)), n - 1).alias(f"var_{g}")]
+    sums = joint(groups, [value], by=["grp"]).agg(*parts)
     ea, eb = ratio(F.col("var_a"), F.col("n_a")), ratio(F.col("var_b"), F.col("n_b"))
     dof = ratio((ea + eb) ** 2, ea**2 / (F.col("n_a") - 1) + eb**2 / (F.col("n_b") - 1))
     enough = (F.col("n_a") >= 2) & (F.col("n_b") >= 2)
@@ -147,19 +147,29 @@ def welch_statistic(groups: DataFrame, value: str) -> DataFrame:
     )
 
 
-def welch_t(groups: DataFrame, value: str) -> DataFrame:
+def welch_t(groups: DataFrame | Sums, value: str) -> DataFrame:
     return welch_statistic(groups, value).withColumn("p_value", t_p(F.col("statistic"), F.col("dof")))
 
 
-def mann_whitney_statistic(groups: DataFrame, value: str) -> DataFrame:
-    """One row: sizes, U of group a, and the tie sum, from counts per distinct value."""
-    in_a = (F.col("grp") == "a").cast("bigint")
-    ranked = cumulative_counts(value_counts(groups, [value], extra={"in_a": in_a}))
-    n, a = F.col("n").cast("double"), F.col("in_a").cast("double")
-    sums = ranked.agg(
-        F.coalesce(F.sum("in_a"), F.lit(0)).alias("n_a"),
-        F.coalesce(F.sum(F.col("n") - F.col("in_a")), F.lit(0)).alias("n_b"),
-        F.sum(a * (F.col("cum") - (n - 1) / 2.0)).alias("rank_sum"),
+def _rank_counts(df: DataFrame, value: str, labels: Mapping[str, Column]) -> DataFrame:
+    """Counts of the distinct values, for all the comparisons in ``labels`` at once, with running counts of each.
+
+    A comparison's columns are ``{name}_a`` (rows in group a), ``{name}_n`` (in a or b) and ``{name}_cum``.
+    """
+    extra = {}
+    for name, label in labels.items():
+        extra[f"{name}_a"] = F.coalesce((label == "a").cast("bigint"), F.lit(0))
+        extra[f"{name}_n"] = label.isNotNull().cast("bigint")
+    return cumulative_counts(value_counts(df, [value], extra=extra), sums={f"{name}_cum": f"{name}_n" for name in labels})
+
+
+def _rank_sum(ranked: DataFrame, name: str) -> DataFrame:
+    """One row: sizes, U of group a and the tie sum of one comparison."""
+    n, a = F.col(f"{name}_n").cast("double"), F.col(f"{name}_a").cast("double")
+    sums = ranked.where(F.col(f"{name}_n") > 0).agg(
+        F.coalesce(F.sum(f"{name}_a"), F.lit(0)).alias("n_a"),
+        F.coalesce(F.sum(F.col(f"{name}_n") - F.col(f"{name}_a")), F.lit(0)).alias("n_b"),
+        F.sum(a * (F.col(f"{name}_cum") - (n - 1) / 2.0)).alias("rank_sum"),
         F.sum(n * n * n - n).alias("ties"),
     )
     enough = (F.col("n_a") >= 2) & (F.col("n_b") >= 2)
@@ -173,9 +183,17 @@ def mann_whitney_statistic(groups: DataFrame, value: str) -> DataFrame:
     )
 
 
+def mann_whitney_statistic(groups: DataFrame, value: str) -> DataFrame:
+    """One row: sizes, U of group a, and the tie sum, from counts per distinct value."""
+    return _rank_sum(_rank_counts(groups, value, {"g": F.col("grp")}), "g")
+
+
 def mann_whitney(groups: DataFrame, value: str) -> DataFrame:
     """Two-sided p: normal with tie and continuity corrections, exact for a small untied group."""
-    stat = mann_whitney_statistic(groups, value)
+    return _rank_sum_test(mann_whitney_statistic(groups, value))
+
+
+def _rank_sum_test(stat: DataFrame) -> DataFrame:
     na, nb = F.col("n_a").cast("double"), F.col("n_b").cast("double")
     total = na + nb
     larger = F.greatest(F.col("statistic"), na * nb - F.col("statistic"))
@@ -192,29 +210,46 @@ def mann_whitney(groups: DataFrame, value: str) -> DataFrame:
     )
 
 
-def compare_groups(
-    df: DataFrame, value: str, label: Column, keys: Sequence[Column | str], seed: int = DEFAULT_SEED
-) -> DataFrame:
-    """Welch t if a seeded sample of both groups passes Shapiro-Wilk, else Mann-Whitney.
+def compare_many(
+    df: DataFrame, value: str, labels: Mapping[str, Column], keys: Sequence[Column | str], seed: int = DEFAULT_SEED, sums: Sums | None = None
+) -> dict[str, DataFrame]:
+    """For each label: Welch t if a seeded sample of both groups passes Shapiro-Wilk, else Mann-Whitney.
 
-    The normality result, two rows, decides on the driver which test is planned.
+    All comparisons share the passes: one draws every sample, one counts the values for every rank sum, and
+    ``sums`` gives the means without another. The normality results, two rows a comparison, decide on the
+    driver which tests are planned.
     """
-    groups = two_groups(df, value, label)
-    sample = sample_rows(groups, MAX_SAMPLE, keys, seed, label="grp", labels=["a", "b"], ties=[value])
-    passed = assess_normality(sample.select(F.col("grp").alias("variable"), F.col(value).cast("double").alias("value")))
-    normal = passed.agg(F.count_if(F.col("shapiro_p") > LEVEL)).first()[0] == 2
-    means = welch_statistic(groups, value).select("mean_a", "mean_b")
-    tested = welch_t(groups, value) if normal else mann_whitney(groups, value)
-    mean = means.select(F.struct("mean_a", "mean_b").alias("m")).scalar()
-    return tested.select(
-        F.lit("Welch t-test" if normal else "Mann-Whitney U").alias("test"),
-        "statistic",
-        "p_value",
-        mean["mean_a"].alias("mean_a"),
-        mean["mean_b"].alias("mean_b"),
-        significant(),
-        "error",
-    )
+    rows = df.where(F.col(value).isNotNull())
+    named = [F.when(label.isNotNull(), F.concat(F.lit(f"{name}:"), label)) for name, label in labels.items()]
+    long = rows.select(row_hash(keys, seed).alias("_hash"), value, F.explode(F.array_compact(F.array(*named))).alias("_group"))
+    groups = [f"{name}:{g}" for name in labels for g in ("a", "b")]
+    sample = sample_rows(long, MAX_SAMPLE, (), seed, label="_group", labels=groups, ties=[value])
+    passed = assess_normality(sample.select(F.col("_group").alias("variable"), F.col(value).cast("double").alias("value")))
+    normal = Counter(r["variable"].split(":")[0] for r in passed.where(F.col("shapiro_p") > LEVEL).select("variable").collect())
+    ranked_labels = {name: label for name, label in labels.items() if normal[name] < 2}
+    ranked = _rank_counts(rows, value, ranked_labels) if ranked_labels else None
+    found = {}
+    for name, label in labels.items():
+        split = two_groups(sums or rows, value, label)
+        mean = welch_statistic(split, value).select(F.struct("mean_a", "mean_b").alias("m")).scalar()
+        tested = _rank_sum_test(_rank_sum(ranked, name)) if name in ranked_labels else welch_t(split, value)
+        found[name] = tested.select(
+            F.lit("Mann-Whitney U" if name in ranked_labels else "Welch t-test").alias("test"),
+            "statistic",
+            "p_value",
+            mean["mean_a"].alias("mean_a"),
+            mean["mean_b"].alias("mean_b"),
+            significant(),
+            "error",
+        )
+    return found
+
+
+def compare_groups(
+    df: DataFrame, value: str, label: Column, keys: Sequence[Column | str], seed: int = DEFAULT_SEED, sums: Sums | None = None
+) -> DataFrame:
+    """One comparison of :func:`compare_many`."""
+    return compare_many(df, value, {"g": label}, keys, seed, sums)["g"]
 
 
 # regression and correlation ------------------------------------------------------
@@ -224,17 +259,17 @@ def volume_column(df: DataFrame) -> str:
     return "items_por_boleta" if "items_por_boleta" in df.columns else "unidades"
 
 
-def simple_regression_statistic(df: DataFrame, y: str, x: str) -> DataFrame:
+def simple_regression_statistic(source: DataFrame | Sums, y: str, x: str) -> DataFrame:
     """One row: n, slope, intercept, r2 and t of y on x; ``error`` for few rows or a constant y."""
-    rows = df.select(F.col(y).cast("double").alias("y"), F.col(x).cast("double").alias("x")).dropna()
-    sums = rows.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg("x").alias("mx"),
-        F.avg("y").alias("my"),
-        F.var_pop("x").alias("vx"),
-        F.var_pop("y").alias("vy"),
-        F.covar_pop("x", "y").alias("cxy"),
-        (F.min("y") < F.max("y")).alias("varies"),
+    both = [y, x]
+    sums = joint(source, both).select(
+        "n",
+        F.col(mean_of(x)).alias("mx"),
+        F.col(mean_of(y)).alias("my"),
+        F.col(m2_of(x)).alias("vx"),
+        F.col(m2_of(y)).alias("vy"),
+        cross_of(both, x, y).alias("cxy"),
+        (F.col(f"min_{y}") < F.col(f"max_{y}")).alias("varies"),
     )
     usable = (F.col("n") >= MIN_REGRESSION_ROWS) & F.coalesce("varies", F.lit(False))
     slope = ratio(F.col("cxy"), F.col("vx"))
@@ -249,14 +284,14 @@ def simple_regression_statistic(df: DataFrame, y: str, x: str) -> DataFrame:
     )
 
 
-def simple_regression(df: DataFrame, y: str, x: str) -> DataFrame:
-    stat = simple_regression_statistic(df, y, x)
+def simple_regression(source: DataFrame | Sums, y: str, x: str) -> DataFrame:
+    stat = simple_regression_statistic(source, y, x)
     return stat.withColumn("p_value", t_p(F.col("t"), F.col("n").cast("double") - 2)).select("*", significant())
 
 
-def correlation_test(df: DataFrame, a: str, b: str) -> DataFrame:
+def correlation_test(source: DataFrame | Sums, a: str, b: str) -> DataFrame:
     """One row: n, r and its two-sided p."""
-    r = pearson(df, [a, b]).where((F.col("column_a") == a) & (F.col("column_b") == b)).select("n", "r")
+    r = pearson(source, [a, b]).where((F.col("column_a") == a) & (F.col("column_b") == b)).select("n", "r")
     n = F.col("n").cast("double")
     return r.withColumn("p_value", t_p(r_to_t(F.col("r"), n), n - 2)).select("*", significant())
 
@@ -293,34 +328,42 @@ def _absent(df: DataFrame, hypothesis: str, *columns: str) -> DataFrame:
     )
 
 
-def hypothesis_battery(df: DataFrame, keys: Sequence[Column | str], seed: int = DEFAULT_SEED) -> DataFrame:
-    """The five hypotheses on a prepared sales table, one row each; an error row where a column is absent."""
-    volume = volume_column(df)
+def battery_sums(df: DataFrame) -> Sums:
+    """The statistics that the battery reads, of whatever columns the table has, written once."""
+    numbers = [c for c in ("monto_aplicado", "porcentaje_descuento", volume_column(df), "edad") if c in df.columns]
+    return collect_sums(df, numbers, paired=numbers, by=[c for c in BATTERY_KEYS if c in df.columns]).written()
 
-    def needs(*columns: str) -> bool:
-        return all(c in df.columns for c in columns)
 
-    pieces = [
-        _result(
-            compare_groups(df, "monto_aplicado", channel_label("canal", "APP", "WEB"), keys, seed),
-            HYPOTHESES[0], F.col("test"), "statistic", mean_a="mean_a", mean_b="mean_b",
-        )
-        if needs("canal") else _absent(df, HYPOTHESES[0], "canal"),
-        _result(
-            simple_regression(df, volume, "porcentaje_descuento"), HYPOTHESES[1], F.lit("linear regression"), "slope", r_squared="r_squared",
-        )
-        if needs("porcentaje_descuento", volume) else _absent(df, HYPOTHESES[1], "porcentaje_descuento", volume),
-        _result(
-            compare_groups(df, "monto_aplicado", flag_label("es_fin_de_semana"), keys, seed),
-            HYPOTHESES[2], F.col("test"), "statistic", mean_finde="mean_a", mean_semana="mean_b",
-        )
-        if needs("es_fin_de_semana") else _absent(df, HYPOTHESES[2], "es_fin_de_semana"),
-        _result(correlation_test(df, "edad", "monto_aplicado"), HYPOTHESES[3], F.lit("Pearson"), "r")
-        if needs("edad") else _absent(df, HYPOTHESES[3], "edad"),
-        _result(anova(df, "monto_aplicado", "genero"), HYPOTHESES[4], F.lit("ANOVA"), "f_statistic")
-        if needs("genero") else _absent(df, HYPOTHESES[4], "genero"),
-    ]
-    out = pieces[0]
-    for piece in pieces[1:]:
-        out = out.unionByName(piece)
-    return out
+def hypothesis_battery(df: DataFrame, keys: Sequence[Column | str], seed: int = DEFAULT_SEED, sums: Sums | None = None) -> DataFrame:
+    """The five hypotheses on a prepared sales table, one row each; an error row where a column is absent.
+
+    ``sums`` may hold the table's statistics, with the keys of ``BATTERY_KEYS``; the samples and the ranks
+    then are all that reads the lines.
+    """
+    volume, amount = volume_column(df), "monto_aplicado"
+    sums = sums or battery_sums(df)
+    labels = {}
+    if "canal" in df.columns:
+        labels["channel"] = channel_label("canal", "APP", "WEB")
+    if "es_fin_de_semana" in df.columns:
+        labels["weekend"] = flag_label("es_fin_de_semana")
+    compared = compare_many(df, amount, labels, keys, seed, sums) if labels else {}
+    # hypothesis, the columns it needs, its test, statistic and details
+    plans = [
+        (("canal",), lambda: (compared["channel"], F.col("test"), "statistic", {"mean_a": "mean_a", "mean_b": "mean_b"})),
+        (
+            ("porcentaje_descuento", volume),
+            lambda: (simple_regression(sums, volume, "porcentaje_descuento"), F.lit("linear regression"), "slope", {"r_squared": "r_squared"}),
+        ),
+        (("es_fin_de_semana",), lambda: (compared["weekend"], F.col("test"), "statistic", {"mean_finde": "mean_a", "mean_semana": "mean_b"})),
+        (("edad",), lambda: (correlation_test(sums, "edad", amount), F.lit("Pearson"), "r", {})),
+        (("genero",), lambda: (anova(sums, amount, "genero"), F.lit("ANOVA"), "f_statistic", {})),
+    ]
+    rows = []
+    for name, (needed, plan) in zip(HYPOTHESES, plans):
+        if all(c in df.columns for c in needed):
+            found, test, statistic, details = plan()
+            rows.append(_result(found, name, test, statistic, **details))
+        else:
+            rows.append(_absent(df, name, *needed))
+    return functools.reduce(DataFrame.unionByName, rows)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillmark.functions.expressions import half_even, ratio
 from tillmark.operators.quantiles import quantiles
+from tillmark.operators.sums import Sums, univariate
 
 QUARTILES = {"q1": 0.25, "q3": 0.75}
 
@@ -25,13 +26,14 @@ def _limits(df: DataFrame, column: str, factor: float) -> Column:
     return iqr_limits(df, [column], factor).agg(F.struct(F.max("lower").alias("lower"), F.max("upper").alias("upper")).alias("l")).scalar()
 
 
-def _moments(df: DataFrame, column: str) -> Column:
-    return df.agg(F.struct(F.avg(column).alias("mean"), F.stddev_pop(column).alias("std")).alias("m")).scalar()
+def _moments(source: DataFrame | Sums, column: str) -> Column:
+    found = univariate(source, [column])
+    return found.select(F.struct("mean", F.sqrt(ratio(F.col("m2"), F.col("count"))).alias("std"))).scalar()
 
 
-def flag_outliers(df: DataFrame, column: str, factor: float = 1.5, threshold: float = 3.0) -> DataFrame:
+def flag_outliers(df: DataFrame, column: str, factor: float = 1.5, threshold: float = 3.0, sums: Sums | None = None) -> DataFrame:
     """Add boolean columns ``iqr_outlier`` and ``zscore_outlier``; a null value is no outlier."""
-    limits, moments, x = _limits(df, column, factor), _moments(df, column), F.col(column)
+    limits, moments, x = _limits(df, column, factor), _moments(sums or df, column), F.col(column)
     outside = (x < limits["lower"]) | (x > limits["upper"])
     score = F.abs(ratio(x - moments["mean"], moments["std"]))
     return df.withColumns(
@@ -42,11 +44,11 @@ def flag_outliers(df: DataFrame, column: str, factor: float = 1.5, threshold: fl
     )
 
 
-def outlier_summary(df: DataFrame, column: str, factor: float = 1.5, threshold: float = 3.0) -> DataFrame:
+def outlier_summary(df: DataFrame, column: str, factor: float = 1.5, threshold: float = 3.0, sums: Sums | None = None) -> DataFrame:
     """One row: counts and percents of both kinds of outlier among the non-null values."""
     if column not in df.columns:
         return df.sparkSession.range(1).select(F.lit(column).alias("column"), F.lit("column not found").alias("error"))
-    flagged = flag_outliers(df.select(column).where(F.col(column).isNotNull()), column, factor, threshold)
+    flagged = flag_outliers(df.select(column).where(F.col(column).isNotNull()), column, factor, threshold, sums)
     parts = []
     for kind in ("iqr", "zscore"):
         n = F.count_if(F.col(f"{kind}_outlier"))

@@ -57,8 +57,8 @@ def value_counts(
     return long.groupBy(*by, "variable", "value").agg(*sums)
 
 
-def cumulative_counts(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Add ``cum`` (rows with this value or a smaller one) to a table of value counts.
+def cumulative_counts(counts: DataFrame, by: Sequence[str] = (), sums: Mapping[str, str] | None = None) -> DataFrame:
+    """Add ``cum`` (rows with this value or a smaller one) to a table of value counts, or the running ``sums`` (name to count column).
 
     The counts are written once, in value ranges. Ranges are summed apart, so no task sorts more than
     its own; the joined side has one row per group, column and range.
@@ -67,11 +67,14 @@ def cumulative_counts(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     dealt = counts.repartitionByRange(*keys, "value").withColumn("_range", F.spark_partition_id())
     dealt = materialize(dealt, "value-counts")
     earlier = W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    offsets = dealt.groupBy(*keys, "_range").agg(F.sum("n").alias("_inside"))
-    offsets = offsets.select(*keys, "_range", F.coalesce(F.sum("_inside").over(earlier), F.lit(0)).alias("_before"))
+    sums = dict(sums or {"cum": "n"})
+    offsets = dealt.groupBy(*keys, "_range").agg(*[F.sum(c).alias(f"_inside_{name}") for name, c in sums.items()])
+    before = [F.coalesce(F.sum(f"_inside_{name}").over(earlier), F.lit(0)).alias(f"_before_{name}") for name in sums]
+    offsets = offsets.select(*keys, "_range", *before)
     upto = W.partitionBy(*keys, "_range").orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
-    running = dealt.withColumn("_upto", F.sum("n").over(upto)).join(offsets, [*keys, "_range"])
-    return running.withColumn("cum", F.col("_before") + F.col("_upto")).drop("_range", "_before", "_upto")
+    running = dealt.withColumns({f"_upto_{name}": F.sum(c).over(upto) for name, c in sums.items()}).join(offsets, [*keys, "_range"])
+    running = running.withColumns({name: F.col(f"_before_{name}") + F.col(f"_upto_{name}") for name in sums})
+    return running.drop("_range", *[f"{part}_{name}" for name in sums for part in ("_before", "_upto")])
 
 
 def mid_rank() -> Column:

@@ -6,6 +6,7 @@ row per channel holds every cross product the fit needs. Only those few rows rea
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -17,7 +18,8 @@ from pyspark.sql import functions as F
 from tillmark.functions.distributions import chi2_p, normal_quantile, t_critical, t_p
 from tillmark.functions.expressions import ratio
 from tillmark.operators.hypothesis import volume_column
-from tillmark.operators.sampling import DEFAULT_SEED, hash_split, sample_rows
+from tillmark.operators.sampling import DEFAULT_SEED, hash_split, sample_rows, train_flag
+from tillmark.operators.sums import Sums, joint
 
 LABEL = "monto_aplicado"
 PLOT_SAMPLE = 5000
@@ -26,9 +28,19 @@ RANK_TOLERANCE = 1e-12
 MIN_VIF_ROWS = 10
 
 
+def _needed(df: DataFrame) -> list[str]:
+    return [LABEL, "canal", "local", volume_column(df), "porcentaje_descuento"]
+
+
+def train_rows(df: DataFrame, keys: Sequence[Column | str], seed: int = DEFAULT_SEED, ratio_train: float = 0.7) -> Column:
+    """Whether a row trains the model; null if it lacks a model column."""
+    complete = functools.reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in _needed(df)])
+    return F.when(complete, train_flag(keys, seed, ratio_train))
+
+
 def model_rows(df: DataFrame, keys: Sequence[Column | str], seed: int = DEFAULT_SEED, ratio_train: float = 0.7) -> DataFrame:
     """Rows complete in the model columns, with ``is_train``."""
-    needed = [LABEL, "canal", "local", volume_column(df), "porcentaje_descuento"]
+    needed = _needed(df)
     split = hash_split(df.dropna(subset=needed), keys, seed, ratio_train)
     return split.select(*dict.fromkeys([*needed, *[k for k in keys if isinstance(k, str)]]), "boleta", "sku", "is_train")
 
@@ -213,7 +225,7 @@ def jarque_bera(residuals: DataFrame, column: str = "residual") -> DataFrame:
     ).withColumn("residuales_normales", F.col("p_value") > 0.05)
 
 
-def variance_inflation(df: DataFrame, columns: Sequence[str], intercept: bool = False) -> DataFrame:
+def variance_inflation(source: DataFrame | Sums, columns: Sequence[str], intercept: bool = False) -> DataFrame:
     """Variance inflation of each column: ``(variable, vif)``, no rows under ten complete rows.
 
     The default regresses each column on the others without a constant (uncentred), from their cross
@@ -221,19 +233,15 @@ def variance_inflation(df: DataFrame, columns: Sequence[str], intercept: bool =
     without any value but zero has none.
     """
     columns = list(columns)
-    complete = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).dropna()
-
-    def product(a: str, b: str) -> Column:
-        centred = F.covar_pop(a, b)
-        return centred if intercept else centred + F.avg(a) * F.avg(b)
-
-    pairs = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
-    sums = complete.agg(F.count(F.lit(1)).alias("n"), *[product(columns[i], columns[j]).alias(f"g{i}_{j}") for i, j in pairs]).first()
+    sums = joint(source, columns).first()
+    spark = source.table.sparkSession if isinstance(source, Sums) else source.sparkSession
     rows = []
     if sums["n"] >= MIN_VIF_ROWS:
         gram = np.zeros((len(columns), len(columns)))
-        for i, j in pairs:
-            gram[i, j] = gram[j, i] = sums[f"g{i}_{j}"]
+        for i, a in enumerate(columns):
+            for j, b in enumerate(columns[i:], i):
+                centred = sums[f"m2_{a}" if i == j else f"cross_{a}_{b}"] / sums["n"]
+                gram[i, j] = gram[j, i] = centred if intercept else centred + sums[f"mean_{a}"] * sums[f"mean_{b}"]
         scale = np.sqrt(np.diag(gram))
         unit = gram / np.outer(np.where(scale > 0, scale, 1.0), np.where(scale > 0, scale, 1.0))
         for i, name in enumerate(columns):
@@ -241,7 +249,7 @@ def variance_inflation(df: DataFrame, columns: Sequence[str], intercept: bool =
             known = unit[i, others] @ np.linalg.pinv(unit[np.ix_(others, others)], hermitian=True, rtol=RANK_TOLERANCE) @ unit[others, i]
             left = 1.0 - float(known)
             rows.append((name, None if scale[i] == 0 else float("inf") if left <= RANK_TOLERANCE else 1.0 / left))
-    return df.sparkSession.createDataFrame(rows, "variable string, vif double")
+    return spark.createDataFrame(rows, "variable string, vif double")
 
 
 def residual_sample(

@@ -36,9 +36,14 @@ def row_hash(keys: Sequence[Column | str], seed: int = DEFAULT_SEED) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
 
 
+def train_flag(keys: Sequence[Column | str], seed: int = DEFAULT_SEED, ratio: float = 0.7) -> Column:
+    """True for about ``ratio`` of the rows, by their keys."""
+    return row_hash(keys, seed) % SPLIT_BUCKETS < int(round(ratio * SPLIT_BUCKETS))
+
+
 def hash_split(df: DataFrame, keys: Sequence[Column | str], seed: int = DEFAULT_SEED, ratio: float = 0.7) -> DataFrame:
     """Add ``is_train``, true for about ``ratio`` of the rows."""
-    return df.withColumn("is_train", row_hash(keys, seed) % SPLIT_BUCKETS < int(round(ratio * SPLIT_BUCKETS)))
+    return df.withColumn("is_train", train_flag(keys, seed, ratio))
 
 
 def sample_rows(

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from tillmark.operators import cleaning, clustering, correlation, describe, features, hypothesis
 from tillmark.operators import missing, normality, outliers, regression, timeseries
 from tillmark.operators.sampling import DEFAULT_SEED, sales_key
+from tillmark.operators.sums import Sums, collect_sums
+from tillmark.schema import numeric_columns
 from tillmark.session import materialize
 
 Results = dict[str, tuple[DataFrame, Sequence[str]]]
@@ -27,10 +29,26 @@ def prepare(raw: DataFrame) -> DataFrame:
     return materialize(features.derive_features(cleaning.impute(valid)), "prepared")
 
 
-def preprocess(raw: DataFrame, seed: int = DEFAULT_SEED) -> tuple[DataFrame, Results]:
-    """Prepared table and the reports on how it came about."""
+#: Columns whose products the stages read: correlations, regression, variance inflation.
+PAIRED = ("unidades", "monto_aplicado", "porcentaje_descuento", "monto_por_unidad", "edad", "items_por_boleta", "local")
+
+
+def statistics(prepared: DataFrame, seed: int = DEFAULT_SEED) -> Sums:
+    """The one table of sums that describes, tests, correlates and scales a prepared table, by one scan of it.
+
+    Its keys are those of the group tests, and ``is_train``, the regression's split of the rows it can use.
+    """
+    columns = numeric_columns(prepared)
+    split = prepared.withColumn("is_train", regression.train_rows(prepared, sales_key(), seed))
+    keys = [*[c for c in hypothesis.BATTERY_KEYS if c in prepared.columns], "is_train"]
+    return collect_sums(split, columns, [c for c in PAIRED if c in columns], columns, keys).written()
+
+
+def preprocess(raw: DataFrame, seed: int = DEFAULT_SEED) -> tuple[DataFrame, Sums, Results]:
+    """Prepared table, its statistics and the reports on how it came about."""
     typed = cleaning.coerce_types(raw)
     prepared = prepare(raw)
+    sums = statistics(prepared, seed)
     counted = raw.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("seed", F.lit(seed))
     results: Results = {
         "run": (counted, ()),
@@ -41,21 +59,22 @@ def preprocess(raw: DataFrame, seed: int = DEFAULT_SEED) -> tuple[DataFrame, Res
         "shop_totals": (describe.shop_totals(prepared), ("local", "is_total")),
     }
     for column in ("monto_aplicado", "unidades"):
-        results[f"outliers_{column}"] = (outliers.outlier_summary(prepared, column), ("column",))
-    return prepared, results
+        results[f"outliers_{column}"] = (outliers.outlier_summary(prepared, column, sums=sums), ("column",))
+    return prepared, sums, results
 
 
-def explore(prepared: DataFrame, seed: int = DEFAULT_SEED) -> Results:
+def explore(prepared: DataFrame, seed: int = DEFAULT_SEED, sums: Sums | None = None) -> Results:
+    sums = sums or statistics(prepared, seed)
     columns = [c for c in TEST_COLUMNS if c in prepared.columns]
     normal = materialize(normality.normality_tests(prepared, columns, sales_key(), seed=seed), "normality")
     method = normality.correlation_method(normal, columns)
     daily = materialize(timeseries.daily_sales(prepared), "daily")
     results: Results = {
-        "describe": (describe.describe(prepared), ("variable",)),
+        "describe": (describe.describe(prepared, sums=sums), ("variable",)),
         "normality": (normal, ("variable",)),
-        f"correlation_{method}": (correlation.correlation_with_pvalues(prepared, columns, method), ("column_a", "column_b")),
+        f"correlation_{method}": (correlation.correlation_with_pvalues(prepared, columns, method, sums=sums), ("column_a", "column_b")),
         "chi2_canal_local": (hypothesis.chi_square(prepared, "canal", "local"), ()),
-        "anova_monto_canal": (hypothesis.anova(prepared, "monto_aplicado", "canal"), ()),
+        "anova_monto_canal": (hypothesis.anova(sums, "monto_aplicado", "canal"), ()),
         "canal": (describe.value_shares(prepared, "canal"), ("canal",)),
         "hours": (describe.peak_hours(prepared), ()),
         "daily_summary": (timeseries.daily_summary(daily), ()),
@@ -67,16 +86,19 @@ def explore(prepared: DataFrame, seed: int = DEFAULT_SEED) -> Results:
     return results
 
 
-def infer(prepared: DataFrame, seed: int = DEFAULT_SEED, n_clusters: int = 4, restarts: int = clustering.RESTARTS) -> Results:
+def infer(
+    prepared: DataFrame, seed: int = DEFAULT_SEED, n_clusters: int = 4, restarts: int = clustering.RESTARTS, sums: Sums | None = None
+) -> Results:
+    sums = sums or statistics(prepared, seed)
     spark = prepared.sparkSession
     rows = materialize(regression.model_rows(prepared, sales_key(), seed), "model-rows")
     model = regression.fit_amount_model(rows)
     vif_columns = ["local", hypothesis.volume_column(prepared), "porcentaje_descuento"]
     results: Results = {
-        "hypotheses": (hypothesis.hypothesis_battery(prepared, sales_key(), seed), ("hypothesis",)),
+        "hypotheses": (hypothesis.hypothesis_battery(prepared, sales_key(), seed, sums), ("hypothesis",)),
         "regression_terms": (regression.coefficient_table(model, spark), ("term",)),
         "regression_fit": (regression.fit_measures(model, rows), ()),
-        "vif": (regression.variance_inflation(rows.where("is_train"), vif_columns), ("variable",)),
+        "vif": (regression.variance_inflation(sums.where(F.col("is_train")), vif_columns), ("variable",)),
         "breusch_pagan": (regression.breusch_pagan(model, rows), ()),
         "jarque_bera": (regression.jarque_bera(model.predict(rows.where("is_train"))), ()),
     }
@@ -105,9 +127,13 @@ def run(raw: DataFrame, stage: str = "all", seed: int = DEFAULT_SEED) -> tuple[D
     """One stage ("preprocess", "explore", "infer") or "all"; the table is prepared once."""
     if stage not in ("all", "preprocess", "explore", "infer"):
         raise ValueError(f"unknown stage {stage!r}")
-    prepared, results = preprocess(raw, seed) if stage in ("all", "preprocess") else (prepare(raw), {})
+    if stage in ("all", "preprocess"):
+        prepared, sums, results = preprocess(raw, seed)
+    else:
+        prepared, results = prepare(raw), {}
+        sums = statistics(prepared, seed)
     if stage in ("all", "explore"):
-        results.update(explore(prepared, seed))
+        results.update(explore(prepared, seed, sums))
     if stage in ("all", "infer"):
-        results.update(infer(prepared, seed))
+        results.update(infer(prepared, seed, sums=sums))
     return prepared, results
