@@ -163,7 +163,8 @@ def test_segments(spark, clusters):
     assert three.inertia == pytest.approx(around, rel=1e-6)
     again = clustering.fit_segments(train.repartition(5), [3], restarts=4)[0]
     assert again.inertia == pytest.approx(three.inertia, rel=1e-9)
-    assert clustering.full_silhouette(labelled, z) > 0.9
+    found = clustering.full_silhouette(labelled, z).where("cluster is null").first()
+    assert found["silhouette"] > 0.9 and found["n_clients"] == labelled.count()
 
 
 def test_silhouette_by_brute_force(spark, clusters):

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from tillmark.functions import distributions
-from tillmark.operators import normality
+from tillmark.operators import clustering, normality
 
 SEED = 7
 
@@ -403,6 +403,103 @@ def _cells(found: dict[str, str]) -> str:
     return _union(parts)
 
 
+# segments ------------------------------------------------------------------------
+
+Z_COLUMNS = [f"z_{c}" for c in CLIENT_COLUMNS]
+
+
+def _kmeans(ks: tuple[int, ...]) -> list[str]:
+    """``best(k, centres, inertia)``: the same starts and steps, a row per model and round."""
+    scaled = ", ".join(
+        f"({c} - (select avg({c}) from clients)) / (select case when stddev_pop({c}) = 0 then 1 else stddev_pop({c}) end from clients)" for c in CLIENT_COLUMNS
+    )
+    squared = lambda a, b: " + ".join(f"({a}[{i}] - {b}[{i}]) * ({a}[{i}] - {b}[{i}])" for i in range(1, 5))
+    prime = clustering.PRIME
+    number = f"((k * 10007 + restart * 101 + step + 1) * 1000 + {SEED})"
+    draw = f"((key % {prime} * ({number} * 1103515245 % {prime - 1} + 1) + {number} * 69069 % {prime}) % {prime} + 0.5::double) / {prime}"
+    return [
+        f"points as (select codigo_cliente, {CLIENT_HASH} % 10000 < 7000 as is_train, {CLIENT_HASH}::bigint as key, [{scaled}]::double[] as x, "
+        f"{', '.join(CLIENT_COLUMNS)} from clients)",
+        f"models as (select k, restart from (select unnest([{', '.join(map(str, ks))}])::bigint as k), (select unnest(range({clustering.RESTARTS})) as restart))",
+        f"""starts(k, restart, step, centres) as (
+  select k, restart, 0::bigint, []::double[][] from models
+  union all
+  select k, restart, step + 1, list_append(centres, x) from (
+    select k, restart, step, centres, x, row_number() over (partition by k, restart order by case when d2 = 0 then 1e308 else -ln({draw}) / d2 end, key) as place
+    from (select s.*, key, x, case when step = 0 then 1.0 else list_min(list_transform(centres, lambda c: {squared('x', 'c')})) end as d2
+      from starts s, points where is_train and step < k)
+  ) where place = 1
+)""",
+        f"""rounds(k, restart, i, centres, settled, done, cost) as (
+  select k, restart, 0, centres, false, false, 0.0::double from starts where step = k
+  union all
+  select k, restart, i + 1, case when settled then centres else moved end,
+    list_sum(list_transform(range(1, k + 1), lambda j: {squared('moved[j]', 'centres[j]')})) <= {clustering.TOLERANCE}, settled, cost
+  from (
+    select k, restart, any_value(i) as i, any_value(centres) as centres, any_value(settled) as settled, sum(cost) as cost,
+      list_transform(range(1, k + 1), lambda j: coalesce(list_filter(list(struct_pack(c := c, m := m)), lambda s: s.c = j)[1].m, any_value(centres)[j])) as moved
+    from (
+      select k, restart, c, any_value(i) as i, any_value(centres) as centres, any_value(settled) as settled, sum(d) as cost,
+        [avg(x[1]), avg(x[2]), avg(x[3]), avg(x[4])] as m
+      from (
+        select *, list_min(ds) as d, list_position(ds, list_min(ds)) as c
+        from (select r.*, x, list_transform(r.centres, lambda q: {squared('x', 'q')}) as ds from rounds r, points where is_train and not done and i <= {clustering.MAX_ITERATIONS})
+      ) group by k, restart, c
+    ) group by k, restart
+  )
+)""",
+        "best as (select k, list_sort(arg_min(centres, cost)) as centres, min(cost) as inertia from rounds where done group by k)",
+        f"""labelled as (
+  select *, list_position(ds, list_min(ds)) - 1 as cluster from (
+    select points.*, list_transform(centres, lambda q: {squared('x', 'q')}) as ds from points, best where k = 4)
+)""",
+    ]
+
+
+def on_segments(body: str, *more: str, ks: tuple[int, ...] = (4,)) -> str:
+    return _recursive(on_feat(body, CLIENTS, *_kmeans(ks), *more))
+
+
+def _silhouette(distance: str, source: str) -> list[str]:
+    return [
+        f"sizes as (select cluster, count(*) as n from {source} group by cluster)",
+        f"""apart as (
+  select a.codigo_cliente, a.cluster, b.cluster as other, sum({distance}) as total
+  from {source} a, {source} b group by a.codigo_cliente, a.cluster, b.cluster
+)""",
+        """widths as (
+  select codigo_cliente, cluster, case when max(own) = 1 or min(outside) is null then 0 else coalesce((min(outside) - max(inside)) / nullif(greatest(min(outside), max(inside)), 0), 0) end as width
+  from (select codigo_cliente, apart.cluster, case when other = apart.cluster then total / greatest(n - 1, 1) end as inside,
+      case when other != apart.cluster then total / n end as outside, case when other = apart.cluster then n end as own
+    from apart join sizes on sizes.cluster = other) group by codigo_cliente, cluster
+)""",
+    ]
+
+
+def _segment_queries() -> dict[str, str]:
+    squares = " + ".join(f"(a.x[{i}] - b.x[{i}]) * (a.x[{i}] - b.x[{i}])" for i in range(1, 5))
+    sampled = f"sampled as (select * from labelled order by {CLIENT_HASH} limit {clustering.SILHOUETTE_SAMPLE})"
+    spread = " + ".join(f"var_pop(x[{i}])" for i in range(1, 5))
+    return {
+        "cluster_sizes": on_segments("select cluster::int as cluster, count(*) as n_clients from labelled group by cluster"),
+        "cluster_profile": on_segments(
+            "select cluster::int as cluster, " + ", ".join(f"round_even(avg({c}), 1) as {c}" for c in CLIENT_COLUMNS) + " from labelled group by cluster"
+        ),
+        "kmeans_inertia": on_segments(
+            "select (select round(inertia, 4) from best) as inertia, round(sum(n * v), 4) as around_means "
+            f"from (select count(*) as n, {spread} as v from labelled where is_train group by cluster)"
+        ),
+        "elbow_curve": on_segments("select k::int as k, round(inertia, 4) as inertia from best", ks=clustering.ELBOW_RANGE),
+        "silhouette": on_segments(
+            "select count(*) as n_sample, round(avg(width), 6) as silhouette from widths", sampled, *_silhouette(f"sqrt({squares})", "sampled")
+        ),
+        "full_silhouette": on_segments(
+            "select cluster::int as cluster, count(*) as n_clients, round(avg(width), 8) as silhouette from widths group by grouping sets ((), (cluster))",
+            *_silhouette(squares, "labelled"),
+        ),
+    }
+
+
 # p-values ------------------------------------------------------------------------
 
 
@@ -667,7 +764,7 @@ def _qq() -> str:
 
 def registry() -> dict[str, str]:
     found = _registry()
-    return found | {"results_table": _cells(found)}
+    return found | _segment_queries() | {"results_table": _cells(found)}
 
 
 def _registry() -> dict[str, str]:

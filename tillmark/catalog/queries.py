@@ -400,16 +400,21 @@ def kmeans_inertia(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     spread = sum((F.col(f"v{i}") for i in range(1, len(z))), F.col("v0"))
     around_means = centres.agg(F.sum(F.col("n") * spread).alias("around_means"))
-    return around_means.select(F.lit(_segments(spark, sf_dir).inertia).alias("inertia"), "around_means")
+    return rounded(around_means.select(F.lit(_segments(spark, sf_dir).inertia).alias("inertia"), "around_means"), 4, "inertia", "around_means")
 
 
 def silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = [f"z_{c}" for c in clustering.FEATURES]
-    return clustering.silhouette(_labelled(spark, sf_dir), columns, ["codigo_cliente"])
+    return rounded(clustering.silhouette(_labelled(spark, sf_dir), columns, ["codigo_cliente"]), 6, "silhouette")
+
+
+def full_silhouette(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = [f"z_{c}" for c in clustering.FEATURES]
+    return rounded(clustering.full_silhouette(_labelled(spark, sf_dir), columns), 8, "silhouette")
 
 
 def elbow_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clustering.elbow_table(spark, _fits(spark, sf_dir, clustering.ELBOW_RANGE))
+    return rounded(clustering.elbow_table(spark, _fits(spark, sf_dir, clustering.ELBOW_RANGE)), 4, "inertia")
 
 
 # charts and partitions -----------------------------------------------------------
@@ -611,6 +616,7 @@ def registry() -> dict[str, Query]:
         "cluster_profile": lambda s, d: clustering.cluster_profile(_labelled(s, d)),
         "kmeans_inertia": kmeans_inertia,
         "silhouette": silhouette,
+        "full_silhouette": full_silhouette,
         "elbow_curve": elbow_curve,
         # charts, partitions, results
         "histogram": histogram,

@@ -7,19 +7,22 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmark.functions.expressions import half_even
+from tillmark.functions.expressions import half_even, ratio
 from tillmark.operators.features import standardize
 from tillmark.operators.sampling import DEFAULT_SEED, hash_split, row_hash, sample_rows
+from tillmark.session import materialize
+from tillmark.sources.csv import union_all
 
 FEATURES = ("total_monto", "total_unidades", "n_transacciones", "descuento_prom")
 RESTARTS = 10
 MAX_ITERATIONS = 300
+#: A model whose centres move by less, squared and summed, takes one more pass for its inertia and ends.
+TOLERANCE = 1e-4
 SILHOUETTE_SAMPLE = 10_000
+SILHOUETTE_BLOCK = 10_000
 ELBOW_RANGE = tuple(range(2, 9))
 
 
@@ -54,21 +57,25 @@ class Segments:
     inertia: float
 
 
-def _uniform(keys: np.ndarray, *salt: int) -> np.ndarray:
-    """Numbers of (0, 1) from 60-bit keys and a salt, the same on any cluster."""
-    x = keys.astype(np.uint64)
-    for value in salt:
-        x = x + np.uint64((0x9E3779B97F4A7C15 * (value + 1)) % 2**64)
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        x ^= x >> np.uint64(31)
-    return (x >> np.uint64(11)).astype(float) / 2.0**53 + 2.0**-54
+#: Draws are remainders by this prime; a product of two fits a long.
+PRIME = 2_147_483_647
+
+
+def draw_parameters(k: int, restart: int, step: int, seed: int = DEFAULT_SEED) -> tuple[int, int]:
+    """Factor and shift of one draw's linear hash ``(key % PRIME * factor + shift) % PRIME``."""
+    number = (k * 10_007 + restart * 101 + step + 1) * 1_000 + seed % 1_000
+    return number * 1_103_515_245 % (PRIME - 1) + 1, number * 69_069 % PRIME
+
+
+def _uniform(keys: np.ndarray, factor: int, shift: int) -> np.ndarray:
+    """Numbers of (0, 1) from whole keys, the same on any engine with 64-bit integers."""
+    return ((keys % PRIME * factor + shift) % PRIME + 0.5) / PRIME
 
 
 def _draws(models: dict[int, tuple[int, int, np.ndarray]], columns: Sequence[str]):
     """Table function: per model the client of a task with the smallest -ln(u) / d2, d2 its squared distance to the model's centres.
 
-    The smallest of all tasks is a draw in proportion to d2. ``models`` has k, restart and centres so far.
+    The smallest of all tasks is a draw in proportion to d2. ``models`` has the draw's factor and shift and the centres so far.
     """
     names = list(columns)
 
@@ -76,12 +83,12 @@ def _draws(models: dict[int, tuple[int, int, np.ndarray]], columns: Sequence[str
         for batch in batches:
             x, keys = batch[names].to_numpy(float), batch["_key"].to_numpy()
             best = []
-            for model, (k, restart, centres) in models.items():
+            for model, (factor, shift, centres) in models.items():
                 squared = np.ones(len(x))
                 if len(centres):
                     squared = np.min([((x - c) ** 2).sum(axis=1) for c in centres], axis=0)
                 with np.errstate(divide="ignore"):
-                    score = -np.log(_uniform(keys, k, restart, len(centres))) / squared
+                    score = -np.log(_uniform(keys, factor, shift)) / squared
                 row = np.lexsort((keys, score))[0]
                 best.append((model, score[row], keys[row], *x[row]))
             if len(batch):
@@ -100,7 +107,7 @@ def _starting_centres(rows: DataFrame, models: dict[int, tuple[int, int]], colum
     schema = ", ".join(["model int", "score double", "_key bigint", *[f"{c} double" for c in columns]])
     centres = {i: np.empty((0, len(columns))) for i in models}
     for step in range(max(k for k, _ in models.values())):
-        waiting = {i: (k, restart, centres[i]) for i, (k, restart) in models.items() if k > step}
+        waiting = {i: (*draw_parameters(k, restart, step, seed), centres[i]) for i, (k, restart) in models.items() if k > step}
         drawn = keyed.mapInPandas(_draws(waiting, columns), schema).groupBy("model")
         found = drawn.agg(F.min_by(F.struct(*columns), F.struct("score", "_key")).alias("centre")).collect()
         for r in found:
@@ -134,9 +141,9 @@ def _cluster_sums(models: dict[int, np.ndarray], columns: Sequence[str]):
 
 
 def fit_segments(
-    train: DataFrame, ks: Iterable[int], restarts: int = RESTARTS, seed: int = DEFAULT_SEED, tolerance: float = 1e-4
+    train: DataFrame, ks: Iterable[int], restarts: int = RESTARTS, seed: int = DEFAULT_SEED, tolerance: float = TOLERANCE
 ) -> list[Segments]:
-    """K-means: for each k the restart with the lowest inertia.
+    """K-means: for each k the restart with the lowest inertia, its centres in order of their coordinates.
 
     All restarts of all k advance together. One pass over the clients per iteration sums every
     model's clusters inside the tasks, and only models x clusters rows reach the driver. Starts
@@ -156,7 +163,8 @@ def fit_segments(
             sums = partial.groupBy("model", "cluster").agg(*[F.sum(c).alias(c) for c in ("n", *columns, "cost")]).toPandas()
             for i, table in sums.groupby("model"):
                 if i in settled or iteration == MAX_ITERATIONS:
-                    finished[i] = Segments(owner[i], models.pop(i), float(table["cost"].sum()))
+                    centres = models.pop(i)
+                    finished[i] = Segments(owner[i], centres[np.lexsort(centres.T[::-1])], float(table["cost"].sum()))
                     continue
                 table = table.set_index("cluster").sort_index()
                 size = table["n"].to_numpy()[:, None]
@@ -199,44 +207,56 @@ def elbow_table(spark: SparkSession, fits: Sequence[Segments]) -> DataFrame:
     return spark.createDataFrame([(s.k, s.inertia) for s in fits], "k int, inertia double")
 
 
-def silhouette_points(labelled: DataFrame, columns: Sequence[str], keys: Sequence[str], n: int = SILHOUETTE_SAMPLE, seed: int = DEFAULT_SEED) -> DataFrame:
-    """Euclidean silhouette of each client in a seeded sample of at most ``n``.
-
-    The sample, at most ``n`` short rows, is shared with the tasks; its rows are spread over
-    them, and each task measures its batch against the shared copy block by block.
-    """
-    if n > SILHOUETTE_SAMPLE:
-        raise ValueError(f"the shared sample is limited to {SILHOUETTE_SAMPLE} rows")
-    spark = labelled.sparkSession
-    sample = sample_rows(labelled, n, keys, seed).select(*keys, "cluster", *columns)
-    points = sample.toPandas()
-    shared = spark.sparkContext.broadcast((points[list(columns)].to_numpy(float), points["cluster"].to_numpy(int)))
+def _distance_sums(shared, clusters: Sequence[int], columns: Sequence[str], kept: Sequence[str]):
+    """Table function: per row its summed distance to the shared rows of each cluster."""
     names = list(columns)
 
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         others, labels = shared.value
-        clusters, sizes = np.unique(labels, return_counts=True)
-        member = (labels[:, None] == clusters[None, :]).astype(float)
+        member = (labels[:, None] == np.array(clusters)[None, :]).astype(float)
         for batch in batches:
             for start in range(0, len(batch), 500):
                 block = batch.iloc[start : start + 500]
                 x = block[names].to_numpy(float)
                 distance = np.sqrt(((x[:, None, :] - others[None, :, :]) ** 2).sum(axis=2))
-                totals = distance @ member
-                own = np.searchsorted(clusters, block["cluster"].to_numpy(int))
-                row = np.arange(len(block))
-                inside = totals[row, own] / np.maximum(sizes[own] - 1, 1)
-                means = totals / sizes[None, :]
-                means[row, own] = np.inf
-                outside = means.min(axis=1)
-                width = (outside - inside) / np.maximum(outside, inside)
-                alone = (sizes[own] == 1) | ~np.isfinite(outside)
-                width = np.where(alone, 0.0, np.nan_to_num(width))
-                yield block[[*keys, "cluster"]].assign(silhouette=width)
-
-    small = spark.createDataFrame(points, sample.schema).repartition(spark.sparkContext.defaultParallelism)
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in sample.schema if f.name in (*keys, "cluster")])
-    return small.mapInPandas(measure, f"{schema}, silhouette double")
+                yield block[list(kept)].assign(**{f"_to_{c}": total for c, total in zip(clusters, (distance @ member).T)})
+
+    return run
+
+
+def _widths(rows: DataFrame, inside: Column, outside: Sequence[Column], own_size: Column) -> DataFrame:
+    """Add ``silhouette``: 0 for a client that is alone or has no other cluster to compare with."""
+    between = F.least(*outside) if len(outside) > 1 else outside[0] if outside else F.lit(None).cast("double")
+    width = F.coalesce(ratio(between - inside, F.greatest(between, inside)), F.lit(0.0))
+    return rows.withColumn("silhouette", F.when(own_size > 1, width).otherwise(0.0))
+
+
+def silhouette_points(labelled: DataFrame, columns: Sequence[str], keys: Sequence[str], n: int = SILHOUETTE_SAMPLE, seed: int = DEFAULT_SEED) -> DataFrame:
+    """Euclidean silhouette of each client in a seeded sample of at most ``n``; ``keys`` tell clients apart.
+
+    Every sampled client is measured against all of them, block by block: a block of about ``SILHOUETTE_BLOCK``
+    short rows is shared with the tasks, and each adds up its distances. Work grows with the square of ``n``.
+    """
+    spark = labelled.sparkSession
+    sample = materialize(sample_rows(labelled, n, keys, seed).select(*keys, "cluster", *columns), "silhouette-sample")
+    sizes = {r["cluster"]: r["n"] for r in sample.groupBy("cluster").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a cluster
+    clusters, blocks = sorted(sizes), max(1, -(-sum(sizes.values()) // SILHOUETTE_BLOCK))
+    kept = [*keys, "cluster"]
+    kinds = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in sample.schema if f.name in kept], *[f"`_to_{c}` double" for c in clusters]])
+    block = F.pmod(F.xxhash64(*keys), F.lit(blocks))
+    spread_out = sample.repartition(spark.sparkContext.defaultParallelism)
+    pieces = []
+    for b in range(blocks):
+        others = sample.where(block == b).toPandas()
+        shared = spark.sparkContext.broadcast((others[list(columns)].to_numpy(float), others["cluster"].to_numpy(int)))
+        pieces.append(spread_out.mapInPandas(_distance_sums(shared, clusters, columns, kept), kinds))
+    totals = union_all(pieces).groupBy(*kept).agg(*[F.sum(f"_to_{c}").alias(f"_to_{c}") for c in clusters])
+    if not clusters:
+        return totals.withColumn("silhouette", F.lit(None).cast("double"))
+    own = [F.when(F.col("cluster") == c, F.col(f"_to_{c}")) for c in clusters]
+    size = F.coalesce(*[F.when(F.col("cluster") == c, F.lit(sizes[c])) for c in clusters])
+    outside = [F.when(F.col("cluster") != c, F.col(f"_to_{c}") / sizes[c]) for c in clusters]
+    return _widths(totals, ratio(F.coalesce(*own), size - 1), outside, size).select(*kept, "silhouette")
 
 
 def silhouette(labelled: DataFrame, columns: Sequence[str], keys: Sequence[str], n: int = SILHOUETTE_SAMPLE, seed: int = DEFAULT_SEED) -> DataFrame:
@@ -244,7 +264,28 @@ def silhouette(labelled: DataFrame, columns: Sequence[str], keys: Sequence[str],
     return points.agg(F.count(F.lit(1)).alias("n_sample"), F.avg("silhouette").alias("silhouette"))
 
 
-def full_silhouette(labelled: DataFrame, columns: Sequence[str]) -> float:
-    """Squared-Euclidean silhouette of all clients, in time linear in their number."""
-    vectors = VectorAssembler(inputCols=list(columns), outputCol="features").transform(labelled)
-    return ClusteringEvaluator(featuresCol="features", predictionCol="cluster").evaluate(vectors)
+def squared_silhouette_points(labelled: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Add ``silhouette`` by squared distances to every client, from sums per cluster and thus in linear time.
+
+    The mean squared distance to a cluster is the client's own square, less twice its product with the
+    cluster's mean, plus the cluster's mean square. Clusters, a row each, are looked up on the driver.
+    """
+    square = sum((F.col(c) * F.col(c) for c in columns[1:]), F.col(columns[0]) * F.col(columns[0]))
+    of_clusters = labelled.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.avg(square).alias("square"), *[F.avg(c).alias(c) for c in columns])
+    inside, outside, size = F.lit(None).cast("double"), [], F.lit(None).cast("bigint")
+    for r in of_clusters.orderBy("cluster").collect():
+        product = sum((F.col(c) * r[c] for c in columns[1:]), F.col(columns[0]) * r[columns[0]])
+        distance = F.greatest(F.lit(0.0), square - 2 * product + r["square"])
+        mine = F.col("cluster") == r["cluster"]
+        inside = F.when(mine, distance * r["n"] / max(r["n"] - 1, 1)).otherwise(inside)
+        size = F.when(mine, r["n"]).otherwise(size)
+        outside.append(F.when(~mine, distance))
+    return _widths(labelled, inside, outside, size)
+
+
+def full_silhouette(labelled: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Number of clients and mean squared-distance silhouette: a row for all clients, without ``cluster``, and one per cluster."""
+    points = squared_silhouette_points(labelled, columns)
+    found = points.groupBy("cluster").agg(F.count(F.lit(1)).alias("n_clients"), F.avg("silhouette").alias("silhouette"))
+    whole = points.agg(F.lit(None).cast("int").alias("cluster"), F.count(F.lit(1)).alias("n_clients"), F.avg("silhouette").alias("silhouette"))
+    return whole.unionByName(found)
