@@ -4,6 +4,7 @@ import random
 import statistics
 
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -37,6 +38,44 @@ def test_quantiles_are_exact(spark, mixed, either_path):
             assert got[name][key] == pytest.approx(np.quantile(values, p), abs=1e-12)
 
 
+@pytest.mark.parametrize("few", [3, 200_000])
+def test_a_missed_bracket_opens(spark, mixed, monkeypatch, few):
+    """Brackets of no width around coarse sketches miss their positions; whole results come all the same."""
+    data, df = mixed
+    frame = pd.DataFrame(data, columns=["g", "x", "z", "k"])
+    monkeypatch.setattr(quantiles, "ACCURACY", 3)
+    monkeypatch.setattr(quantiles, "REACHES", (1e-9, 1e-8))
+    monkeypatch.setattr(quantiles, "LEAST_RANKS", 0)
+    monkeypatch.setattr(quantiles, "FEW", few)
+    opened = []
+    monkeypatch.setattr(quantiles, "_opened", lambda *a, inner=quantiles._opened: opened.append(1) or inner(*a))
+    settled = []
+    monkeypatch.setattr(quantiles, "_settle", lambda *a, inner=quantiles._settle: settled.append(1) or inner(*a))
+    probs = {"a": 0.01, "b": 0.37, "c": 0.5, "d": 0.993}
+    got = {r["variable"]: r for r in quantiles.quantiles(df, ["x", "z"], probs).collect()}
+    for name in ("x", "z"):
+        for key, p in probs.items():
+            assert got[name][key] == pytest.approx(np.quantile(frame[name].dropna(), p), abs=1e-12)
+    grouped = {r["g"]: r["m"] for r in quantiles.quantiles(df, ["x"], {"m": 0.5}, by=["g"]).collect()}
+    assert grouped == pytest.approx(frame.dropna(subset=["g"]).groupby("g")["x"].median().to_dict())
+    assert len(settled) > 1 and (opened or few == 3)
+
+
+def test_wide_brackets_are_narrowed(spark, mixed, monkeypatch):
+    data, df = mixed
+    frame = pd.DataFrame(data, columns=["g", "x", "z", "k"])
+    monkeypatch.setattr(quantiles, "FEW", 5)
+    monkeypatch.setattr(quantiles, "GRID", 8)
+    narrowed = []
+    monkeypatch.setattr(quantiles, "_narrowed", lambda *a, inner=quantiles._narrowed: narrowed.append(1) or inner(*a))
+    for name in ("x", "z"):
+        got = quantiles.quantiles(df, [name], {"a": 0.1, "b": 0.9}).first()
+        assert (got["a"], got["b"]) == pytest.approx((np.quantile(frame[name].dropna(), 0.1), np.quantile(frame[name].dropna(), 0.9)))
+    got = {r["g"]: r["a"] for r in quantiles.quantiles(df, ["z"], {"a": 0.1}, by=["g"]).collect()}
+    assert got == pytest.approx(frame.dropna(subset=["g"]).groupby("g")["z"].quantile(0.1).to_dict())
+    assert narrowed
+
+
 def test_grouped_quantiles(spark, mixed, either_path):
     data, df = mixed
     got = {r["g"]: r for r in quantiles.quantiles(df, ["x"], {"m": 0.5}, by=["g"]).collect()}

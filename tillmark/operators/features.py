@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillmark.functions.expressions import half_even, ratio, whole_days_between
-from tillmark.operators.quantiles import quantiles
 from tillmark.operators.sums import Sums, univariate
 from tillmark.session import materialize
 
@@ -26,13 +26,26 @@ def is_implausible(age: Column) -> Column:
 
 
 def median_age(df: DataFrame) -> DataFrame:
-    """One row: median of plausible ages over the whole table, of all ages if none is plausible."""
-    ages = df.select(raw_age().alias("every")).select(
-        "every", F.when(~is_implausible(F.col("every")), F.col("every")).alias("plausible")
+    """One row: median of plausible ages over the whole table, of all ages if none is plausible.
+
+    Ages are tenths of years, so their counts are a small table however many rows there are.
+    """
+    age = F.col("age")
+    counts = df.select(raw_age().alias("age")).where(age.isNotNull()).groupBy("age").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.withColumn("plausible", ~is_implausible(age))
+    kind = W.partitionBy("plausible")
+    upto = F.sum("n").over(kind.orderBy("age").rowsBetween(W.unboundedPreceding, W.currentRow))
+    every, whole = W.partitionBy(), W.orderBy("age").rowsBetween(W.unboundedPreceding, W.currentRow)
+    ranked = counts.select(
+        "age", "plausible", upto.alias("cum"), F.sum("n").over(kind).alias("total"), F.sum("n").over(whole).alias("cum_all"), F.sum("n").over(every).alias("all")
     )
-    medians = quantiles(ages, ["every", "plausible"], {"median": 0.5})
-    pick = [F.max(F.when(F.col("variable") == v, F.col("median"))) for v in ("plausible", "every")]
-    return medians.agg(F.coalesce(*pick).alias("median_age"))
+
+    def median(cum: Column, total: Column) -> Column:
+        low, high = F.floor((total + 1) / 2), F.ceil((total + 1) / 2)
+        return (F.min(F.when(cum >= low, age)) + F.min(F.when(cum >= high, age))) / 2
+
+    usual = F.when(F.col("plausible"), F.col("cum"))
+    return ranked.agg(F.coalesce(median(usual, F.col("total")), median(F.col("cum_all"), F.col("all"))).alias("median_age"))
 
 
 def add_age(df: DataFrame) -> DataFrame:
