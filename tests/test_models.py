@@ -225,18 +225,62 @@ def test_groups_stay_whole(spark, sales, small_batches):
 
 
 def test_a_hot_key_is_counted_whole(spark, small_batches):
-    lines = spark.range(200_000).selectExpr("if(id % 3 = 0, 'hot', cast(id % 50 as string)) as codigo_cliente", "id % 5 as boleta")
-    lines = lines.unionByName(spark.createDataFrame([(None, 1)], "codigo_cliente string, boleta bigint"))
+    def by_client(piece):
+        return piece.groupby("codigo_cliente", sort=False)["boleta"].nunique().rename("n").reset_index()
 
-    def receipts(batches):
-        key, seen = None, set()
-        for batch in batches:
-            key = batch["codigo_cliente"].iloc[0]
-            seen.update(batch["boleta"])
-        return pd.DataFrame({"codigo_cliente": [key], "n": [len(seen)]})
+    def sums_by_client(piece):
+        return piece.groupby("codigo_cliente", sort=False)["boleta"].agg(n="size", total="sum", top="max").reset_index()
 
-    got = dict(rows(partitions.map_by_key(lines, receipts, "codigo_cliente string, n bigint", "codigo_cliente")))
+    lines = spark.range(200_000).selectExpr("if(id % 3 = 0, 'hot', cast(id % 50 as string)) as codigo_cliente", "id % 5 as boleta")
+    lines = lines.unionByName(spark.createDataFrame([(None, 1)], "codigo_cliente string, boleta bigint"))
+    whole = partitions.whole_keys(by_client, "codigo_cliente")
+    got = dict(rows(partitions.map_by_key(lines, whole, "codigo_cliente string, n bigint", "codigo_cliente")))
     assert got["hot"] == 5 and None not in got and len(got) == 51
+    merged = partitions.merged_keys(sums_by_client, "codigo_cliente", {"n": "sum", "total": "sum", "top": "max"})
+    kind = "codigo_cliente string, n bigint, total bigint, top bigint"
+    found = {r[0]: r[1:] for r in rows(partitions.map_by_key(lines, merged, kind, "codigo_cliente", n_buckets=3))}
+    frame = lines.dropna().toPandas().groupby("codigo_cliente")["boleta"].agg(["size", "sum", "max"])
+    assert found == {k: tuple(v) for k, v in zip(frame.index, frame.to_numpy().tolist())}
+
+
+@pytest.mark.parametrize("sizes", [[3], [1, 1], [2, 2, 2], [1, 5, 1, 1, 4], [4, 1, 3]])
+def test_frames_hold_whole_keys(sizes):
+    keys = [k for k, n in enumerate([2, 1, 3, 1, 5]) for _ in range(n)]
+    frames, at = [], 0
+    while at < len(keys):
+        n = sizes[len(frames) % len(sizes)]
+        frames.append(pd.DataFrame({"k": keys[at : at + n]}))
+        at += n
+    calls = []
+
+    def count(piece):
+        calls.append(set(piece["k"]))
+        return piece.groupby("k", sort=False).size().rename("n").reset_index()
+
+    for adapter in (partitions.whole_keys(count, "k"), partitions.merged_keys(count, "k", {"n": "sum"})):
+        found = pd.concat(list(adapter(iter(frames))))
+        assert dict(zip(found["k"], found["n"])) == {0: 2, 1: 1, 2: 3, 3: 1, 4: 5} and len(found) == 5
+
+
+def test_ranges_are_in_order(spark, small_batches):
+    df = spark.range(1000).selectExpr("(id * 37) % 1000 as x", "id").repartition(7)
+
+    def ends(piece, add):
+        assert list(piece.columns) == ["x", "id"]
+        return pd.DataFrame({"low": [piece["x"].iloc[0] + add], "high": [piece["x"].iloc[-1]], "n": [len(piece)]})
+
+    got = partitions.map_ranges(df, ends, "low bigint, high bigint, n bigint", ["x"], rows_per_range=130, add=1).orderBy("ordinal").collect()
+    assert [tuple(r) for r in got] == [(130 * k + 1, min(130 * k + 129, 999), min(130, 1000 - 130 * k), k) for k in range(8)]
+    assert partitions.map_ranges(df.where("false"), ends, "low bigint, high bigint, n bigint", ["x"], add=0).count() == 0
+
+
+def test_nested_document(spark, tmp_path):
+    one = spark.createDataFrame([("b", 1, None), ('a"', 2, 0.5)], "k string, n int, p double")
+    found = {"z": (one, ("k",)), "first": (one.where("n = 1").drop("k"), ()), "none": (one.where("false"), ("k",))}
+    document = results.results_document(found).first()["document"]
+    assert json.loads(document) == {"z": {"b": {"n": 1, "p": None}, 'a"': {"n": 2, "p": 0.5}}, "first": {"n": 1, "p": None}, "none": None}
+    results.write_document(found, str(tmp_path / "d"))
+    assert [r["value"] for r in spark.read.text(str(tmp_path / "d")).collect()] == [document]
 
 
 def test_results_sink(spark, tmp_path):

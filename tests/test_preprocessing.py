@@ -1,5 +1,6 @@
 import datetime as dt
 
+import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -180,6 +181,19 @@ def test_missing_reports(spark):
     assert missing.mcar_check(df.select("s")).first()["message"] == "no numeric columns"
 
 
+def test_null_patterns_of_many_columns(spark):
+    names = [f"c{k}" for k in range(70)]
+    data = [[None if (i * (k % 7 + 1)) % 5 == 0 else float(k) for k in range(70)] for i in range(40)]
+    df = spark.createDataFrame(data, ", ".join(f"{n} double" for n in names))
+    got = {(r[0], r[1]): r[2] for r in rows(missing.missing_indicator_pairs(df, ["c0", "c3", "c65", "c69"]))}
+    wide = {(r[0], r[1]): r[2] for r in rows(missing.missing_indicator_pairs(df, names))}
+    flags = np.array([[v is None for v in line] for line in data], dtype=float)
+    for (a, b), r in got.items():
+        expected = abs(np.corrcoef(flags[:, int(a[1:])], flags[:, int(b[1:])])[0, 1])
+        assert r == pytest.approx(expected) and wide[a, b] == pytest.approx(expected)
+    assert missing.null_patterns(df, names).agg({"n": "sum"}).first()[0] == 40
+
+
 def test_outliers(spark):
     df = spark.createDataFrame([(float(v),) for v in [*range(20), 1000]] + [(None,)], "x double").withColumn("k", F.lit(1.0))
     assert rows(outliers.outlier_summary(df, "x")) == [("x", 1, 4.76, 1, 4.76)]

@@ -26,9 +26,3 @@ def test_materialized_tables_read_back(spark):
     again = session.materialize(df, "test")
     assert again.schema.simpleString() == df.schema.simpleString()
     assert sorted(again.collect()) == sorted(df.collect())
-
-
-def test_spread_only_adds_partitions(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert session.spread(spark.range(10).coalesce(1)).rdd.getNumPartitions() == cores
-    assert session.spread(spark.range(0, 10, 1, 3 * cores)).rdd.getNumPartitions() == 3 * cores

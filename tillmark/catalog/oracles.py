@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from tillmark.functions import distributions
 from tillmark.operators import clustering, normality
 
@@ -117,6 +119,9 @@ TYPES_BEFORE = {"porcentaje_descuento": "double", "fecha_nacimiento": "timestamp
                 "local": "double", "codigo_cliente": "string"}
 
 
+NUMERIC_BEFORE = [c for c, kind in TYPES_BEFORE.items() if kind in ("double", "bigint")]
+
+
 def _null_phi(a: str, b: str) -> str:
     x, y = (f"case when {c} is null then 1.0::double else 0.0::double end" for c in (a, b))
     return f"abs(covar_pop({x}, {y}) / nullif(stddev_pop({x}) * stddev_pop({y}), 0))"
@@ -762,9 +767,24 @@ def _qq() -> str:
     )
 
 
+def _document(found: dict[str, str]) -> str:
+    """The nested text, put together section by section, by name."""
+    one = lambda name, columns: f"(select json_object({', '.join(f'{chr(39)}{c}{chr(39)}, {c}' for c in columns)})::varchar from ({found[name]}))"
+    shares = f"(select '{{' || string_agg('\"' || canal || '\":' || json_object('n_rows', n_rows, 'pct', pct)::varchar, ',' order by canal) || '}}' from ({found['channel_shares']}))"
+    outliers = one("outlier_summary_monto", ("n_iqr_outliers", "pct_iqr_outliers", "n_zscore_outliers", "pct_zscore_outliers"))
+    sections = {
+        "canal": shares,
+        "daily_summary": one("daily_summary", ("mean", "std", "max_date")),
+        "hours": one("peak_hours", ("hora_mayor_venta", "hora_menor_venta")),
+        "outliers": f"'{{\"monto_aplicado\":' || {outliers} || '}}'",
+        "run": one("run_header", ("n_rows", "seed")),
+    }
+    return "select '{' || " + " || ',' || ".join(f"'\"{name}\":' || {text}" for name, text in sections.items()) + " || '}' as document"
+
+
 def registry() -> dict[str, str]:
     found = _registry()
-    return found | _segment_queries() | {"results_table": _cells(found)}
+    return found | _segment_queries() | {"results_table": _cells(found), "results_document": _document(found)}
 
 
 def _registry() -> dict[str, str]:
@@ -794,10 +814,12 @@ def _registry() -> dict[str, str]:
         "run_header": on_raw(f"select count(*) as n_rows, {SEED} as seed from raw"),
         "missing_before": on_raw(_missing("raw", TYPES_BEFORE)),
         "missing_after": on_feat(_missing("feat", TYPES_BEFORE)),
+        "missing_kept": on_valid(_missing("valid", TYPES_BEFORE)),
         "mcar_check": on_raw(
-            f"select round({_null_phi('porcentaje_descuento', 'genero')}, 8) as max_correlation, "
-            f"case when {_null_phi('porcentaje_descuento', 'genero')} < 0.3 then 'plausibly missing at random' "
-            "else 'possible systematic pattern' end as message from raw"
+            "select case when any_missing then round(strongest, 8) end as max_correlation, case when not any_missing then 'no missing values' "
+            "when strongest < 0.3 then 'plausibly missing at random' else 'possible systematic pattern' end as message from "
+            f"(select coalesce(greatest({', '.join(_null_phi(a, b) for a, b in combinations(NUMERIC_BEFORE, 2))}), 0) as strongest, "
+            f"bool_or({' or '.join(f'{c} is null' for c in NUMERIC_BEFORE)}) as any_missing from raw)"
         ),
         "missing_indicator_pairs": on_raw(
             _union(
@@ -986,6 +1008,10 @@ from (select count(*) as n, avg(y * y * y) / pow(avg(y * y), 1.5) as s, avg(y *
         "box_by_channel": on_feat(_box("canal", "monto_aplicado")),
         "box_by_gender": on_feat(_box("genero", "edad")),
         "range_partials": on_feat("select count(*) as n_rows, round(fsum(monto_aplicado), 4) as sum_monto from feat"),
+        "range_partials_ordered": on_feat(
+            "select i // 7000 as ordinal, count(*) as n_rows, round(fsum(monto_aplicado), 4) as sum_monto from "
+            "(select *, row_number() over (order by boleta, sku, local, monto_aplicado, unidades) - 1 as i from feat) group by i // 7000"
+        ),
         "shop_totals_by_chunks": on_feat("select local, count(*) as n_rows, round(fsum(monto_aplicado), 4) as sum_monto from feat group by local"),
         "shop_medians_by_group": on_feat(
             "select local, count(*) as n_rows, round(median(monto_aplicado), 6) as median from feat group by local"

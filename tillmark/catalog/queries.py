@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -465,30 +464,45 @@ def shop_medians_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(found, 6, "median")
 
 
-def _client_totals(batches):
-    key, n, total = None, 0, 0.0
-    for piece in batches:
-        key, n, total = piece["codigo_cliente"].iloc[0], n + len(piece), total + float(piece["monto_aplicado"].sum())
-    return pd.DataFrame({"codigo_cliente": [key], "n_rows": [n], "sum_monto": [total]})
+def _client_totals(piece):
+    totals = piece.groupby("codigo_cliente", sort=False)["monto_aplicado"].agg(n_rows="size", sum_monto="sum")
+    return totals.reset_index()
 
 
 def client_totals_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = prepared(spark, sf_dir).select("codigo_cliente", AMOUNT)
     schema = "codigo_cliente string, n_rows bigint, sum_monto double"
-    return rounded(partitions.map_by_key(rows, _client_totals, schema, "codigo_cliente"), 4, "sum_monto")
+    totals = partitions.merged_keys(_client_totals, "codigo_cliente", {"n_rows": "sum", "sum_monto": "sum"})
+    return rounded(partitions.map_by_key(rows, totals, schema, "codigo_cliente"), 4, "sum_monto")
 
 
-def _client_receipts(batches):
-    key, seen = None, set()
-    for piece in batches:
-        key = piece["codigo_cliente"].iloc[0]
-        seen.update(piece["boleta"].tolist())
-    return pd.DataFrame({"codigo_cliente": [key], "n_receipts": [len(seen)]})
+def _client_receipts(piece):
+    return piece.groupby("codigo_cliente", sort=False)["boleta"].nunique().rename("n_receipts").reset_index()
 
 
 def receipts_per_client_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = prepared(spark, sf_dir).select("codigo_cliente", "boleta")
-    return partitions.map_by_key(rows, _client_receipts, "codigo_cliente string, n_receipts bigint", "codigo_cliente")
+    whole = partitions.whole_keys(_client_receipts, "codigo_cliente")
+    return partitions.map_by_key(rows, whole, "codigo_cliente string, n_receipts bigint", "codigo_cliente")
+
+
+def range_partials_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = prepared(spark, sf_dir).select(*SALES_ORDER)
+    found = partitions.map_ranges(rows, partitions.sales_partials, "n_rows bigint, sum_monto double", SALES_ORDER, rows_per_range=7_000)
+    return rounded(found, 4, "sum_monto")
+
+
+def results_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = prepared(spark, sf_dir)
+    return results.results_document(
+        {
+            "run": (run_header(spark, sf_dir), ()),
+            "canal": (describe.value_shares(table, "canal"), ("canal",)),
+            "hours": (describe.peak_hours(table), ()),
+            "daily_summary": (daily_summary(spark, sf_dir), ()),
+            "outliers": (outliers.outlier_summary(table, AMOUNT, sums=statistics(spark, sf_dir)), ("column",)),
+        }
+    )
 
 
 def results_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -548,6 +562,7 @@ def registry() -> dict[str, Query]:
         "run_header": run_header,
         "missing_before": on_typed(missing.missing_report),
         "missing_after": on_prepared(missing.missing_report),
+        "missing_kept": lambda s, d: missing.missing_report(valid(s, d)),
         "mcar_check": lambda s, d: rounded(missing.mcar_check(typed(s, d)), 8, "max_correlation"),
         "missing_indicator_pairs": lambda s, d: rounded(
             missing.missing_indicator_pairs(typed(s, d), ["porcentaje_descuento", "genero", "fecha_nacimiento"]), 8, "correlation"
@@ -624,10 +639,12 @@ def registry() -> dict[str, Query]:
         "box_by_channel": box_by_channel,
         "box_by_gender": box_by_gender,
         "range_partials": range_partials,
+        "range_partials_ordered": range_partials_ordered,
         "shop_totals_by_chunks": shop_totals_by_chunks,
         "shop_medians_by_group": shop_medians_by_group,
         "client_totals_by_key": client_totals_by_key,
         "receipts_per_client_by_key": receipts_per_client_by_key,
         "results_table": results_table,
+        "results_document": results_document,
         "guard_rows": guard_rows,
     }

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from itertools import combinations
+import functools
 from collections.abc import Sequence
+from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.functions.expressions import half_even, ratio
@@ -29,18 +30,37 @@ def missing_report(df: DataFrame) -> DataFrame:
     return rows.where(F.col("n_missing") > 0).orderBy(F.desc("pct_missing"), "column")
 
 
+#: Columns of one long of null flags.
+FLAGS_PER_LONG = 62
+
+
+def null_patterns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows of each pattern of nulls that occurs: ``_nulls0``, ``_nulls1``, ... (a bit a column, 62 to a long) and ``n``."""
+    flags = [F.when(F.col(c).isNull(), F.lit(1 << (k % FLAGS_PER_LONG))).otherwise(F.lit(0)).cast("bigint") for k, c in enumerate(columns)]
+    longs = [sum(flags[k + 1 : k + FLAGS_PER_LONG], flags[k]).alias(f"_nulls{k // FLAGS_PER_LONG}") for k in range(0, len(flags), FLAGS_PER_LONG)]
+    return df.select(*longs).groupBy(*[f"_nulls{k}" for k in range(len(longs))]).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _is_null(k: int) -> Column:
+    return F.col(f"_nulls{k // FLAGS_PER_LONG}").bitwiseAND(1 << (k % FLAGS_PER_LONG)) != 0
+
+
 def missing_indicator_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Absolute correlation between the null indicators of each pair, null if one is constant."""
-    flags = df.select(*[F.col(c).isNull().cast("double").alias(c) for c in columns])
-    parts = [
-        F.struct(
-            F.lit(a).alias("column_a"),
-            F.lit(b).alias("column_b"),
-            F.abs(ratio(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))).alias("correlation"),
-        )
-        for a, b in combinations(columns, 2)
-    ]
-    return flags.agg(F.array(*parts).alias("rows")).select(F.inline("rows"))
+    """Absolute correlation between the null indicators of each pair, null if one is constant.
+
+    The lines are counted by pattern; every pair then reads the few patterns.
+    """
+    columns = list(columns)
+    n = F.sum("n").cast("double")
+    held = lambda condition: F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0)).cast("double")
+    parts = []
+    for i, j in combinations(range(len(columns)), 2):
+        na, nb, nab = held(_is_null(i)), held(_is_null(j)), held(_is_null(i) & _is_null(j))
+        phi = ratio(n * nab - na * nb, F.sqrt(na * (n - na)) * F.sqrt(nb * (n - nb)))
+        parts.append(F.struct(F.lit(columns[i]).alias("column_a"), F.lit(columns[j]).alias("column_b"), F.abs(phi).alias("correlation")))
+    if not parts:
+        return df.sparkSession.createDataFrame([], "column_a string, column_b string, correlation double")
+    return null_patterns(df, columns).agg(F.array(*parts).alias("rows")).select(F.inline("rows"))
 
 
 def mcar_check(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -50,13 +70,11 @@ def mcar_check(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
         return df.sparkSession.range(1).select(
             F.lit(None).cast("double").alias("max_correlation"), F.lit("no numeric columns").alias("message")
         )
-    flags = [F.col(c).isNull().cast("double") for c in columns]
-    pairs = [
-        ratio(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b)) for a, b in combinations(flags, 2)
-    ]
-    strongest = F.array_max(F.array(*[F.abs(p) for p in pairs])) if pairs else F.lit(None).cast("double")
-    any_missing = F.sum(sum(flags[1:], flags[0])) > 0
-    summary = df.agg(any_missing.alias("any_missing"), F.coalesce(strongest, F.lit(0.0)).alias("strongest"))
+    pairs = missing_indicator_pairs(df, columns)
+    strongest = pairs.agg(F.coalesce(F.max("correlation"), F.lit(0.0)).alias("strongest"))
+    any_null = functools.reduce(lambda a, b: a | b, [_is_null(k) for k in range(len(columns))])
+    some = null_patterns(df, columns).agg(F.max(any_null).alias("any_missing"))
+    summary = strongest.select("strongest", some.scalar().alias("any_missing"))
     message = (
         F.when(~F.coalesce("any_missing", F.lit(False)), "no missing values")
         .when(F.col("strongest") < MCAR_LIMIT, "plausibly missing at random")

@@ -87,12 +87,3 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Rows of a file scan over all cores, if it has fewer splits than there are cores.
-
-    A large input has more splits than cores and stays as it is, without a shuffle.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

@@ -68,8 +68,10 @@ def read_sales_csv(
         warnings.warn(f"columns not in {path}: {', '.join(absent)}", stacklevel=2)
     df = first_rows(df, n_rows)
     paths = [path] if isinstance(path, str) else list(path)
-    if partitions or all(p.endswith(".gz") for p in paths):
-        df = df.repartition(partitions or spark.sparkContext.defaultParallelism)
+    # a gzip file is one split: few of them are dealt out to all cores, many already are
+    cores = spark.sparkContext.defaultParallelism
+    if partitions or (all(".gz" in p for p in paths) and len(df.inputFiles()) < cores):
+        df = df.repartition(partitions or cores)
     named = [F.when(~F.col(f"`{c}`").isin(*MISSING_TEXTS), F.col(f"`{c}`")).alias(c) for c in df.columns]
     return df.select(*named)
 

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmark.session import spread
-
 # Order priority to sales channel; every other priority is a POS sale.
 CHANNEL_OF_PRIORITY = {"1-URGENT": "APP", "2-HIGH": "WEB", "3-MEDIUM": "CCT"}
 DEFAULT_CHANNEL = "POS"
@@ -23,10 +21,8 @@ def sales_lines(spark: SparkSession, sf_dir: str, names: bool = False) -> DataFr
     two joins that fetch them are left out of the plan. Lines meet orders in a shuffled join;
     adaptive execution splits a receipt that holds many lines.
     """
-    lines = spread(
-        table(spark, sf_dir, "lineitem").select(
-            "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount"
-        )
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount"
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
