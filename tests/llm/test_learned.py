@@ -1,12 +1,15 @@
 """Classifiers, formats and extraction: held-out accuracy, edge cases, brute force where there is one."""
 
 import hashlib
+import html
+import math
 import random
 import re
 import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 from tillmark.llm import automata, boosting, extract, quality, secrets, toxicity
@@ -86,6 +89,40 @@ def test_discriminant_matches_dense_formula(spark):
     assert np.allclose([got[i] for i in range(100)], want)
 
 
+def test_risk_and_its_slope_by_direct_evaluation():
+    rng = np.random.default_rng(5)
+    loss = lambda z, y: math.log1p(math.exp(-z if y else z))
+    for turns, marked, others in ((False, 0.0, 1.0), (True, 8.0, -6.0)):
+        z = rng.normal(size=30)
+        is_p = np.arange(30) < 12
+        z += np.where(is_p, marked, others)
+        prior = 0.4
+
+        def parts(z):
+            positive = prior * sum(loss(v, 1) for v in z[is_p]) / 12
+            return positive, sum(loss(v, 0) for v in z[~is_p]) / 18 - prior * sum(loss(v, 0) for v in z[is_p]) / 12
+
+        kept, corrected, slope = toxicity.risk_slope(z, is_p, prior)
+        assert (kept, corrected) == pytest.approx(parts(z))
+        turned = corrected < -toxicity.BETA * prior
+        assert turned == turns
+        for i in range(30):
+            step = np.eye(30)[i] * 1e-6
+            (p1, c1), (p0, c0) = parts(z + step), parts(z - step)
+            want = -(c1 - c0) if turned else p1 + c1 - p0 - c0
+            assert slope[i] == pytest.approx(want / 2e-6, abs=1e-6)
+
+
+def test_only_near_copies_leave_the_sample(spark):
+    words = [f"w{k}" for k in range(400)]
+    rng = random.Random(9)
+    docs = [(k, " ".join(rng.sample(words, 40)), 1) for k in range(300)]
+    docs += [(300 + k, docs[0][1] + " " + docs[0][1], 1) for k in range(50)]
+    df = spark.createDataFrame([(i, t) for i, t, _ in docs], "doc_id bigint, text string")
+    minima = [F.array_min(F.transform(F.split("text", " "), lambda w: F.xxhash64(w, F.lit(toxicity.SEED + k)))).alias(f"m{k}") for k in range(toxicity.MINIMA)]  # noqa: B023
+    assert df.select(*minima).distinct().count() == 300
+
+
 def test_unlabelled_risk_finds_the_positive_feature():
     rng = random.Random(1)
     positive = [[0] + [rng.randrange(1, 20)] for _ in range(100)]
@@ -176,28 +213,61 @@ def test_reader_of_broken_pages():
     assert runs("<p>a<p>b &amp; c&nbsp; d<br>e</p><!-- x > y -->f") == ["a", "b & c d e", "f"]
     assert runs("<script>var a='</p>';</script><style>p{}</style><title>t</title>x<") == ["x<"]
     assert runs("<ul><li>1<li>2<ul><li>3</ul><li>4</ul><p class='a>b'>q</p></div>r<p unfinished") == ["1", "2", "3", "4", "q", "r"]
-    assert runs("") == [] and runs("<div><b>bold</b> and <a href=x>link</a></div>") == ["bold and link"]
+    assert runs("") == [] and runs("<html><head><title>x</title><p>no closing head</p>") == ["no closing head"]
+    assert runs("<html><head><meta charset=x><title>t</title>text at once<body><p>b") == ["text at once", "b"]
+    assert runs("<p>a<svg><title>i</title><text>drawn</text><path d=x/>") == ["a"]
+    assert runs("<div><p>a<svg><g><text>drawn</p><p>b</p></div><p>c") == ["a", "b", "c"]
+    assert runs("<p>one<svg viewBox=x/> two <svg><text>no</text></svg>three</p>") == ["one two three"]
+    for media in ("video", "audio", "object", "canvas"):
+        assert runs(f"<article><p>a</p><{media} src=x>fallback<p>b</p></article><p>c") == ["a", "fallback", "b", "c"]
+    assert runs("<p>let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> hold</p>") == ["let x=1 hold"]
+    assert runs("<p>super<wbr>cali <i>frag</i>il<img src=x>istic a<br>b</p><hr>c") == ["supercali fragilistic a b", "c"]
+    assert runs("<p>a<noscript>no<p>b</p><iframe><p>c") == ["ano", "b", "c"]
+    assert runs("<p>x <my-tag>y</my-tag> <ruby>z<rt>w</rt></ruby></p>") == ["x y zw"]
+    assert runs("<div><b>bold</b> and <a href=x>link</a></div>") == ["bold and link"]
+
+
+def article_text(source):
+    """The article of a well-formed page, by patterns alone."""
+    body = re.search(r"<article>(.*)</article>", source, re.S)[1]
+    body = re.sub(r"<!--.*?-->", "", body, flags=re.S)
+    blocks = re.split(r"</?(?:p|h[1-6]|ul|ol|li|div|blockquote|table|tr|td)\b[^>]*>", body)
+    texts = [" ".join(html.unescape(re.sub(r"<br/?>", " ", b)).split()) for b in (re.sub(r"</?(?:a|b|i|em|strong|span)\b[^>]*>", "", b) for b in blocks)]
+    return "\n".join(t for t in texts if t)
 
 
 def test_extraction(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     found = {r.page_id: r for r in extract.main_text(pages).collect()}
     for page in pages.collect():
-        body = page.html[page.html.index("<article>") : (page.html + "</article>").index("</article>")]
-        want = "\n".join(t for t in Page(body).text if t)
+        want = article_text(page.html)
         assert found[page.page_id].text == want and found[page.page_id].n_chars == len(want)
 
 
+def test_pages_long_repeated_and_beside_clashing_columns(spark):
+    sentence = "The harbour froze over in the second week, and the boats stayed at the quay until March came. "
+    long = "<body><nav><a href=/>Home</a></nav><article><h1>Ice</h1>" + f"<p>{sentence * 4}</p>" * 6000 + "</article><footer>&copy; x</footer>"
+    open_head = f"<html><head><title>t</title><article><h1>Ice</h1><p>{sentence * 3}<svg><path d=m><p>{sentence * 2}</article>"
+    given = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url", "html")
+    extra = spark.createDataFrame([(9001, "u", long), (9002, "u", open_head), (9002, "u", open_head)], "page_id bigint, url string, html string")
+    pages = given.unionByName(extra).withColumns({"text": F.lit("clash"), "n_chars": F.lit(-1)})
+    got = sorted((r.page_id, r.text, r.n_chars) for r in extract.main_text(pages).where("page_id > 9000").collect())
+    block = lambda n: (sentence * n).strip()
+    opened = f"Ice\n{block(3)}\n{block(2)}"
+    whole = "\n".join(["Ice", *[block(4)] * 6000])
+    assert got == [(9001, whole, len(whole)), (9002, opened, len(opened)), (9002, opened, len(opened))]
+
+
 def test_other_layouts(spark):
     paragraph = "Rain fell on the plain for three days, and the river rose over its banks. People moved their goods uphill. " * 3
-    html = (
+    page = (
         "<body><div class='cookie-notice'><p>We use cookies on this site, and you agree.</p></div><div id=nav><a href=/>Home</a> <a href=/n>News</a></div>"
         f"<div class='post-content'><h1>Flood</h1><p>{paragraph}</p><form><label>Search</label><input></form><p>{paragraph}</p>"
         f"<div class='advert'>Buy now!</div></div><div class='sidebar'><p>{paragraph}</p></div>"
         f"<section id='comments'><h2>Comments</h2><p>{paragraph}</p></section><div class='footer'>&copy; 2024</div></body>"
     )
     given = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url", "html")
-    extra = spark.createDataFrame([(9001, None, html), (9002, "u", None), (9003, "u", ""), (None, "u", "<div></div>")], "page_id bigint, url string, html string")
+    extra = spark.createDataFrame([(9001, None, page), (9002, "u", None), (9003, "u", ""), (None, "u", "<div></div>")], "page_id bigint, url string, html string")
     got = {r.page_id: r.text for r in extract.main_text(given.unionByName(extra)).where("page_id > 9000 or page_id is null").collect()}
     once = " ".join(paragraph.split())
     assert got == {9001: f"Flood\n{once}\n{once}", 9002: "", 9003: "", None: ""}

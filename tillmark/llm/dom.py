@@ -8,12 +8,14 @@ import re
 import numpy as np
 
 # How HTML names its elements.
-VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-DROPPED = frozenset("script style noscript template iframe svg math object audio video canvas head title".split())
 RAW = frozenset("script style textarea title noscript iframe template".split())
-INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var "
-    "button select option textarea".split()
+#: Raw elements that hold the rest of a page if nothing closes them; of the others an opening without an end means nothing.
+ENDLESS = frozenset("script style textarea".split())
+#: Elements that break lines around themselves; whatever else a page names stands within a line, formulas and media too.
+BLOCK = frozenset(
+    "address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 "
+    "header hgroup legend li listing main menu nav noframes ol optgroup p pre search section summary ul "
+    "table caption colgroup thead tbody tfoot tr td th".split()
 )
 #: An opening element of the key closes an open one of the value that no container separates from it.
 CLOSES = {
@@ -65,7 +67,8 @@ class Page:
         stack = [0]
         run: list[str] = []
         linked = 0
-        links = dropped = 0
+        links = 0
+        drawing = False
         at = 0
         raw: str | None = None
 
@@ -79,7 +82,7 @@ class Page:
 
         def say(text: str) -> None:
             nonlocal linked
-            if text and not dropped:
+            if text and not drawing:
                 run.append(text)
                 if links:
                     linked += len(text.strip())
@@ -87,7 +90,8 @@ class Page:
         while True:
             if raw is not None:
                 close = re.compile(rf"</{re.escape(raw)}(?=[\s/>])[^>]*>?", re.I).search(source, at)
-                body_end, after = (close.start(), close.end()) if close else (len(source), len(source))
+                rest = len(source) if raw in ENDLESS else at
+                body_end, after = (close.start(), close.end()) if close else (rest, rest)
                 if raw == "textarea":
                     say(source[at:body_end])
                 at, raw = after, None
@@ -102,27 +106,31 @@ class Page:
             if token.group(2) is None:
                 continue
             tag, closing, attributes = token.group(2).lower(), bool(token.group(1)), token.group(3)
+            if drawing:  # a picture ends with its tag, or where an element of the page begins or ends
+                if tag == "svg" and closing:
+                    drawing = False
+                    continue
+                if tag not in BLOCK or (closing and all(self.tag[i] != tag for i in stack)):
+                    if tag in ("script", "style") and not closing:
+                        raw = tag
+                    continue
+                drawing = False
             if tag in RAW and not closing:
                 raw = tag
                 continue
-            if tag in DROPPED:
-                dropped = max(0, dropped + (-1 if closing else not attributes.endswith("/")))
-                continue
-            if tag in ("html", "body"):
-                dropped = 0
-                continue
-            if dropped:
+            if tag == "svg":
+                drawing = not closing and not attributes.rstrip().endswith("/")
                 continue
             if tag == "a":
                 links = 0 if closing else 1
                 continue
-            if tag in INLINE:
+            if tag == "br":
+                run.append(" ")
+                continue
+            if tag == "hr":
+                end_run()
                 continue
-            if tag in VOID:
-                if tag == "hr":
-                    end_run()
-                else:
-                    run.append(" ")
+            if tag not in BLOCK:
                 continue
             end_run()
             links = 0

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import html
 import random
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +25,7 @@ from tillmark.llm.boosting import fit as fit_trees
 from tillmark.llm.dom import FEATURES, Page
 from tillmark.llm.texts import with_texts
 
-#: About as many pages give their runs for training, and so many pages are put together from them.
+#: About as many pages give so many of their runs for training, and so many pages are put together from them.
 SAMPLED_PAGES = 150
 RUNS_PER_PAGE = 40
 TRAINING_PAGES = 700
@@ -161,9 +162,14 @@ def extract(pages: list[str | None], trees: Boosted) -> list[str]:
     return texts
 
 
+def _some_runs(page: Page) -> list[str]:
+    """At most ``RUNS_PER_PAGE`` runs of a page, from anywhere in it: those of the smallest hash."""
+    return sorted((t for t in page.text if t), key=lambda t: (zlib.crc32(t.encode("utf-8", "surrogatepass")), t))[:RUNS_PER_PAGE]
+
+
 def _run_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        runs = [text for source in batch.column("html").to_pylist() for text in [t for t in Page(source or "").text if t][:RUNS_PER_PAGE]]
+        runs = [text for source in batch.column("html").to_pylist() for text in _some_runs(Page(source or ""))]
         yield pa.RecordBatch.from_arrays([pa.array(runs, type=pa.string())], ["run"])
 
 
@@ -183,8 +189,9 @@ def main_text(pages: DataFrame) -> DataFrame:
 
     ``text`` holds the kept runs in page order, a line each: character references decoded, white space made
     one space. It is empty, never null, for null, empty or textless html. A broken page is read as far as it
-    goes: an unfinished tag at its end is dropped, elements left open end with the page. Equal pages give
-    equal texts, repeated rows are rows of the result, other columns are not read, no rows give no rows.
+    goes: an unfinished tag at its end is dropped, elements left open end with the page, an open drawing with
+    the next element of the page. Very long pages are read whole. Equal pages give equal texts, repeated rows
+    are rows of the result, other columns, whatever their names, are not read, no rows give no rows.
     """
     trees = fit(pages)
 

@@ -1,8 +1,9 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
 A numpy logistic model over the words and word beginnings of a text is trained from confirmed toxic texts
-and from texts without a label. The unlabelled risk is corrected by the class prior and kept from going
-far below zero: pi * R_p(+) + max(0, R_u(-) - pi * R_p(-)), as in non-negative positive-unlabelled learning.
+and from texts without a label. The unlabelled risk is corrected by the class prior, R_u(-) - pi * R_p(-), which no
+true risk lets fall below zero; where the model makes it fall below -beta it fits noise, and a step then goes up that
+term instead of down the whole risk pi * R_p(+) + R_u(-) - pi * R_p(-). Beta is ``BETA`` priors.
 """
 
 from __future__ import annotations
@@ -22,10 +23,8 @@ from tillmark.session import checkpointed
 #: Expected numbers of texts that the model is fitted on; a bound on the driver's share, whatever the corpus.
 POSITIVES = 5_000
 UNLABELLED = 10_000
-FEATURES = 2_048
 #: Least estimated share of toxic texts among those with a feature: prior times its lift.
 MIN_PRECISION = 0.3
-LONG_WORD = 7
 PREFIXES = (3, 4, 5, 6, 7, 8)
 MIN_TEXTS = 3
 #: Least excess of a feature in toxic texts, in standard deviations: few of a million others reach it by chance.
@@ -35,7 +34,9 @@ STEPS = 400
 RATE = 0.1
 RIDGE = 2e-4
 #: How far, in priors, the corrected unlabelled risk may go below zero before a step turns back.
-SLACK = 0.5
+BETA = 0.5
+#: Texts that agree in as many least hashes of their words count as copies: of words half shared, one pair in 64 does.
+MINIMA = 6
 SEED = 17
 CACHED_WORDS = 500_000
 _WORD = re.compile(r"[^\W\d_]+")
@@ -74,6 +75,18 @@ class Weights:
         return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
 
 
+def risk_slope(z: np.ndarray, is_p: np.ndarray, prior: float) -> tuple[float, float, np.ndarray]:
+    """Positive risk, corrected unlabelled risk, and the slope by ``z`` that a step goes down, for logits ``z`` under the logistic loss."""
+    n_p, n_u = is_p.sum(), (~is_p).sum()
+    up = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
+    loss_as_negative = np.logaddexp(0, z)
+    kept = prior * np.logaddexp(0, -z[is_p]).mean()
+    corrected = loss_as_negative[~is_p].mean() - prior * loss_as_negative[is_p].mean()
+    to_positive = np.where(is_p, -prior * (1 - up) / n_p, 0)
+    to_negative = np.where(is_p, -prior * up / n_p, up / n_u)
+    return kept, corrected, to_positive + to_negative if corrected >= -BETA * prior else -to_negative
+
+
 def train(positive: list[list[int]], unlabelled: list[list[int]], n_features: int, prior: float) -> tuple[np.ndarray, float]:
     """Weights and bias that minimise the non-negative risk over texts given as lists of feature numbers."""
     n_p, n_u = len(positive), len(unlabelled)
@@ -87,12 +100,7 @@ def train(positive: list[list[int]], unlabelled: list[list[int]], n_features: in
     first, second = np.zeros(n_features + 1), np.zeros(n_features + 1)
     for step in range(1, STEPS + 1):
         z = np.bincount(rows, weights=w[columns], minlength=n_p + n_u) + bias
-        up = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
-        loss_as_negative = np.logaddexp(0, z)
-        excess = loss_as_negative[~is_p].mean() - prior * loss_as_negative[is_p].mean()
-        to_positive = np.where(is_p, -prior * (1 - up) / n_p, 0)
-        to_negative = np.where(is_p, -prior * up / n_p, up / n_u)
-        slope = to_positive + to_negative if excess >= -SLACK * prior else -to_negative
+        slope = risk_slope(z, is_p, prior)[2]
         gradient = np.append(np.bincount(columns, weights=slope[rows], minlength=n_features) + RIDGE * w, slope.sum())
         first = 0.9 * first + 0.1 * gradient
         second = 0.999 * second + 0.001 * gradient**2
@@ -123,12 +131,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Weights:
     kept = docs.select("doc_id", "text").join(F.broadcast(toxic.withColumn("kind", F.lit(1))), "doc_id", "left")
     kept = kept.where(F.col("kind").isNotNull() | drawn).select(F.array_compact(F.array(F.col("kind"), F.when(drawn, F.lit(0)))).alias("kinds"), "text")
     rows = with_texts(kept, ["kinds"], "text", {"w": "array<string>"}, lambda texts: [[sorted(words(t)) for t in texts]])
-    # Near copies share the least hashes of their long words; one text of each hash counts, under two hashes in turn.
+    # of texts that agree in all their least hashes, near copies, one counts
     rows = rows.select(F.explode("kinds").alias("kind"), "w")
-    long_words = F.filter("w", lambda w: F.length(w) >= LONG_WORD)
-    for seed in (SEED, SEED + 1):
-        least = F.array_min(F.transform(long_words, lambda w: F.xxhash64(w, F.lit(seed))))
-        rows = rows.groupBy("kind", F.coalesce(least, F.xxhash64("w")).alias("least")).agg(F.min("w").alias("w")).select("kind", "w")
+    minima = [F.array_min(F.transform("w", lambda w: F.xxhash64(w, F.lit(SEED + k)))).alias(f"m{k}") for k in range(MINIMA)]  # noqa: B023
+    rows = rows.groupBy("kind", *minima).agg(F.min("w").alias("w")).select("kind", "w")
     rows = checkpointed(rows)
     sizes = {r["kind"]: r["n"] for r in rows.groupBy("kind").agg(F.count("*").alias("n")).collect()}
     if not sizes.get(1) or not sizes.get(0):
@@ -147,7 +153,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Weights:
         (prior * (F.col("p") / sizes[1]) / ((F.col("u") + 1) / sizes[0])).alias("precision"),
     )
     excess = excess.where((F.col("excess") >= MIN_EXCESS) & (F.col("precision") >= MIN_PRECISION))
-    names = [r["f"] for r in excess.orderBy(F.desc("excess"), "f").limit(FEATURES).collect()]
+    names = [r["f"] for r in excess.orderBy(F.desc("excess"), "f").collect()]  # of a bounded sample
     number = {f: i for i, f in enumerate(names)}
 
     def numbered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
