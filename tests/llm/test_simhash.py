@@ -57,7 +57,7 @@ def test_links_are_all_pairs_once(spark):
         for _ in range(25):
             prints.add(b ^ sum(1 << i for i in rng.sample(range(64), rng.randint(1, 5))))
     prints = sorted(np.array(list(prints), dtype=np.uint64).view(np.int64).tolist())
-    found = simhash.links(spark.createDataFrame([(p,) for p in prints], "fp bigint")).collect()
+    found = simhash.links(simhash.keyed_prints(spark.createDataFrame([(p,) for p in prints], "fp bigint"))).collect()
     want = {(a, b) for i, a in enumerate(prints) for b in prints[i + 1 :] if ((a ^ b) & (2**64 - 1)).bit_count() <= 4}
     assert sorted((r.a, r.b) for r in found) == sorted(want)
 
@@ -95,3 +95,37 @@ def test_chains_and_stars(spark, size):
 def test_empty(spark):
     empty = spark.createDataFrame([], "doc_id bigint, text string")
     assert simhash.near_duplicates(empty).collect() == []
+
+
+def components_of(pairs, nodes):
+    label = {n: n for n in nodes}
+
+    def root(n):
+        while label[n] != n:
+            label[n] = n = label[label[n]]
+        return n
+
+    for a, b in pairs:
+        a, b = sorted((root(a), root(b)))
+        label[b] = a
+    return {n: root(n) for n in nodes}
+
+
+@pytest.mark.parametrize("hot_key", [1, 8, 40])
+def test_crowded_keys_connect_as_pairs_do(spark, hot_key):
+    rng = random.Random(hot_key)
+    prints = {rng.getrandbits(64) for _ in range(40)}
+    for base in rng.sample(sorted(prints), 4):
+        prints |= {base ^ sum(1 << i for i in rng.sample(range(64), rng.randint(1, 6))) for _ in range(120)}
+    prints = sorted(np.array(sorted(prints), dtype=np.uint64).view(np.int64).tolist())
+    found = [tuple(r) for r in simhash.all_links(spark.createDataFrame([(p,) for p in prints], "fp bigint"), hot_key=hot_key).collect()]
+    close = [(a, b) for i, a in enumerate(prints) for b in prints[:i] if ((a ^ b) & (2**64 - 1)).bit_count() <= 4]
+    assert all(((a ^ b) & (2**64 - 1)).bit_count() <= 4 for a, b in found)
+    assert components_of(found, prints) == components_of(close, prints)
+
+
+def test_blocks_of_a_long_text_hash_as_one(monkeypatch):
+    texts = ["a b c", "one two three four", " ".join(f"w{k % 11}" for k in range(40)), "x " * 9]
+    whole = [simhash.fingerprint(t) for t in texts]
+    monkeypatch.setattr(simhash, "HASHES_AT_ONCE", 3)
+    assert [simhash.fingerprint(t) for t in texts] == whole == [brute_fingerprint(t) for t in texts]
