@@ -32,7 +32,7 @@ SEGMENTS = 8
 CHAIN = 5
 HASHES_AT_ONCE = 1 << 16
 #: Fingerprints that share a key beyond which they are linked by points rather than by pairs.
-HOT_KEY = 100
+HOT_KEY = 500
 
 
 def fingerprint(text: str | None) -> int:
