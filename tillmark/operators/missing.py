@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmark.functions.expressions import half_even, ratio
@@ -41,8 +40,8 @@ def null_patterns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.select(*longs).groupBy(*[f"_nulls{k}" for k in range(len(longs))]).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _is_null(k: int) -> Column:
-    return F.col(f"_nulls{k // FLAGS_PER_LONG}").bitwiseAND(1 << (k % FLAGS_PER_LONG)) != 0
+def _is_null(k: int) -> str:
+    return f"(_nulls{k // FLAGS_PER_LONG} & {1 << (k % FLAGS_PER_LONG)}L) != 0"
 
 
 def missing_indicator_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -51,16 +50,19 @@ def missing_indicator_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     The lines are counted by pattern; every pair then reads the few patterns.
     """
     columns = list(columns)
-    n = F.sum("n").cast("double")
-    held = lambda condition: F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0)).cast("double")
-    parts = []
-    for i, j in combinations(range(len(columns)), 2):
-        na, nb, nab = held(_is_null(i)), held(_is_null(j)), held(_is_null(i) & _is_null(j))
-        phi = ratio(n * nab - na * nb, F.sqrt(na * (n - na)) * F.sqrt(nb * (n - nb)))
-        parts.append(F.struct(F.lit(columns[i]).alias("column_a"), F.lit(columns[j]).alias("column_b"), F.abs(phi).alias("correlation")))
-    if not parts:
+    pairs = list(combinations(range(len(columns)), 2))
+    if not pairs:
         return df.sparkSession.createDataFrame([], "column_a string, column_b string, correlation double")
-    return null_patterns(df, columns).agg(F.array(*parts).alias("rows")).select(F.inline("rows"))
+    held = lambda condition: f"cast(coalesce(sum(if({condition}, n, 0)), 0) as double)"
+    alone = [F.expr(f"{held(_is_null(k))} as a{k}") for k in range(len(columns))]
+    both = [F.expr(f"{held(f'{_is_null(i)} and {_is_null(j)}')} as b{i}_{j}") for i, j in pairs]
+    sums = null_patterns(df, columns).agg(F.sum("n").cast("double").alias("n"), *alone, *both)
+    spread = lambda k: f"sqrt(a{k} * (n - a{k}))"
+    phi = [f"abs(try_divide(n * b{i}_{j} - a{i} * a{j}, {spread(i)} * {spread(j)}))" for i, j in pairs]
+    names = F.lit(columns)
+    rows = sums.select(F.posexplode(F.expr(f"array({', '.join(phi)})")).alias("at", "correlation"))
+    of = lambda side: F.get(names, F.get(F.lit([pair[side] for pair in pairs]), F.col("at")))
+    return rows.select(of(0).alias("column_a"), of(1).alias("column_b"), "correlation")
 
 
 def mcar_check(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -72,8 +74,7 @@ def mcar_check(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame
         )
     pairs = missing_indicator_pairs(df, columns)
     strongest = pairs.agg(F.coalesce(F.max("correlation"), F.lit(0.0)).alias("strongest"))
-    any_null = functools.reduce(lambda a, b: a | b, [_is_null(k) for k in range(len(columns))])
-    some = null_patterns(df, columns).agg(F.max(any_null).alias("any_missing"))
+    some = null_patterns(df, columns).agg(F.expr(f"max({' or '.join(map(_is_null, range(len(columns))))}) as any_missing"))
     summary = strongest.select("strongest", some.scalar().alias("any_missing"))
     message = (
         F.when(~F.coalesce("any_missing", F.lit(False)), "no missing values")
