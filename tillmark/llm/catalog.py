@@ -180,6 +180,38 @@ with u as (
 select page_id, host, path, rule, coalesce(verdict, '{urlrules.DEFAULT}') as verdict from p left join (select * from b where k = 1) using (r)"""
 
 
+def repeats_sql() -> str:
+    n, block = repeats.LENGTH, 512  # bytes are pairs of hex digits; windows are cut from blocks, as long texts are slow to cut
+    return f"""
+with d as (
+  select row_number() over () as r, doc_id, hex(encode(coalesce(text, ''))) as h from documents
+), b as (
+  select r, doc_id, origin, substr(h, 2 * origin + 1, {2 * (block + n - 1)}) as piece
+  from (select r, doc_id, h, unnest(range(0, length(h) // 2, {block})) as origin from d)
+), w as (
+  select r, doc_id, origin + i as p, substr(piece, 2 * i + 1, {2 * n}) as s
+  from (select r, doc_id, origin, piece, unnest(range(0, least({block}, length(piece) // 2 - {n - 1}))) as i from b)
+), m as (
+  select s, min(doc_id) as least from w group by s having count(*) > 1
+), c as (
+  select r, p, coalesce(p > lag(p) over (partition by r order by p) + {n}, true) as opens
+  from w join m using (s) where least < doc_id or (doc_id is null and least is not null)
+), g as (
+  select r, p, sum(opens::int) over (partition by r order by p rows unbounded preceding) as run from c
+), x as (
+  select r, run, min(p) as a, max(p) + {n} as z from g group by r, run
+), y as (
+  select r, a, z, coalesce(lag(z) over (partition by r order by a), 0) as before from x
+), k as (
+  select r, sum(z - a)::bigint as n_removed, count(*) as n_spans, max(z) as last,
+    string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' order by a) as head
+  from y join d using (r) group by r
+)
+select doc_id, (length(h) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans,
+  sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) as kept_sha256
+from d left join k using (r)"""
+
+
 def decontaminate_sql() -> str:
 
     words = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
@@ -262,6 +294,7 @@ def oracles() -> dict[str, str]:
         "op3_line_rules": line_rules_sql(),
         "op4_mixing": mixing_sql(),
         "op5_url_filter": url_filter_sql(),
+        "op6_repeats": repeats_sql(),
         "op7_decontaminate": decontaminate_sql(),
         "op12_spelling": spelling_sql(),
     }
