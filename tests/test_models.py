@@ -217,6 +217,30 @@ def test_map_group_parts(spark, sales, small_batches):
         assert found[canal]["sum_monto"] == pytest.approx(group["monto_aplicado"].sum())
 
 
+def test_calls_do_not_grow_with_the_batches_a_group_is_in(spark, small_batches, monkeypatch):
+    monkeypatch.setattr(partitions, "ROWS_PER_CALL", 50)
+    shops = spark.range(0, 4_000, 1, 2).selectExpr("cast(id % 1000 as double) as local", "1.0D as monto_aplicado", "id % 3 = 0 as odd")
+    nobody = spark.createDataFrame([(None, 9.0, True)], shops.schema)
+    rows_in = shops.unionByName(nobody).coalesce(2)
+    calls = spark.sparkContext.accumulator(0)
+
+    def counted(func):
+        def call(piece):
+            calls.add(1)
+            return func(piece)
+
+        return call
+
+    merge = {"n_rows": "sum", "sum_monto": "sum"}
+    schema = "n_rows bigint, sum_monto double, local double"
+    expected = {float(i): (4, 4.0) for i in range(1_000)}
+    for func, keyed, most in ((partitions.shop_partials, True, 4_001 // 50 + 3), (partitions.sales_partials, False, 2 * 1_000 + 4_001 // 50 + 3)):
+        before = calls.value
+        got = partitions.map_group_parts(rows_in, counted(func), schema, ["local"], merge, keyed).collect()
+        assert {r["local"]: (r["n_rows"], r["sum_monto"]) for r in got} == expected
+        assert 0 < calls.value - before <= most
+
+
 def test_groups_stay_whole(spark, sales, small_batches):
     df, frame = sales
     median = partitions.whole(lambda piece: pd.DataFrame({"canal": [piece["canal"].iloc[0]], "m": [piece["monto_aplicado"].median()]}))

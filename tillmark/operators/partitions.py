@@ -164,26 +164,35 @@ def _gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.concat(held, ignore_index=True)
 
 
-def map_group_parts(df: DataFrame, func: PieceFunction, schema: str, by: Sequence[str], merge: Mapping[str, str], **kwargs) -> DataFrame:
+def map_group_parts(
+    df: DataFrame, func: PieceFunction, schema: str, by: Sequence[str], merge: Mapping[str, str], keyed: bool = False, **kwargs
+) -> DataFrame:
     """Two-phase aggregate by group: ``func`` on the part of a group within some batches, then ``merge``.
 
     For functions that merge: ``merge`` says how each result column is combined ("sum", "min" or
     "max"). Rows are not shuffled, only the partial results are, so a group of any size is spread
     over all tasks. Rows with a null key are left out.
+
+    A ``keyed`` function gets rows of many groups and returns a row for each, its keys among the columns; its
+    calls grow with the rows only. Otherwise each call sees one group, and a task's rows are first put in order
+    of their groups, so that it calls a group once, or once for each ``ROWS_PER_CALL`` rows of it.
     """
     by = list(by)
 
+    def on_pieces(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        for key, piece in batch.groupby(by, sort=False):
+            result = func(piece, **kwargs)
+            if result is not None:
+                yield result.assign(**dict(zip(by, key)))
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in _gather(batches):
-            parts = []
-            for key, piece in batch.groupby(by, sort=False):
-                result = func(piece, **kwargs)
-                if result is not None:
-                    parts.append(result.assign(**dict(zip(by, key))))
+            parts = _results(func(batch, **kwargs)) if keyed else list(on_pieces(batch))
             if parts:
                 yield pd.concat(parts, ignore_index=True)
 
-    partial = df.mapInPandas(run, schema)
+    rows = df.dropna(subset=by)
+    partial = (rows if keyed else rows.sortWithinPartitions(*by)).mapInPandas(run, schema)
     return partial.groupBy(*by).agg(*[MERGES[how](c).alias(c) for c, how in merge.items()])
 
 
@@ -192,6 +201,11 @@ def sales_partials(piece: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"n_rows": [len(piece)], "sum_monto": [float(piece["monto_aplicado"].sum())]})
 
 
+def shop_partials(rows: pd.DataFrame) -> pd.DataFrame:
+    """The same for each shop that occurs among the rows."""
+    return rows.groupby("local", as_index=False, sort=False).agg(n_rows=("local", "size"), sum_monto=("monto_aplicado", "sum"))
+
+
 def combine_totals(partials: DataFrame, columns: Sequence[str]) -> DataFrame:
     """One row: the sums of the partial numbers; no rows if there are none."""
     summed = partials.agg(F.count(F.lit(1)).alias("_n"), *[F.sum(c).alias(c) for c in columns])
