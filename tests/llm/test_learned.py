@@ -6,6 +6,7 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -163,6 +164,37 @@ def test_secrets(spark):
     assert secrets.redact(docs).columns == docs.columns and secrets.find_secrets(docs.where("false")).collect() == []
 
 
+def test_formats_come_from_all_values(spark):
+    rng = random.Random(8)
+    keys = sorted({"".join(rng.choices("0123456789abcdef", k=rng.choice([12, 18, 100]))) for _ in range(1_500)})
+    runs = sorted({"".join(rng.choices("abcdefghijklmnopqrstuvwxyzABCDEF/.-", k=rng.randint(17, 90))) for _ in range(6_000)})
+    rows = [(i, f"password={keys[i % len(keys)]} and {run}") for i, run in enumerate(runs)]
+    formats = secrets.fit(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3))
+    assert set(formats.automata) >= {"assign"}
+    automaton, least = formats.automata["assign"]
+    assert sum(automaton.ended) == len(keys) and sum(automaton.passed) == sum(len(k) + 1 for k in keys)
+    gains = [formats.gain(automaton, k) for k in keys]
+    assert least == pytest.approx(max(secrets.LEAST_GAIN, np.quantile(gains, secrets.LOWEST_SHARE)))
+    steps = sum((automata.chain_steps(automata.symbols(r)) for r in runs), Counter())
+    assert np.array_equal(formats.ordinary.bits, automata.Background(steps).bits)
+
+
+def test_prefix_counts_give_the_automaton_of_their_values():
+    rng = random.Random(3)
+    values = sorted({"".join(rng.choices("0123456789abcdef", k=rng.choice([6, 9]))) + "-Zz" * rng.randint(0, 2) for _ in range(200)})
+    paths = ["".join(map(str, automata.symbols(v))) for v in values]
+    passed = Counter(p[:k] for p in paths for k in range(len(p) + 1))
+    whole = automata.infer_from_prefixes([(p, n, paths.count(p)) for p, n in passed.items()], 1)
+    plain = automata.infer(values)
+    assert all(whole.log_likelihood(v) == pytest.approx(plain.log_likelihood(v)) for v in [*values, "internationalization"])
+    for tree in (whole, automata.infer_from_prefixes([(p, n, paths.count(p)) for p, n in passed.items()], 5)):
+        steps = Counter()
+        for path in paths:
+            tree.walk([int(s) for s in path], 1, steps)
+        counted = tree.counted((*step, n) for step, n in steps.items())
+        assert sum(counted.ended) == len(values) and sum(counted.passed) == sum(len(v) + 1 for v in values)
+
+
 def test_secret_digests(spark):
     rows = {r.doc_id: r for r in contract.queries()["op10_secrets"](spark, SF).collect()}
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()}

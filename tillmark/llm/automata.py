@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import math
+from collections import Counter
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -11,6 +13,8 @@ import numpy as np
 CLASSES = ("0123456789", "abcdef", "ghijklmnopqrstuvwxyz", "ABCDEF", "GHIJKLMNOPQRSTUVWXYZ", "_-", "+/=", ".")
 _CLASS = {c: k for k, chars in enumerate(CLASSES) for c in chars}
 SYMBOLS = len(CLASSES) + 1
+#: The end of a string among an automaton's steps.
+END = -1
 CONFIDENCE = 0.05
 SMOOTHING = 0.05
 
@@ -72,6 +76,8 @@ class Automaton:
             self.ended[a] += self.ended[b]
             for s, n in self.count[b].items():
                 self.count[a][s] = self.count[a].get(s, 0) + n
+                if s not in self.target[b]:
+                    continue
                 if s in self.target[a]:
                     left.append((self.target[a][s], self.target[b][s]))
                 else:
@@ -92,6 +98,26 @@ class Automaton:
                 self.target[parent][s] = same
                 self.fold(same, state)
 
+    def walk(self, path: Sequence[int], n: int, steps: Counter[tuple[int, int]]) -> None:
+        """Add to ``steps`` the (state, symbol) pairs that ``n`` strings of these symbols take, the end as symbol ``END``."""
+        state = 0
+        for s in path:
+            steps[state, s] += n
+            state = self.target[state].get(s, 0)
+        steps[state, END] += n
+
+    def counted(self, steps: Iterable[tuple[int, int, int]]) -> Automaton:
+        """The same states and targets with the counts of (state, symbol, n) ``steps``, which all strings took together."""
+        size = len(self.passed)
+        found = Automaton([0] * size, [0] * size, [{} for _ in range(size)], self.target)
+        for state, s, n in steps:
+            found.passed[state] += n
+            if s == END:
+                found.ended[state] += n
+            else:
+                found.count[state][s] = n
+        return found
+
     def log_likelihood(self, value: str) -> float:
         """Bits, a negative number; unseen steps have a small probability and lead to the start."""
         total, state = 0.0, 0
@@ -109,17 +135,39 @@ def infer(values: list[str]) -> Automaton:
     return tree.merge() if values else tree
 
 
+def infer_from_prefixes(nodes: Iterable[tuple[str, int, int]], least: int) -> Automaton:
+    """Automaton of a prefix tree given as (prefix, strings that pass, strings that end), prefixes in digits of their symbols.
+
+    A prefix that ``least`` strings pass is a state of the tree, as is the empty one; others count as steps that leave one.
+    """
+    tree, state_of = Automaton(), {"": 0}
+    for prefix, passed, ended in sorted(nodes, key=lambda node: (len(node[0]), node[0])):
+        if prefix[:-1] not in state_of:
+            continue
+        if prefix:
+            parent, s = state_of[prefix[:-1]], int(prefix[-1])
+            tree.count[parent][s] = passed
+            if passed < least:
+                continue
+            state_of[prefix] = tree.target[parent][s] = len(tree.passed)
+            for part, empty in ((tree.passed, 0), (tree.ended, 0), (tree.count, {}), (tree.target, {})):
+                part.append(empty)
+        tree.passed[state_of[prefix]], tree.ended[state_of[prefix]] = passed, ended
+    return tree.merge()
+
+
+def chain_steps(path: Sequence[int]) -> Counter[tuple[int, int]]:
+    """Pairs of symbols that follow each other in a string, its start before the first and its end after the last as ``SYMBOLS``."""
+    return Counter(zip([SYMBOLS, *path], [*path, SYMBOLS]))
+
+
 class Background:
-    """Order-one chain over character kinds of ordinary strings."""
+    """Order-one chain over character kinds of ordinary strings, from the numbers of :func:`chain_steps` over all of them."""
 
-    def __init__(self, values: list[str]):
+    def __init__(self, steps: Mapping[tuple[int, int], int]):
         counts = np.full((SYMBOLS + 1, SYMBOLS + 1), 0.5)  # the last row starts strings, the last column ends them
-        for value in values:
-            last = SYMBOLS
-            for s in symbols(value):
-                counts[last, s] += 1
-                last = s
-            counts[last, SYMBOLS] += 1
+        for pair, n in steps.items():
+            counts[pair] += n
         self.bits = np.log2(counts / counts.sum(axis=1, keepdims=True))
 
     def log_likelihood(self, value: str) -> float:

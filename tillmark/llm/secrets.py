@@ -1,25 +1,28 @@
 """Secret scans: fixed patterns, and credential formats inferred as probabilistic automata.
 
-Values that the fixed patterns find label the formats. Per kind a prefix tree of a bounded sample of them
-is merged into a probabilistic automaton. Every other long run of credential characters in the corpus is
-scored by its likelihood under these automata against a chain of ordinary runs; a run as likely as the
-labelled values are is a secret too.
+Values that the fixed patterns find label the formats. Per kind the prefix tree of all of them, counted by Spark, is
+merged into a probabilistic automaton, whose steps are then counted over all of them. Every other long run of
+credential characters in the corpus is scored by its likelihood under these automata against a chain of all such runs;
+a run as likely as the labelled values are is a secret too.
 """
 
 from __future__ import annotations
 
+import functools
+import math
 import re
-from collections.abc import Iterator
+from collections import Counter, defaultdict
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillmark.llm.automata import Automaton, Background, infer
+from tillmark.llm.automata import Automaton, Background, chain_steps, infer_from_prefixes, symbols
 from tillmark.llm.texts import with_texts
+from tillmark.operators.quantiles import quantiles
 from tillmark.session import checkpointed
 
 # The base patterns and the least lengths of what they must match.
@@ -35,15 +38,14 @@ _RUN = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
 _LONG_HEX = re.compile(r"[0-9a-f]{24}")
 _KEYWORDS = ("passw", "secret", "token", "api")
 
-#: Examples of a kind and of ordinary runs that the driver fits on; a bound whatever the corpus.
-EXAMPLES = 400
-ORDINARY = 5_000
-MAX_EXAMPLE_LENGTH = 80
+#: A prefix is a state of its kind's tree if two values and this share of all pass it, and it is no longer than this.
+#: That bounds the states on the driver, not the values: those that leave the tree are counted on from its start.
+TREE_SHARE = 1 / 400
+TREE_DEPTH = 64
 #: A run is a secret if it gains as many bits a character as all but this share of the labelled values, and this many.
 LOWEST_SHARE = 0.05
 LEAST_GAIN = 0.75
 MASK = "[secret]"
-SEED = 23
 
 
 def base_spans(text: str) -> list[tuple[str, int, int, str]]:
@@ -91,37 +93,100 @@ class Formats:
 
 
 def _value_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Kind and value of all labelled values and other runs that are not too long for an example."""
+    """Kind and value of all labelled values and other runs."""
     for batch in batches:
         rows = []
         for text in batch.column("text").to_pylist():
             text = text or ""
             base = base_spans(text)
             rows += [(kind, value) for kind, _, _, value in base] + [(LEARNED, value) for _, _, value in other_runs(text, base)]
-        rows = [r for r in rows if len(r[1]) <= MAX_EXAMPLE_LENGTH]
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], type=pa.string()) for k in (0, 1)], ["kind", "value"])
+        yield _columns(rows, {"kind": pa.string(), "value": pa.string()})
+
+
+def _columns(rows: list[tuple], types: dict[str, pa.DataType]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], type=t) for k, t in enumerate(types.values())], list(types))
+
+
+def _paths(batch: pa.RecordBatch) -> Counter[tuple[str, str]]:
+    """Values of a batch by kind and symbols, in digits: all that the automata see of them."""
+    kinds, values = (batch.column(name).to_pylist() for name in ("kind", "value"))
+    return Counter((kind, "".join(map(str, symbols(value)))) for kind, value in zip(kinds, values))
+
+
+def _prefix_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Prefixes of labelled values and the numbers of values that pass and end there."""
+    for batch in batches:
+        passed, ended = Counter(), Counter()
+        for (kind, path), n in _paths(batch).items():
+            passed.update({(kind, path[:k]): n for k in range(min(len(path), TREE_DEPTH) + 1)})
+            if len(path) <= TREE_DEPTH:
+                ended[kind, path] += n
+        rows = [(*node, n, ended[node]) for node, n in passed.items()]
+        yield _columns(rows, {"kind": pa.string(), "prefix": pa.string(), "passed": pa.int64(), "ended": pa.int64()})
+
+
+def _step_rows(automata: dict[str, Automaton]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Table function: steps of the values through the automaton of their kind, or of the chain for other runs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            steps: dict[str, Counter[tuple[int, int]]] = defaultdict(Counter)
+            for (kind, path), n in _paths(batch).items():
+                path = [int(s) for s in path]
+                if kind in automata:
+                    automata[kind].walk(path, n, steps[kind])
+                else:
+                    steps[kind].update({step: times * n for step, times in chain_steps(path).items()})
+            rows = [(kind, *step, n) for kind, taken in steps.items() for step, n in taken.items()]
+            yield _columns(rows, {"kind": pa.string(), "state": pa.int64(), "symbol": pa.int64(), "n": pa.int64()})
+
+    return run
+
+
+def _trees(labelled: DataFrame) -> dict[str, Automaton]:
+    """The merged prefix tree of all values of each kind; a bounded number of prefixes reaches the driver."""
+    nodes = labelled.mapInArrow(_prefix_rows, "kind string, prefix string, passed bigint, ended bigint")
+    nodes = checkpointed(nodes.groupBy("kind", "prefix").agg(F.sum("passed").alias("passed"), F.sum("ended").alias("ended")))
+    least = {r["kind"]: max(2, math.ceil(r["passed"] * TREE_SHARE)) for r in nodes.where("prefix = ''").collect()}
+    if not least:
+        return {}
+    bound = functools.reduce(lambda found, kind: F.when(F.col("kind") == kind, least[kind]).otherwise(found), least, F.lit(0))
+    # states, and the steps that leave one
+    states = nodes.where((F.col("passed") >= bound) | (F.col("prefix") == "")).select("kind", F.col("prefix").alias("parent"))
+    parent = F.expr("if(prefix = '', '', left(prefix, length(prefix) - 1))")
+    found: dict[str, list[tuple[str, int, int]]] = defaultdict(list)
+    for r in nodes.withColumn("parent", parent).join(states, ["kind", "parent"], "left_semi").collect():
+        found[r["kind"]].append((r["prefix"], r["passed"], r["ended"]))
+    return {kind: infer_from_prefixes(found[kind], least[kind]) for kind in KINDS if kind in found}
 
 
 def fit(docs: DataFrame) -> Formats:
-    """Formats of the credentials that the fixed patterns find in all of ``docs``.
+    """Formats of the credentials that the fixed patterns find in all of ``docs``; distinct values count once.
 
-    Distinct values count once; about ``EXAMPLES`` of each kind, and ``ORDINARY`` other runs, are drawn by hash.
+    All values and runs are counted: prefixes, then steps through the merged trees and along the chain, then gains,
+    whose quantile is exact. The driver gets the states and these counts.
     """
     values = checkpointed(docs.select("text").mapInArrow(_value_rows, "kind string, value string").distinct())
-    sizes = {r["kind"]: r["n"] for r in values.groupBy("kind").agg(F.count("*").alias("n")).collect()}
-    rate = F.lit(0.0)
-    for kind, n in sizes.items():
-        rate = F.when(F.col("kind") == kind, min(1.0, (ORDINARY if kind == LEARNED else EXAMPLES) / n)).otherwise(rate)
-    uniform = F.pmod(F.xxhash64("value", F.lit(SEED)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    drawn: dict[str, list[str]] = {}
-    for r in values.where(uniform < rate).collect():
-        drawn.setdefault(r["kind"], []).append(r["value"])
-    formats = Formats({}, Background(sorted(drawn.get(LEARNED, []))))
-    for kind in KINDS:
-        if kind in drawn:
-            automaton = infer(drawn[kind])
-            gains = [formats.gain(automaton, value) for value in drawn[kind]]
-            formats.automata[kind] = (automaton, max(LEAST_GAIN, float(np.quantile(gains, LOWEST_SHARE))))
+    labelled = values.where(F.col("kind") != LEARNED)
+    trees = _trees(labelled)
+    steps: dict[str, list[tuple[int, int, int]]] = defaultdict(list)
+    counted = values.mapInArrow(_step_rows(trees), "kind string, state bigint, symbol bigint, n bigint")
+    for r in counted.groupBy("kind", "state", "symbol").agg(F.sum("n").alias("n")).collect():  # a row a state and symbol
+        steps[r["kind"]].append((r["state"], r["symbol"], r["n"]))
+    automata = {kind: tree.counted(steps[kind]) for kind, tree in trees.items()}
+    formats = Formats({}, Background({(a, b): n for a, b, n in steps[LEARNED]}))
+    if not automata:
+        return formats
+
+    def gain_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = zip(batch.column("kind").to_pylist(), batch.column("value").to_pylist())
+            rows = [[formats.gain(automata[kind], value) if kind == k else None for k in automata] for kind, value in pairs]
+            yield _columns(rows, {kind: pa.float64() for kind in automata})
+
+    gains = checkpointed(labelled.mapInArrow(gain_rows, ", ".join(f"{kind} double" for kind in automata)))
+    lowest = {r["variable"]: r["low"] for r in quantiles(gains, list(automata), {"low": LOWEST_SHARE}).collect()}
+    formats.automata = {kind: (automaton, max(LEAST_GAIN, lowest[kind])) for kind, automaton in automata.items()}
     return formats
 
 
