@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -37,14 +37,27 @@ def parse_timestamp(df: DataFrame, name: str, day_forms: Sequence[tuple[str, str
         return col.cast("timestamp_ntz")
     if isinstance(kind, T.TimestampType):
         return F.convert_timezone(F.current_timezone(), F.lit("UTC"), col.cast("timestamp_ntz"))
+    return _moment(_iso_text(col, day_forms))
+
+
+def _iso_text(col: Column, day_forms: Sequence[tuple[str, str]]) -> Column:
     bare = F.trim(col.cast("string"))
     text = bare
     for pattern, iso in reversed(day_forms):
         text = F.when(bare.rlike(pattern), F.regexp_replace(bare, pattern, iso)).otherwise(text)
+    return text
+
+
+def _moment(text: Column) -> Column:
     to_utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.try_to_timestamp(text).cast("timestamp_ntz"))
     return F.when(text.contains(":") & text.rlike(HAS_ZONE), to_utc).otherwise(text.try_cast("timestamp_ntz"))
 
 
+def _computed_once(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """``df`` with these columns added, as a generated row: filters on them read their values instead of working them out again."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()])))) if columns else df
+
+
 def parse_number(df: DataFrame, name: str) -> Column:
     """Double; text that is no decimal number, and NaN, become null."""
     col = F.col(name)
@@ -54,25 +67,35 @@ def parse_number(df: DataFrame, name: str) -> Column:
     return F.when(~F.isnan(number), number)
 
 
-def coerce_types(df: DataFrame, day_forms: Sequence[tuple[str, str]] = DAY_FORMS) -> DataFrame:
-    """Internal column names and types; what cannot be read as its type becomes null."""
+def coerce_types(df: DataFrame, day_forms: Sequence[tuple[str, str]] = DAY_FORMS, once: bool = False) -> DataFrame:
+    """Internal column names and types; what cannot be read as its type becomes null.
+
+    ``once`` reads all text columns of a row one time, however many filters look at them (they would read the text again).
+    It pays if the rows that are left are used whole, and costs a little if only some columns are.
+    """
     df = schema.to_internal_names(df)
-    casts: dict[str, Column] = {}
-    for name in ("fecha", "fecha_nacimiento"):
-        if name in df.columns:
-            casts[name] = parse_timestamp(df, name, day_forms)
+    texts = {f.name for f in df.schema if isinstance(f.dataType, T.StringType)}
+    order = df.columns
+    dates = [name for name in ("fecha", "fecha_nacimiento") if name in order]
+    iso = {name: f"_iso_{name}" for name in dates if once and name in texts}
+    df = _computed_once(df, {made: _iso_text(F.col(name), day_forms) for name, made in iso.items()})
+    casts = {name: _moment(F.col(iso[name])) if name in iso else parse_timestamp(df, name, day_forms) for name in dates}
     for name in schema.NUMERIC_COLUMNS:
-        if name in df.columns:
+        if name in order:
             casts[name] = parse_number(df, name)
-    if "boleta" in df.columns:
+    if "boleta" in order:
         # "123.0" is a receipt number too
         receipt = F.col("boleta")
-        receipt = F.when(receipt.rlike(DECIMAL), receipt) if isinstance(df.schema["boleta"].dataType, T.StringType) else receipt
+        receipt = F.when(receipt.rlike(DECIMAL), receipt) if "boleta" in texts else receipt
         casts["boleta"] = F.coalesce(receipt.try_cast("bigint"), parse_number(df, "boleta").try_cast("bigint"))
+    if once:
+        read = {name: f"_read_{name}" for name in casts if name in texts}
+        df = _computed_once(df, {made: casts[name] for name, made in read.items()})
+        casts |= {name: F.col(made) for name, made in read.items()}
     for name in schema.STRING_COLUMNS:
-        if name in df.columns:
+        if name in order:
             casts[name] = F.col(name).cast("string")
-    return df.withColumns(casts)
+    return df.withColumns(casts).select(*[f"`{name}`" for name in order])
 
 
 def row_rules(df: DataFrame) -> dict[str, Column]:
@@ -96,6 +119,11 @@ def keep_valid_rows(df: DataFrame) -> DataFrame:
     return df
 
 
+def valid_rows(df: DataFrame, day_forms: Sequence[tuple[str, str]] = DAY_FORMS) -> DataFrame:
+    """Coercion, then the row rules."""
+    return keep_valid_rows(coerce_types(df, day_forms, once=True))
+
+
 def cleaning_audit(df: DataFrame) -> DataFrame:
     """Rows removed by each rule (the first that fails), in one pass over coerced rows."""
     rules = row_rules(df)
@@ -135,7 +163,7 @@ def impute(df: DataFrame) -> DataFrame:
 
 def clean_sales(df: DataFrame) -> DataFrame:
     """Coercion, row rules, then imputation from the rows that are left."""
-    return impute(keep_valid_rows(coerce_types(df)))
+    return impute(valid_rows(df))
 
 
 def imputation_values(valid: DataFrame) -> DataFrame:
