@@ -1,12 +1,14 @@
 import datetime as dt
+import re
 
 import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tillmark import schema
+from tillmark import schema, session
 from tillmark.operators import cleaning, features, missing, outliers
+from tillmark.plans import stages
 from tillmark.sources import csv
 
 HEADER = "FECHA;CANAL;SKU;PRODUCTO;UNIDADES;PORCENTAJE DESCUENTO;MONTO APLICADO;BOLETA;LOCAL;CODIGO CLIENTE;RUN CLIENTE;NOMBRES;APELLIDOS;FECHA NACIMIENTO;GENERO"
@@ -209,3 +211,40 @@ def test_standardize_with_given_parameters(spark):
     assert sorted(rows(features.standardize(df, ["x", "k"], fit))) == [(-1.0, 0.0), (1.0, 0.0)]
     other = spark.createDataFrame([(5.0, 6.0)], "x double, k double")
     assert rows(features.standardize(other, ["x", "k"], fit)) == [(3.0, 1.0)]
+
+
+KINDS = "fecha timestamp_ntz, unidades double, monto_aplicado double, porcentaje_descuento double, boleta bigint, codigo_cliente string, fecha_nacimiento timestamp_ntz, genero double"
+
+
+def receipt_lines(spark):
+    moment, born = dt.datetime(2024, 5, 1, 10), dt.datetime(1980, 1, 1)
+    rows = [(moment, 1.0, float(i), 0.1, 1 + i % 7, [None, "a", "b"][i % 5 % 3], born, 1.0) for i in range(200)]
+    rows += [(moment, 1.0, 5.0, None, 99, None, None, None)] * 3 + [(moment, 1.0, 5.0, 0.0, None, "a", born, 2.0), (moment, 1.0, 5.0, 0.0, -4, "a", born, 2.0)]
+    return spark.createDataFrame(rows, KINDS)
+
+
+def test_lines_dealt_out_by_receipt_stay_where_the_counts_are_joined(spark):
+    valid = cleaning.valid_rows(receipt_lines(spark))
+    plain = features.derive_features(cleaning.impute(valid))
+    table = session.materialize_by(valid, "valid", "boleta")
+    with session.setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"), session.setting(spark, session.ALL_KEYS, "false"):
+        derived = features.derive_features(cleaning.impute(table), dealt=True)
+        plan = derived._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(str, derived.collect())) == sorted(map(str, plain.collect()))
+    assert "ShuffledHashJoin" in plan and not re.search(r"Exchange hashpartitioning\((coalesce\()?boleta", plan)
+    assert spark.conf.get(session.ALL_KEYS) == "true"
+    prepared = stages.prepare(receipt_lines(spark))
+    assert prepared.columns == plain.columns and sorted(map(str, prepared.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_filters_do_not_read_text_again(spark):
+    raw = spark.createDataFrame(
+        [("05/01/2024 10:00:00", "1", "2.5", "7.0", "x"), ("2024-05-01 10:00:00+03:00", "1", "2", "8", "0.5"), ("soon", "1", "1", "9", "0.1"), (None, "1d", "NaN", None, None)],
+        "FECHA string, UNIDADES string, `MONTO APLICADO` string, BOLETA string, `PORCENTAJE DESCUENTO` string",
+    )
+    once = cleaning.valid_rows(raw)
+    assert once.columns == cleaning.coerce_types(raw).columns
+    assert sorted(map(str, once.collect())) == sorted(map(str, cleaning.keep_valid_rows(cleaning.coerce_types(raw)).collect()))
+    assert once.count() == 2
+    plan = once._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(cleaning.DAY_FORMS[2][0]) == 2  # the test and the replacement, in one place

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tillmark.functions.expressions import half_even, ratio, whole_days_between
 from tillmark.operators.sums import Sums, univariate
-from tillmark.session import materialize
+from tillmark.session import buckets, materialize, materialize_by
 
 MIN_AGE, MAX_AGE = 0, 100
 DAYS_PER_YEAR = 365.25
@@ -86,29 +86,35 @@ def add_calendar(df: DataFrame) -> DataFrame:
     )
 
 
-def add_purchase_counts(df: DataFrame) -> DataFrame:
+def add_purchase_counts(df: DataFrame, dealt: bool = False) -> DataFrame:
     """Both counts above, with the lines joined once.
 
     Lines are first counted per receipt and client. That small table gives the receipts of a client (its
-    rows) and the lines of a receipt (their sum), and is joined to the lines on receipt and client.
+    rows) and the lines of a receipt (their sum), and is joined to the lines on receipt and client. Lines that are
+    ``dealt`` out by receipt (:func:`materialize_by`), none without one, stay where they are: the counts come to them.
     """
     receipt, client = F.col("boleta"), F.col("codigo_cliente")
-    pairs = materialize(df.select(receipt, client).groupBy(receipt, client).agg(F.count(F.lit(1)).alias("_lines")), "purchases")
+    pairs = df.select(receipt, client).groupBy(receipt, client).agg(F.count(F.lit(1)).alias("_lines"))
+    pairs = materialize_by(pairs, "purchases", "boleta") if dealt else materialize(pairs, "purchases")
     known = pairs.where(client.isNotNull()).groupBy(client.alias("_client")).agg(F.count("boleta").alias("frecuencia_compra"))
     items = pairs.where(receipt.isNotNull()).groupBy(receipt.alias("_receipt")).agg(F.sum("_lines").alias("items_por_boleta"))
     counted = pairs.join(items, receipt == F.col("_receipt"), "left").join(known, client == F.col("_client"), "left")
     counted = counted.select(receipt.alias("_boleta"), client.alias("_codigo"), "frecuencia_compra", "items_por_boleta")
-    return df.join(counted, F.expr("boleta <=> _boleta and codigo_cliente <=> _codigo")).drop("_boleta", "_codigo")
+    same = "boleta <=> _boleta and codigo_cliente <=> _codigo"
+    if dealt:
+        counted = counted.repartition(buckets(df.sparkSession), "_boleta").hint("shuffle_hash")
+        same = "boleta = _boleta and codigo_cliente <=> _codigo"
+    return df.join(counted, F.expr(same)).drop("_boleta", "_codigo")
 
 
-def derive_features(df: DataFrame) -> DataFrame:
-    """All derived columns the input columns allow."""
+def derive_features(df: DataFrame, dealt: bool = False) -> DataFrame:
+    """All derived columns the input columns allow; ``dealt`` as for :func:`add_purchase_counts`."""
     df = df.withColumn("monto_por_unidad", ratio(F.col("monto_aplicado"), F.col("unidades")))
     if "fecha_nacimiento" in df.columns:
         df = add_age(df)
     order = df.columns
     if "boleta" in df.columns and "codigo_cliente" in df.columns:
-        df = add_purchase_counts(df)
+        df = add_purchase_counts(df, dealt)
         order = [*order, "frecuencia_compra", "items_por_boleta"]
     elif "boleta" in df.columns:
         df = add_items_per_receipt(df)

@@ -12,7 +12,7 @@ from tillmark.operators import missing, normality, outliers, regression, timeser
 from tillmark.operators.sampling import DEFAULT_SEED, sales_key
 from tillmark.operators.sums import Sums, collect_sums
 from tillmark.schema import numeric_columns
-from tillmark.session import materialize
+from tillmark.session import ALL_KEYS, materialize, materialize_by, setting
 
 Results = dict[str, tuple[DataFrame, Sequence[str]]]
 TEST_COLUMNS = ("unidades", "monto_aplicado", "porcentaje_descuento")
@@ -23,10 +23,15 @@ def prepare(raw: DataFrame) -> DataFrame:
     """Cleaned and derived sales lines, written once for the stages that follow.
 
     Valid rows are written before the medians, mode and per-key counts are taken, so the joins
-    behind ``raw`` run once rather than once for each of them.
+    behind ``raw`` run once rather than once for each of them. They are dealt out by receipt, which
+    no valid row lacks, so the counts join them where they lie.
     """
-    valid = materialize(cleaning.keep_valid_rows(cleaning.coerce_types(raw)), "valid")
-    return materialize(features.derive_features(cleaning.impute(valid)), "prepared")
+    valid = cleaning.valid_rows(raw)
+    if "boleta" not in valid.columns:
+        return materialize(features.derive_features(cleaning.impute(materialize(valid, "valid"))), "prepared")
+    valid = materialize_by(valid, "valid", "boleta")
+    with setting(valid.sparkSession, ALL_KEYS, "false"):
+        return materialize(features.derive_features(cleaning.impute(valid), dealt=True), "prepared")
 
 
 #: Columns whose products the stages read: correlations, regression, variance inflation.
