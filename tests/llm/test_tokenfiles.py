@@ -52,6 +52,18 @@ def test_pieces_at_hand_are_bounded(encoder, whole, monkeypatch):
         assert len(encoder.known) <= 12
 
 
+def test_blocks_of_texts(whole):
+    """Ids of a slice of texts at once; words are learnt without the marks around them, so few pieces differ."""
+    fresh = tokenfiles.Encoder(VOCABULARY)
+    texts = ["one-two, ONE! (one) it's", None, "", "one", "-two", "a.<|endoftext|>, One.two", " \n", "two", "two%%% one"]
+    ids, ends = fresh.encode_block(pa.array(["left out", *texts, "too"]).slice(1, len(texts)))
+    got = [part.tolist() for part in np.split(ids, ends)]
+    assert got == [*map(whole, texts), []]
+    assert {b"one", b"-two", b"%%%"} <= fresh.known.keys() and not any(k.startswith((b"one-", b"one!", b"two%")) for k in fresh.known)
+    ids, ends = fresh.encode_block(pa.array([None, ""]))
+    assert (len(ids), ends.tolist()) == (0, [0, 0])
+
+
 def expected(rows, whole):
     """Rows in order of ids; those of one id in any order."""
     found, start = {}, 0

@@ -41,8 +41,11 @@ PIECES_AT_HAND = 800_000
 BYTES_AT_ONCE = 1 << 23
 WORDS_PER_LINE = 512
 _WORD = re.compile("[a-zà-öø-ÿß]+")
-_MARKS_OF_WORD = re.compile(rb"(?<=[a-z])[.,;:!?]+(?= )")
-_SPECIAL = b"<|"
+#: Bytes that end a word of letters a-z; an apostrophe may begin a token string with letters, "<|" a special string.
+_IS_MARK = np.isin(np.arange(256), np.frombuffer(b"!\"#$%&()*+,-./:;=>?@[\\]^_`{}~", dtype="u1"))
+_IS_LETTER = np.isin(np.arange(256), np.arange(ord("a"), ord("z") + 1))
+_SPACE, _BREAK = b" \n"
+_SPECIAL = "<|"
 _WORD_END = "</w>"
 
 
@@ -50,10 +53,10 @@ class Encoder:
     """Ids of texts by a tokenizer of lower-case words that drops white space, each piece of a text encoded once.
 
     The tokenizer normalises and splits its input so that no token and no normalisation reaches across a space
-    or line break; ids of a text are those of the pieces between them in turn. Marks behind a word are tokens of
-    their own for it, so they are pieces too; and so that fewer pieces differ, A-Z is lowered as the tokenizer
-    would, unless the text may hold one of its special strings. New words of letters are encoded as lines, which
-    the tokens that end a word cut again; other pieces one by one.
+    or line break; ids of a text are those of the pieces between them in turn. Pieces of a block of texts are told apart
+    by Arrow, so Python sees each different one once a block. So that fewer differ, unless the text may hold one of the
+    special strings, A-Z is lowered as the tokenizer would, and a mark behind a letter begins a piece, as it does a token.
+    New words of letters are encoded as lines, which the tokens that end a word cut again; other pieces one by one.
     """
 
     def __init__(self, vocabulary: str):
@@ -85,21 +88,58 @@ class Encoder:
         self.known.update((o.encode(), i.tobytes()) for o, i in zip(others, self._ids(others)))
 
     @staticmethod
-    def _pieces(text: bytes | None) -> list[bytes]:
-        if not text:
-            return []
-        text = (text if _SPECIAL in text else text.lower()).replace(b"\n", b" ")
-        return _MARKS_OF_WORD.sub(rb" \g<0>", text).split(b" ")
+    def _pieces(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """Pieces of all texts, with the spaces that end them, and their numbers up to the end of each text."""
+        texts = pc.fill_null(texts.cast(pa.binary()), b"")
+        ends = np.frombuffer(texts.buffers()[1], dtype="<i4")[texts.offset : texts.offset + len(texts) + 1]
+        held = texts.buffers()[2]
+        data = np.frombuffer(held, dtype="u1")[ends[0] : ends[-1]].copy() if held else np.zeros(0, dtype="u1")
+        ends = ends - ends[0]
+        plain = np.ones(len(data), dtype=bool)
+        for k in pc.indices_nonzero(pc.match_substring(texts, _SPECIAL)).to_pylist():
+            plain[ends[k] : ends[k + 1]] = False
+        data[plain & (data >= ord("A")) & (data <= ord("Z"))] |= 0x20
+        data[data == _BREAK] = _SPACE
+        last = data == _SPACE
+        last[:-1] |= plain[:-1] & _IS_LETTER[data[:-1]] & _IS_MARK[data[1:]]
+        last[ends[1:][ends[1:] > ends[:-1]] - 1] = True
+        cuts = np.flatnonzero(last).astype("<i4") + np.int32(1)
+        offsets = np.concatenate([np.zeros(1, dtype="<i4"), cuts])
+        pieces = pa.Array.from_buffers(pa.binary(), len(cuts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+        return pieces, np.searchsorted(cuts, ends[1:], side="right")
 
-    def encode(self, texts: Sequence[bytes | None]) -> list[bytes]:
-        """Ids of each UTF-8 text, packed; a null text has none."""
-        split = [self._pieces(t) for t in texts]
-        wanted = set().union(*split)
+    @staticmethod
+    def _without_spaces(pieces: pa.Array) -> list[bytes]:
+        ends = np.frombuffer(pieces.buffers()[1], dtype="<i4")[pieces.offset : pieces.offset + len(pieces) + 1]
+        if not ends[-1]:
+            return [b""] * len(pieces)
+        data = pieces.buffers()[2].to_pybytes()
+        spaced = np.frombuffer(data, dtype="u1")[ends[1:] - 1] == _SPACE  # no piece is empty
+        return [data[a:b] for a, b in zip(ends[:-1].tolist(), (ends[1:] - spaced).tolist())]
+
+    def encode_block(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all ``texts`` in turn, and their numbers up to the end of each; a null text has none."""
+        pieces, upto = self._pieces(texts)
+        told = pieces.dictionary_encode()
+        different = self._without_spaces(told.dictionary)
+        wanted = set(different)
         if len(self.known) + len(wanted) > PIECES_AT_HAND:
             self.known = {b"": b""}
         self._learn(wanted - self.known.keys())
-        known = self.known.__getitem__
-        return [b"".join(map(known, pieces)) for pieces in split]
+        packed = [self.known[piece] for piece in different]
+        table = np.frombuffer(b"".join(packed), dtype=self.kind)
+        sizes = np.fromiter(map(len, packed), dtype=np.int64, count=len(packed)) // self.kind.itemsize
+        first = np.cumsum(sizes) - sizes
+        which = told.indices.to_numpy()
+        n = sizes[which]
+        ends = np.cumsum(n)
+        ids = table[np.arange(ends[-1] if len(ends) else 0) + np.repeat(first[which] - (ends - n), n)]
+        return ids, np.concatenate([np.zeros(1, dtype=np.int64), ends])[upto]
+
+    def encode(self, texts: Sequence[bytes | None]) -> list[bytes]:
+        """Ids of each UTF-8 text, packed; a null text has none."""
+        ids, ends = self.encode_block(pa.array(texts, pa.binary()))
+        return [part.tobytes() for part in np.split(ids, ends[:-1])] if len(ends) else []
 
 
 @functools.cache
@@ -218,14 +258,15 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str, end: int = END,
                 writer = ShardWriter(sink := _open_output(f"{path}.ids.arrow"), encoder.kind, sequence, per_batch)
                 index_schema = pa.schema([("doc_id", batch.schema.field("doc_id").type), ("start", pa.int64()), ("n_tokens", pa.int64())])
                 index = pa.ipc.new_file(index_sink := _open_output(f"{path}.docs.arrow"), index_schema)
-            closing = np.array([end], dtype=encoder.kind).tobytes()
             starts, sizes = [], []
             for at in _blocks(batch.column("text")):
-                for ids in encoder.encode(batch.column("text").slice(*at).cast(pa.binary()).to_pylist()):
-                    starts.append(writer.n_ids)
-                    writer.add(ids + closing)
-                    sizes.append(writer.n_ids - starts[-1])
-            index.write_batch(pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64())], schema=index_schema))
+                ids, ends = encoder.encode_block(batch.column("text").slice(*at))
+                size = np.diff(ends, prepend=0) + 1
+                starts.append(writer.n_ids + np.cumsum(size) - size)
+                sizes.append(size)
+                writer.add(np.insert(ids, ends, end).tobytes())
+            found = [pa.array(np.concatenate(part), pa.int64()) for part in (starts, sizes)]
+            index.write_batch(pa.RecordBatch.from_arrays([batch.column("doc_id"), *found], schema=index_schema))
             n_docs += batch.num_rows
         if writer is not None:
             writer.close(), index.close(), sink.close(), index_sink.close()
