@@ -248,3 +248,13 @@ def test_filters_do_not_read_text_again(spark):
     assert once.count() == 2
     plan = once._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count(cleaning.DAY_FORMS[2][0]) == 2  # the test and the replacement, in one place
+
+
+def test_receipts_are_cast_only_if_whole(spark):
+    """A cast that fails makes an exception a row, so decimal receipts never reach the cast to a whole number."""
+    texts = ["12", " -7 ", "+3", "12.0", "1e3", ".5", "12d", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "boleta string")
+    typed = cleaning.coerce_types(df)
+    assert [r.boleta for r in typed.collect()] == [12, -7, 3, 12, 1000, 0, None, None, None]
+    first = typed._jdf.queryExecution().analyzed().toString().split("try_cast")[0]
+    assert cleaning.WHOLE in first
