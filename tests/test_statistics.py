@@ -394,3 +394,21 @@ def test_box_statistics(spark):
     assert got["a"] == (5, 2.0, 3.0, 4.0, 1.0, 4.0, 1)
     assert got["b"] == (3, 5.0, 5.0, 5.0, 5.0, 5.0, 0)
     assert set(got) == {"a", "b"}
+
+
+def test_median_of_counted_values(spark):
+    """An even number of rows, an odd one, ties, nulls, and none."""
+    for values in ([3.0, 1.0, 1.0, 8.0], [5.0, 5.0, 2.0], [7.0, None], [None], [1.0, 2.0, 2.0, 9.0, 9.5, 4.25]):
+        counts = spark.createDataFrame([(v,) for v in values], "x double").groupBy("x").agg(F.count(F.lit(1)).alias("n"))
+        held = [v for v in values if v is not None]
+        assert rows(quantiles.counted_median(counts, "x", "n")) == [(statistics.median(held) if held else None,)]
+
+
+def test_sums_are_compiled(spark, monkeypatch):
+    """The one scan for all sums has more fields than Spark compiles by itself."""
+    from tillmark.operators import sums
+
+    seen = []
+    monkeypatch.setattr(sums, "materialize", lambda df, label: seen.append(df.sparkSession.conf.get("spark.sql.codegen.maxFields")) or df)
+    sums.collect_sums(spark.range(5).toDF("x"), ["x"]).written()
+    assert int(seen[0]) >= 1000 and int(spark.conf.get("spark.sql.codegen.maxFields", "100")) < 1000

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tillmark import schema
 from tillmark.functions.expressions import epoch_days, from_epoch_days
-from tillmark.operators.quantiles import median_value
+from tillmark.operators.quantiles import counted_median
 
 HAS_ZONE = r"(?:[Zz]|[+-]\d{2}(?::?\d{2})?|\s(?:UTC|GMT|[A-Za-z]+(?:/[A-Za-z_+-]+)+))$"
 DECIMAL = r"^\s*[+-]?(?:\d+(?:\.\d*)?|\.\d+)(?:[eE][+-]?\d+)?\s*$"
@@ -141,9 +141,10 @@ def cleaning_audit(df: DataFrame) -> DataFrame:
 
 
 def median_birth(df: DataFrame) -> DataFrame:
-    """One row: median birth timestamp of the given rows."""
-    days = df.select(epoch_days(F.col("fecha_nacimiento")).alias("born"))
-    return median_value(days, "born").select(from_epoch_days(F.col("median")).alias("median_birth"))
+    """One row: median birth timestamp of the given rows, from the counts of the different ones."""
+    births = df.groupBy("fecha_nacimiento").agg(F.count(F.lit(1)).alias("n"))
+    days = births.select(epoch_days(F.col("fecha_nacimiento")).alias("born"), "n")
+    return counted_median(days, "born", "n").select(from_epoch_days(F.col("median")).alias("median_birth"))
 
 
 def modal_value(df: DataFrame, column: str, default: float = 1.0) -> DataFrame:

@@ -360,3 +360,12 @@ def approximate_quantiles(
 def median_value(df: DataFrame, column: str) -> DataFrame:
     """One row, one column: the exact median, null for an empty column."""
     return quantiles(df, [column], {"median": 0.5}).agg(F.max("median").alias("median"))
+
+
+def counted_median(counts: DataFrame, column: str, n: str) -> DataFrame:
+    """The same of values counted in ``n``: exact, without a pass over the rows that were counted."""
+    ranked = cumulative_counts(value_counts(counts, [column], weight=n))
+    total = ranked.agg(F.max("cum").alias("total")).scalar()
+    at = lambda rank: F.min(F.when(F.col("cum") >= rank, F.col("value")))
+    both = ranked.agg(at(F.floor((total + 1) / 2)).alias("low"), at(F.ceil((total + 1) / 2)).alias("high"))
+    return both.select((F.col("low") + (F.col("high") - F.col("low")) * 0.5).alias("median"))

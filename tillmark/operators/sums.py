@@ -17,7 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tillmark.functions.expressions import ratio
-from tillmark.session import materialize
+from tillmark.session import MOST_FIELDS, materialize, setting
 
 #: A pattern of nulls is a long of one bit a column.
 MAX_COLUMNS = 62
@@ -37,7 +37,8 @@ class Sums:
 
     def written(self) -> Sums:
         """The same with the table computed once."""
-        return replace(self, table=materialize(self.table, "sums"))
+        with setting(self.table.sparkSession, MOST_FIELDS, "1000"):
+            return replace(self, table=materialize(self.table, "sums"))
 
     def where(self, condition: Column) -> Sums:
         """Only the groups of which ``condition``, on the keys, holds."""
