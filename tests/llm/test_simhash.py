@@ -62,6 +62,15 @@ def test_links_are_all_pairs_once(spark):
     assert sorted((r.a, r.b) for r in found) == sorted(want)
 
 
+def test_keys_are_not_broadcast(spark):
+    prints = spark.createDataFrame([(i * 0x9E3779B97F4A7,) for i in range(300)] + [(i,) for i in range(3)], "fp bigint").groupBy("fp").count()
+    for found in (simhash.links(simhash.keyed_prints(prints)), simhash.all_links(prints)):
+        pairs = {(r.a, r.b) for r in found.collect()}
+        plan = found._jdf.queryExecution().executedPlan().toString()  # the last, after Spark has seen real sizes
+        assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+        assert pairs >= {(0, 1), (0, 2), (1, 2)}
+
+
 def test_groups_match_brute_force(spark):
     rng = random.Random(3)
     words = ["The", "of", "rain", "Ärger", "x1", "stone", "river", "plain", "was", "there"]

@@ -107,10 +107,11 @@ def links(keyed: DataFrame, segments: int = SEGMENTS, tau: int = TAU, chain: int
 
     Each pair leaves the join once: under the first segment that starts a chain within its budgets, and
     the first of this chain's sets without a difference. Keys hold half of the bits that a chain covers,
-    so pairs that share a key by chance stay few.
+    so pairs that share a key by chance stay few. Spark sizes the keys like the fingerprints that they are
+    exploded from and would broadcast them, so the join is held to a merge.
     """
     _, sets, masks = _keys(segments, tau, chain)
-    left, right = keyed.select(F.col("fp").alias("a"), "kid", "part").alias("l"), keyed.alias("r")
+    left, right = keyed.select(F.col("fp").alias("a"), "kid", "part").alias("l"), keyed.hint("merge").alias("r")
     differs = [f"bit_count((a ^ r.fp) & {_literal(m)})" for m in masks]
     starts, firsts = [], []
     for start in range(segments):
