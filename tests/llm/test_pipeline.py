@@ -9,7 +9,7 @@ from test_learned import brute_base
 from test_simhash import brute_groups
 
 import corpus_pipeline
-from tillmark.llm import catalog, quality
+from tillmark.llm import catalog, quality, simhash
 
 TABLES = "/root/testdata/sf0.001"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -87,6 +87,17 @@ def test_contamination_stage(spark, folder, steps):
     assert bad and texts(steps[3]) == [x for x in texts(steps[2]) if x[0] not in bad]
 
 
+def test_stage_of_near_copies_broadcasts_no_keys(spark, folder, steps, monkeypatch):
+    joined, links = [], simhash.links
+    monkeypatch.setattr(simhash, "links", lambda *a, **b: joined.append(links(*a, **b)) or joined[-1])
+    found = corpus_pipeline.simhash_near_dedup(spark, steps[1], folder)
+    assert texts(found) == texts(steps[2])
+    for frame in joined:
+        frame.collect()
+    plans = [frame._jdf.queryExecution().executedPlan().toString() for frame in joined]
+    assert plans and all("SortMergeJoin" in plan and "BroadcastExchange" not in plan for plan in plans)
+
+
 def test_secrets_stage(steps):
     def masked(text):
         out, at = [], 0
